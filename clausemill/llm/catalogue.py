@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import mixing, secrets
 from ._shared import Scratch, table, word_count
 from .oracles import ORACLES
 
@@ -27,6 +27,19 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text, by kind and place."""
+    found, _ = secrets.scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    base = [r.name for r in secrets.BASE]
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(F.col("spans"), k).alias(f"n_{k}") for k in base],
+        F.sha2(secrets.written(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_secret_scan": op3_secret_scan,
 }

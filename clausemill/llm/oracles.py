@@ -31,3 +31,33 @@ SELECT doc_id, size, w AS source_size, round(t, 6) AS target,
        ((CASE WHEN pos < q THEN 1 ELSE 0 END) + (CASE WHEN pos + w < q THEN 1 ELSE 0 END))::BIGINT AS draws
 FROM placed
 """
+
+ORACLES["op3_secret_scan"] = r"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS row_id, coalesce(text, '') AS text FROM documents
+), rules(kind, rank, pattern, grp, least, base) AS (VALUES
+  ('assign', 0, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 12, true),
+  ('access', 1, 'AKIA[A-Z0-9]+', 0, 18, true),
+  ('hex', 2, '[0-9a-f]{16,}', 0, 16, true),
+  ('pem', 3, '-----BEGIN [A-Z ]*PRIVATE KEY-----', 0, 1, false),
+  ('forge', 4, 'gh[pousr]_[A-Za-z0-9]{36,}', 0, 1, false)
+), parts AS (
+  SELECT row_id, kind, rank, least, base,
+         regexp_extract_all(text, pattern, 0) AS m,
+         CASE WHEN grp = 2 THEN regexp_extract_all(text, pattern, 2) ELSE regexp_extract_all(text, pattern, 0) END AS g,
+         regexp_split_to_array(text, pattern) AS p
+  FROM docs, rules
+), hits AS (
+  SELECT row_id, kind, rank, least, base, k, length(m[k]) AS len, length(g[k]) AS part,
+         sum(length(p[k]) + length(m[k])) OVER (PARTITION BY row_id, kind ORDER BY k) AS stop
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS k FROM parts)
+), spans AS (
+  SELECT row_id, kind, rank, base, stop - len AS start, kind || ':' || (stop - len)::BIGINT || ':' || stop::BIGINT AS said FROM hits WHERE part >= least
+), per AS (
+  SELECT row_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+         string_agg(said, ',' ORDER BY start, rank) FILTER (WHERE base) AS base_said, string_agg(said, ',' ORDER BY start, rank) AS said
+  FROM spans GROUP BY row_id
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base_said, '')) AS base_sha256, coalesce(said, '') AS spans
+FROM docs LEFT JOIN per USING (row_id)
+"""
