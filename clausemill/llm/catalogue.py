@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secrets
+from . import mixing, secrets, topk, vectors
 from ._shared import Scratch, table, word_count
 from .oracles import ORACLES
 
@@ -39,7 +39,21 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best of all other vectors for each vector whose id is divisible by 50."""
+    rows = Scratch(spark, "op6").keep(topk.integer_vectors(table(spark, sf_dir, "embeddings")), "vectors")
+    return topk.top_k(rows, rows.where(F.col("id") % 50 == 0), 5)
+
+
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors by cosine."""
+    found = vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_secret_scan": op3_secret_scan,
+    "op6_top_k": op6_top_k,
+    "op10_near_vectors": op10_near_vectors,
 }

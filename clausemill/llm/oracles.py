@@ -61,3 +61,33 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
        sha256(coalesce(base_said, '')) AS base_sha256, coalesce(said, '') AS spans
 FROM docs LEFT JOIN per USING (row_id)
 """
+
+ORACLES["op6_top_k"] = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_sum(list_transform(list_zip(q.v, r.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM vectors q JOIN vectors r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
+ORACLES["op10_near_vectors"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id AS id, vec_id AS other FROM embeddings
+  UNION
+  SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
+), least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id
+), degree AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least ON e.vec_id = least.id LEFT JOIN degree ON degree.id = e.vec_id
+"""
