@@ -91,3 +91,20 @@ WITH RECURSIVE v AS (
 SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings e JOIN least ON e.vec_id = least.id LEFT JOIN degree ON degree.id = e.vec_id
 """
+
+ORACLES["op4_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, len(regexp_extract_all(role, '<\\*(?:\|turn\|>|\|says\|>|\|end\|>|s>|/s>)|\[\\*(?:INST\]|/INST\])'))
+          + len(regexp_extract_all(text, '<\\*(?:\|turn\|>|\|says\|>|\|end\|>|s>|/s>)|\[\\*(?:INST\]|/INST\])')) AS marks
+  FROM turns
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(24 + length(role) + length(text) + marks)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
