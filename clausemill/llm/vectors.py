@@ -79,7 +79,7 @@ def _local(linked: np.ndarray, labels: np.ndarray) -> np.ndarray:
         labels = new
 
 
-def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 1.0, cell_rows: int = 4096, most_cells: int = 2048, fit_rows: int = 32_768, block_rows: int = 4096, seed: int = 17) -> DataFrame:
+def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 1.0, cell_rows: int = 64, most_cells: int = 2048, fit_rows: int = 32_768, block_rows: int = 4096, seed: int = 17) -> DataFrame:
     """table (vec_id, embedding, ...) -> its columns, n_links, component_id, kept; a row for each row of it."""
     spark, scratch = table.sparkSession, Scratch(table.sparkSession, "vectors")
     cols, pairs = hidden(table, table.columns)
