@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, secrets, topk, vectors
+from . import chat, langid, mixing, secrets, topk, vectors
 from ._shared import Scratch, table, word_count
 from .oracles import ORACLES
 
@@ -53,6 +53,14 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.where(F.col("id") % 50 == 0), 5)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from three quarters of the labelled documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    found = langid.identify(docs, ~held_out, carry=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
+
+
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors by cosine."""
     found = vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
@@ -64,5 +72,6 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_chat_format": op4_chat_format,
     "op6_top_k": op6_top_k,
+    "op9_language_id": op9_language_id,
     "op10_near_vectors": op10_near_vectors,
 }
