@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, secrets, topk, vectors
+from . import chat, langid, mixing, packing, secrets, topk, vectors
 from ._shared import Scratch, table, word_count
 from .oracles import ORACLES
 
@@ -53,6 +53,11 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.where(F.col("id") % 50 == 0), 5)
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2048 tokens."""
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every text, learned from three quarters of the labelled documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -72,6 +77,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_chat_format": op4_chat_format,
     "op6_top_k": op6_top_k,
+    "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_near_vectors": op10_near_vectors,
 }
