@@ -15,7 +15,8 @@ import tiktoken
 
 #: The splitting pattern of the vocabulary (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-PARTS = regex.compile(PATTERN)
+#: The same for another library, whose own white space has four control characters more.
+PARTS = regex.compile(PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
 def vocabulary() -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, packing, secrets, topk, vectors
+from . import chat, langid, mixing, packing, secrets, tokencount, topk, vectors
 from ._shared import Scratch, table, word_count
 from .oracles import ORACLES
 
@@ -47,6 +47,17 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(table(spark, sf_dir, "conversations").select(*columns).union(extra)))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents, and again after three edits of each: in the middle, at the start and at the end."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    length = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+    half = F.floor(length / 2).cast("long")
+    edit = lambda a, z, s: F.struct(a.alias("start"), z.alias("end"), F.lit(s).alias("text"))
+    far, none = F.lit(1 << 40), F.lit(0).cast("long")
+    edits = F.array(edit(half, half + 8, "amended text"), edit(none, none, "Draft "), edit(far, far, " (end)"))
+    return tokencount.count_tokens(docs.withColumn("edits", edits), carry=["doc_id"])
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best of all other vectors for each vector whose id is divisible by 50."""
     rows = Scratch(spark, "op6").keep(topk.integer_vectors(table(spark, sf_dir, "embeddings")), "vectors")
@@ -76,6 +87,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_secret_scan": op3_secret_scan,
     "op4_chat_format": op4_chat_format,
+    "op5_token_counts": op5_token_counts,
     "op6_top_k": op6_top_k,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
