@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, packing, secrets, tokencount, topk, vectors
+from . import chat, langid, mixing, near, packing, secrets, tokencount, topk, vectors
 from ._shared import Scratch, table, word_count
 from .oracles import ORACLES
 
@@ -64,6 +64,11 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.where(F.col("id") % 50 == 0), 5)
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and component of every document."""
+    return near.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 tokens."""
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
@@ -89,6 +94,7 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op5_token_counts": op5_token_counts,
     "op6_top_k": op6_top_k,
+    "op7_ngram_join": op7_ngram_join,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_near_vectors": op10_near_vectors,

@@ -108,3 +108,23 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sum(24 + length(role) + length(text) + marks)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+ORACLES["op7_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)
+), reach AS (
+  SELECT doc_id AS id, doc_id AS other FROM documents
+  UNION
+  SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) c ON c.id = d.doc_id
+"""
