@@ -116,46 +116,43 @@ def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str |
     stored = T.StructType([*kept, T.StructField("__part", T.LongType()), T.StructField("__at", T.LongType()), T.StructField("__ids", T.ArrayType(T.IntegerType()))])
     table = scratch.keep(ranged.mapInArrow(tokens, stored), "tokens")
     sums = sorted((r["__part"], r["n"]) for r in table.groupBy("__part").agg(F.max(F.col("__at") + F.size("__ids")).alias("n")).collect())
-    places, total = {}, 0
+    places, total = [], 0
     for part, n in sums:
-        places[part] = total
+        places.append((part, total))
         total += n
     full = total - total % length
-    ends, at = [], full  # where the stream's end is cut, and which sequence starts there
+    ends, at = [], full  # where the stream's end is cut
     for b in range(length.bit_length() - 1, -1, -1):
         if (total - full) >> b & 1:
-            ends.append((at, at + (1 << b)))
             at += 1 << b
-
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows, starts, sizes, sequences, offsets, values, doc_tokens = [], [], [], [], [], [], []
-            ids = b.column("__ids")
-            flat, cuts = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-            for k, (part, at) in enumerate(zip(b.column("__part").to_pylist(), b.column("__at").to_pylist(), strict=True)):
-                n = int(cuts[k + 1] - cuts[k])
-                g, done = places[part] + at, 0
-                while done < n:
-                    here = g + done
-                    if here < full:
-                        seq, a, z = here // length, here - here % length, here - here % length + length
-                    else:
-                        j = next(j for j, (_, z) in enumerate(ends) if here < z)
-                        seq, (a, z) = full // length + j, ends[j]
-                    take = min(n - done, z - here)
-                    rows.append(k), starts.append(done), sizes.append(take), sequences.append(seq), offsets.append(here - a), doc_tokens.append(n)
-                    values.append(flat[cuts[k] + done : cuts[k] + done + take])
-                    done += take
-            if not rows:
-                continue
-            taken = b.take(pa.array(rows))
-            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(np.concatenate(values), pa.int32()))
-            arrays = [*(taken.column(f.name) for f in kept), pa.array(starts, pa.int64()), lists, *(pa.array(x, pa.int64()) for x in (doc_tokens, sequences, offsets))]
-            yield pa.RecordBatch.from_arrays(arrays, [*(f.name for f in kept), "__start", "__ids", "__n", "__seq", "__off"])
-
-    made = T.StructType([*kept, T.StructField("__start", T.LongType()), T.StructField("__ids", T.ArrayType(T.IntegerType())), *(T.StructField(x, T.LongType()) for x in ("__n", "__seq", "__off"))])
-    out = table.mapInArrow(pieces, made)
-    return out.select(*shown(pairs), F.col("__start").alias("start"), F.col("__ids").alias("ids"), F.col("__n").alias("doc_tokens"), F.col("__seq").alias("sequence_id"), F.col("__off").alias("offset"))
+            ends.append(at)
+
+    # A number for each partition: as many rows as the exchange has partitions.
+    base = spark.createDataFrame(places, "__p long, __base long")
+    placed = table.join(F.broadcast(base), F.col("__part") == F.col("__p"), "left")
+    big = lambda x: F.lit(x).cast("long")
+    start, n = F.col("__base") + F.col("__at"), F.size("__ids").cast("long")
+    stop = start + n
+    first, last = (F.floor(start / length) + 1).cast("long") * length, F.least(stop - 1, big(full))
+    none = F.array().cast("array<bigint>")
+    whole = F.when(first <= last, F.sequence(first, F.greatest(first, last), big(length))).otherwise(none)
+    late = F.filter(F.array(*map(big, ends)) if ends else none, lambda x: (x > start) & (x < stop))
+    cuts = F.concat(F.array(start), whole, late, F.array(stop))
+    begins = F.array(*map(big, [full, *ends]))
+
+    def piece(k):
+        a, z = F.get(F.col("__cuts"), k), F.get(F.col("__cuts"), k + 1)
+        extra = F.size(F.filter(begins, lambda x: x <= a)) - 1
+        return F.struct(
+            (a - start).alias("start"),
+            F.slice("__ids", (a - start + 1).cast("int"), (z - a).cast("int")).alias("ids"),
+            F.when(a < full, F.floor(a / length)).otherwise(extra + full // length).cast("long").alias("seq"),
+            F.when(a < full, a % length).otherwise(a - F.get(begins, extra)).cast("long").alias("off"),
+        )
+
+    made = placed.withColumn("__cuts", cuts).withColumn("__n", n)
+    made = made.select(*(f.name for f in kept), "__n", F.explode(F.transform(F.sequence(F.lit(0), F.size("__cuts") - 2), piece)).alias("p"))
+    return made.select(*shown(pairs), F.col("p.start").alias("start"), F.col("p.ids").alias("ids"), F.col("__n").alias("doc_tokens"), F.col("p.seq").alias("sequence_id"), F.col("p.off").alias("offset"))
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
