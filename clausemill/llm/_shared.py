@@ -37,6 +37,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
         atexit.register(self._clear)
 
     def _clear(self) -> None:
@@ -47,12 +48,17 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
+        self.names.add(name)
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         for name in names:
             _delete(self.spark, f"{self.root}/{name}")
+            self.names.discard(name)
+
+    def drop_but(self, *names: str) -> None:
+        self.drop(*(self.names - set(names)))
 
 
 def hidden(df: DataFrame, names: list[str]) -> tuple[list[Column], list[tuple[str, str]]]:

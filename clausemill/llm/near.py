@@ -318,6 +318,7 @@ def near_duplicates(docs: DataFrame, *, grams: int = 5, percent: int = 80, text:
     named = least.join(roots, least["__sig"] == roots["sig"], "left").select("__sig", F.coalesce("root", "__sig").alias("root"), "least")
     by_root = named.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = scratch.keep(named.join(by_root, "root").select(F.col("__sig").alias("s"), "component_id"), "labels")
+    scratch.drop_but("members", "labels")
     rows = members.join(labels, members["__sig"] == labels["s"], "left").select("__id", F.col("__n").alias("n_shingles"), F.coalesce("component_id", "__id").alias("component_id"))
     if [name for _, name in pairs] == [key]:
         return rows.select(F.col("__id").alias(key), "n_shingles", "component_id")

@@ -90,10 +90,9 @@ def shingles(raw: np.ndarray, offsets: np.ndarray, n: int = 5) -> tuple[np.ndarr
     value = np.zeros(total, np.uint64)
     length = np.minimum(counts, n)[doc]
     padded = np.concatenate([hashes, np.zeros(n, np.uint64)])
-    factor = np.uint64(1)
+    factors = np.multiply.accumulate(np.full(n, _STEP))
     for k in range(n):
-        factor = factor * _STEP
-        value += np.where(k < length, padded[at + k], np.uint64(0)) * factor
+        value += np.where(k < length, padded[at + k], np.uint64(0)) * factors[k]
     value = mixed(value + length.astype(np.uint64))
     order = np.lexsort((value, doc))
     value, doc = value[order], doc[order]
