@@ -3,11 +3,13 @@
 Each document's bag of words is hashed to a vector and projected to ``DIMS`` coordinates by random signs;
 coordinates become ``BITS`` bits by their distribution function, and the cell's place on the Hilbert curve
 is the document's key. Documents are range-sorted by key, so that neighbours on the curve have like words,
-and their tokens, one end token after each, form one stream, which is cut every ``length`` tokens. Only the
-stream's end is left over; it is cut into pieces of powers of two, so no sequence needs padding.
+and their tokens, one end token after each, form one stream, which is cut every ``length`` tokens. What a
+partition has left over after its last full sequence moves to the end of the stream. Only the stream's own
+end is then left over; it is cut into pieces of powers of two, so no sequence needs padding.
 
-One exchange deals texts to ranges; each range's tokens are written once with their places in the range,
-and the ranges' totals (a number for each partition) turn these into places in the stream.
+One exchange deals texts to ranges; each range's pieces are written once with their places in the range,
+and the ranges' totals (two numbers for each partition) turn these into places in the stream. A task holds
+one document, and the pieces of about a million tokens.
 
 Defined results: null text is empty, so its document is the end token alone; texts of any length are cut
 as often as needed; ties of the key are ordered by doc_id; repeated rows are documents of their own; an
@@ -93,33 +95,48 @@ def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str |
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, at = Encoder(file), TaskContext.get().partitionId(), 0
+        done, open_ = [], []  # pieces of finished sequences, and of the one being filled
+        held = 0
+
+        def rows(pieces: list, tail: bool) -> pa.RecordBatch:
+            heads, starts, sizes, places, ids = zip(*pieces, strict=True)
+            n = len(pieces)
+            lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, ids)]).astype(np.int32), pa.array(np.concatenate(ids), pa.int32()))
+            arrays = [*(pa.array([h[k] for h in heads], t) for k, t in enumerate(types)), *(pa.array(x, pa.int64()) for x in (starts, sizes, places, np.full(n, part))), pa.array(np.full(n, tail)), lists]
+            return pa.RecordBatch.from_arrays(arrays, names)
+
         for b in batches:
-            lo = 0
+            types = [b.schema.field(f.name).type for f in kept]
+            heads = list(zip(*(b.column(f.name).to_pylist() for f in kept), strict=True)) if kept else [()] * len(b)
             texts = b.column("__text")
-            while lo < len(b):  # a record batch of tokens for about a million tokens
-                arrays, held = [], 0
-                while lo + len(arrays) < len(b) and held < 1 << 20:
-                    ids = coder.array(texts[lo + len(arrays)].as_py())
-                    arrays.append(np.append(ids, np.int32(end)))
-                    held += len(arrays[-1])
-                sizes = np.array([len(a) for a in arrays])
-                starts = at + np.cumsum(sizes) - sizes
-                at += int(sizes.sum())
-                ids = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(np.concatenate(arrays), pa.int32()))
-                piece = b.slice(lo, len(arrays))
-                n = len(arrays)
-                yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(f.name) for f in kept), pa.array(np.full(n, part), pa.int64()), pa.array(starts, pa.int64()), ids], [*(f.name for f in kept), "__part", "__at", "__ids"]
-                )
-                lo += n
-
-    stored = T.StructType([*kept, T.StructField("__part", T.LongType()), T.StructField("__at", T.LongType()), T.StructField("__ids", T.ArrayType(T.IntegerType()))])
-    table = scratch.keep(ranged.mapInArrow(tokens, stored), "tokens")
-    sums = sorted((r["__part"], r["n"]) for r in table.groupBy("__part").agg(F.max(F.col("__at") + F.size("__ids")).alias("n")).collect())
+            for k in range(len(b)):
+                ids = np.append(coder.array(texts[k].as_py()), np.int32(end))
+                start = 0
+                while start < len(ids):
+                    take = min(len(ids) - start, length - at % length)
+                    open_.append((heads[k], start, len(ids), at, ids[start : start + take]))
+                    at, start = at + take, start + take
+                    if at % length == 0:
+                        done, open_, held = done + open_, [], held + length
+                if held >= 1 << 20:
+                    yield rows(done, False)
+                    done, held = [], 0
+        if done:
+            yield rows(done, False)
+        if open_:
+            yield rows(open_, True)
+
+    longs = [T.StructField(x, T.LongType()) for x in ("__start", "__n", "__at", "__part")]
+    stored = T.StructType([*kept, *longs, T.StructField("__tail", T.BooleanType()), T.StructField("__ids", T.ArrayType(T.IntegerType()))])
+    names = stored.names
+    table = scratch.keep(ranged.mapInArrow(tokens, stored).withColumn("__len", F.size("__ids").cast("long")), "tokens")
+    # Finished sequences come first, partition by partition; what each partition has left over makes the stream's end.
+    lens = table.groupBy("__part", "__tail").agg(F.sum("__len").alias("n"), F.min("__at").alias("first")).collect()
     places, total = [], 0
-    for part, n in sums:
-        places.append((part, total))
-        total += n
+    for tail in (False, True):
+        for r in sorted((r for r in lens if r["__tail"] == tail), key=lambda r: r["__part"]):
+            places.append((r["__part"], tail, total - r["first"]))
+            total += r["n"]
     full = total - total % length
     ends, at = [], full  # where the stream's end is cut
     for b in range(length.bit_length() - 1, -1, -1):
@@ -127,11 +144,11 @@ def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str |
             at += 1 << b
             ends.append(at)
 
-    # A number for each partition: as many rows as the exchange has partitions.
-    base = spark.createDataFrame(places, "__p long, __base long")
-    placed = table.join(F.broadcast(base), F.col("__part") == F.col("__p"), "left")
+    # Two numbers for each partition: at most twice as many rows as the exchange has partitions.
+    base = spark.createDataFrame(places, "__p long, __t boolean, __base long")
+    placed = table.join(F.broadcast(base), (F.col("__part") == F.col("__p")) & (F.col("__tail") == F.col("__t")), "left")
     big = lambda x: F.lit(x).cast("long")
-    start, n = F.col("__base") + F.col("__at"), F.size("__ids").cast("long")
+    start, n = F.col("__base") + F.col("__at"), F.col("__len")
     stop = start + n
     first, last = (F.floor(start / length) + 1).cast("long") * length, F.least(stop - 1, big(full))
     none = F.array().cast("array<bigint>")
@@ -144,13 +161,13 @@ def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str |
         a, z = F.get(F.col("__cuts"), k), F.get(F.col("__cuts"), k + 1)
         extra = F.size(F.filter(begins, lambda x: x <= a)) - 1
         return F.struct(
-            (a - start).alias("start"),
+            (F.col("__start") + a - start).alias("start"),
             F.slice("__ids", (a - start + 1).cast("int"), (z - a).cast("int")).alias("ids"),
             F.when(a < full, F.floor(a / length)).otherwise(extra + full // length).cast("long").alias("seq"),
             F.when(a < full, a % length).otherwise(a - F.get(begins, extra)).cast("long").alias("off"),
         )
 
-    made = placed.withColumn("__cuts", cuts).withColumn("__n", n)
+    made = placed.withColumn("__cuts", cuts)
     made = made.select(*(f.name for f in kept), "__n", F.explode(F.transform(F.sequence(F.lit(0), F.size("__cuts") - 2), piece)).alias("p"))
     return made.select(*shown(pairs), F.col("p.start").alias("start"), F.col("p.ids").alias("ids"), F.col("__n").alias("doc_tokens"), F.col("p.seq").alias("sequence_id"), F.col("p.off").alias("offset"))
 
