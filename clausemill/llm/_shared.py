@@ -38,6 +38,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.names: set[str] = set()
+        self.tables: list[str] = []
         atexit.register(self._clear)
 
     def _clear(self) -> None:
@@ -52,12 +53,24 @@ class Scratch:
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def bucketed(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """A table written by hash of ``key``, so that joins on it leave its rows in place."""
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        title = f"scratch_{uuid.uuid4().hex}"
+        self.names.add(name)
+        self.tables.append(title)
+        df.repartition(n, key).write.bucketBy(n, key).sortBy(key).format("parquet").option("compression", "zstd").option("path", f"{self.root}/{name}").saveAsTable(title)
+        return self.spark.table(title)
+
     def drop(self, *names: str) -> None:
         for name in names:
             _delete(self.spark, f"{self.root}/{name}")
             self.names.discard(name)
 
     def drop_but(self, *names: str) -> None:
+        for title in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {title}")
+        self.tables.clear()
         self.drop(*(self.names - set(names)))
 
 

@@ -11,11 +11,11 @@ difference-coded run of the grams of their classes; what a bin finds in one clas
 and the rest goes back to its class with its frequency. A class that keeps fewer than t grams can't have a
 partner, so only candidates' grams travel again, and these decide every overlap exactly, as a gram of one
 class is in no intersection. A gram that HOT classes of one run share isn't sent class by class: the bin gets
-a mark and the classes keep it as hot; hot grams are last in the order.
+a mark, the classes keep it, and it is last in the order for all.
 
 A class takes the l for which its frequencies promise the least work: entries to read, plus candidates,
 which are at most entries over l. Buckets of the index are first joined in stars: every class with its
-bucket's pivot, which is linear, however large a group of near copies is. Classes that verified stars
+one pivot of its buckets, which is linear, however large a group of near copies is. Classes that verified stars
 connect need no further comparison with each other. Stars repeat with other pivots while they shorten the
 work; all pairs of a bucket that are not yet connected then meet, are counted and verified. So no link
 that joins two components is lost, and links inside a component aren't spelled out.
@@ -23,7 +23,8 @@ that joins two components is lost, and links inside a component aren't spelled o
 Defined results: null text, and text without words, has 0 grams, and is a component of its own; a text with
 fewer than n words has one gram, its whole sequence; repeated rows are copies; a null doc_id is no
 component's name if there is another; texts of any length are read whole; an empty table gives no rows;
-other columns pass through, whatever their names. Grams and sets are known by 64-bit hashes.
+other columns pass through, whatever their names. Grams are known by 56-bit
+hashes, sets by 64-bit ones.
 """
 
 from __future__ import annotations
@@ -41,15 +42,18 @@ from ._shared import Scratch, hidden, shown
 from .components import components
 from .words import mixed, shingles, slices
 
-HOT = 64
-RUN = 1 << 21
+HOT = 512
+RUN = 1 << 22
 MOST_L = 8
+BITS = 56
+LAST = np.int32(2**31 - 1)
 
 
 def _sets(texts: pa.Array, grams: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(grams, how many each text has, the sets' hashes) of runs of texts."""
     for _, _, raw, offsets in slices(texts):
         h, n = shingles(raw, offsets, grams)
+        h = h >> np.uint64(64 - BITS)  # ascending and, but for hashes that agree so far, still distinct
         at = np.cumsum(n) - n
         with np.errstate(over="ignore"):
             value = mixed(h * np.uint64(0xA0761D6478BD642F) + np.uint64(1))
@@ -122,7 +126,7 @@ def _runs(grams: int, bins: int):
         begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if total else np.zeros(0, int)
         times = np.diff(begin, append=total)
         often = np.repeat(times >= HOT, times)
-        bin_of = ((h >> np.uint64(48)) * np.uint64(bins)) >> np.uint64(16)
+        bin_of = ((h >> np.uint64(BITS - 16)) * np.uint64(bins)) >> np.uint64(16)
         marks, marked_bins = h[begin[times >= HOT]], bin_of[begin[times >= HOT]]
         some, ref_some, bin_some = h[~often], ref[~often], bin_of[~often]
         cuts = np.searchsorted(bin_some, np.arange(bins + 1, dtype=np.uint64))
@@ -136,15 +140,8 @@ def _runs(grams: int, bins: int):
                 base = _base(k, bins)
                 yield k, encode_run(some[a:z] - base, place, sig[own][here], n_own[here], m - base)
         if often.any():
-            order = np.argsort(ref[often], kind="stable")
-            r, t = ref[often][order], h[often][order]
-            here, count = np.unique(r, return_counts=True)
-            for part in np.array_split(np.arange(len(here)), max(1, len(t) // 200_000)):
-                if len(part):
-                    lo, hi = count[: part[0]].sum(), count[: part[-1] + 1].sum()
-                    yield -1 - int(sig[own][here[part[0]]] % bins), b"".join(
-                        [np.array([len(part)], np.int64).tobytes(), sig[own][here[part]].tobytes(), n_own[here[part]].astype(np.int64).tobytes(), count[part].astype(np.int64).tobytes(), t[lo:hi].tobytes()]
-                    )
+            for k, data in _parcels(sig[own], n_own, ref[often], h[often], np.full(int(often.sum()), LAST), bins):
+                yield -1 - k, data
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hs, ns, sigs, held = [], [], [], 0
@@ -164,48 +161,106 @@ def _runs(grams: int, bins: int):
 
 def _base(k: int, bins: int) -> np.uint64:
     """The least hash of bin k."""
-    return np.uint64((-(-k * 65536 // bins)) << 48)
+    return np.uint64((-(-k * 65536 // bins)) << (BITS - 16))
+
+
+def _parcels(sig: np.ndarray, n: np.ndarray, ref: np.ndarray, grams: np.ndarray, df: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
+    """(part, data) of classes' grams, for the parts that the classes belong to; ref: places in sig and n."""
+    to = (sig.view(np.uint64) % np.uint64(parts)).astype(np.int64)[ref]
+    order = np.lexsort((grams, ref, to))
+    to, ref, grams, df = to[order], ref[order], grams[order], df[order]
+    cuts = np.searchsorted(to, np.arange(parts + 1))
+    for k in np.flatnonzero(np.diff(cuts)):
+        a, z = cuts[k], cuts[k + 1]
+        here, count = np.unique(ref[a:z], return_counts=True)
+        head = np.array([len(here), z - a], np.int64).tobytes()
+        yield int(k), b"".join([head, sig[here].tobytes(), _planes(n[here].astype(np.int64)), _planes(count), grams[a:z].astype(np.int64).tobytes(), _planes(df[a:z].astype(np.int32))])
+
+
+def _unparcelled(data: bytes) -> tuple[np.ndarray, ...]:
+    """(sig, n, count, grams, df)."""
+    view, at, out = memoryview(data), 16, []
+    c, m = (int(x) for x in np.frombuffer(view, np.int64, 2))
+    for size, kind, planed in ((c, np.int64, False), (c, np.int64, True), (c, np.int64, True), (m, np.int64, False), (m, np.int32, True)):
+        part = view[at : at + size * np.dtype(kind).itemsize]
+        out.append(_unplaned(part, size, kind) if planed else np.frombuffer(part, kind))
+        at += len(part)
+    return tuple(out)
 
 
 def _bin(bins: int):
-    """One bin's runs -> (sig, n, grams, frequencies) of the classes that share grams there."""
+    """One bin's runs -> (part, data): the grams that several classes share there, for the parts the classes belong to."""
 
     def work(table: pa.Table) -> pa.Table:
         k = table.column("bin")[0].as_py()
-        out: list[tuple] = []
         if k < 0:
-            for data in table.column("data").to_pylist():
-                c = int(np.frombuffer(data, np.int64, 1)[0])
-                sig, n, count = (np.frombuffer(data, np.int64, c, 8 + 8 * c * i) for i in range(3))
-                out.append((sig, n, count, np.frombuffer(data, np.int64, -1, 8 + 24 * c), np.full(int(count.sum()), HOT, np.int32)))
-        else:
-            runs = [decode_run(d) for d in table.column("data").to_pylist()]
-            base, offset = _base(k, bins), 0
-            tokens, refs = [], []
-            for t, r, s, _, _ in runs:
-                tokens.append(t), refs.append(r.astype(np.int64) + offset)
-                offset += len(s)
-            t, r = np.concatenate(tokens), np.concatenate(refs)
-            sig, n = np.concatenate([x[2] for x in runs]), np.concatenate([x[3] for x in runs]).astype(np.int64)
-            hot = np.unique(np.concatenate([x[4] for x in runs]))
-            order = np.argsort(t, kind="stable")
-            t, r = t[order], r[order]
-            begin = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
-            times = np.diff(begin, append=len(t))
-            df = np.minimum(times, HOT)
-            if len(hot) and len(begin):
-                place = np.minimum(np.searchsorted(hot, t[begin]), len(hot) - 1)
-                df = np.where(hot[place] == t[begin], HOT, df)
-            each = np.repeat(df, times)
-            shared = each >= 2
-            t, r, each = t[shared], r[shared], each[shared]
-            order = np.argsort(r, kind="stable")
-            t, r, each = t[order], r[order], each[order]
-            here, count = np.unique(r, return_counts=True)
-            out.append((sig[here], n[here], count, (t + base).view(np.int64), each.astype(np.int32)))
-        sig, n, count, t, d = (np.concatenate(x) for x in zip(*out, strict=True))
-        offsets = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
-        return pa.table({"sig": pa.array(sig, pa.int64()), "n": pa.array(n, pa.int64()), "grams": pa.ListArray.from_arrays(offsets, pa.array(t, pa.int64())), "df": pa.ListArray.from_arrays(offsets, pa.array(d, pa.int32()))})
+            return pa.table({"part": pa.array([-1 - k] * len(table), pa.int32()), "data": table.column("data")})
+        runs = [decode_run(d) for d in table.column("data").to_pylist()]
+        offset, tokens, refs = 0, [], []
+        for t, r, s, _, _ in runs:
+            tokens.append(t), refs.append(r.astype(np.int64) + offset)
+            offset += len(s)
+        t, r = np.concatenate(tokens), np.concatenate(refs)
+        # A class that several runs sent is one class here.
+        sig, first, same = np.unique(np.concatenate([x[2] for x in runs]), return_index=True, return_inverse=True)
+        n, r = np.concatenate([x[3] for x in runs])[first], same[r]
+        hot = np.unique(np.concatenate([x[4] for x in runs]))
+        order = np.argsort(t, kind="stable")
+        t, r = t[order], r[order]
+        several = np.zeros(len(t), bool)
+        several[1:] = t[1:] == t[:-1]
+        several[:-1] |= several[1:]
+        marked = np.zeros(len(t), bool)
+        if len(hot) and len(t):
+            marked = hot[np.minimum(np.searchsorted(hot, t), len(hot) - 1)] == t
+        kept = np.flatnonzero(several | marked)
+        t, r = t[kept], r[kept]
+        order = np.lexsort((r, t))
+        t, r = t[order], r[order]
+        new = np.ones(len(t), bool)
+        new[1:] = (t[1:] != t[:-1]) | (r[1:] != r[:-1])
+        t, r = t[new], r[new]
+        begin = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
+        times = np.diff(begin, append=len(t))
+        df = times.astype(np.int32)
+        if len(hot) and len(begin):
+            df = np.where(hot[np.minimum(np.searchsorted(hot, t[begin]), len(hot) - 1)] == t[begin], LAST, df)
+        each = np.repeat(df, times)
+        on = each >= 2
+        out = list(_parcels(sig, n, r[on], t[on] + _base(k, bins), each[on], bins))
+        return pa.table({"part": pa.array([x for x, _ in out], pa.int32()), "data": pa.array([x for _, x in out], pa.binary())})
+
+    return work
+
+
+def _part(percent: int):
+    """One part's parcels -> the classes that keep enough grams for a partner."""
+
+    def work(table: pa.Table) -> pa.Table:
+        got = [_unparcelled(d) for d in table.column("data").to_pylist()]
+        sig, n, count, grams, df = (np.concatenate(x) for x in zip(*got, strict=True))
+        sigs, first, same = np.unique(sig, return_index=True, return_inverse=True)
+        n, ref = n[first], np.repeat(same, count)
+        enough = np.bincount(ref, minlength=len(sigs)) * 100 >= n * percent
+        on = enough[ref]
+        ref, grams, df = ref[on], grams[on], df[on]
+        order = np.lexsort((grams, ref))
+        ref, grams, df = ref[order], grams[order], df[order]
+        new = np.ones(len(ref), bool)  # several runs may have sent a class's hot grams
+        new[1:] = (ref[1:] != ref[:-1]) | (grams[1:] != grams[:-1])
+        ref, grams, df = ref[new], grams[new], df[new]
+        per = np.bincount(ref, minlength=len(sigs))
+        here = np.flatnonzero(per * 100 >= n * percent)
+        on = (per * 100 >= n * percent)[ref]
+        offsets = pa.array(np.concatenate([[0], np.cumsum(per[here])]).astype(np.int32))
+        return pa.table(
+            {
+                "sig": pa.array(sigs[here], pa.int64()),
+                "n": pa.array(n[here], pa.int64()),
+                "grams": pa.ListArray.from_arrays(offsets, pa.array(grams[on], pa.int64())),
+                "df": pa.ListArray.from_arrays(offsets, pa.array(df[on], pa.int32())),
+            }
+        )
 
     return work
 
@@ -216,7 +271,7 @@ def prefix(n: int, least: int, grams: np.ndarray, df: np.ndarray) -> tuple[np.nd
     grams, df = grams[order], df[order]
     alone = n - len(grams)
     best, got = None, (grams[:0], 1)
-    read = np.cumsum(df - 1)
+    read = np.cumsum(df.astype(np.int64) - 1)
     for l in range(1, MOST_L + 1):
         upto = min(n, n - least + l) - alone
         if upto < l:
@@ -246,65 +301,58 @@ def _entries(percent: int):
 def candidates(docs: DataFrame, grams: int, percent: int, scratch: Scratch) -> DataFrame:
     """docs (__text) -> sig, n, grams, df of the classes that share enough grams with others to have a partner."""
     bins = min(4096, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sent = docs.mapInArrow(_runs(grams, bins), "bin int, data binary").repartition(bins, "bin")
-    back = sent.groupBy("bin").applyInArrow(_bin(bins), "sig long, n long, grams array<long>, df array<int>")
-    met = back.groupBy("sig", "n").agg(F.collect_list(F.struct("grams", "df")).alias("p"), F.sum(F.size("grams")).alias("shared"))
-    near = met.where(F.col("shared") * 100 >= F.col("n") * percent)
-    pairs = F.array_distinct(F.flatten(F.transform("p", lambda x: F.arrays_zip(x["grams"], x["df"]))))
-    # A class that several runs sent has its grams once; a hot gram that only some runs knew as hot is hot.
-    merged = F.array_sort(pairs)
-    near = near.select("sig", "n", merged.alias("z")).select("sig", "n", F.col("z.grams").alias("grams"), F.col("z.df").alias("df"))
-    return scratch.keep(near, "candidates")
-
-
-def link(found: DataFrame, percent: int, scratch: Scratch, *, stars: int = 4, slack: int = 4) -> DataFrame:
+    sent = docs.mapInArrow(_runs(grams, bins), "bin int, data binary")
+    back = sent.groupBy("bin").applyInArrow(_bin(bins), "part int, data binary")
+    found = back.groupBy("part").applyInArrow(_part(percent), "sig long, n long, grams array<long>, df array<int>")
+    return scratch.keep(found, "candidates")
+
+
+def link(found: DataFrame, percent: int, scratch: Scratch, *, stars: int = 6, slack: int = 2) -> DataFrame:
     """candidates -> (sig, root): the component of every class that has a link."""
     spark = found.sparkSession
     fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    sets = scratch.keep(found.select("sig", "n", "grams"), "sets")
-    entries = scratch.keep(found.mapInPandas(_entries(percent), "gram long, sig long, n long, l int"), "entries")
+    sets = scratch.bucketed(found.select("sig", "n", "grams"), "sets", "sig")
+    live = scratch.keep(found.mapInPandas(_entries(percent), "gram long, sig long, n long, l int").withColumn("root", F.col("sig")), "live")
     edges = spark.createDataFrame([], "a long, b long")
-    roots = None
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        one = pairs.join(sets.select(F.col("sig").alias("a"), F.col("n"), F.col("grams").alias("ga")), "a")
-        two = one.join(sets.select(F.col("sig").alias("b"), F.col("n").alias("m"), F.col("grams").alias("gb")), "b")
-        both = two.withColumn("both", F.size(F.array_intersect("ga", "gb")))
-        return both.where(F.col("both") * 100 >= (F.col("n") + F.col("m") - F.col("both")) * percent).select("a", "b")
+    roots, seen = spark.createDataFrame([], "sig long, root long"), None
 
-    def rooted() -> DataFrame:
-        if roots is None:
-            return entries.withColumn("root", F.col("sig"))
-        return entries.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    def verified(pairs: DataFrame, k: int) -> DataFrame:
+        """pairs (a, b), where many a may share a b; sets are read in place for a, and only those of the b move."""
+        pairs = scratch.keep(pairs, f"pairs-{k}")
+        one = pairs.join(sets.select(F.col("sig").alias("a"), "n", F.col("grams").alias("ga")), "a")
+        others = sets.join(pairs.select(F.col("b").alias("sig")).distinct(), "sig", "left_semi").select(F.col("sig").alias("b"), F.col("n").alias("m"), F.col("grams").alias("gb"))
+        both = one.join(others, "b").withColumn("both", F.size(F.array_intersect("ga", "gb")))
+        made = both.where(F.col("both") * 100 >= (F.col("n") + F.col("m") - F.col("both")) * percent).select("a", "b")
+        return scratch.keep(made, f"edges-{k}")
 
-    seen = None
     for k in range(stars + 1):
         # Buckets where more than one component meets, and how many pairs they have between components.
-        now = rooted()
-        per = now.groupBy("gram", "root").count().groupBy("gram").agg(F.sum("count").alias("size"), F.sum(F.col("count") * F.col("count")).alias("within"), F.count("*").alias("roots"))
+        per = live.groupBy("gram", "root").count().groupBy("gram").agg(F.sum("count").alias("size"), F.sum(F.col("count") * F.col("count")).alias("within"), F.count("*").alias("roots"))
         open_ = scratch.keep(per.where("roots > 1"), f"open-{k}")
         total = open_.agg(F.coalesce(F.sum((F.col("size") * F.col("size") - F.col("within")) / 2), F.lit(0.0)).alias("pairs"), F.coalesce(F.sum("size"), F.lit(0)).alias("entries")).first()
         if not total["pairs"]:
             break
-        live = scratch.keep(now.join(open_.select("gram"), "gram", "left_semi"), f"live-{k}")
-        if k == stars or total["pairs"] <= slack * total["entries"] or (seen is not None and total["pairs"] > 0.9 * seen):
+        live = scratch.keep(live.join(open_.select("gram"), "gram", "left_semi"), f"live-{k}")
+        last = k == stars or total["pairs"] <= slack * total["entries"] or (seen is not None and total["pairs"] > 0.95 * seen)
+        if last:
             left = live.select("gram", F.col("sig").alias("a"), "n", F.col("l").alias("la"), F.col("root").alias("ra"))
             right = live.select("gram", F.col("sig").alias("b"), F.col("n").alias("m"), F.col("l").alias("lb"), F.col("root").alias("rb"))
             met = left.join(right, "gram").where("a < b and ra <> rb").where(fits)
             pairs = met.groupBy("a", "b").agg(F.count("*").alias("k"), F.min(F.least("la", "lb")).alias("l")).where("k >= l").select("a", "b")
-            last = True
         else:
-            seen, last = total["pairs"], False
-            order = F.struct(F.xxhash64("sig", F.lit(k)).alias("o"), F.col("sig").alias("a"), F.col("n").alias("m"), F.col("root").alias("ra"))
-            pivots = live.groupBy("gram").agg(F.min(order).alias("p")).select("gram", "p.a", "p.m", "p.ra")
-            pairs = live.select("gram", F.col("sig").alias("b"), "n", "root").join(pivots, "gram").where("a <> b and root <> ra").where(fits)
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = scratch.keep(verified(scratch.keep(pairs, f"pairs-{k}")), f"edges-{k}")
-        edges = edges.union(new)
+            # Each class meets that pivot of another component with which it shares most of its grams' buckets.
+            seen = total["pairs"]
+            order = F.struct(F.xxhash64("sig", F.lit(k)).alias("o"), F.col("sig").alias("b"), F.col("n").alias("m"), F.col("root").alias("rb"))
+            pivots = live.groupBy("gram").agg(F.min(order).alias("p")).select("gram", "p.b", "p.m", "p.rb")
+            met = live.select("gram", F.col("sig").alias("a"), "n", "root").join(pivots, "gram").where("root <> rb").where(fits)
+            best = met.groupBy("a", "b").count().groupBy("a").agg(F.max(F.struct("count", "b")).alias("p"))
+            pairs = best.select("a", F.col("p.b").alias("b"))
+        edges = edges.union(verified(pairs, k))
         roots = components(edges, scratch, f"roots-{k}").select(F.col("id").alias("sig"), F.col("component_id").alias("root"))
         if last:
             break
-    return roots if roots is not None else spark.createDataFrame([], "sig long, root long")
+        live = live.drop("root").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    return roots
 
 
 def near_duplicates(docs: DataFrame, *, grams: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
