@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, near, packing, secrets, tokencount, topk, vectors
+from . import chat, langid, lm, mixing, near, packing, secrets, tokencount, topk, vectors
 from ._shared import Scratch, table, word_count
 from .oracles import ORACLES
 
@@ -27,6 +27,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model's and the word model's log10 probabilities of all texts, learned from six sevenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    docs = docs.withColumn("held_out", held_out)
+    return lm.score(docs, ~F.col("held_out"), carry=("doc_id", "held_out"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text, by kind and place."""
     found, _ = secrets.scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
@@ -90,6 +98,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_lm_score": op2_lm_score,
     "op3_secret_scan": op3_secret_scan,
     "op4_chat_format": op4_chat_format,
     "op5_token_counts": op5_token_counts,
