@@ -47,10 +47,10 @@ class Scratch:
         except Exception:  # the session may have ended first
             return
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, *by: str) -> DataFrame:
         path = f"{self.root}/{name}"
         self.names.add(name)
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").partitionBy(*by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def bucketed(self, df: DataFrame, name: str, key: str) -> DataFrame:

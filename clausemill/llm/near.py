@@ -29,7 +29,7 @@ hashes, sets by 64-bit ones.
 
 from __future__ import annotations
 
-
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +42,7 @@ from ._shared import Scratch, hidden, shown
 from .components import components
 from .words import mixed, shingles, slices
 
+log = logging.getLogger(__name__)
 HOT = 512
 RUN = 1 << 22
 MOST_L = 8
@@ -291,7 +292,8 @@ def _entries(percent: int):
             out = []
             for sig, n, grams, df in zip(b["sig"], b["n"], b["grams"], b["df"], strict=True):
                 taken, l = prefix(int(n), -(-int(n) * percent // 100), np.asarray(grams), np.asarray(df))
-                out.append(pd.DataFrame({"gram": taken, "sig": sig, "n": n, "l": np.int32(l)}))
+                # How common its grams are on the whole: near copies of one text are likest to the one with the most common grams.
+                out.append(pd.DataFrame({"gram": taken, "sig": sig, "n": n, "s": len(grams), "l": np.int32(l), "centre": np.log(np.asarray(df, float)).sum() / n}))
             if out:
                 yield pd.concat(out)
 
@@ -310,20 +312,21 @@ def candidates(docs: DataFrame, grams: int, percent: int, scratch: Scratch) -> D
 def link(found: DataFrame, percent: int, scratch: Scratch, *, stars: int = 6, slack: int = 2) -> DataFrame:
     """candidates -> (sig, root): the component of every class that has a link."""
     spark = found.sparkSession
-    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    # What two classes can share is no more than either shares with any other at all (s, z).
+    fits = F.least("n", "m", "s", "z") * (100 + percent) >= (F.col("n") + F.col("m")) * percent
     sets = scratch.bucketed(found.select("sig", "n", "grams"), "sets", "sig")
-    live = scratch.keep(found.mapInPandas(_entries(percent), "gram long, sig long, n long, l int").withColumn("root", F.col("sig")), "live")
+    live = scratch.keep(found.mapInPandas(_entries(percent), "gram long, sig long, n long, s long, l int, centre double").selectExpr("*", "sig AS root", "CAST(NULL AS BIGINT) AS p", "CAST(NULL AS BIGINT) AS o"), "live")
     edges = spark.createDataFrame([], "a long, b long")
     roots, seen = spark.createDataFrame([], "sig long, root long"), None
 
-    def verified(pairs: DataFrame, k: int) -> DataFrame:
-        """pairs (a, b), where many a may share a b; sets are read in place for a, and only those of the b move."""
+    def measured(pairs: DataFrame, k: int) -> DataFrame:
+        """pairs (a, b), where many a may share a b -> also both, what they share, and linked; only the sets of the b and, with them, the a move."""
         pairs = scratch.keep(pairs, f"pairs-{k}")
         one = pairs.join(sets.select(F.col("sig").alias("a"), "n", F.col("grams").alias("ga")), "a")
         others = sets.join(pairs.select(F.col("b").alias("sig")).distinct(), "sig", "left_semi").select(F.col("sig").alias("b"), F.col("n").alias("m"), F.col("grams").alias("gb"))
         both = one.join(others, "b").withColumn("both", F.size(F.array_intersect("ga", "gb")))
-        made = both.where(F.col("both") * 100 >= (F.col("n") + F.col("m") - F.col("both")) * percent).select("a", "b")
-        return scratch.keep(made, f"edges-{k}")
+        linked = F.col("both") * 100 >= (F.col("n") + F.col("m") - F.col("both")) * percent
+        return scratch.keep(both.select("a", "b", "both", linked.alias("linked")), f"met-{k}")
 
     for k in range(stars + 1):
         # Buckets where more than one component meets, and how many pairs they have between components.
@@ -333,25 +336,36 @@ def link(found: DataFrame, percent: int, scratch: Scratch, *, stars: int = 6, sl
         if not total["pairs"]:
             break
         live = scratch.keep(live.join(open_.select("gram"), "gram", "left_semi"), f"live-{k}")
+        log.info("round %d: %s entries, %.0f pairs between components", k, total["entries"], total["pairs"])
         last = k == stars or total["pairs"] <= slack * total["entries"] or (seen is not None and total["pairs"] > 0.95 * seen)
         if last:
-            left = live.select("gram", F.col("sig").alias("a"), "n", F.col("l").alias("la"), F.col("root").alias("ra"))
-            right = live.select("gram", F.col("sig").alias("b"), F.col("n").alias("m"), F.col("l").alias("lb"), F.col("root").alias("rb"))
-            met = left.join(right, "gram").where("a < b and ra <> rb").where(fits)
+            left = live.select("gram", F.col("sig").alias("a"), "n", "s", F.col("l").alias("la"), F.col("root").alias("ra"), "p", "o")
+            right = live.select("gram", F.col("sig").alias("b"), F.col("n").alias("m"), F.col("s").alias("z"), F.col("l").alias("lb"), F.col("root").alias("rb"), F.col("p").alias("q"), F.col("o").alias("r"))
+            # Two that met the same pivot p share at most the smaller part of it that either has, and the smaller
+            # number of the shared grams that either has outside it; a class and its own pivot have met already.
+            most = F.least("o", "r") + F.least(F.col("s") - F.col("o"), F.col("z") - F.col("r"))
+            apart = (F.col("p") == F.col("q")) & (most * (100 + percent) < (F.col("n") + F.col("m")) * percent)
+            done = (F.col("b") == F.col("p")) | (F.col("a") == F.col("q"))
+            met = left.join(right, "gram").where("a < b and ra <> rb").where(fits).where(~F.coalesce(apart, F.lit(False)) & ~F.coalesce(done, F.lit(False)))
             pairs = met.groupBy("a", "b").agg(F.count("*").alias("k"), F.min(F.least("la", "lb")).alias("l")).where("k >= l").select("a", "b")
+            log.info("last round, from %d", k)
         else:
             # Each class meets that pivot of another component with which it shares most of its grams' buckets.
             seen = total["pairs"]
-            order = F.struct(F.xxhash64("sig", F.lit(k)).alias("o"), F.col("sig").alias("b"), F.col("n").alias("m"), F.col("root").alias("rb"))
-            pivots = live.groupBy("gram").agg(F.min(order).alias("p")).select("gram", "p.b", "p.m", "p.rb")
-            met = live.select("gram", F.col("sig").alias("a"), "n", "root").join(pivots, "gram").where("root <> rb").where(fits)
+            turn = F.pmod(F.xxhash64("sig", F.lit(k)), F.lit(k + 1)) == 0  # the most central of all, then of a half, a third and so on
+            order = F.struct(turn.alias("t"), F.col("centre"), F.col("sig").alias("b"), F.col("n").alias("m"), F.col("s").alias("z"), F.col("root").alias("rb"))
+            pivots = live.groupBy("gram").agg(F.max(order).alias("p")).select("gram", "p.b", "p.m", "p.z", "p.rb")
+            met = live.select("gram", F.col("sig").alias("a"), "n", "s", "root").join(pivots, "gram").where("root <> rb").where(fits)
             best = met.groupBy("a", "b").count().groupBy("a").agg(F.max(F.struct("count", "b")).alias("p"))
             pairs = best.select("a", F.col("p.b").alias("b"))
-        edges = edges.union(verified(pairs, k))
+        met = measured(pairs, k)
+        edges = edges.union(met.where("linked").select("a", "b"))
         roots = components(edges, scratch, f"roots-{k}").select(F.col("id").alias("sig"), F.col("component_id").alias("root"))
         if last:
             break
         live = live.drop("root").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+        if k == 0:
+            live = live.drop("p", "o").join(met.select(F.col("a").alias("sig"), F.col("b").alias("p"), F.col("both").cast("long").alias("o")), "sig", "left")
     return roots
 
 
