@@ -75,9 +75,24 @@ def curve_keys(texts: pa.Array) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(curve_keys(b.column("__text")), pa.int64())], [*b.schema.names, "__key"])
+def _keyed(bounds: np.ndarray):
+    """Texts with their keys and the ranges that these fall in."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = curve_keys(b.column("__text"))
+            ranges = np.searchsorted(bounds, keys, "right").astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int64()), pa.array(ranges)], [*b.schema.names, "__key", "__range"])
+
+    return read
+
+
+def _bounds(inner: DataFrame, parts: int, per: int = 64) -> np.ndarray:
+    """Keys that cut the curve into ranges of about as many documents, from some ``per`` documents a range; they decide where rows go, and nothing else."""
+    total = inner.count()
+    some = inner.select("__tie", "__text").where(F.pmod(F.xxhash64("__tie"), F.lit(max(1, total))) < parts * per).select("__text").limit(4 * parts * per)
+    found = some.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array(curve_keys(b.column("__text")), pa.int64())], ["key"]) for b in batches), "key long").toPandas()
+    return np.quantile(found["key"], np.arange(1, parts) / parts, method="nearest") if len(found) else np.zeros(0)
 
 
 def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str | None = None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -89,8 +104,11 @@ def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str |
     file = tokenizer or vocabulary()
     cols, pairs = hidden(docs, list(carry))
     inner = docs.select(*cols, docs["doc_id"].cast("string").alias("__tie"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("__text"))
-    keyed = inner.mapInArrow(_keyed, T.StructType([*inner.schema.fields, T.StructField("__key", T.LongType())]))
-    ranged = keyed.repartitionByRange("__key", "__tie").sortWithinPartitions("__key", "__tie").drop("__key", "__tie")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    schema = T.StructType([*inner.schema.fields, T.StructField("__key", T.LongType()), T.StructField("__range", T.IntegerType())])
+    keyed = inner.mapInArrow(_keyed(_bounds(inner, parts)), schema)
+    # Ranges are partitions as they are, so that Spark needs no second look at the texts to find their bounds.
+    ranged = keyed.repartitionById(parts, F.col("__range")).sortWithinPartitions("__key", "__tie").drop("__key", "__tie", "__range")
     kept = [f for f in ranged.schema.fields if f.name != "__text"]
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +147,7 @@ def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str |
     longs = [T.StructField(x, T.LongType()) for x in ("__start", "__n", "__at", "__part")]
     stored = T.StructType([*kept, *longs, T.StructField("__tail", T.BooleanType()), T.StructField("__ids", T.ArrayType(T.IntegerType()))])
     names = stored.names
-    table = scratch.keep(ranged.mapInArrow(tokens, stored).withColumn("__len", F.size("__ids").cast("long")), "tokens")
+    table = scratch.keep(ranged.mapInArrow(tokens, stored).withColumn("__len", F.size("__ids").cast("long")), "tokens", "__tail")
     # Finished sequences come first, partition by partition; what each partition has left over makes the stream's end.
     lens = table.groupBy("__part", "__tail").agg(F.sum("__len").alias("n"), F.min("__at").alias("first")).collect()
     places, total = [], 0
@@ -167,8 +185,13 @@ def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str |
             F.when(a < full, a % length).otherwise(a - F.get(begins, extra)).cast("long").alias("off"),
         )
 
-    made = placed.withColumn("__cuts", cuts)
+    # Finished sequences' pieces are as they are; only what was left over is cut again.
+    finished = placed.where("NOT __tail").withColumn("__g", start).select(
+        *(f.name for f in kept), "__n", F.struct(F.col("__start").alias("start"), F.col("__ids").alias("ids"), F.expr(f"__g div {length}").alias("seq"), F.expr(f"__g % {length}").alias("off")).alias("p")
+    )
+    made = placed.where("__tail").withColumn("__cuts", cuts)
     made = made.select(*(f.name for f in kept), "__n", F.explode(F.transform(F.sequence(F.lit(0), F.size("__cuts") - 2), piece)).alias("p"))
+    made = finished.union(made)
     return made.select(*shown(pairs), F.col("p.start").alias("start"), F.col("p.ids").alias("ids"), F.col("__n").alias("doc_tokens"), F.col("p.seq").alias("sequence_id"), F.col("p.off").alias("offset"))
 
 
