@@ -267,7 +267,7 @@ def _part(percent: int):
 
 
 def prefix(n: int, least: int, grams: np.ndarray, df: np.ndarray) -> tuple[np.ndarray, int]:
-    """(the shared grams of a class's prefix, its l); none if no partner is possible."""
+    """(the shared grams of a class's prefix, in their order, its l); none if no partner is possible."""
     order = np.lexsort((grams, df))
     grams, df = grams[order], df[order]
     alone = n - len(grams)
@@ -293,7 +293,7 @@ def _entries(percent: int):
             for sig, n, grams, df in zip(b["sig"], b["n"], b["grams"], b["df"], strict=True):
                 taken, l = prefix(int(n), -(-int(n) * percent // 100), np.asarray(grams), np.asarray(df))
                 # How common its grams are on the whole: near copies of one text are likest to the one with the most common grams.
-                out.append(pd.DataFrame({"gram": taken, "sig": sig, "n": n, "s": len(grams), "l": np.int32(l), "centre": np.log(np.asarray(df, float)).sum() / n}))
+                out.append(pd.DataFrame({"gram": taken, "sig": sig, "n": n, "s": len(grams), "l": np.int32(l), "at": int(n) - len(grams) + np.arange(len(taken)), "centre": np.log(np.asarray(df, float)).sum() / n}))
             if out:
                 yield pd.concat(out)
 
@@ -315,7 +315,7 @@ def link(found: DataFrame, percent: int, scratch: Scratch, *, stars: int = 6, sl
     # What two classes can share is no more than either shares with any other at all (s, z).
     fits = F.least("n", "m", "s", "z") * (100 + percent) >= (F.col("n") + F.col("m")) * percent
     sets = scratch.bucketed(found.select("sig", "n", "grams"), "sets", "sig")
-    live = scratch.keep(found.mapInPandas(_entries(percent), "gram long, sig long, n long, s long, l int, centre double").selectExpr("*", "sig AS root", "CAST(NULL AS BIGINT) AS p", "CAST(NULL AS BIGINT) AS o"), "live")
+    live = scratch.keep(found.mapInPandas(_entries(percent), "gram long, sig long, n long, s long, l int, at long, centre double").selectExpr("*", "sig AS root", "CAST(NULL AS BIGINT) AS p", "CAST(NULL AS BIGINT) AS o"), "live")
     edges = spark.createDataFrame([], "a long, b long")
     roots, seen = spark.createDataFrame([], "sig long, root long"), None
 
@@ -339,14 +339,17 @@ def link(found: DataFrame, percent: int, scratch: Scratch, *, stars: int = 6, sl
         log.info("round %d: %s entries, %.0f pairs between components", k, total["entries"], total["pairs"])
         last = k == stars or total["pairs"] <= slack * total["entries"] or (seen is not None and total["pairs"] > 0.95 * seen)
         if last:
-            left = live.select("gram", F.col("sig").alias("a"), "n", "s", F.col("l").alias("la"), F.col("root").alias("ra"), "p", "o")
-            right = live.select("gram", F.col("sig").alias("b"), F.col("n").alias("m"), F.col("s").alias("z"), F.col("l").alias("lb"), F.col("root").alias("rb"), F.col("p").alias("q"), F.col("o").alias("r"))
+            left = live.select("gram", F.col("sig").alias("a"), "n", "s", F.col("l").alias("la"), F.col("root").alias("ra"), "p", "o", F.col("at").alias("i"))
+            right = live.select("gram", F.col("sig").alias("b"), F.col("n").alias("m"), F.col("s").alias("z"), F.col("l").alias("lb"), F.col("root").alias("rb"), F.col("p").alias("q"), F.col("o").alias("r"), F.col("at").alias("j"))
             # Two that met the same pivot p share at most the smaller part of it that either has, and the smaller
             # number of the shared grams that either has outside it; a class and its own pivot have met already.
             most = F.least("o", "r") + F.least(F.col("s") - F.col("o"), F.col("z") - F.col("r"))
             apart = (F.col("p") == F.col("q")) & (most * (100 + percent) < (F.col("n") + F.col("m")) * percent)
             done = (F.col("b") == F.col("p")) | (F.col("a") == F.col("q"))
-            met = left.join(right, "gram").where("a < b and ra <> rb").where(fits).where(~F.coalesce(apart, F.lit(False)) & ~F.coalesce(done, F.lit(False)))
+            # With both sizes known the prefixes are shorter: what must be shared is more than of the smallest partner.
+            need = F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent))
+            early = (F.col("i") < F.col("n") - need + F.least("la", "lb")) & (F.col("j") < F.col("m") - need + F.least("la", "lb"))
+            met = left.join(right, "gram").where("a < b and ra <> rb").where(fits).where(early).where(~F.coalesce(apart, F.lit(False)) & ~F.coalesce(done, F.lit(False)))
             pairs = met.groupBy("a", "b").agg(F.count("*").alias("k"), F.min(F.least("la", "lb")).alias("l")).where("k >= l").select("a", "b")
             log.info("last round, from %d", k)
         else:
