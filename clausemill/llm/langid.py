@@ -42,7 +42,8 @@ def plain(text: str) -> bytes:
 @dataclass(frozen=True)
 class Settings:
     """margin: a lead below this part of the second size is narrow; short: texts of up to so many bytes are coded after
-    ``lead`` bytes of the dictionary itself, less what those take alone: by themselves zstandard would store them as they are; piece: sample texts are cleaned by pieces."""
+    ``lead`` bytes of the dictionary itself, less what those take alone: by themselves zstandard would store them as they are; piece: sample texts are cleaned by pieces, of
+    which those go that another language codes in less by the factor ``doubt``."""
 
     sample_docs: int = 512
     sample_bytes: int = 4096
@@ -53,6 +54,7 @@ class Settings:
     lead: int = 1024
     level: int = 6
     margin: float = 0.0005
+    doubt: float = 1.02
 
 
 class Model:
@@ -111,7 +113,8 @@ def train(rows: list[tuple[str, str]], settings: Settings) -> Model:
             good = []
             for i, p in enumerate(pieces):
                 judge = halves[1] if p in inside[0][name] else halves[0] if p in inside[1][name] else halves[i % 2]
-                if name in judge.languages and judge.sizes(p)[judge.languages.index(name)] <= min(judge.sizes(p)):
+                sizes = judge.sizes(p)
+                if name in judge.languages and sizes[judge.languages.index(name)] <= settings.doubt * min(sizes):
                     good.append(p)
             new[name] = good or pieces
         kept = new
