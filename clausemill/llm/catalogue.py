@@ -37,7 +37,7 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text, by kind and place."""
-    found, _ = secrets.scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    found, _ = secrets.scan(table(spark, sf_dir, "documents"), carry=["doc_id"], keep=Scratch(spark, "op3"))
     base = [r.name for r in secrets.BASE]
     return found.select(
         "doc_id",

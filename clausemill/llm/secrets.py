@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import hidden, shown
+from ._shared import Scratch, hidden, shown
 
 
 @dataclass(frozen=True)
@@ -90,11 +90,12 @@ def find_spans(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return rows.groupBy("blob", "rule", "version").agg(F.sort_array(F.collect_list("hit")).alias("spans"))
 
 
-def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, *, text: str = "text", carry: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, *, text: str = "text", carry: list[str] | None = None, keep: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """(findings, new ledger rows): findings has the carried columns, ``blob`` and ``spans`` for every row of versions.
 
     spans: by start, then rule; structs (start, rank, end, kind). Append the new rows to the ledger to
-    keep them; a row of the ledger for another version of a rule doesn't count as seen.
+    keep them; a row of the ledger for another version of a rule doesn't count as seen. With ``keep``, new
+    rows are written there first.
     """
     spark = versions.sparkSession
     cols, pairs = hidden(versions, carry if carry is not None else versions.columns)
@@ -112,7 +113,12 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
         wanted = blobs.join(seen, "blob", "left").withColumn("wanted", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))).drop("seen")
     new = find_spans(wanted.where(F.size("wanted") > 0), rules)
     known = new if old is None else new.unionByName(old)
-    per = known.groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans")).where(F.size("spans") > 0)
+    if keep is not None:
+        new = keep.keep(new, "ledger")
+        known = new if old is None else new.unionByName(old)
+    per = known.where(F.size("spans") > 0).groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
+    if keep is not None:  # the paths of one blob then meet its findings in a join that can be split
+        per = keep.keep(per, "findings")
     found = named.join(per, named["__blob"] == per["blob"], "left")
     empty = F.array().cast(f"array<{_HIT}>")
     return found.select(*shown(pairs), F.col("__blob").alias("blob"), F.coalesce("spans", empty).alias("spans")), new

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import langid, mixing, near, packing, secrets
+from ._shared import Scratch
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret replaced by a mark."""
-    found, _ = secrets.scan(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text"), carry=["doc"])
+    found, _ = secrets.scan(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text"), carry=["doc"], keep=Scratch(spark, "secrets"))
     hit = F.size("spans") > 0
     text = secrets.redacted(F.col("doc.text"), F.col("spans"))
     out = []
