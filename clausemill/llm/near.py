@@ -44,7 +44,7 @@ from .words import mixed, shingles, slices
 
 log = logging.getLogger(__name__)
 HOT = 512
-RUN = 1 << 21
+RUN = 1 << 20
 MOST_L = 8
 BITS = 56
 LAST = np.int32(2**31 - 1)
