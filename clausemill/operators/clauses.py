@@ -76,12 +76,20 @@ def stored(parsed: DataFrame) -> DataFrame:
     clause_id is document_id * 2^24 + the first ord, so it needs no global numbering.
     """
     by = Window.partitionBy("document_id", "citation")
+    # A parent is the first clause of its name, and clauses of one name have one article and one clause above
+    # them: windows below the document's partitioning, where a join would move and read everything twice.
+    article, clause = Window.partitionBy("document_id", "dieu"), Window.partitionBy("document_id", "dieu", "khoan")
     ranked = parsed.withColumn("first", F.min("ord").over(by)).withColumn("later", F.max("ord").over(by))
-    kept = ranked.where("ord = later").withColumn("clause_id", F.shiftleft(F.col("document_id").cast("long"), 24) + F.col("first"))
-    kept = kept.withColumn("above", X.parent_citation(F.col("kind"), F.col("dieu"), F.col("khoan")))
-    parents = kept.select(F.col("document_id").alias("d"), F.col("citation").alias("c"), F.col("clause_id").alias("parent_id"))
-    joined = kept.join(parents, (F.col("document_id") == F.col("d")) & (F.col("above") == F.col("c")), "left")
-    return joined.select("clause_id", "document_id", "parent_id", "kind", "number", "citation", "page_start", "page_end", "body", "ord", "dieu")
+    ranked = ranked.withColumn("in_article", F.min(F.when(F.col("kind") == "dieu", F.col("ord"))).over(article))
+    ranked = ranked.withColumn("in_clause", F.min(F.when(F.col("kind") == "khoan", F.col("ord"))).over(clause))
+    above = F.when(F.col("kind") == "khoan", F.col("in_article")).when(F.col("kind") == "diem", F.when(F.col("khoan").isNotNull(), F.col("in_clause")).otherwise(F.col("in_article")))
+    base = F.shiftleft(F.col("document_id").cast("long"), 24)
+    return ranked.where("ord = later").select(
+        (base + F.col("first")).alias("clause_id"),
+        "document_id",
+        F.when(F.col("dieu").isNotNull(), base + above).alias("parent_id"),
+        *("kind", "number", "citation", "page_start", "page_end", "body", "ord", "dieu"),
+    )
 
 
 def kind_counts(clauses: DataFrame) -> DataFrame:
