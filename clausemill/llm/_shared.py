@@ -74,6 +74,14 @@ class Scratch:
         self.drop(*(self.names - set(names)))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches to and from Python of a few megabytes: rows here are whole texts, and ten thousand long ones are too many for a task.
+
+    The setting is the session's, as batches are cut when a result is read.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def hidden(df: DataFrame, names: list[str]) -> tuple[list[Column], list[tuple[str, str]]]:
     """Columns under names that can't clash with ours, and how to name them back."""
     pairs = [(f"__c{i}", name) for i, name in enumerate(names)]

@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import small_batches
 from .templates import compile_template
 
 TURN, SAYS, END = "<|turn|>", "<|says|>", "<|end|>"
@@ -69,6 +70,7 @@ def masked(formatted: str, spans: list) -> str:
 
 def format_chats(turns: DataFrame, template: str = TEMPLATE) -> DataFrame:
     """turns (conv_id, turn, role, text) -> conv_id, formatted, loss_spans (array of start, end)."""
+    small_batches(turns.sparkSession)
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import hidden, shown
+from ._shared import hidden, shown, small_batches
 
 #: ASCII that isn't a letter becomes a space; the bytes of other characters stay.
 _ASCII = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -135,6 +135,7 @@ def fit(docs: DataFrame, learn: Column, settings: Settings = Settings()) -> Mode
 
 def identify(docs: DataFrame, learn: Column | None = None, settings: Settings = Settings(), model: Model | None = None, carry: list[str] | None = None) -> DataFrame:
     """The carried columns, lang_pred, lang_score and lang_rejected of every row."""
+    small_batches(docs.sparkSession)
     model = model or fit(docs, F.lit(True) if learn is None else learn, settings)
     names, made = {}, docs.sparkSession.sparkContext.broadcast(_packed(model))
     cols, pairs = hidden(docs, carry if carry is not None else docs.columns)

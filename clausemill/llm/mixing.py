@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import hidden, shown, word_count
+from ._shared import hidden, shown, small_batches, word_count
 
 BUCKETS = 100_000
 LEAST_BUCKET = 512
@@ -145,6 +145,7 @@ def mix_plan(
     null last, to weights; sources are listed on the driver, one number each.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     cols, pairs = hidden(docs, carry if carry is not None else docs.columns)
     n = (word_count(docs["text"]) if size is None else size).cast("long")
     ident = F.coalesce(docs["doc_id"].cast("string"), F.lit(""))

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, hidden, shown
+from ._shared import Scratch, hidden, shown, small_batches
 from .components import components
 from .words import mixed, shingles, slices
 
@@ -374,6 +374,7 @@ def link(found: DataFrame, percent: int, scratch: Scratch, *, stars: int = 6, sl
 
 def near_duplicates(docs: DataFrame, *, grams: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
     """The carried columns (all, by default), n_shingles and component_id of every row."""
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "near")
     cols, pairs = hidden(docs, carry if carry is not None else docs.columns)
     body = docs[f"`{text}`"].cast("string").alias("__text")

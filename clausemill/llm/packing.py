@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import Scratch, hidden, shown
+from ._shared import Scratch, hidden, shown, small_batches
 from .bytebpe import Encoder, vocabulary
 from .words import mixed, slices, words
 
@@ -101,6 +101,7 @@ def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str |
     ``tokenizer`` is a byte-level BPE file, read on every task; the default is the public vocabulary of the README.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "packing")
+    small_batches(spark)
     file = tokenizer or vocabulary()
     cols, pairs = hidden(docs, list(carry))
     inner = docs.select(*cols, docs["doc_id"].cast("string").alias("__tie"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("__text"))

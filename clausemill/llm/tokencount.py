@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import hidden, shown
+from ._shared import hidden, shown, small_batches
 from .bytebpe import PARTS, Encoder, vocabulary
 
 LEAF = 64
@@ -179,6 +179,7 @@ def count_tokens(docs: DataFrame, *, edits: str = "edits", tokenizer: str | None
 
     ``edits`` names an array column of structs (start, end, text).
     """
+    small_batches(docs.sparkSession)
     file = tokenizer or vocabulary()
     cols, pairs = hidden(docs, carry if carry is not None else docs.columns)
     held = {}
