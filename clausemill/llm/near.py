@@ -46,6 +46,7 @@ log = logging.getLogger(__name__)
 HOT = 512
 RUN = 1 << 20
 MOST_L = 8
+SLICES = 8
 BITS = 56
 LAST = np.int32(2**31 - 1)
 
@@ -103,7 +104,7 @@ def decode_run(data: bytes) -> tuple[np.ndarray, ...]:
     for count, kind, planed in ((n, np.uint64, True), (n, np.uint32, True), (c, np.int64, False), (c, np.int32, True), (m, np.uint64, False)):
         size = int(count) * np.dtype(kind).itemsize
         part = view[at : at + size]
-        out.append(_unplaned(part, int(count), kind) if planed else np.frombuffer(part, kind))
+        out.append(_unplaned(part, int(count), kind) if planed else np.frombuffer(part, kind).copy())
         at += size
     out[0] = np.cumsum(out[0], dtype=np.uint64)
     return tuple(out)
@@ -189,6 +190,31 @@ def _unparcelled(data: bytes) -> tuple[np.ndarray, ...]:
     return tuple(out)
 
 
+def _shared(parts: list[tuple[np.ndarray, np.ndarray]], hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(classes, grams, frequencies) of the grams of several classes, or marked hot, in parts of (grams, classes)."""
+    t, r = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(t, kind="stable")
+    t, r = t[order], r[order]
+    several = np.zeros(len(t), bool)
+    several[1:] = t[1:] == t[:-1]
+    several[:-1] |= several[1:]
+    marked = np.zeros(len(t), bool)
+    if len(hot) and len(t):
+        marked = hot[np.minimum(np.searchsorted(hot, t), len(hot) - 1)] == t
+    kept = np.flatnonzero(several | marked)
+    t, r, marked = t[kept], r[kept], marked[kept]
+    order = np.lexsort((r, t))
+    t, r, marked = t[order], r[order], marked[order]
+    new = np.ones(len(t), bool)
+    new[1:] = (t[1:] != t[:-1]) | (r[1:] != r[:-1])
+    t, r, marked = t[new], r[new], marked[new]
+    begin = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
+    times = np.diff(begin, append=len(t))
+    df = np.where(marked, LAST, np.repeat(times, times)).astype(np.int32)
+    on = df >= 2
+    return r[on], t[on], df[on]
+
+
 def _bin(bins: int):
     """One bin's runs -> (part, data): the grams that several classes share there, for the parts the classes belong to."""
 
@@ -196,39 +222,17 @@ def _bin(bins: int):
         k = table.column("bin")[0].as_py()
         if k < 0:
             return pa.table({"part": pa.array([-1 - k] * len(table), pa.int32()), "data": table.column("data")})
-        runs = [decode_run(d) for d in table.column("data").to_pylist()]
-        offset, tokens, refs = 0, [], []
-        for t, r, s, _, _ in runs:
-            tokens.append(t), refs.append(r.astype(np.int64) + offset)
-            offset += len(s)
-        t, r = np.concatenate(tokens), np.concatenate(refs)
+        runs = [decode_run(d.as_py()) for d in table.column("data")]
+        offsets = np.cumsum([0, *(len(x[2]) for x in runs)])
         # A class that several runs sent is one class here.
         sig, first, same = np.unique(np.concatenate([x[2] for x in runs]), return_index=True, return_inverse=True)
-        n, r = np.concatenate([x[3] for x in runs])[first], same[r]
+        n, same = np.concatenate([x[3] for x in runs])[first], same.astype(np.int32)
         hot = np.unique(np.concatenate([x[4] for x in runs]))
-        order = np.argsort(t, kind="stable")
-        t, r = t[order], r[order]
-        several = np.zeros(len(t), bool)
-        several[1:] = t[1:] == t[:-1]
-        several[:-1] |= several[1:]
-        marked = np.zeros(len(t), bool)
-        if len(hot) and len(t):
-            marked = hot[np.minimum(np.searchsorted(hot, t), len(hot) - 1)] == t
-        kept = np.flatnonzero(several | marked)
-        t, r = t[kept], r[kept]
-        order = np.lexsort((r, t))
-        t, r = t[order], r[order]
-        new = np.ones(len(t), bool)
-        new[1:] = (t[1:] != t[:-1]) | (r[1:] != r[:-1])
-        t, r = t[new], r[new]
-        begin = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
-        times = np.diff(begin, append=len(t))
-        df = times.astype(np.int32)
-        if len(hot) and len(begin):
-            df = np.where(hot[np.minimum(np.searchsorted(hot, t[begin]), len(hot) - 1)] == t[begin], LAST, df)
-        each = np.repeat(df, times)
-        on = each >= 2
-        out = list(_parcels(sig, n, r[on], t[on] + _base(k, bins), each[on], bins))
+        edges = np.linspace(0, float(_base(k + 1, bins) - _base(k, bins)), SLICES + 1).astype(np.uint64)
+        edges[-1] = np.uint64(2**63)
+        found = [_shared([(t[a:z], same[r[a:z] + at]) for (t, r, *_), at in zip(runs, offsets, strict=False) for a, z in [np.searchsorted(t, edges[q : q + 2])]], hot) for q in range(SLICES)]
+        r, t, each = (np.concatenate(x) for x in zip(*found, strict=True))
+        out = list(_parcels(sig, n, r, t + _base(k, bins), each, bins))
         return pa.table({"part": pa.array([x for x, _ in out], pa.int32()), "data": pa.array([x for _, x in out], pa.binary())})
 
     return work
