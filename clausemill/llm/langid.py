@@ -41,7 +41,7 @@ def plain(text: str) -> bytes:
 
 @dataclass(frozen=True)
 class Settings:
-    """margin: a lead below this part of the second size is narrow; short: texts of up to so many bytes are coded after
+    """floor, margin: a lead below so many bytes and this part of the second size is narrow (README says how they were set); short: texts of up to so many bytes are coded after
     ``lead`` bytes of the dictionary itself, less what those take alone: by themselves zstandard would store them as they are; piece: sample texts are cleaned by pieces, of
     which those go that another language codes in less by the factor ``doubt``."""
 
@@ -53,7 +53,8 @@ class Settings:
     short: int = 128
     lead: int = 1024
     level: int = 6
-    margin: float = 0.0005
+    margin: float = 0.06
+    floor: float = 2.0
     doubt: float = 1.02
 
 
@@ -88,7 +89,7 @@ class Model:
         best = min(range(len(sizes)), key=lambda i: (sizes[i], i))
         second = min(n for i, n in enumerate(sizes) if i != best)
         score = 1 - sizes[best] / second if second else 0.0
-        return self.languages[best], score, score < self.settings.margin
+        return self.languages[best], score, second - sizes[best] < self.settings.floor + self.settings.margin * second
 
 
 def _dictionary(pieces: list[bytes], most: int) -> bytes:

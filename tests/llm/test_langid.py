@@ -39,6 +39,21 @@ def test_nothing_to_go_by():
     assert L.train([("en", "some words here")], L.Settings())("word") == ("en", 1.0, False)
 
 
+def test_narrow_margins_are_rejected():
+    rng = random.Random(7)
+    parts = {k: ["".join(rng.choice("aeioulnrstdmcp") for _ in range(rng.randint(2, 3))) for _ in range(60)] for k in ("en", "de", "es", "unlearned")}
+    said = lambda k, n: " ".join("".join(rng.choice(parts[k]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+    learned = ("en", "de", "es")
+    model = L.train([(k, said(k, 200)) for k in learned for _ in range(60)], L.Settings())
+    rejected = lambda texts: sum(model(t)[2] for t in texts) / len(texts)
+    for n in (40, 150, 600):
+        assert rejected([said("unlearned", n) for _ in range(60)]) >= 0.9
+        assert rejected(["".join(chr(rng.choice(range(97, 123))) if rng.random() < 0.8 else " " for _ in range(5 * n)) for _ in range(60)]) >= 0.9
+        assert rejected([f"{said('en', n // 2)} {said('de', n // 2)}" for _ in range(60)]) >= 0.6
+        assert rejected([said(k, n) for k in learned for _ in range(20)]) <= 0.02
+    assert rejected([said(k, 12) for k in learned for _ in range(40)]) <= 0.1
+
+
 def test_identify(docs, no_docs):
     out = L.identify(docs, F.col("doc_id") < 9)
     assert out.columns == [*docs.columns, "lang_pred", "lang_score", "lang_rejected"]
