@@ -6,7 +6,9 @@ class has its home cell and visits those other cells that could be home to a vec
 |v - u| |c' - c|, so one of the two lies within half of that of the other's cell. With ``reach`` 1 no
 pair can be lost. That is the worst case, of a difference that points from one centroid to the other; the
 default takes 0.35 of it, as a difference has only a small part of its length along any one direction (in
-64 dimensions an eighth), and finds 0.996 of pairs made to lie at cosines of 0.90 to 0.92, all above 0.95. Cells larger than ``block_rows`` are dealt into
+64 dimensions an eighth), and finds 0.996 of pairs made to lie at cosines of 0.90 to 0.92, all above 0.95. Where that
+isn't enough for the input's own links, it is widened: about ``probes`` vectors are compared with all, which says what reach
+each of their links needs, and the least reach, by hundredths, that finds ``recall`` of these is taken. Cells larger than ``block_rows`` are dealt into
 blocks, and each pair of blocks is one task. A task multiplies blocks, counts links and joins its rows
 into local components; links themselves never leave it. One vector of each component is kept.
 
@@ -60,7 +62,8 @@ class Cells:
     def __init__(self, centroids: np.ndarray, least: float, reach: float):
         self.c = centroids
         apart = np.linalg.norm(centroids[:, None, :] - centroids[None, :, :], axis=2) if len(centroids) <= 512 else np.sqrt(np.maximum(0, 2 - 2 * centroids @ centroids.T))
-        self.slack = reach * np.sqrt(2 - 2 * least) / 2 * apart + 1e-9
+        self.whole = np.sqrt(2 - 2 * least) / 2 * apart
+        self.slack = reach * self.whole + 1e-9
 
     def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(home, visited) of unit rows; visited is boolean by row and cell and holds the home too."""
@@ -70,6 +73,15 @@ class Cells:
         return home, sims >= best[:, None] - self.slack[home]
 
 
+    def needed(self, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+        """The reach at which each link of an x and a y is found."""
+        (sx, sy), (hx, hy) = (x @ self.c.T, y @ self.c.T), (self(x)[0], self(y)[0])
+        r, c = np.nonzero(x @ y.T >= least)
+        room = np.maximum(self.whole[hx[r], hy[c]], 1e-12)
+        lead = np.minimum(sx[r, hx[r]] - sx[r, hy[c]], sy[c, hy[c]] - sy[c, hx[r]])
+        return np.where(hx[r] == hy[c], 0.0, np.clip(lead / room, 0, 1))
+
+
 def _local(linked: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Least label reachable in a symmetric boolean matrix."""
     big = np.iinfo(np.int64).max
@@ -81,7 +93,7 @@ def _local(linked: np.ndarray, labels: np.ndarray) -> np.ndarray:
         labels = new
 
 
-def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35, cell_rows: int = 64, most_cells: int = 2048, fit_rows: int = 32_768, block_rows: int = 4096, seed: int = 17) -> DataFrame:
+def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35, recall: float = 0.999, probes: int = 512, cell_rows: int = 64, most_cells: int = 2048, fit_rows: int = 32_768, block_rows: int = 4096, seed: int = 17) -> DataFrame:
     """table (vec_id, embedding, ...) -> its columns, n_links, component_id, kept; a row for each row of it."""
     spark, scratch = table.sparkSession, Scratch(table.sparkSession, "vectors")
     cols, pairs = hidden(table, table.columns)
@@ -99,6 +111,25 @@ def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35
     centroids = fit(unit(dense(list(got["__v"]), dim)), min(most_cells, max(1, size // cell_rows)), seed) if size else np.zeros((1, dim))
     held = spark.sparkContext.broadcast(centroids)
 
+    if len(centroids) > 1 and reach < 1:
+        # At most twice the probes are sent to all tasks, and a task returns counts of links by hundredths of reach.
+        asked = classes.where(F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(max(1, size))) < probes).select("__v").limit(2 * probes).toPandas()
+        sent = spark.sparkContext.broadcast(unit(dense(list(asked["__v"]), dim)))
+
+        def tried(batches):
+            cells, found = Cells(held.value, least, reach), np.zeros(101, np.int64)
+            for b in batches:
+                y = unit(dense(list(b["__v"]), dim))
+                for i in range(0, len(y), 2048):
+                    found += np.bincount(np.ceil(cells.needed(sent.value, y[i : i + 2048], least) * 100).astype(np.int64), minlength=101)
+            yield pd.DataFrame({"at": np.flatnonzero(found), "n": found[found > 0]})
+
+        found = np.zeros(101)
+        for r in classes.select("__v").mapInPandas(tried, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+            found[r["at"]] = r["n"]
+        found[0] = max(0.0, found[0] - len(asked))  # a probe meets itself
+        reach = max(reach, int(np.argmax(np.cumsum(found) >= recall * found.sum())) / 100)
+
     def assign(batches):
         cells = Cells(held.value, least, reach)
         for b in batches:

@@ -98,3 +98,14 @@ def test_near_vector_edges(spark):
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out.where("vec_id IS NOT NULL").collect()}
     assert got[1] == (2, 1) and got[9] == (2, 1) and got[10] == (2, 1) and all(got[i] == (0, i) for i in (2, 3, 4, 5, 6, 7, 8)) and out.count() == len(EDGE)
     assert vectors.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_reach_is_widened_where_links_need_it(spark):
+    rng = np.random.default_rng(12)
+    x = np.zeros((2000, 32))
+    x[:, :3] = rng.normal(size=(2000, 3))  # few effective dimensions: differences lie along those between centroids
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    u = vectors.unit(x)
+    want = int((u @ u.T >= 0.99).sum()) - len(u)
+    got = {k: vectors.near_duplicates(df, least=0.99, cell_rows=8, probes=n).agg(F.sum("n_links")).first()[0] for k, n in (("fixed", 0), ("widened", 512))}
+    assert got["fixed"] < 0.99 * want and 0.995 * want <= got["widened"] <= want
