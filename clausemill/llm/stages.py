@@ -20,17 +20,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the least doc_id; of rows with one doc_id the least text.
+    """One document of each group of near-duplicates, that of the least doc_id, and of several of that doc_id the least text.
 
-    Documents without a doc_id can't be named by a group and stay.
+    Groups are of texts, not of ids: different texts under one doc_id are each in their own group. Texts without a word are
+    like no other, but equal ones under one doc_id are one. Documents without a doc_id stay.
     """
     named = docs.where(F.col("doc_id").isNotNull())
-    found = near.near_duplicates(named.select("doc_id", "text"), carry=["doc_id"])
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
-    whole = named.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
-    rows = whole.join(kept, F.col("__id") == F.col("__kept"), "left_semi")
-    first = F.row_number().over(Window.partitionBy("__id").orderBy(F.col("__text").asc_nulls_last()))
-    rows = rows.withColumn("__first", first).where("__first = 1").select("doc.*")
+    key = F.xxhash64("doc_id", F.col("text").isNull(), "text")  # stands for a doc_id with its text
+    scratch = Scratch(spark, "groups")
+    found = near.near_duplicates(named.select(key.alias("__key"), "text"), key="__key", carry=["__key"])
+    groups = found.groupBy("__key").agg(F.min("component_id").alias("__group"))
+    # A group's first doc_id, then its rows of that doc_id: only these meet by group.
+    ids = scratch.keep(groups.join(named.select(key.alias("__key"), F.col("doc_id").alias("__id")).distinct(), "__key"), "ids")
+    least = ids.groupBy("__group").agg(F.min("__id").alias("__least"))
+    kept = ids.join(least, "__group").where("__id = __least").select("__key", "__group")
+    whole = named.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("__key"), F.col("text").alias("__text"))
+    first = F.row_number().over(Window.partitionBy("__group").orderBy(F.col("__text").asc_nulls_last()))
+    rows = whole.join(kept, "__key").withColumn("__first", first).where("__first = 1").select("doc.*")
     return rows.unionByName(docs.where(F.col("doc_id").isNull()))
 
 

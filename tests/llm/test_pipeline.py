@@ -34,6 +34,14 @@ def test_stages(spark, docs, sf_dir):
     assert sum(len(p["ids"]) for p in pieces) == sum(len(coder.ids(t or "")) + 1 for _, t in rows)
 
 
+def test_different_texts_under_one_id(spark, sf_dir):
+    x, y, z = (" ".join(f"{c}{k}" for k in range(60)) for c in "xyz")
+    rows = [(3, x), (5, x), (5, y), (7, z), (7, y + " more"), (8, None), (8, ""), (8, ""), (None, x)]
+    single = stages.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir)
+    want = [(3, x), (5, y), (7, z), (8, None), (8, ""), (None, x)]
+    assert Counter(map(tuple, single.collect())) == Counter(want)
+
+
 def test_empty(spark, no_docs, sf_dir):
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, no_docs, sf_dir)
