@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Words are maximal runs of anything but these six characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; where it is unset (tests), one of our own."""
+    """The folder the cluster names in spark.checkpoint.dir; where it is unset and all is one machine (tests), one of our own."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="clausemill-")
         context.setCheckpointDir(named)
     return named.rstrip("/")
@@ -77,9 +85,64 @@ class Scratch:
 def small_batches(spark: SparkSession) -> None:
     """Batches to and from Python of a few megabytes: rows here are whole texts, and ten thousand long ones are too many for a task.
 
-    The setting is the session's, as batches are cut when a result is read.
+    The setting is the session's, as batches are cut when a result is read; a smaller one stays.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    name, most = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+    now = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if not 0 < now <= most:
+        spark.conf.set(name, str(most))
+
+
+def rows_of(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows that the driver has; by Arrow, as other ways start Python workers that stay."""
+    kind = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows, strict=True)) or [()] * len(kind)
+    arrow = to_arrow_schema(kind)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow), kind)
+
+
+def trim() -> None:
+    """Gives freed memory back to the system: workers wait for their next task beside others, and keep what they once had."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        return
+
+
+def trimmed(read: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function of batches that gives its memory back at its end."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from read(batches)
+        trim()
+
+    return wrapped
+
+
+def by_key(work: Callable[[int, list[bytes]], Iterator[pa.RecordBatch]], key: str, data: str = "data") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches whose rows are sorted by an integer key -> what ``work`` makes of each key's data."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for b in batches:
+            for k, d in zip(b.column(key).to_pylist(), b.column(data), strict=True):
+                if k != now and held:
+                    mine, held = held, []
+                    yield from work(now, mine)
+                now = k
+                held.append(d.as_py())
+        if held:
+            yield from work(now, held)
+
+    return trimmed(read)
+
+
+def dealt(df: DataFrame, key: str, sort: bool = True) -> DataFrame:
+    """Rows by an integer key, key by key: keys go round the partitions, where a hash would put many on one."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = df.repartitionById(n, F.pmod(F.col(key), F.lit(n)).cast("int"))
+    return out.sortWithinPartitions(key) if sort else out
 
 
 def hidden(df: DataFrame, names: list[str]) -> tuple[list[Column], list[tuple[str, str]]]:
@@ -88,8 +151,9 @@ def hidden(df: DataFrame, names: list[str]) -> tuple[list[Column], list[tuple[st
     return [df[f"`{name}`"].alias(inner) for inner, name in pairs], pairs
 
 
-def shown(pairs: list[tuple[str, str]]) -> list[Column]:
-    return [F.col(inner).alias(name) for inner, name in pairs]
+def shown(pairs: list[tuple[str, str]], *results: str) -> list[Column]:
+    """The hidden columns by their names, but for those that a result has."""
+    return [F.col(inner).alias(name) for inner, name in pairs if name not in results]
 
 
 def word_count(text: Column) -> Column:

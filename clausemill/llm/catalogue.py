@@ -6,24 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, langid, lm, mixing, near, packing, secrets, tokencount, topk, vectors
-from ._shared import Scratch, table, word_count
+from ._shared import Scratch, rows_of, table, word_count
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words the mix takes from each document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    """Words the mix takes from each document, and what each shard of the tree takes of it (shard:words)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"), F.md5(F.coalesce("text", F.lit(""))).alias("said"))
     sized = Scratch(spark, "op1").keep(docs, "sized")
-    plan = mixing.mix_plan(sized, size=F.col("size"), carry=["doc_id"])
+    plan = mixing.mix_plan(sized, size=F.col("size"), text_key=F.col("said"), carry=["doc_id"])
     return plan.select(
         "doc_id",
         F.col("mix_size").alias("size"),
         F.col("mix_source_size").alias("source_size"),
         F.round("mix_target", 6).alias("target"),
         F.aggregate("mix_draws", F.lit(0).cast("long"), lambda a, d: a + d["words"]).alias("taken"),
-        F.size("mix_draws").cast("long").alias("draws"),
+        F.array_join(F.transform("mix_draws", lambda d: F.concat_ws(":", d["shard"].cast("string"), d["words"].cast("string"))), ",").alias("shards"),
     )
 
 
@@ -51,7 +51,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold control strings, formatted and read back."""
     columns = ["conv_id", "turn", "role", "text"]
     said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    extra = rows_of(spark, [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     return chat.digest(chat.format_chats(table(spark, sf_dir, "conversations").select(*columns).union(extra)))
 
 

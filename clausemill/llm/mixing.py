@@ -1,38 +1,46 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
-Every source is one stream: its documents in a keyed pseudo-random order, read again from the start
-when the mix takes more than the source holds. A source's quota is its target in words, rounded; the
-last document is cut there, so a quota is met to the word. The stream is ruled off into blocks of
-``block_words``; a document belongs to the block its first word falls in and is never cut elsewhere.
-
-The tree shares the blocks out: its root holds each source's exact number of blocks, each node gives
-its left half of the output shards a multivariate-hypergeometric part of them and its right half the
-rest, so every leaf (a shard) has exact counts. A keyed permutation of a source's block numbers then
-says which disjoint blocks a leaf gets, and each shard is put in a keyed order of its own. A node's
-draw depends on the seed and the node only, so any task can follow its own path from the root.
+Every source is one stream: its documents in a keyed pseudo-random order, ``most`` times one after the
+other. The stream is ruled off into blocks of ``block_words``; a document belongs to the block its first
+word falls in. A keyed permutation puts a source's blocks in an order, and its quota of blocks is the first
+of them whose words reach its target, rounded; the last of these is cut where it does, which is the only
+place where a document is cut. So a quota is exact in blocks, and met to the word.
+
+The tree shares the quotas out: its root holds each source's number of blocks, each node draws its left
+half of the output shards a part of them without replacement (so the sources' counts are a
+multivariate-hypergeometric draw) and leaves its right half the rest. A leaf, one shard, thus has exact
+counts, and takes so many blocks of each source: the next ones of the permuted order that the leaves before it
+didn't take. What the leaves draw is the mix; a document is taken as often as a block that has it is drawn.
+Each shard is put in a keyed order of its own.
 
 Nothing of the size of a source is gathered: positions come from sums over (source, bucket) pairs, of
-which there are at most ``BUCKETS`` plus one per source, and from windows within one bucket.
+which there are at most ``BUCKETS`` plus one per source, and from windows within one bucket. Blocks are at
+most ``MOST_BLOCKS`` and two for each source, as they grow with the tables beyond that; one row for each goes
+to the driver, which draws, and to all tasks.
 
 Defined results: null text has size 0; a null source is a source of its own, last in order; documents
 of size 0 are taken with the words around them and count nothing; repeated rows are documents of their
-own; an empty table gives an empty mix; other columns pass through, whatever their names.
+own, and rows of one doc_id and text have places next to each other; an empty table gives an empty mix; other
+columns pass through, but for those with a result's name, which gives way to it.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import hidden, shown, small_batches, word_count
+from ._shared import Scratch, hidden, rows_of, shown, small_batches, word_count
 
 BUCKETS = 100_000
 LEAST_BUCKET = 512
+MOST_BLOCKS = 1 << 20
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], total: float, most: float) -> list[float]:
@@ -53,39 +61,27 @@ def targets(sizes: Sequence[int], weights: Sequence[float], total: float, most:
     return got
 
 
-def permuted(x: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """A keyed bijection of 0..n-1, elementwise: a Feistel network on the next power of four, walked until it falls below n."""
-    x = x.astype(np.uint64)
-    half = np.ceil(np.log2(np.maximum(n, 2).astype(float)) / 2).astype(np.uint64)
-    mask, todo = (np.uint64(1) << half) - np.uint64(1), np.ones(len(x), bool)
-    while todo.any():
-        y, m, h, k = x[todo], mask[todo], half[todo], key[todo].astype(np.uint64)
-        left, right = y >> h, y & m
-        for r in range(4):
-            z = (right + k + np.uint64(r)) * np.uint64(0x9E3779B97F4A7C15)
-            z = (z ^ (z >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            left, right = right, left ^ ((z >> np.uint64(17)) & m)
-        x[todo] = (left << h) | right
-        todo &= x >= n.astype(np.uint64)
-    return x.astype(np.int64)
+def _keys(*parts) -> list[str]:
+    return [hashlib.md5(":".join(map(str, p)).encode()).hexdigest() for p in zip(*parts, strict=True)]
 
 
 class SplittingTree:
-    """Which of ``shards`` gets the j-th permuted block of a source, for exact quotas of blocks."""
+    """Exact shares of the sources' quotas of blocks for each of ``shards``.
+
+    A node with its shards from ``lo`` on draws by the keys seed:lo:source:place of its blocks, the least
+    going left; its draw depends on these alone, so any node's can be made again.
+    """
 
     def __init__(self, quotas: Sequence[int], shards: int, seed: int):
-        if sum(quotas) >= 1_000_000_000:
-            raise ValueError("more than 1e9 blocks: raise block_words")
         self.quotas, self.shards, self.seed = np.array(quotas, np.int64), shards, seed
-        self._left: dict[tuple[int, int], np.ndarray] = {}
 
-    def left(self, lo: int, hi: int, counts: np.ndarray) -> np.ndarray:
-        if (lo, hi) not in self._left:
-            total, mid = int(counts.sum()), (lo + hi) // 2
-            rng = np.random.default_rng([self.seed, lo, hi])
-            part = total * (mid - lo) // (hi - lo)
-            self._left[lo, hi] = rng.multivariate_hypergeometric(counts, part, method="marginals") if total else counts
-        return self._left[lo, hi]
+    def _left(self, lo: int, mid: int, hi: int, counts: np.ndarray) -> np.ndarray:
+        part = int(counts.sum()) * (mid - lo) // (hi - lo)
+        source = np.repeat(np.arange(len(counts)), counts)
+        place = np.arange(len(source)) - np.repeat(np.cumsum(counts) - counts, counts)
+        keys = np.array(_keys([f"{self.seed}:{lo}:{hi}"] * len(source), source.tolist(), place.tolist()) or [""])
+        drawn = source[np.argsort(keys[: len(source)], kind="stable")[:part]]
+        return np.bincount(drawn, minlength=len(counts))
 
     def leaves(self) -> np.ndarray:
         """Blocks by shard and source."""
@@ -96,29 +92,28 @@ class SplittingTree:
             if hi - lo == 1:
                 out[lo] = counts
             else:
-                left = self.left(lo, hi, counts)
-                stack += [(lo, (lo + hi) // 2, left), ((lo + hi) // 2, hi, counts - left)]
+                mid = (lo + hi) // 2
+                left = self._left(lo, mid, hi, counts)
+                stack += [(lo, mid, left), (mid, hi, counts - left)]
         return out
 
-    def shard(self, source: np.ndarray, block: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(source), np.int64)
-        if not len(source):
-            return out
-        draw = permuted(block, self.quotas[source], source * 7919 + self.seed)
-        stack = [(0, self.shards, self.quotas, np.arange(len(source)), draw)]
-        while stack:
-            lo, hi, counts, rows, j = stack.pop()
-            if hi - lo == 1:
-                out[rows] = lo
-                continue
-            left, mid = self.left(lo, hi, counts), (lo + hi) // 2
-            first = left[source[rows]]
-            goes = j < first
-            if goes.any():
-                stack.append((lo, mid, left, rows[goes], j[goes]))
-            if not goes.all():
-                stack.append((mid, hi, counts - left, rows[~goes], (j - first)[~goes]))
-        return out
+
+def drawn_blocks(blocks: pd.DataFrame, quotas: Sequence[int], shard_words: int, seed: int) -> pd.DataFrame:
+    """blocks (i, block, words) -> (i, block, room, shard) of those that the leaves draw; room: the words taken of it."""
+    blocks = blocks.assign(key=_keys([seed] * len(blocks), blocks["i"], blocks["block"])).sort_values(["i", "key", "block"])
+    i, words = blocks["i"].to_numpy(np.int64), blocks["words"].to_numpy(np.int64)
+    quota = np.asarray(quotas, np.int64)[i] if len(i) else np.zeros(0, np.int64)
+    first = np.searchsorted(i, i)
+    before = np.cumsum(words) - words
+    before -= before[first] if len(i) else 0
+    room = np.clip(quota - before, 0, words)
+    taken = before < quota
+    tree = SplittingTree(np.bincount(i[taken], minlength=len(quotas)), max(1, math.ceil(sum(quotas) / shard_words)), seed)
+    shares = tree.leaves()
+    # Source by source, the leaves take the next blocks of the permuted order.
+    shard = np.concatenate([np.repeat(np.arange(tree.shards), shares[:, k]) for k in range(len(quotas))] or [np.zeros(0, np.int64)])
+    out = blocks.loc[taken, ["i", "block"]].assign(room=room[taken], shard=shard)
+    return out.astype({"i": "int32", "block": "int64", "room": "int64", "shard": "int64"})
 
 
 def cycle_weights(sources: Sequence[str | None], weights: Sequence[float] = (5, 2, 1)) -> list[float]:
@@ -133,9 +128,10 @@ def mix_plan(
     ratio: float = 1.5,
     most: int = 2,
     size: Column | None = None,
+    text_key: Column | None = None,
     carry: list[str] | None = None,
-    block_words: int = 32_768,
-    shard_words: int = 1 << 22,
+    block_words: int = 4096,
+    shard_words: int = 1 << 18,
     seed: int = 17,
 ) -> DataFrame:
     """One row per document: the carried columns, mix_size, mix_source_size, mix_target and mix_draws.
@@ -148,19 +144,21 @@ def mix_plan(
     small_batches(spark)
     cols, pairs = hidden(docs, carry if carry is not None else docs.columns)
     n = (word_count(docs["text"]) if size is None else size).cast("long")
-    ident = F.coalesce(docs["doc_id"].cast("string"), F.lit(""))
-    base = docs.select(*cols, docs["source"].cast("string").alias("__s"), n.alias("__n"), F.md5(F.concat(F.lit(f"{seed}:"), ident)).alias("__k"))
+    said = F.md5(F.coalesce(docs["text"], F.lit(""))) if text_key is None else text_key
+    ident = F.concat_ws(":", F.lit(str(seed)), F.coalesce(docs["doc_id"].cast("string"), F.lit("")), said)
+    base = docs.select(*cols, docs["source"].cast("string").alias("__s"), n.alias("__n"), F.md5(ident).alias("__k"))
 
     found = base.groupBy("__s").agg(F.sum("__n").alias("n"), F.count("*").alias("rows")).collect()
     found.sort(key=lambda r: (r["__s"] is None, r["__s"] or ""))
     sizes, rows = [r["n"] for r in found], [r["rows"] for r in found]
     got = targets(sizes, list(weigh([r["__s"] for r in found])), ratio * sum(sizes), most)
     quotas = [round(t) for t in got]
-    tree = SplittingTree([math.ceil(q / block_words) for q in quotas], max(1, math.ceil(sum(quotas) / shard_words)), seed)
+    length = max(block_words, -(-most * sum(sizes) // MOST_BLOCKS))
     per = max(LEAST_BUCKET, sum(rows) // BUCKETS)
-    known = spark.createDataFrame(
-        [(r["__s"], i, sizes[i], got[i], quotas[i], math.ceil(rows[i] / per)) for i, r in enumerate(found)],
-        "s string, __i int, __w long, __t double, __q long, __b int",
+    known = rows_of(
+        spark,
+        [(r["__s"], i, sizes[i], got[i], math.ceil(rows[i] / per)) for i, r in enumerate(found)],
+        "s string, __i int, __w long, __t double, __b int",
     )
     keyed = base.join(F.broadcast(known), base["__s"].eqNullSafe(known["s"])).drop("s")
     keyed = keyed.withColumn("__b", F.floor(F.conv(F.substring("__k", 1, 8), 16, 10).cast("long") * F.col("__b") / F.lit(2**32)).cast("int"))
@@ -170,23 +168,28 @@ def mix_plan(
     placed = keyed.join(F.broadcast(sums), (F.col("__i") == F.col("i")) & (F.col("__b") == F.col("b"))).drop("i", "b")
     within = Window.partitionBy("__i", "__b").orderBy("__k", "__n").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("__o", F.col("__o") + F.coalesce(F.sum("__n").over(within), F.lit(0)))
-
-    @F.pandas_udf("array<long>")
-    def shards(source: pd.Series, blocks: pd.Series) -> pd.Series:
-        lengths = blocks.map(len).to_numpy()
-        flat = np.concatenate([np.asarray(b, np.int64) for b in blocks]) if len(blocks) else np.zeros(0, np.int64)
-        where = tree.shard(np.repeat(source.to_numpy(np.int64), lengths), flat)
-        return pd.Series(np.split(where, np.cumsum(lengths)[:-1]) if len(blocks) else [])
+    placed = Scratch(spark, "mix").keep(placed.drop("__k", "__s", "__b"), "placed")
 
     start = lambda p: F.col("__o") + p * F.col("__w")
-    draws = F.filter(
-        F.array(*[F.struct(F.lit(p).alias("pass"), start(p).alias("at"), F.least(F.col("__n"), F.col("__q") - start(p)).alias("words")) for p in range(math.ceil(most))]),
-        lambda d: d["at"] < F.col("__q"),
-    )
-    placed = placed.withColumn("__d", draws)
-    placed = placed.withColumn("__sh", shards("__i", F.transform("__d", lambda d: F.floor(d["at"] / F.lit(block_words)).cast("long"))))
-    taken = F.transform("__d", lambda d, k: F.struct(d["pass"].alias("pass"), F.get("__sh", k).alias("shard"), d["words"].alias("words")))
-    return placed.select(*shown(pairs), F.col("__n").alias("mix_size"), F.col("__w").alias("mix_source_size"), F.col("__t").alias("mix_target"), taken.alias("mix_draws"))
+    block = lambda p: F.floor(start(p) / F.lit(length)).cast("long")
+    firsts = F.explode(F.array(*[F.struct(block(p).alias("block"), start(p).alias("at")) for p in range(most)]))
+    each = placed.select("__i", "__n", firsts.alias("f")).groupBy(F.col("__i").alias("i"), F.col("f.block").alias("block")).agg(F.sum("__n").alias("words"), F.min("f.at").alias("first"))
+    # At most MOST_BLOCKS rows and two for each source, here and in the broadcasts.
+    each = each.toPandas()
+    made = drawn_blocks(each, quotas, shard_words, seed).merge(each[["i", "block", "first"]], on=["i", "block"])
+    drawn = spark.createDataFrame(pa.Table.from_pandas(made.astype({"first": "int64"}), preserve_index=False))
+
+    draws = []
+    for p in range(most):
+        mine = F.broadcast(drawn.select(F.col("i").alias("i"), F.col("block").alias("b"), *[F.col(c).alias(f"__{c}{p}") for c in ("room", "shard", "first")]))
+        placed = placed.join(mine, (F.col("__i") == F.col("i")) & (block(p) == F.col("b")), "left").drop("i", "b")
+        left = F.col(f"__room{p}") - (start(p) - F.col(f"__first{p}"))  # words of the block's room from this document on
+        words = F.least(F.col("__n"), left)
+        goes = (left > 0) | ((F.col("__n") == 0) & (left == 0))
+        draws.append(F.when(goes, F.struct(F.lit(p).alias("pass"), F.col(f"__shard{p}").alias("shard"), words.alias("words"))))
+    taken = F.filter(F.array(*draws), lambda d: d.isNotNull())
+    results = {"mix_size": F.col("__n"), "mix_source_size": F.col("__w"), "mix_target": F.col("__t"), "mix_draws": taken}
+    return placed.select(*shown(pairs, *results), *[c.alias(name) for name, c in results.items()])
 
 
 def first_words(text: Column, k: Column) -> Column:
@@ -204,13 +207,11 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     cols, pairs = hidden(docs, names)
     inner = docs.select(*cols)
     back = {name: name_ for name_, name in pairs}
-    plan = mix_plan(
-        docs.select(*cols, docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), docs["text"].alias("text")), carry=inner.columns, **options
-    )
+    plan = mix_plan(docs.select(*cols, docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), docs["text"].alias("text")), carry=inner.columns, **options)
     draw = plan.select(*inner.columns, "mix_size", F.explode("mix_draws").alias("d"))
     cut = F.col("d.words") < F.col("mix_size")
     text = F.when(cut, first_words(F.col(back["text"]), F.col("d.words"))).otherwise(F.col(back["text"]))
-    order = F.md5(F.concat_ws(":", F.lit(f"order{seed}"), F.col("d.pass").cast("string"), F.col(back["doc_id"]).cast("string")))
+    order = F.md5(F.concat_ws(":", F.lit(f"order{seed}"), F.col("d.pass").cast("string"), F.col(back["doc_id"]).cast("string"), F.col(back["text"])))
     draw = draw.select(*inner.columns, text.alias("__text"), cut.alias("__cut"), F.col("d.shard").alias("__shard"), order.alias("__order"))
     draw = draw.repartition("__shard").sortWithinPartitions("__shard", "__order")
     out = []

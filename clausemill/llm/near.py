@@ -33,12 +33,11 @@ import logging
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, hidden, shown, small_batches
+from ._shared import Scratch, by_key, dealt, hidden, rows_of, shown, small_batches, trimmed
 from .components import components
 from .words import mixed, shingles, slices
 
@@ -47,7 +46,8 @@ HOT = 512
 RUN = 1 << 20
 MOST_L = 8
 SLICES = 8
-BITS = 56
+BIN = 1 << 21
+BITS, TOP = 56, 32
 LAST = np.int32(2**31 - 1)
 
 
@@ -78,7 +78,7 @@ def memberships(docs: DataFrame, grams: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in kept), pa.array(n, pa.int64()), pa.array(s, pa.int64(), mask=n == 0)], [*(f.name for f in kept), "__n", "__sig"])
 
     schema = docs.drop("__text").schema.add("__n", "long").add("__sig", "long")
-    return docs.mapInArrow(read, schema)
+    return docs.mapInArrow(trimmed(read), schema)
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -115,32 +115,32 @@ def _runs(grams: int, bins: int):
 
     def flush(hs, ns, sigs):
         h, n, sig = np.concatenate(hs), np.concatenate(ns), np.concatenate(sigs)
+        for x in (hs, ns, sigs):
+            x.clear()
         at = np.cumsum(n) - n
         full = np.flatnonzero(n > 0)
         _, first = np.unique(sig[full], return_index=True)
         own = full[np.sort(first)]  # one document of each class
         n_own = n[own]
         total = int(n_own.sum())
-        take = np.arange(total) - np.repeat(np.cumsum(n_own) - n_own, n_own) + np.repeat(at[own], n_own)
-        h, ref = h[take], np.repeat(np.arange(len(own), dtype=np.uint32), n_own)
+        if len(own) < len(full):
+            h = h[np.arange(total) - np.repeat(np.cumsum(n_own) - n_own - at[own], n_own)]
         order = np.argsort(h, kind="stable")
-        h, ref = h[order], ref[order]
+        h, ref = h[order], np.repeat(np.arange(len(own), dtype=np.uint32), n_own)[order]
+        del order
         begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if total else np.zeros(0, int)
         times = np.diff(begin, append=total)
         often = np.repeat(times >= HOT, times)
-        bin_of = ((h >> np.uint64(BITS - 16)) * np.uint64(bins)) >> np.uint64(16)
-        marks, marked_bins = h[begin[times >= HOT]], bin_of[begin[times >= HOT]]
-        some, ref_some, bin_some = h[~often], ref[~often], bin_of[~often]
-        cuts = np.searchsorted(bin_some, np.arange(bins + 1, dtype=np.uint64))
-        mark_cuts = np.searchsorted(marked_bins, np.arange(bins + 1, dtype=np.uint64))
-        for k in range(bins):
+        marks, some, ref_some = h[begin[times >= HOT]], h, ref
+        if len(marks):
+            some, ref_some = h[~often], ref[~often]
+        cuts, mark_cuts = _cuts(some, bins), _cuts(marks, bins)
+        for k in np.flatnonzero((np.diff(cuts) > 0) | (np.diff(mark_cuts) > 0)):
             a, z = cuts[k], cuts[k + 1]
-            m = marks[mark_cuts[k] : mark_cuts[k + 1]]
-            if z > a or len(m):
-                here, place = np.unique(ref_some[a:z], return_inverse=True)
-                # What is sent is counted from the bin's least value.
-                base = _base(k, bins)
-                yield k, encode_run(some[a:z] - base, place, sig[own][here], n_own[here], m - base)
+            here, place = np.unique(ref_some[a:z], return_inverse=True)
+            # What is sent is counted from the bin's least value.
+            base = _base(int(k), bins)
+            yield int(k), encode_run(some[a:z] - base, place, sig[own][here], n_own[here], marks[mark_cuts[k] : mark_cuts[k + 1]] - base)
         if often.any():
             for k, data in _parcels(sig[own], n_own, ref[often], h[often], np.full(int(often.sum()), LAST), bins):
                 yield -1 - k, data
@@ -158,12 +158,18 @@ def _runs(grams: int, bins: int):
         if held:
             yield rows(list(flush(hs, ns, sigs)))
 
-    return read
+    return trimmed(read)
 
 
 def _base(k: int, bins: int) -> np.uint64:
     """The least hash of bin k."""
-    return np.uint64((-(-k * 65536 // bins)) << (BITS - 16))
+    return np.uint64((-(-(k << TOP) // bins)) << (BITS - TOP))
+
+
+def _cuts(hashes: np.ndarray, bins: int) -> np.ndarray:
+    """Where each bin's part of ascending hashes begins, and the end."""
+    edges = (-(-(np.arange(bins, dtype=np.int64) << TOP) // bins)).astype(np.uint64) << np.uint64(BITS - TOP)
+    return np.append(np.searchsorted(hashes, edges), len(hashes))
 
 
 def _parcels(sig: np.ndarray, n: np.ndarray, ref: np.ndarray, grams: np.ndarray, df: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
@@ -218,11 +224,13 @@ def _shared(parts: list[tuple[np.ndarray, np.ndarray]], hot: np.ndarray) -> tupl
 def _bin(bins: int):
     """One bin's runs -> (part, data): the grams that several classes share there, for the parts the classes belong to."""
 
-    def work(table: pa.Table) -> pa.Table:
-        k = table.column("bin")[0].as_py()
+    def work(k: int, data: list[bytes]) -> Iterator[pa.RecordBatch]:
         if k < 0:
-            return pa.table({"part": pa.array([-1 - k] * len(table), pa.int32()), "data": table.column("data")})
-        runs = [decode_run(d.as_py()) for d in table.column("data")]
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - k] * len(data), pa.int32()), pa.array(data, pa.binary())], ["part", "data"])
+            return
+        runs = []
+        while data:
+            runs.append(decode_run(data.pop()))
         offsets = np.cumsum([0, *(len(x[2]) for x in runs)])
         # A class that several runs sent is one class here.
         sig, first, same = np.unique(np.concatenate([x[2] for x in runs]), return_index=True, return_inverse=True)
@@ -232,8 +240,9 @@ def _bin(bins: int):
         edges[-1] = np.uint64(2**63)
         found = [_shared([(t[a:z], same[r[a:z] + at]) for (t, r, *_), at in zip(runs, offsets, strict=False) for a, z in [np.searchsorted(t, edges[q : q + 2])]], hot) for q in range(SLICES)]
         r, t, each = (np.concatenate(x) for x in zip(*found, strict=True))
+        del runs, found
         out = list(_parcels(sig, n, r, t + _base(k, bins), each, bins))
-        return pa.table({"part": pa.array([x for x, _ in out], pa.int32()), "data": pa.array([x for _, x in out], pa.binary())})
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["part", "data"])
 
     return work
 
@@ -241,8 +250,8 @@ def _bin(bins: int):
 def _part(percent: int):
     """One part's parcels -> the classes that keep enough grams for a partner."""
 
-    def work(table: pa.Table) -> pa.Table:
-        got = [_unparcelled(d) for d in table.column("data").to_pylist()]
+    def work(_: int, data: list[bytes]) -> Iterator[pa.RecordBatch]:
+        got = [_unparcelled(d) for d in data]
         sig, n, count, grams, df = (np.concatenate(x) for x in zip(*got, strict=True))
         sigs, first, same = np.unique(sig, return_index=True, return_inverse=True)
         n, ref = n[first], np.repeat(same, count)
@@ -258,14 +267,8 @@ def _part(percent: int):
         here = np.flatnonzero(per * 100 >= n * percent)
         on = (per * 100 >= n * percent)[ref]
         offsets = pa.array(np.concatenate([[0], np.cumsum(per[here])]).astype(np.int32))
-        return pa.table(
-            {
-                "sig": pa.array(sigs[here], pa.int64()),
-                "n": pa.array(n[here], pa.int64()),
-                "grams": pa.ListArray.from_arrays(offsets, pa.array(grams[on], pa.int64())),
-                "df": pa.ListArray.from_arrays(offsets, pa.array(df[on], pa.int32())),
-            }
-        )
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[on], kind)) for x, kind in ((grams, pa.int64()), (df, pa.int32()))]
+        yield pa.RecordBatch.from_arrays([pa.array(sigs[here], pa.int64()), pa.array(n[here], pa.int64()), *lists], ["sig", "n", "grams", "df"])
 
     return work
 
@@ -291,25 +294,34 @@ def prefix(n: int, least: int, grams: np.ndarray, df: np.ndarray) -> tuple[np.nd
 
 
 def _entries(percent: int):
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for sig, n, grams, df in zip(b["sig"], b["n"], b["grams"], b["df"], strict=True):
-                taken, l = prefix(int(n), -(-int(n) * percent // 100), np.asarray(grams), np.asarray(df))
-                # How common its grams are on the whole: near copies of one text are likest to the one with the most common grams.
-                out.append(pd.DataFrame({"gram": taken, "sig": sig, "n": n, "s": len(grams), "l": np.int32(l), "at": int(n) - len(grams) + np.arange(len(taken)), "centre": np.log(np.asarray(df, float)).sum() / n}))
-            if out:
-                yield pd.concat(out)
-
-    return read
-
-
-def candidates(docs: DataFrame, grams: int, percent: int, scratch: Scratch) -> DataFrame:
-    """docs (__text) -> sig, n, grams, df of the classes that share enough grams with others to have a partner."""
-    bins = min(4096, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sent = docs.mapInArrow(_runs(grams, bins), "bin int, data binary")
-    back = sent.groupBy("bin").applyInArrow(_bin(bins), "part int, data binary")
-    found = back.groupBy("part").applyInArrow(_part(percent), "sig long, n long, grams array<long>, df array<int>")
+            if not len(b):
+                continue
+            sigs, ns = b.column("sig").to_numpy(), b.column("n").to_numpy()
+            cuts, grams = b.column("grams").offsets.to_numpy(), b.column("grams").values.to_numpy()
+            dfs = b.column("df").values.to_numpy()
+            got = [prefix(int(n), -(-int(n) * percent // 100), grams[a:z], dfs[a:z]) for n, a, z in zip(ns, cuts, cuts[1:], strict=False)]
+            size, have = np.array([len(x) for x, _ in got]), np.diff(cuts)
+            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            # How common its grams are on the whole: near copies of one text are likest to the one with the most common grams.
+            centre = np.add.reduceat(np.log(dfs[cuts[0] : cuts[-1]].astype(float)), cuts[:-1] - cuts[0]) / ns
+            each = lambda x, kind: pa.array(np.repeat(x, size), kind)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([x for x, _ in got]), pa.int64()), each(sigs, pa.int64()), each(ns, pa.int64()), each(have, pa.int64()), each([l for _, l in got], pa.int32()), pa.array(np.repeat(ns - have, size) + place, pa.int64()), each(centre, pa.float64())],
+                ["gram", "sig", "n", "s", "l", "at", "centre"],
+            )
+
+    return trimmed(read)
+
+
+def candidates(docs: DataFrame, grams: int, percent: int, scratch: Scratch, total: int) -> DataFrame:
+    """docs (__text), with ``total`` grams in all -> sig, n, grams, df of the classes that share enough grams with others to have a partner."""
+    # As many bins as keep BIN grams in each, and one for each partition at least.
+    bins = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BIN))
+    sent = dealt(docs.mapInArrow(_runs(grams, bins), "bin int, data binary"), "bin")
+    back = dealt(sent.mapInArrow(by_key(_bin(bins), "bin"), "part int, data binary"), "part")
+    found = back.mapInArrow(by_key(_part(percent), "part"), "sig long, n long, grams array<long>, df array<int>")
     return scratch.keep(found, "candidates")
 
 
@@ -319,9 +331,9 @@ def link(found: DataFrame, percent: int, scratch: Scratch, *, stars: int = 6, sl
     # What two classes can share is no more than either shares with any other at all (s, z).
     fits = F.least("n", "m", "s", "z") * (100 + percent) >= (F.col("n") + F.col("m")) * percent
     sets = scratch.bucketed(found.select("sig", "n", "grams"), "sets", "sig")
-    live = scratch.keep(found.mapInPandas(_entries(percent), "gram long, sig long, n long, s long, l int, at long, centre double").selectExpr("*", "sig AS root", "CAST(NULL AS BIGINT) AS p", "CAST(NULL AS BIGINT) AS o"), "live")
-    edges = spark.createDataFrame([], "a long, b long")
-    roots, seen = spark.createDataFrame([], "sig long, root long"), None
+    live = scratch.keep(found.mapInArrow(_entries(percent), "gram long, sig long, n long, s long, l int, at long, centre double").selectExpr("*", "sig AS root", "CAST(NULL AS BIGINT) AS p", "CAST(NULL AS BIGINT) AS o"), "live")
+    edges = rows_of(spark, [], "a long, b long")
+    roots, seen = rows_of(spark, [], "sig long, root long"), None
 
     def measured(pairs: DataFrame, k: int) -> DataFrame:
         """pairs (a, b), where many a may share a b -> also both, what they share, and linked; only the sets of the b and, with them, the a move."""
@@ -361,7 +373,8 @@ def link(found: DataFrame, percent: int, scratch: Scratch, *, stars: int = 6, sl
             seen = total["pairs"]
             turn = F.pmod(F.xxhash64("sig", F.lit(k)), F.lit(k + 1)) == 0  # the most central of all, then of a half, a third and so on
             order = F.struct(turn.alias("t"), F.col("centre"), F.col("sig").alias("b"), F.col("n").alias("m"), F.col("s").alias("z"), F.col("root").alias("rb"))
-            pivots = live.groupBy("gram").agg(F.max(order).alias("p")).select("gram", "p.b", "p.m", "p.z", "p.rb")
+            # Written, so that a gram of very many classes is split in the join.
+            pivots = scratch.keep(live.groupBy("gram").agg(F.max(order).alias("p")).select("gram", "p.b", "p.m", "p.z", "p.rb"), f"pivots-{k}")
             met = live.select("gram", F.col("sig").alias("a"), "n", "s", "root").join(pivots, "gram").where("root <> rb").where(fits)
             best = met.groupBy("a", "b").count().groupBy("a").agg(F.max(F.struct("count", "b")).alias("p"))
             pairs = best.select("a", F.col("p.b").alias("b"))
@@ -383,7 +396,8 @@ def near_duplicates(docs: DataFrame, *, grams: int = 5, percent: int = 80, text:
     cols, pairs = hidden(docs, carry if carry is not None else docs.columns)
     body = docs[f"`{text}`"].cast("string").alias("__text")
     members = scratch.keep(memberships(docs.select(docs[f"`{key}`"].cast("long").alias("__id"), body), grams), "members")
-    roots = link(candidates(docs.select(body), grams, percent, scratch), percent, scratch)
+    total = members.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    roots = link(candidates(docs.select(body), grams, percent, scratch, total), percent, scratch)
     least = members.where(F.col("__sig").isNotNull()).groupBy("__sig").agg(F.min("__id").alias("least"))
     named = least.join(roots, least["__sig"] == roots["sig"], "left").select("__sig", F.coalesce("root", "__sig").alias("root"), "least")
     by_root = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -394,4 +408,4 @@ def near_duplicates(docs: DataFrame, *, grams: int = 5, percent: int = 80, text:
         return rows.select(F.col("__id").alias(key), "n_shingles", "component_id")
     # Other columns come back by key; a repeated key has one row of results for each of its rows, so one is enough.
     once = rows.dropDuplicates(["__id"])
-    return docs.select(*cols, docs[f"`{key}`"].cast("long").alias("__key")).join(once, F.col("__key").eqNullSafe(F.col("__id")), "left").select(*shown(pairs), "n_shingles", "component_id")
+    return docs.select(*cols, docs[f"`{key}`"].cast("long").alias("__key")).join(once, F.col("__key").eqNullSafe(F.col("__id")), "left").select(*shown(pairs, "n_shingles", "component_id"), "n_shingles", "component_id")

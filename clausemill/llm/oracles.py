@@ -3,12 +3,12 @@
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_mix_sources"] = r"""
-WITH sized AS (
-  SELECT doc_id, source, md5('17:' || coalesce(doc_id::VARCHAR, '')) AS k,
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS k,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents
 ), sources AS (
-  SELECT source, sum(size)::BIGINT AS w,
+  SELECT source, sum(size)::BIGINT AS w, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i,
          CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
   FROM sized GROUP BY source
 ), open AS (SELECT * FROM sources WHERE w > 0
@@ -19,17 +19,40 @@ WITH sized AS (
 ), levels AS (
   SELECT arg_min((total - full_before) / weight_left, 2.0::DOUBLE * w / weight) FILTER (WHERE (total - full_before) / weight_left * weight < 2.0::DOUBLE * w) AS unit FROM ranked
 ), known AS (
-  SELECT s.source, s.w, CASE WHEN s.w = 0 THEN 0.0::DOUBLE ELSE least(2.0::DOUBLE * s.w, s.weight * unit) END AS t
-  FROM sources s, levels
+  SELECT *, round_even(t, 0)::BIGINT AS q FROM (SELECT s.source, s.i, s.w, CASE WHEN s.w = 0 THEN 0.0::DOUBLE ELSE least(2.0::DOUBLE * s.w, s.weight * unit) END AS t FROM sources s, levels)
+), how AS (
+  SELECT greatest(4096, ceil(2 * sum(w) / 1048576))::BIGINT AS length, greatest(1, ceil(sum(q) / 262144))::BIGINT AS shards FROM known
 ), placed AS (
-  SELECT z.doc_id, z.size, k2.w, k2.t, round_even(k2.t, 0)::BIGINT AS q,
+  SELECT row_number() OVER () AS id, z.doc_id, z.size, n.w, n.t, n.q, n.i,
          coalesce(sum(z.size) OVER (PARTITION BY z.source ORDER BY z.k, z.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
-  FROM sized z JOIN known k2 ON z.source IS NOT DISTINCT FROM k2.source
+  FROM sized z JOIN known n ON z.source IS NOT DISTINCT FROM n.source
+), starts AS (
+  SELECT id, size, i, pass, pos + pass * w AS spot, (pos + pass * w) // length AS block FROM placed, how, (SELECT unnest(range(2)) AS pass)
+), blocks AS (
+  SELECT i, block, sum(size)::BIGINT AS words, min(spot) AS first FROM starts GROUP BY ALL
+), ordered AS (
+  SELECT *, sum(words) OVER o - words AS before, row_number() OVER o - 1 AS j FROM blocks WINDOW o AS (PARTITION BY i ORDER BY md5('17:' || i || ':' || block) ROWS UNBOUNDED PRECEDING)
+), drawn AS (
+  SELECT o.i, block, first, least(words, q - before)::BIGINT AS room, j FROM ordered o JOIN known n ON o.i = n.i WHERE before < q
+), tree AS (
+  SELECT i, j AS place, j, 0::BIGINT AS lo, shards AS hi FROM drawn, how
+  UNION ALL
+  SELECT i, place, CASE WHEN j < c THEN j ELSE j - c END, CASE WHEN j < c THEN lo ELSE mid END, CASE WHEN j < c THEN mid ELSE hi END
+  FROM (
+    SELECT *, count(*) FILTER (WHERE k <= part) OVER (PARTITION BY lo, i) AS c
+    FROM (
+      SELECT *, (lo + hi) // 2 AS mid, row_number() OVER (PARTITION BY lo ORDER BY md5('17:' || lo || ':' || hi || ':' || i || ':' || j)) AS k,
+             count(*) OVER (PARTITION BY lo) * ((lo + hi) // 2 - lo) // (hi - lo) AS part
+      FROM tree WHERE hi - lo > 1
+    )
+  )
+), taken AS (
+  SELECT s.id, s.pass, t.lo AS shard, least(s.size, d.room - (s.spot - d.first)) AS words
+  FROM starts s JOIN drawn d ON d.i = s.i AND d.block = s.block JOIN tree t ON t.i = d.i AND t.place = d.j AND t.hi - t.lo = 1
+  WHERE d.room - (s.spot - d.first) > 0 OR (s.size = 0 AND d.room = s.spot - d.first)
 )
-SELECT doc_id, size, w AS source_size, round(t, 6) AS target,
-       ((CASE WHEN pos < q THEN least(size, q - pos) ELSE 0 END) + (CASE WHEN pos + w < q THEN least(size, q - pos - w) ELSE 0 END))::BIGINT AS taken,
-       ((CASE WHEN pos < q THEN 1 ELSE 0 END) + (CASE WHEN pos + w < q THEN 1 ELSE 0 END))::BIGINT AS draws
-FROM placed
+SELECT doc_id, size, w AS source_size, round(t, 6) AS target, coalesce(n, 0)::BIGINT AS taken, coalesce(shards, '') AS shards
+FROM placed LEFT JOIN (SELECT id, sum(words) AS n, string_agg(shard || ':' || words, ',' ORDER BY pass) AS shards FROM taken GROUP BY id) USING (id)
 """
 
 ORACLES["op3_secret_scan"] = r"""

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import Scratch, hidden, shown, small_batches
+from ._shared import Scratch, hidden, rows_of, shown, small_batches, trimmed
 from .bytebpe import Encoder, vocabulary
 from .words import mixed, slices, words
 
@@ -164,7 +164,7 @@ def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str |
             ends.append(at)
 
     # Two numbers for each partition: at most twice as many rows as the exchange has partitions.
-    base = spark.createDataFrame(places, "__p long, __t boolean, __base long")
+    base = rows_of(spark, places, "__p long, __t boolean, __base long")
     placed = table.join(F.broadcast(base), (F.col("__part") == F.col("__p")) & (F.col("__tail") == F.col("__t")), "left")
     big = lambda x: F.lit(x).cast("long")
     start, n = F.col("__base") + F.col("__at"), F.col("__len")

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, hidden, shown
+from ._shared import Scratch, hidden, rows_of, shown
 
 
 @dataclass(frozen=True)
@@ -107,7 +107,7 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
         wanted = blobs.withColumn("wanted", names)
         old = None
     else:
-        current = spark.createDataFrame([(r.name, r.version) for r in rules], "rule string, version int")
+        current = rows_of(spark, [(r.name, r.version) for r in rules], "rule string, version int")
         old = ledger.join(F.broadcast(current), ["rule", "version"], "left_semi").select("blob", "rule", "version", "spans").dropDuplicates(["blob", "rule"])
         seen = old.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
         wanted = blobs.join(seen, "blob", "left").withColumn("wanted", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))).drop("seen")

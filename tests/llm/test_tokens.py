@@ -29,6 +29,15 @@ def test_ids(coders, docs):
         assert coder.ids(t) == own.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "a b" + "\n" * 800_000 + " y  z", "\t \n" * 300_000 + "'s" + " " * 800_000, "x" + "　" * 70_000 + "!", "a" * 1_000_000, " " * 65_536 + "1"])
+def test_long_runs(coders, text):
+    coder, own = coders
+    assert coder.ids(text) == own.encode(text, add_special_tokens=False).ids
+    d = tokencount.Counted(text, coder)
+    d.edit(5, 6, "x")
+    assert d.tokens == coder.count(text[:5] + "x" + text[6:])
+
+
 def test_edits(coders):
     coder, rng = coders[0], random.Random(2)
     for s in texts(150, 3):
