@@ -1,4 +1,4 @@
-"""python -m clausemill: register, list, pages, ocr, ocr-import, structure, invariants, cards, embed, retrieve."""
+"""python -m clausemill [register, list, pages, ocr, ocr-import, structure, invariants, cards, embed, retrieve]."""
 
 from __future__ import annotations
 
@@ -11,15 +11,19 @@ from pyspark.sql import functions as F
 
 from .operators import clauses as K
 from .operators import quality as Q
+from .operators import references as R
 from .operators import retrieve as H
 from .operators import stages
 from .operators import vectors as V
 from .schemas import DEFAULT_DIM, DEFAULT_DPI
-from .sources import markup, ocr, rasterise
-from .sources.store import Store, upsert
+from .sources import artifacts, markup, ocr, rasterise
+from .sources.store import Store
 from .streaming.ingest import structure
 
 
+DEMO = "first-try.pdf"
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="clausemill")
     p.add_argument("--db", default=".clausemill", help="root folder of the tables")
@@ -44,6 +48,8 @@ def parser() -> argparse.ArgumentParser:
         add.add_argument("document", type=int)
         if name != "invariants":
             add.add_argument("--rebuild", action="store_true")
+        if name in ("structure", "cards"):
+            add.add_argument("--out", help="folder for the JSON artifact")
         if name == "embed":
             add.add_argument("--dim", type=int, default=DEFAULT_DIM)
     add = sub.add_parser("retrieve")
@@ -64,7 +70,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if getattr(a, "document", None) is not None and books.by("documents", document_id=a.document).isEmpty():
         print(f"no document {a.document}", file=sys.stderr)
         return 2
-    if a.command is None or a.command == "list":
+    if a.command is None:  # a first try: a document of its own, and how many there are
+        books.insert(spark.createDataFrame([(DEMO, None)], "source_path string, title string"))
+        print(f"inserted doc_id={books.by('documents', source_path=DEMO).first()['document_id']}; total docs={books.read('documents').count()}")
+        return 0
+    if a.command == "list":
         for row in books.read("documents").orderBy("document_id").toLocalIterator():
             say(row)
         return 0
@@ -81,7 +91,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command == "ocr":
         backend = ocr.StubBackend() if a.backend == "stub" else ocr.default_backend()
         made = ocr.transcribe(books.by("pages", document_id=a.document), backend, books.read("checkpoints"))
-        kept = books.write("ocr_pages", upsert(books.read("ocr_pages"), made.where("status = 'done'").drop("status", "error"), ["document_id", "page_ordinal"], ["raw_text"]))
+        kept = books.save_pages(made.where("status = 'done'").drop("status", "error"))
         mine = books.by("pages", document_id=a.document).select("document_id", "page_ordinal").join(kept.select("document_id", "page_ordinal", F.lit("done").alias("s")), ["document_id", "page_ordinal"], "left")
         books.mark(mine.select("document_id", F.col("page_ordinal").cast("long").alias("unit_id"), F.coalesce("s", F.lit("failed")).alias("status")), "ocr")
         print(books.by("ocr_pages", document_id=a.document).count())
@@ -94,7 +104,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         files = markup.read_files(spark, a.file).select(F.lit(a.document).cast("long").alias("document_id"), "value")
         try:
             made = markup.import_pages(registered, files, books.read("checkpoints").where("stage = 'ocr' AND status = 'done'").withColumnRenamed("unit_id", "page_ordinal"))
-            books.write("ocr_pages", upsert(books.read("ocr_pages"), made, ["document_id", "page_ordinal"], ["raw_text"]))
+            books.save_pages(made)
         except Exception as e:
             if "no page markers" not in str(e):
                 raise
@@ -104,9 +114,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(books.by("ocr_pages", document_id=a.document).count())
         return 0
     if a.command == "structure":
-        structure(books, books.by("ocr_pages", document_id=a.document), a.rebuild)
-        for row in K.kind_counts(books.by("clauses", document_id=a.document)).collect():
+        pages = books.by("ocr_pages", document_id=a.document)
+        structure(books, pages, a.rebuild)
+        parsed, kept = K.parse_pages(pages), books.by("clauses", document_id=a.document)
+        refs = books.read("clause_references").where(F.shiftright("src_clause_id", 24) == a.document).withColumn("document_id", F.lit(a.document).cast("long"))
+        numbered = pages.withColumn("page", F.col("page_ordinal"))
+        for row in R.summary(numbered, parsed, R.extract(parsed), refs).collect():
             say(row)
+        if a.out and not pages.isEmpty():
+            artifacts.write(artifacts.clause_graphs(numbered, parsed, kept), f"{a.out}/structure/doc{a.document}", "clauses.json")
         return 0
     if a.command == "invariants":
         documents, kept = books.by("documents", document_id=a.document), books.by("clauses", document_id=a.document)
@@ -117,10 +133,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command == "cards":
         row = stages.run_cards(books, a.document, a.rebuild)
         say(row)
+        if a.out:
+            mine = books.read("rule_cards").where(F.col("document_id") == a.document)
+            artifacts.write(artifacts.card_files(books.by("documents", document_id=a.document), mine), f"{a.out}/cards/doc{a.document}", "cards.json")
         return 0 if row["ok"] else 1
     if a.command == "embed":
-        say(stages.run_embed(books, V.default_encoder(a.dim), a.document, a.rebuild))
-        return 0
+        row = stages.run_embed(books, V.default_encoder(a.dim), a.document, a.rebuild)
+        say(row)
+        return 0 if row["ok"] else 1
     wanted = [float(x) for x in V.default_encoder(a.dim).encode(a.text)]
     for row in H.retrieve(books.read("rule_cards"), wanted, a.k, topic=a.topic, actor=a.actor).collect():
         say(row)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -44,18 +44,28 @@ def counts(cards: DataFrame, clauses: DataFrame) -> DataFrame:
 
 
 def stage_summary(units: DataFrame, done: DataFrame, cards: DataFrame) -> DataFrame:
-    """One row: clauses scanned, cards inserted, units skipped, what failed, ok."""
+    """One row: clauses scanned, cards inserted, units skipped, how many failed, ok; ``failures`` says which."""
     seen = units.join(done.select("clause_id").distinct().withColumn("skip", F.lit(True)), "clause_id", "left")
     rows = seen.join(cards.select("clause_id", "error", F.lit(True).alias("made")), "clause_id", "left")
     fresh = F.col("skip").isNull()
-    failed = F.collect_list(F.when(fresh & F.col("error").isNotNull(), F.struct("clause_id", "error")))
     per = rows.agg(
         F.count("*").alias("clauses_scanned"),
         F.count_if(fresh & F.col("made") & F.col("error").isNull()).alias("cards_inserted"),
         F.count_if(F.col("skip")).alias("skipped"),
-        F.sort_array(failed).alias("failed"),
+        F.count_if(fresh & F.col("error").isNotNull()).alias("failed"),
     )
-    return per.withColumn("ok", F.size("failed") == 0)
+    return per.withColumn("ok", F.col("failed") == 0)
+
+
+def failures(cards: DataFrame) -> DataFrame:
+    return cards.where("error IS NOT NULL").select("clause_id", "error")
+
+
+def of_clause(cards: DataFrame, clauses: DataFrame) -> DataFrame:
+    """Each clause's cards by id, and whether they have a vector: clause_id, place, card_id, statement, has_embedding."""
+    order = Window.partitionBy("clause_id").orderBy("card_id")
+    mine = cards.join(clauses.select("clause_id"), "clause_id", "left_semi")
+    return mine.select("clause_id", F.row_number().over(order).alias("place"), "card_id", "statement", F.col("embedding").isNotNull().alias("has_embedding"))
 
 
 def embed_text(cards: DataFrame, clauses: DataFrame) -> DataFrame:

@@ -92,6 +92,18 @@ def stored(parsed: DataFrame) -> DataFrame:
     )
 
 
+def citation_map(parsed: DataFrame) -> DataFrame:
+    """document_id and a map from citation to (kind, number, body, ord); of a repeated citation the last parsed. Its size is a document's."""
+    last = F.max_by(F.struct("kind", "number", "body", "ord"), "ord").alias("clause")
+    per = parsed.groupBy("document_id", "citation").agg(last)
+    return per.groupBy("document_id").agg(F.map_from_entries(F.collect_list(F.struct("citation", "clause"))).alias("clauses"))
+
+
+def found(rows: DataFrame, wanted: DataFrame, key: list[str]) -> DataFrame:
+    """Rows with a key that is asked for, each once; keys are compared exactly."""
+    return rows.join(wanted.select(*key).distinct(), key, "left_semi")
+
+
 def kind_counts(clauses: DataFrame) -> DataFrame:
     return clauses.groupBy("document_id", "kind").agg(F.count("*").alias("n"))
 

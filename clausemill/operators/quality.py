@@ -35,36 +35,51 @@ def after_chapter(clauses: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def numbering_gaps(clauses: DataFrame, lines: DataFrame | None = None) -> DataFrame:
-    """Missing article numbers: document_id, missing, before_ord, after_ord, by_chapter.
+    """Missing article numbers, a row for each range of them: document_id, first_missing, last_missing, before_ord, after_ord, by_chapter.
 
-    before_ord: the last article with a smaller number; after_ord: the first with a larger one. The neighbours
-    come from the gaps themselves, which are joined by document.
+    before_ord: the last article with a smaller number; after_ord: the first with a larger one. Numbers stand once, in
+    their order, so a range costs a row however long it is.
     """
-    rows = articles(clauses).select("document_id", "num", "ord")
-    span = rows.groupBy("document_id").agg(F.min("num").alias("lo"), F.max("num").alias("hi"))
-    every = span.select("document_id", F.explode(F.sequence("lo", "hi")).alias("num"))
-    gaps = every.join(rows.select("document_id", "num").distinct(), ["document_id", "num"], "left_anti")
-    both = gaps.withColumnRenamed("num", "missing").join(rows, "document_id")
-    found = both.groupBy("document_id", "missing").agg(F.max(F.when(F.col("num") < F.col("missing"), F.col("ord"))).alias("before_ord"), F.min(F.when(F.col("num") > F.col("missing"), F.col("ord"))).alias("after_ord"))
+    rows = articles(clauses).groupBy("document_id", F.col("num").cast("long").alias("num")).agg(F.max("ord").alias("hi"), F.min("ord").alias("lo"))
+    order = Window.partitionBy("document_id").orderBy("num")
+    found = rows.select(
+        "document_id",
+        (F.col("num") + 1).alias("first_missing"),
+        (F.lead("num").over(order) - 1).alias("last_missing"),
+        F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("before_ord"),
+        F.min("lo").over(order.rowsBetween(1, Window.unboundedFollowing)).alias("after_ord"),
+    ).where("last_missing >= first_missing")
     if lines is None:
         return found.withColumn("by_chapter", F.lit(False))
     marked = after_chapter(clauses, lines).select(F.col("document_id").alias("d"), F.col("ord").alias("o"), F.lit(True).alias("marked"))
     out = found.join(marked, (F.col("document_id") == F.col("d")) & (F.col("after_ord") == F.col("o")), "left")
-    return out.select("document_id", "missing", "before_ord", "after_ord", (F.col("before_ord").isNotNull() & F.coalesce("marked", F.lit(False))).alias("by_chapter"))
+    return out.select(*found.columns, F.coalesce("marked", F.lit(False)).alias("by_chapter"))
+
+
+def _range(first, last):
+    return F.when(first == last, first.cast("string")).otherwise(F.concat_ws("-", first.cast("string"), last.cast("string")))
+
+
+def _rules(df: DataFrame, *rules: tuple) -> DataFrame:
+    """Issues of rows for which a rule's condition holds, in one pass; rules: (name, condition, key, message)."""
+    each = [F.when(bad, F.struct(F.lit(name).alias("rule"), key.cast("string").alias("key"), F.lit(message).alias("message"))) for name, bad, key, message in rules]
+    found = df.select("document_id", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("x"))
+    return found.select("document_id", F.lit("issue").alias("severity"), "x.rule", "x.key", "x.message")
 
 
 def check(documents: DataFrame, clauses: DataFrame, references: DataFrame, lines: DataFrame | None = None) -> DataFrame:
-    """All violations of all documents: (document_id, severity, rule, key, message)."""
+    """All violations of all documents: (document_id, severity, rule, key, message). Clauses are read several times, so write them first."""
     have = clauses.select("document_id").distinct()
     none = _row(documents.join(have, "document_id", "left_anti"), "issue", "has_clauses", F.lit(None), F.lit("no clauses for the document"))
-    blank_name = _row(clauses.where("citation IS NULL OR citation = ''"), "issue", "citation", F.col("clause_id"), F.lit("empty citation"))
     empty = F.coalesce(X.strip(F.col("body")), F.lit("")) == ""
-    blank_body = _row(clauses.where(empty), "issue", "body", F.col("citation"), F.lit("empty body"))
+    blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    of_clauses = _rules(clauses, ("citation", blank("citation"), F.col("clause_id"), "empty citation"), ("body", empty, F.col("citation"), "empty body"))
     refs = references.join(clauses.select(F.col("clause_id").alias("src_clause_id")), "src_clause_id", "left_semi")
-    bad = lambda c: _row(refs.where(F.col(c).isNull() | (F.col(c) == "")), "issue", c, F.col("src_clause_id"), F.lit(f"empty {c}"))
-    gaps = numbering_gaps(clauses, lines).where("NOT by_chapter").groupBy("document_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list("missing")), lambda n: n.cast("string")), ", ").alias("gaps"))
+    of_references = _rules(refs, *[(c, blank(c), F.col("src_clause_id"), f"empty {c}") for c in ("raw_text", "target_citation")])
+    each = F.struct("first_missing", _range(F.col("first_missing"), F.col("last_missing")).alias("said"))
+    gaps = numbering_gaps(clauses, lines).where("NOT by_chapter").groupBy("document_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(each)), lambda x: x["said"]), ", ").alias("gaps"))
     note = _row(gaps, "note", "numbering", F.lit(None), F.concat(F.lit("numbers missing without a chapter boundary: "), F.col("gaps")))
-    return none.unionByName(blank_name).unionByName(blank_body).unionByName(bad("raw_text")).unionByName(bad("target_citation")).unionByName(note)
+    return none.unionByName(of_clauses).unionByName(of_references).unionByName(note)
 
 
 def report(documents: DataFrame, violations: DataFrame) -> DataFrame:

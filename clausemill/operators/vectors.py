@@ -160,10 +160,15 @@ def normalized(vector: Column) -> Column:
 
 
 def dimension_audit(rows: DataFrame, key: str, expected: int, column: str = "embedding") -> DataFrame:
-    """One row: vectors checked, those of another dimension, and whether there are none."""
-    have = rows.where(F.col(column).isNotNull()).withColumn("actual", F.size(column))
-    wrong = F.sort_array(F.collect_list(F.when(F.col("actual") != expected, F.struct(F.col(key).alias("id"), "actual", F.lit(expected).alias("expected")))))
-    return have.agg(F.count("*").alias("checked"), wrong.alias("mismatched")).withColumn("ok", F.size("mismatched") == 0)
+    """One row: vectors checked, how many have another dimension, and whether none has; ``dimension_mismatches`` says which."""
+    have = rows.where(F.col(column).isNotNull())
+    return have.agg(F.count("*").alias("checked"), F.count_if(F.size(column) != expected).alias("mismatched")).withColumn("ok", F.col("mismatched") == 0)
+
+
+def dimension_mismatches(rows: DataFrame, key: str, expected: int, column: str = "embedding") -> DataFrame:
+    """id, actual, expected of the vectors of another dimension."""
+    wrong = rows.where(F.col(column).isNotNull() & (F.size(column) != expected))
+    return wrong.select(F.col(key).alias("id"), F.size(column).alias("actual"), F.lit(expected).alias("expected"))
 
 
 def most_similar(rows: DataFrame, key: str, query: list[float], k: int, column: str = "embedding") -> DataFrame:

@@ -118,11 +118,12 @@ articles AS (
   FROM clauses WHERE kind = 'dieu' AND try_cast(number AS INTEGER) IS NOT NULL
 ), chapter_pages AS (SELECT DISTINCT document_id, page FROM lines WHERE regexp_matches(line, '^{WS}*Chương{WS}+[IVXLCDM]+\\b')
 ), marked AS (SELECT a.document_id, a.ord FROM articles a WHERE EXISTS (SELECT 1 FROM chapter_pages c WHERE c.document_id = a.document_id AND c.page BETWEEN a.lo AND a.page_start)
-), every AS (SELECT document_id, unnest(range(min(num), max(num) + 1))::INTEGER AS missing FROM articles GROUP BY document_id
+), spans AS (
+  SELECT document_id, num + 1 AS first_missing, (SELECT min(x.num) FROM articles x WHERE x.document_id = a.document_id AND x.num > a.num) - 1 AS last_missing
+  FROM (SELECT DISTINCT document_id, num::BIGINT AS num FROM articles) a
 ), gaps AS (
-  SELECT e.document_id, e.missing, max(a.ord) FILTER (WHERE a.num < e.missing) AS before_ord, min(a.ord) FILTER (WHERE a.num > e.missing) AS after_ord
-  FROM every e JOIN articles a USING (document_id)
-  WHERE NOT EXISTS (SELECT 1 FROM articles x WHERE x.document_id = e.document_id AND x.num = e.missing) GROUP BY e.document_id, e.missing
+  SELECT e.document_id, e.first_missing, e.last_missing, max(a.ord) FILTER (WHERE a.num < e.first_missing) AS before_ord, min(a.ord) FILTER (WHERE a.num > e.last_missing) AS after_ord
+  FROM spans e JOIN articles a USING (document_id) WHERE e.last_missing >= e.first_missing GROUP BY ALL
 ), numbering AS (
   SELECT g.*, g.before_ord IS NOT NULL AND m.ord IS NOT NULL AS by_chapter FROM gaps g LEFT JOIN marked m ON m.document_id = g.document_id AND m.ord = g.after_ord
 )"""

@@ -27,46 +27,62 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
-def split_pages(files: DataFrame) -> DataFrame:
-    """files (document_id, value) -> document_id, page_ordinal, raw_text.
-
-    A batch line opens pages N to M; each <PAGE> at a line start takes the next of them, and marks beyond M are
-    dropped. Pages without a mark have no row here; a page of several batches has its last. Text before the first
-    batch, and in a batch before its first mark, is dropped. A document without a batch line fails.
-    """
+def _batched(files: DataFrame) -> DataFrame:
+    """files (document_id, value) -> document_id, at, line, batch (by number, from 1), first, last (the batch's pages), is_batch."""
     lines = files.select("document_id", F.posexplode(F.split(F.coalesce("value", F.lit("")), "\n", -1)).alias("at", "line"))
     order = Window.partitionBy("document_id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     is_batch = F.rlike("line", F.lit(BATCH))
-    rows = lines.withColumn("batch", F.sum(F.when(is_batch, 1).otherwise(0)).over(order))
-    number = lambda g: F.last(F.when(is_batch, F.expr("try_cast(x AS INT)")), True).over(order)
-    rows = rows.withColumn("x", F.regexp_extract("line", BATCH, 1)).withColumn("first", number(1)).withColumn("x", F.regexp_extract("line", BATCH, 2)).withColumn("last", number(2))
-    checked = F.when(F.max("batch").over(Window.partitionBy("document_id")) == 0, F.raise_error(F.lit("a file has no page markers"))).otherwise(F.col("batch"))
-    rows = rows.withColumn("batch", checked).where("batch > 0").where(~is_batch)
+    rows = lines.withColumn("is_batch", is_batch).withColumn("batch", F.sum(F.when(is_batch, 1).otherwise(0)).over(order))
+    page = lambda g: F.last(F.when(F.col("is_batch"), F.expr(f"try_cast(regexp_extract(line, r'{BATCH}', {g}) AS INT)")), True).over(order)
+    rows = rows.withColumn("first", page(1)).withColumn("last", page(2))
+    none = F.max("batch").over(Window.partitionBy("document_id")) == 0
+    return rows.withColumn("batch", F.when(none, F.raise_error(F.lit("a file has no page markers"))).otherwise(F.col("batch"))).where("batch > 0")
+
+
+def _texts(batched: DataFrame) -> DataFrame:
+    """document_id, batch, page_ordinal, raw_text of the pages that have a mark."""
     starts = F.startswith("line", F.lit(PAGE))
     within = Window.partitionBy("document_id", "batch").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("k", F.sum(F.when(starts, 1).otherwise(0)).over(within)).where("k > 0")
+    rows = batched.where("NOT is_batch").withColumn("k", F.sum(F.when(starts, 1).otherwise(0)).over(within)).where("k > 0")
     rows = rows.withColumn("page_ordinal", F.col("first") + F.col("k").cast("int") - 1).where("page_ordinal <= last")
-    said = F.when(starts, F.substring("line", len(PAGE) + 1, 1 << 30)).otherwise(F.col("line"))
-    rows = rows.withColumn("said", said)
+    rows = rows.withColumn("said", F.when(starts, F.substring("line", len(PAGE) + 1, 1 << 30)).otherwise(F.col("line")))
     # The line end before a batch line belongs to the page before it; it is a line end at the page's end, and goes.
     per = rows.groupBy("document_id", "batch", "page_ordinal").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "said"))), lambda x: x["said"]), "\n").alias("text"))
+    return per.select("document_id", "batch", "page_ordinal", cleaned(F.col("text")).alias("raw_text"))
+
+
+def split_pages(files: DataFrame) -> DataFrame:
+    """files (document_id, value) -> document_id, page_ordinal, raw_text of the pages that have a mark.
+
+    A batch line opens pages N to M; each <PAGE> at a line start takes the next of them, and marks beyond M are
+    dropped. A page of several batches has the text of the last that has a mark for it. Text before the first
+    batch, and in a batch before its first mark, is dropped. A document without a batch line fails.
+    """
     last = Window.partitionBy("document_id", "page_ordinal").orderBy(F.desc("batch"))
-    return per.withColumn("n", F.row_number().over(last)).where("n = 1").select("document_id", "page_ordinal", cleaned(F.col("text")).alias("raw_text"))
+    return _texts(_batched(files)).withColumn("n", F.row_number().over(last)).where("n = 1").select("document_id", "page_ordinal", "raw_text")
 
 
 def import_pages(registered: DataFrame, files: DataFrame, done: DataFrame | None = None) -> DataFrame:
-    """Registered pages that aren't done, with their text; '' where the file has none."""
+    """Registered pages that aren't done, with their text in the last batch that names them; '' where that has no mark for
+    them, and where no batch names them."""
     todo = registered if done is None else registered.join(done.select("document_id", "page_ordinal"), ["document_id", "page_ordinal"], "left_anti")
-    return todo.join(split_pages(files), ["document_id", "page_ordinal"], "left").withColumn("raw_text", F.coalesce("raw_text", F.lit("")))
+    batched = _batched(files)
+    ranges = batched.where("is_batch").select(F.col("document_id").alias("d"), "batch", "first", "last")
+    # Within a document, its pages meet its batch lines.
+    named = todo.select("document_id", "page_ordinal").join(ranges, (F.col("document_id") == F.col("d")) & F.col("page_ordinal").between(F.col("first"), F.col("last")))
+    last = named.groupBy("document_id", "page_ordinal").agg(F.max("batch").alias("batch"))
+    text = last.join(_texts(batched), ["document_id", "batch", "page_ordinal"]).drop("batch")
+    return todo.join(text, ["document_id", "page_ordinal"], "left").withColumn("raw_text", F.coalesce("raw_text", F.lit("")))
 
 
-# ---- the registered queries: documents as files, a batch line every 6 lines and a page mark every 2
+# ---- the registered queries: documents as files, a batch line every 6 lines and a page mark every 2; a last batch names
+# pages 1 and 2 again and has a mark for 1 only
 
 
 def _as_file(text: str) -> str:
     return f"""array_join(transform(split({text}, '\\n', -1), (l, i) -> concat(
         CASE WHEN i % 6 = 0 THEN concat('<!-- page ', cast(1 + 2 * (i div 6) AS STRING), '-', cast(2 + 2 * (i div 6) AS STRING), ' -->\\n') ELSE '' END,
-        CASE WHEN i % 2 = 0 THEN '<PAGE><|det|>page_number [1,2]<|/det|>7\\n<|det|>title [1,2]<|/det|>' WHEN i % 6 = 3 THEN '[Non-Text]\\n' ELSE '' END, l)), '\\n')"""
+        CASE WHEN i % 2 = 0 THEN '<PAGE><|det|>page_number [1,2]<|/det|>7\\n<|det|>title [1,2]<|/det|>' WHEN i % 6 = 3 THEN '[Non-Text]\\n' ELSE '' END, l)), '\\n') || '\\n<!-- page 1-2 -->\\n<PAGE>again'"""
 
 
 def page_import_query(documents: DataFrame) -> DataFrame:
@@ -84,7 +100,9 @@ WITH l AS (SELECT doc_id, unnest(s) AS line, unnest(range(0, len(s))) AS i, len(
 ), pages AS (
   SELECT doc_id, 1 + 2 * (i // 6) + (i % 6) // 2 AS page, string_agg(line, chr(10) ORDER BY i) AS text FROM l WHERE i % 6 < 4 GROUP BY ALL
 ), every AS (SELECT DISTINCT doc_id, unnest(range(1, 2 * ((n + 5) // 6) + 1)) AS page FROM l
-), clean AS (SELECT e.doc_id, e.page, regexp_replace(regexp_replace(coalesce(text, ''), '^\n+', ''), '\n+$', '') AS text FROM every e LEFT JOIN pages USING (doc_id, page))
+), clean AS (
+  SELECT e.doc_id, e.page, CASE e.page WHEN 1 THEN 'again' WHEN 2 THEN '' ELSE regexp_replace(regexp_replace(coalesce(text, ''), '^\n+', ''), '\n+$', '') END AS text FROM every e LEFT JOIN pages USING (doc_id, page)
+)
 SELECT doc_id AS document_id, page::INTEGER AS page_ordinal, md5(text) AS text_md5, length(text)::INTEGER AS chars FROM clean
 """
 

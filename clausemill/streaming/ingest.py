@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import clauses, references
 from ..schemas import OCR_PAGES
+from ..sources.scratch import written
 from ..sources.store import Store
 
 
@@ -24,9 +25,7 @@ def ingest(spark: SparkSession, path: str, books: Store, checkpoint: str) -> Str
     def batch(pages: DataFrame, _: int) -> None:
         if pages.isEmpty():
             return
-        from ..sources.store import upsert
-
-        known = books.write("ocr_pages", upsert(books.read("ocr_pages"), pages, ["document_id", "page_ordinal"], ["raw_text"]))
+        known = books.save_pages(pages)
         touched = known.join(pages.select("document_id").distinct(), "document_id", "left_semi")
         structure(books, touched)
 
@@ -37,14 +36,9 @@ def structure(books: Store, pages: DataFrame, rebuild: bool = False) -> None:
     """Clauses and references of the pages' documents into the store; with rebuild, what they had goes first."""
     if rebuild:
         books.delete_documents(pages.select("document_id").distinct())
-    parsed = clauses.parse_pages(pages)
+    parsed = written(clauses.parse_pages(pages))
     kept = books.save_clauses(clauses.stored(parsed))
     mine = kept.join(pages.select("document_id").distinct(), "document_id", "left_semi")
     books.save_references(references.numbered(references.resolve(references.extract(parsed), mine)))
     whole = pages.select("document_id").distinct().select("document_id", F.lit(0).cast("long").alias("unit_id"), F.lit("done").alias("status"))
     books.mark(whole, "structure")
-
-
-def page_rate(pages: DataFrame, window: str = "10 minutes", late: str = "1 hour") -> DataFrame:
-    """A stream of (document_id, at, ...) -> pages by time window; events later than ``late`` don't count."""
-    return pages.withWatermark("at", late).groupBy(F.window("at", window), "document_id").agg(F.count("*").alias("pages"))

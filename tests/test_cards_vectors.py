@@ -85,7 +85,8 @@ def test_bytes_round_trip(spark):
 def test_audit(spark):
     df = spark.createDataFrame([(1, [0.0] * 64), (2, [0.0] * 64), (3, None)], "id long, embedding array<float>")
     r = V.dimension_audit(df, "id", 128).first()
-    assert r["checked"] == 2 and len(r["mismatched"]) == 2 and not r["ok"]
+    assert r["checked"] == 2 and r["mismatched"] == 2 and not r["ok"]
+    assert {(x["id"], x["actual"], x["expected"]) for x in V.dimension_mismatches(df, "id", 128).collect()} == {(1, 64, 128), (2, 64, 128)}
 
 
 def test_walks(spark):

@@ -132,6 +132,13 @@ def test_gap_is_a_note(spark):
     assert report["ok"] and rules == ["numbering"]
 
 
+def test_a_large_number_is_one_gap(spark):
+    df = spark.createDataFrame([(1, 1, "Điều 2. a\nĐiều 2147483647. b\nĐiều 5. c\nĐiều 99999999999999. d\nĐiều 3. e")], "document_id long, page_ordinal int, raw_text string")
+    got = Q.numbering_gaps(K.stored(K.parse_pages(df))).orderBy("first_missing").collect()
+    assert [(r["first_missing"], r["last_missing"], r["before_ord"], r["after_ord"]) for r in got] == [(4, 4, 5, 2), (6, 2147483646, 5, 2)]
+    assert check(spark, "Điều 1. a\nĐiều 3. b\nĐiều 9. c")[1] == ["numbering"]
+
+
 def test_gap_at_a_chapter_is_silent(spark):
     report, rules = check(spark, "Điều 13. a\nChương III\nĐiều 17. b")
     assert report["ok"] and rules == []

@@ -33,6 +33,14 @@ def test_a_file_without_batches_fails(spark):
         pages(spark, "<PAGE>one")
 
 
+def test_a_later_batch_without_a_mark_empties_its_pages(spark):
+    registered = spark.createDataFrame([(1, p) for p in (1, 2, 3, 9)], "document_id long, page_ordinal int")
+    text = "<!-- page 1-3 -->\n<PAGE>a\n<PAGE>b\n<PAGE>c\n<!-- page 2-2000000000 -->\n<PAGE>new\n<!-- page 8-7 -->\n<PAGE>x"
+    files = spark.createDataFrame([(1, text)], "document_id long, value string")
+    got = {r["page_ordinal"]: r["raw_text"] for r in markup.import_pages(registered, files).collect()}
+    assert got == {1: "a", 2: "new", 3: "", 9: ""}
+
+
 def test_cleaning(spark):
     text = "<|det|>page_number [1,2]<|/det|> 12\n<|det|>title [3]<|/det|>Điều 2. Đối tượng\n  [Non-Text] \nxong\n"
     df = spark.createDataFrame([(text,)], "t string")
@@ -129,6 +137,80 @@ def test_store(spark, tmp_path):
         books.write("clauses", spark.createDataFrame([(1, "section")], "clause_id long, kind string"))
 
 
+def test_ids_stay_when_pages_come_out_of_order(spark, tmp_path):
+    books = store.Store(spark, str(tmp_path / "db"))
+    pages = {1: "Điều 1. một theo Điều 3\nKhoản 1. x", 2: "Điều 2. hai theo Điều 1 và Điều 9\nKhoản 1. y", 3: "Điều 3. ba\n  a) z"}
+    page = lambda *ks: spark.createDataFrame([(7, k, pages[k]) for k in ks], "document_id long, page_ordinal int, raw_text string")
+    ingest.structure(books, page(2))
+    before = {r["citation"]: r["clause_id"] for r in books.read("clauses").collect()}
+    refs = {(r["src_clause_id"], r["target_citation"]): r["reference_id"] for r in books.read("clause_references").collect()}
+    ingest.structure(books, page(2, 3))
+    ingest.structure(books, page(1, 2, 3))
+    rows = {r["citation"]: r for r in books.read("clauses").collect()}
+    assert set(rows) == {"Điều 1", "Khoản 1 Điều 1", "Điều 2", "Khoản 1 Điều 2", "Điều 3", "Điểm a Điều 3"}
+    assert len({r["clause_id"] for r in rows.values()}) == 6 and all(r["clause_id"] >> 24 == 7 for r in rows.values())
+    assert all(rows[c]["clause_id"] == k for c, k in before.items())
+    for child in ("Khoản 1 Điều 1", "Khoản 1 Điều 2", "Điểm a Điều 3"):
+        assert rows[child]["parent_id"] == rows[child[-6:]]["clause_id"]
+    got = {(r["src_clause_id"], r["target_citation"]): r for r in books.read("clause_references").collect()}
+    assert len({r["reference_id"] for r in got.values()}) == len(got) == 3 and all(got[k]["reference_id"] == v for k, v in refs.items())
+    assert got[rows["Điều 1"]["clause_id"], "Điều 3"]["dst_clause_id"] == rows["Điều 3"]["clause_id"]
+
+
+def test_changes_write_only_the_buckets_they_touch(spark, tmp_path):
+    books = store.Store(spark, str(tmp_path / "db"))
+    rows = spark.range(1, 300).select(F.col("id").alias("document_id"), F.lit(0).alias("unit_id"), F.lit("done").alias("status"))
+    books.mark(rows, "ocr")
+    books.mark(rows.where("document_id = 5").withColumn("status", F.lit("failed")), "ocr")
+    last = books._manifest("checkpoints", books._versions("checkpoints")[-1])
+    assert sorted(last.values()).count(2) == 1 and len(last) > 50
+    assert books.read("checkpoints").count() == 299 and books.by("checkpoints", document_id=5).first()["status"] == "failed"
+    with pytest.raises(PySparkException, match="status is bad"):
+        books.mark(rows.limit(1).withColumn("status", F.lit("bad")), "ocr")
+    assert books.read("checkpoints").count() == 299
+
+
+def test_a_path_twice_is_an_error(spark, tmp_path):
+    books = store.Store(spark, str(tmp_path / "db"))
+    one = spark.createDataFrame([("a", None)], "source_path string, title string")
+    books.insert(one)
+    for bad in (one, one.withColumn("source_path", F.lit("b")).union(one.withColumn("source_path", F.lit("b")))):
+        with pytest.raises(ValueError, match="already"):
+            books.insert(bad)
+    assert books.read("documents").count() == 1
+
+
+def test_artifacts(spark, tmp_path):
+    from clausemill.operators import clauses as K
+    from clausemill.sources import artifacts
+
+    pages = spark.createDataFrame([(1, 1, "Điều 1. \"a\"\nKhoản 2. b"), (1, 4, "  a) c"), (2, 1, "văn xuôi")], "document_id long, page_ordinal int, raw_text string")
+    parsed = K.parse_pages(pages)
+    artifacts.write(artifacts.clause_graphs(pages.withColumn("page", F.col("page_ordinal")), parsed, K.stored(parsed)), str(tmp_path), "clauses.json")
+    text = {json.loads(r["value"])["document_id"]: json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "clauses.json")).collect()}
+    assert text[2] == {"document_id": 2, "page_count": 1, "clauses": []} and text[1]["page_count"] == 4
+    assert [(c["citation"], c["parent_number"], c["id"] & 0xFFFFFF) for c in text[1]["clauses"]] == [("Điều 1", None, 1), ("Khoản 2 Điều 1", ["1"], 2), ("Điểm a Khoản 2 Điều 1", ["1", "2"], 3)]
+    cards = spark.createDataFrame([(9, 8, 1, "s", [1.0]), (7, 6, 1, "t", None)], "card_id long, clause_id long, document_id long, statement string, embedding array<float>")
+    artifacts.write(artifacts.card_files(pages.select("document_id").distinct(), cards), str(tmp_path), "cards.json")
+    back = {r["document_id"]: r for r in artifacts.read(spark, str(tmp_path), "cards.json", artifacts.CARDS).collect()}
+    assert back[2]["card_count"] == 0 and [(c["id"], c["has_embedding"]) for c in back[1]["cards"]] == [(7, False), (9, True)]
+
+
+def test_embedding_again_what_has_another_dimension(spark, tmp_path):
+    books = store.Store(spark, str(tmp_path / "db"))
+    ingest.structure(books, spark.createDataFrame([(1, 1, "Điều 1. Tổ chức nộp thuế\nĐiều 2. Cá nhân nộp thuế")], "document_id long, page_ordinal int, raw_text string"))
+    stages.run_cards(books)
+
+    class Other(V.HashBag):
+        def encode_batch(self, texts):
+            return V.HashBag(32).encode_batch(texts)
+
+    row = stages.run_embed(books, Other(64))
+    assert (row["embedded"], row["mismatched"], row["failed"], row["ok"]) == (0, 2, 0, False)
+    row = stages.run_embed(books, V.HashBag(64))
+    assert (row["cards_scanned"], row["embedded"], row["skipped"], row["ok"]) == (2, 2, 0, True)
+
+
 def test_stream(spark, tmp_path):
     source = tmp_path / "in"
     ocr.write_artifacts(spark.createDataFrame([(4, 1, "Điều 1. a"), (4, 2, "Khoản 1. b")], "document_id long, page_ordinal int, raw_text string"), str(source))
