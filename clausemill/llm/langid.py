@@ -7,14 +7,14 @@ Texts are lower-cased and everything but letters becomes a single space, so that
 capitals don't decide.
 
 Fitting reads a bounded sample: of each language the ``sample_docs`` labelled documents whose hashed ids
-are least, and of each of those at most ``sample_bytes``. The sample is cleaned: dictionaries of one half
+are least, and of each of those at most ``sample_bytes`` (of a repeated id the least text). The sample is cleaned: dictionaries of one half
 code the other, and texts that another language codes smaller are left out of the final dictionaries.
 Languages are as many as there are labels, each with one dictionary on every task.
 
 Defined results: text that is null, empty or without a letter is "und" with score 0; with one learned
 language every other text gets it with score 1; with none, "und" with score 0; ties go to the language
 first by code point and are narrow; texts of any length are coded whole; repeated rows are each scored;
-an empty table gives no rows; other columns pass through, whatever their names.
+an empty table gives no rows; other columns pass through, but for those with a result's name, which gives way to it.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import hidden, shown, small_batches
+from ._shared import hidden, rows_of, shown, small_batches
 
 #: ASCII that isn't a letter becomes a space; the bytes of other characters stay.
 _ASCII = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -124,12 +124,17 @@ def train(rows: list[tuple[str, str]], settings: Settings) -> Model:
 
 def fit(docs: DataFrame, learn: Column, settings: Settings = Settings()) -> Model:
     """A model of the rows where ``learn`` holds, by their columns text and lang; doc_id only picks the sample."""
-    labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("langid"), "doc_id"), "doc_id")
-    ids = labelled.withColumn("place", F.row_number().over(order)).where(F.col("place") <= settings.sample_docs).select("doc_id", "lang", "place")
+    spark, hashed = docs.sparkSession, F.xxhash64(F.lit("langid"), "doc_id")
+    labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
+    # Hashes below a bound are some four times as many as are wanted: only these meet by language.
+    per = labelled.groupBy("lang").count().collect()
+    bounds = rows_of(spark, [(r["lang"], float(min(1.0, 4 * (settings.sample_docs + 16) / r["count"]))) for r in per], "l string, part double")
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    some = labelled.join(F.broadcast(bounds), F.col("lang") == F.col("l")).withColumn("h", hashed).where(F.col("h") / F.lit(2.0**64) + 0.5 <= F.col("part"))
+    ids = some.select("doc_id", "lang", "h").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= settings.sample_docs).select("doc_id", "lang", "place")
     texts = docs.where(learn & F.col("text").isNotNull()).select(F.col("doc_id").alias("d"), F.col("lang").alias("l"), F.substring("text", 1, settings.sample_bytes).alias("text"))
-    # At most languages x sample_docs rows are picked, so the picked ids are sent to the texts.
-    got = texts.join(F.broadcast(ids), (F.col("d") == F.col("doc_id")) & (F.col("l") == F.col("lang"))).select("lang", "place", "text").toPandas()
+    # At most languages x sample_docs rows are picked, so the picked ids are sent to the texts; of a repeated id one text stays.
+    got = texts.join(F.broadcast(ids), (F.col("d") == F.col("doc_id")) & (F.col("l") == F.col("lang"))).groupBy("lang", "place").agg(F.min("text").alias("text")).toPandas()
     got = got.sort_values(["lang", "place", "text"])
     return train(list(zip(got["lang"], got["text"], strict=True)), settings)
 
@@ -148,7 +153,7 @@ def identify(docs: DataFrame, learn: Column | None = None, settings: Settings =
         return pd.DataFrame([names["model"](t) for t in texts], columns=["lang", "score", "rejected"])
 
     out = docs.select(*cols, judge(docs["text"].cast("string")).alias("__j"))
-    return out.select(*shown(pairs), F.col("__j.lang").alias("lang_pred"), F.col("__j.score").alias("lang_score"), F.col("__j.rejected").alias("lang_rejected"))
+    return out.select(*shown(pairs, "lang_pred", "lang_score", "lang_rejected"), F.col("__j.lang").alias("lang_pred"), F.col("__j.score").alias("lang_score"), F.col("__j.rejected").alias("lang_rejected"))
 
 
 def _packed(model: Model) -> tuple:

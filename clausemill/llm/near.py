@@ -23,7 +23,7 @@ that joins two components is lost, and links inside a component aren't spelled o
 Defined results: null text, and text without words, has 0 grams, and is a component of its own; a text with
 fewer than n words has one gram, its whole sequence; repeated rows are copies; a null doc_id is no
 component's name if there is another; texts of any length are read whole; an empty table gives no rows;
-other columns pass through, whatever their names. Grams are known by 56-bit
+other columns pass through, but for those with a result's name, which gives way to it. Grams are known by 56-bit
 hashes, sets by 64-bit ones.
 """
 

@@ -87,14 +87,14 @@ FROM docs LEFT JOIN per USING (row_id)
 
 ORACLES["op6_top_k"] = """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, r.vec_id, list_sum(list_transform(list_zip(q.v, r.v), lambda z: z[1] * z[2]))::BIGINT AS score
-  FROM vectors q JOIN vectors r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id
+  SELECT q.row_id, q.vec_id AS query_id, r.vec_id, list_sum(list_transform(list_zip(q.v, r.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM vectors q JOIN vectors r ON q.vec_id % 50 = 0 AND q.row_id <> r.row_id
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5
 """
 

@@ -12,7 +12,7 @@ and the ranges' totals (two numbers for each partition) turn these into places i
 one document, and the pieces of about a million tokens.
 
 Defined results: null text is empty, so its document is the end token alone; texts of any length are cut
-as often as needed; ties of the key are ordered by doc_id; repeated rows are documents of their own; an
+as often as needed; documents of one key are ordered by a hash of doc_id and text; repeated rows are documents of their own; an
 empty table gives no rows; columns named by ``carry`` pass through, whatever their names.
 """
 
@@ -33,6 +33,7 @@ from .bytebpe import Encoder, vocabulary
 from .words import mixed, slices, words
 
 DIMS, BITS = 4, 8
+RANGE = 64 << 20
 
 
 def hilbert(axes: np.ndarray, bits: int) -> np.ndarray:
@@ -80,18 +81,23 @@ def _keyed(bounds: np.ndarray):
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = curve_keys(b.column("__text"))
+            keys = _places(b)
             ranges = np.searchsorted(bounds, keys, "right").astype(np.int32)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int64()), pa.array(ranges)], [*b.schema.names, "__key", "__range"])
 
-    return read
+    return trimmed(read)
 
 
-def _bounds(inner: DataFrame, parts: int, per: int = 64) -> np.ndarray:
-    """Keys that cut the curve into ranges of about as many documents, from some ``per`` documents a range; they decide where rows go, and nothing else."""
-    total = inner.count()
-    some = inner.select("__text").sample(False, min(1.0, parts * per / max(1, total)), seed=17)
-    found = some.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array(curve_keys(b.column("__text")), pa.int64())], ["key"]) for b in batches), "key long").toPandas()
+def _places(b: pa.RecordBatch) -> np.ndarray:
+    """Keys on the curve, then the documents' hashes: many copies of one text fall in many ranges."""
+    tie = b.column("__tie").to_numpy().view(np.uint64) >> np.uint64(64 - 63 + DIMS * BITS)
+    return (curve_keys(b.column("__text")) << (63 - DIMS * BITS)) | tie.astype(np.int64)
+
+
+def _bounds(inner: DataFrame, parts: int, total: int, per: int = 64) -> np.ndarray:
+    """Places that cut the curve into ranges of about as many documents, from some ``per`` documents a range; they decide where rows go, and nothing else."""
+    some = inner.select("__text", "__tie").sample(False, min(1.0, parts * per / max(1, total)), seed=17)
+    found = some.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array(_places(b), pa.int64())], ["key"]) for b in batches), "key long").toPandas()
     return np.quantile(found["key"], np.arange(1, parts) / parts, method="nearest") if len(found) else np.zeros(0)
 
 
@@ -104,10 +110,13 @@ def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str |
     small_batches(spark)
     file = tokenizer or vocabulary()
     cols, pairs = hidden(docs, list(carry))
-    inner = docs.select(*cols, docs["doc_id"].cast("string").alias("__tie"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("__text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    inner = docs.select(*cols, F.xxhash64(docs["doc_id"].cast("string"), text).alias("__tie"), text.alias("__text"))
+    size = docs.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("chars")).first()
+    # As many ranges as keep RANGE characters in each.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size["chars"] // RANGE))
     schema = T.StructType([*inner.schema.fields, T.StructField("__key", T.LongType()), T.StructField("__range", T.IntegerType())])
-    keyed = inner.mapInArrow(_keyed(_bounds(inner, parts)), schema)
+    keyed = inner.mapInArrow(_keyed(_bounds(inner, parts, size["rows"])), schema)
     # Ranges are partitions as they are, so that Spark needs no second look at the texts to find their bounds.
     ranged = keyed.repartitionById(parts, F.col("__range")).sortWithinPartitions("__key", "__tie").drop("__key", "__tie", "__range")
     kept = [f for f in ranged.schema.fields if f.name != "__text"]
@@ -148,7 +157,7 @@ def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str |
     longs = [T.StructField(x, T.LongType()) for x in ("__start", "__n", "__at", "__part")]
     stored = T.StructType([*kept, *longs, T.StructField("__tail", T.BooleanType()), T.StructField("__ids", T.ArrayType(T.IntegerType()))])
     names = stored.names
-    table = scratch.keep(ranged.mapInArrow(tokens, stored).withColumn("__len", F.size("__ids").cast("long")), "tokens", "__tail")
+    table = scratch.keep(ranged.mapInArrow(trimmed(tokens), stored).withColumn("__len", F.size("__ids").cast("long")), "tokens", "__tail")
     # Finished sequences come first, partition by partition; what each partition has left over makes the stream's end.
     lens = table.groupBy("__part", "__tail").agg(F.sum("__len").alias("n"), F.min("__at").alias("first")).collect()
     places, total = [], 0

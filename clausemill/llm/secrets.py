@@ -2,6 +2,7 @@ r"""Secret scans through an incremental ledger of blobs, with DataFrame function
 
 A blob is one content of one version of one path, named by its SHA-256; the ledger has a row for each
 blob and rule version that was ever scanned, with the spans found. ``scan`` names every version's blob,
+looks up in the ledger the blobs that it was given, and no others,
 keeps one text of each blob with a rule version that the ledger hasn't seen, scans those only, and joins
 the spans of ledger and scan back to all paths. A text that many paths share is moved once per map task
 and scanned once, however many there are.
@@ -11,17 +12,19 @@ ends are exclusive, counted in code points. They come from the lengths of the ma
 ``split`` leaves between them, summed by a window within one blob and rule.
 
 Defined results: null text is an empty one; empty text has no spans; repeated rows each get their spans;
-an empty table gives empty results; other columns pass through, whatever their names.
+an empty table gives empty results; other columns pass through, but for those with a result's name, which gives way to it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, hidden, rows_of, shown
+from ._shared import Scratch, hidden, shown
 
 
 @dataclass(frozen=True)
@@ -90,6 +93,20 @@ def find_spans(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return rows.groupBy("blob", "rule", "version").agg(F.sort_array(F.collect_list("hit")).alias("spans"))
 
 
+class Ledger:
+    """The ledger as a table under a folder that all executors see, partitioned by the first digit of the blob."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(f"{LEDGER}, prefix string").parquet(self.path)
+
+    def append(self, new: DataFrame) -> None:
+        rows = new.withColumn("prefix", F.substring("blob", 1, 1))
+        rows.hint("rebalance", "prefix").write.mode("append").partitionBy("prefix").parquet(self.path)
+
+
 def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, *, text: str = "text", carry: list[str] | None = None, keep: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """(findings, new ledger rows): findings has the carried columns, ``blob`` and ``spans`` for every row of versions.
 
@@ -97,7 +114,6 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     keep them; a row of the ledger for another version of a rule doesn't count as seen. With ``keep``, new
     rows are written there first.
     """
-    spark = versions.sparkSession
     cols, pairs = hidden(versions, carry if carry is not None else versions.columns)
     body = F.coalesce(versions[f"`{text}`"], F.lit(""))
     named = versions.select(*cols, blob_of(body).alias("__blob"))
@@ -107,21 +123,24 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
         wanted = blobs.withColumn("wanted", names)
         old = None
     else:
-        current = rows_of(spark, [(r.name, r.version) for r in rules], "rule string, version int")
-        old = ledger.join(F.broadcast(current), ["rule", "version"], "left_semi").select("blob", "rule", "version", "spans").dropDuplicates(["blob", "rule"])
+        current = reduce(or_, [(F.col("rule") == r.name) & (F.col("version") == r.version) for r in rules], F.lit(False))
+        mine = named.select(F.col("__blob").alias("blob"), F.substring("__blob", 1, 1).alias("prefix")).distinct()
+        by = [c for c in ("prefix", "blob") if c in ledger.columns]
+        # Of the ledger only rows of these blobs go on; its parts that have none of them aren't read.
+        old = ledger.where(current).join(mine, by, "left_semi")
+        old = old.select("blob", "rule", "version", "spans").dropDuplicates(["blob", "rule"])
+        old = old if keep is None else keep.keep(old, "known")
         seen = old.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
         wanted = blobs.join(seen, "blob", "left").withColumn("wanted", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))).drop("seen")
     new = find_spans(wanted.where(F.size("wanted") > 0), rules)
+    new = new if keep is None else keep.keep(new, "ledger")
     known = new if old is None else new.unionByName(old)
-    if keep is not None:
-        new = keep.keep(new, "ledger")
-        known = new if old is None else new.unionByName(old)
     per = known.where(F.size("spans") > 0).groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
     if keep is not None:  # the paths of one blob then meet its findings in a join that can be split
         per = keep.keep(per, "findings")
     found = named.join(per, named["__blob"] == per["blob"], "left")
     empty = F.array().cast(f"array<{_HIT}>")
-    return found.select(*shown(pairs), F.col("__blob").alias("blob"), F.coalesce("spans", empty).alias("spans")), new
+    return found.select(*shown(pairs, "blob", "spans"), F.col("__blob").alias("blob"), F.coalesce("spans", empty).alias("spans")), new
 
 
 def written(spans: Column) -> Column:

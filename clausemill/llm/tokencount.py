@@ -1,33 +1,47 @@
-"""Token counts that follow edits.
+"""Token counts that follow edits, with trees that are kept.
 
-A document is a balanced tree of leaves; a leaf is a run of ``LEAF`` pre-tokens with its characters and
+A document is a balanced tree of leaves; a leaf is a run of pre-tokens, of some ``SPAN`` characters, with its characters and
 tokens, an inner node has the sums of its subtrees. The splitting pattern reads from left to right, keeps
 nothing from one part to the next and looks at most one character past a part, so cutting at the end of a
 part changes nothing on either side, unless white space is split there; no leaf ends in white space but
-the last. An edit therefore takes out the leaves that it touches, from the
+the last. A letter before a space and a letter ends a part whatever stands around it, so leaves end there; where none is
+near, the pattern itself finds the end. An edit takes out the leaves that it touches, from the
 first that ends less than two characters before it, and extends to the right until the end of a leaf is
 again the end of a part; only these are encoded again, and only sums on their paths are made anew.
 
+``plant`` makes a table of documents with their trees, to be written and kept; ``edit`` applies edits to a kept table, ``renew``
+brings new versions of documents to one: where a text is the kept one nothing is encoded, where it differs only what lies
+between the parts that both begin and end with. Both return the table to keep next. Leaves are kept as numbers of
+characters and tokens, in order.
+
 Defined results: null text is empty (0 tokens); edits run in their order, each on the text that the last
 left; places are code points, clipped to the text, and an end before its start is the start; null places
 are 0, null replacements empty, null edits and edit lists nothing; repeated rows are documents of their
-own; an empty table gives no rows; other columns pass through, whatever their names.
+own (of a repeated key, ``renew`` goes on from one kept row); a null key is no document that is kept; an empty table gives no rows; other
+columns pass through, but for those with a result's name, which gives way to it. Texts have any length.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from os.path import commonprefix
 
-import pandas as pd
+import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ._shared import hidden, shown, small_batches
+from ._shared import hidden, shown, small_batches, trimmed
 from .bytebpe import PARTS, Encoder, vocabulary
 
 LEAF = 64
+SPAN = 320
 PEEK = 8
+_END = regex.compile(r"\p{L}(?= \p{L})")
+TREE = "struct<text:string,chars:array<int>,tokens:array<int>>"
 EDITS = "array<struct<start:bigint,end:bigint,text:string>>"
 
 
@@ -93,12 +107,48 @@ def leaves(tree: Node | None) -> Iterator[Node]:
             stack += [node.right, node.left]
 
 
+def cuts(text: str) -> Iterator[str]:
+    """The text in leaves."""
+    at, n = 0, len(text)
+    while at < n:
+        end = n
+        if n - at > 2 * SPAN:
+            m = _END.search(text, at + SPAN, at + 2 * SPAN)
+            if m:
+                end = m.end()
+            else:
+                for k, m in enumerate(PARTS.finditer(text, at)):
+                    if k >= LEAF and not text[m.end() - 1].isspace():
+                        end = m.end()
+                        break
+        yield text[at:end]
+        at = end
+
+
+def _tree(row: list[Node]) -> Node | None:
+    while len(row) > 1:
+        row = [join(row[i], row[i + 1]) if i + 1 < len(row) else row[i] for i in range(0, len(row), 2)]
+    return row[0] if row else None
+
+
 class Counted:
     """A text and its number of tokens; ``encoded`` counts the characters that were given to the coder."""
 
-    def __init__(self, text: str, coder: Encoder):
+    def __init__(self, text: str, coder: Encoder, kept: tuple[list[int], list[int]] | None = None):
+        """kept: the leaves' characters and tokens, where the text has been counted before."""
         self._coder, self.encoded = coder, 0
-        self.tree = self._build(text)
+        if kept is None:
+            self.tree = self._build(text)
+            return
+        row, at = [], 0
+        for chars, tokens in zip(*kept, strict=True):
+            row.append(Node(chars, tokens, 0, text[at : at + chars]))
+            at += chars
+        self.tree = _tree(row)
+
+    def kept(self) -> dict:
+        row = list(leaves(self.tree))
+        return {"text": "".join(n.text for n in row), "chars": [n.chars for n in row], "tokens": [n.tokens for n in row]}
 
     @property
     def tokens(self) -> int:
@@ -112,21 +162,18 @@ class Counted:
         return "".join(n.text for n in leaves(self.tree))
 
     def _build(self, text: str) -> Node | None:
-        if not text:
-            return None
-        parts = PARTS.findall(text)
-        row, i = [], 0
-        while i < len(parts):
-            j = min(i + LEAF, len(parts))
-            while j < len(parts) and parts[j - 1][-1].isspace():
-                j += 1
-            s = "".join(parts[i:j])
-            row.append(Node(len(s), self._coder.count(s), 0, s))
-            i = j
         self.encoded += len(text)
-        while len(row) > 1:
-            row = [join(row[i], row[i + 1]) if i + 1 < len(row) else row[i] for i in range(0, len(row), 2)]
-        return row[0]
+        return _tree([Node(len(s), self._coder.count(s), 0, s) for s in cuts(text)])
+
+    def become(self, text: str) -> None:
+        """The text now is this one: an edit of what lies between the parts that both begin and end with."""
+        old = self.text()
+        if old == text:
+            return
+        first = len(commonprefix([old, text]))
+        most = min(len(old), len(text)) - first
+        last = len(commonprefix([old[len(old) - most :][::-1], text[len(text) - most :][::-1]]))
+        self.edit(first, len(old) - last, text[first : len(text) - last])
 
     def edit(self, start: int, end: int, text: str) -> None:
         start = min(max(start, 0), self.chars)
@@ -174,31 +221,66 @@ def with_edits(docs: DataFrame, edits: DataFrame, key: str = "doc_id") -> DataFr
     return joined.withColumn("edits", F.col("__edits.e").cast(EDITS)).drop("__edits")
 
 
-def count_tokens(docs: DataFrame, *, edits: str = "edits", tokenizer: str | None = None, carry: list[str] | None = None) -> DataFrame:
-    """The carried columns (all, by default), n_tokens, n_tokens_edited, n_chars_edited and n_chars_encoded (for the edits) of every row.
+def _counted(df: DataFrame, file: str, inner: list[str], then: str | None, keep: bool) -> DataFrame:
+    """Rows with __tree (kept, or null), __text and __edits -> the inner columns, what was counted, and __tree if it is to be kept.
 
-    ``edits`` names an array column of structs (start, end, text).
+    then: "edits", or "text" for new versions, or nothing.
     """
+    fields = [f for f in df.schema.fields if f.name in inner]
+    counts = [T.StructField(c, T.LongType()) for c in ("__n", "__after", "__chars", "__encoded")]
+    schema = T.StructType([*fields, *counts, *([T.StructField("__tree", T.StructType.fromDDL(f"t {TREE}")[0].dataType)] if keep else [])])
+    arrow = to_arrow_schema(schema)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Encoder(file)
+        for b in batches:
+            got, trees = [], []
+            for k in range(len(b)):
+                tree = b.column("__tree")[k].as_py() if "__tree" in b.schema.names else None
+                text = (b.column("__text")[k].as_py() or "") if "__text" in b.schema.names else ""
+                doc = Counted(text, coder) if tree is None else Counted(tree["text"], coder, (tree["chars"], tree["tokens"]))
+                n = doc.tokens
+                if then == "text" and tree is not None:
+                    doc.become(text)
+                elif then == "edits":
+                    for e in b.column("__edits")[k].as_py() or ():
+                        if e is not None:
+                            doc.edit(e["start"] or 0, e["end"] or 0, e["text"] or "")
+                got.append((n, doc.tokens, doc.chars, doc.encoded))
+                if keep:
+                    trees.append(doc.kept())
+            columns = [b.column(f.name) for f in fields] + [pa.array(c, pa.int64()) for c in (zip(*got, strict=True) if got else [()] * 4)]
+            yield pa.RecordBatch.from_arrays([*columns, *([pa.array(trees, arrow.field("__tree").type)] if keep else [])], schema=arrow)
+
+    return df.mapInArrow(trimmed(read), schema)
+
+
+def plant(docs: DataFrame, *, text: str = "text", tokenizer: str | None = None, carry: list[str] | None = None) -> DataFrame:
+    """The carried columns (all, by default), n_tokens and ``tree`` of every row: a table to keep."""
     small_batches(docs.sparkSession)
-    file = tokenizer or vocabulary()
     cols, pairs = hidden(docs, carry if carry is not None else docs.columns)
-    held = {}
-
-    @F.pandas_udf("n long, after long, chars long, encoded long")
-    def count(texts: pd.Series, changes: pd.Series) -> pd.DataFrame:
-        if "coder" not in held:
-            held["coder"] = Encoder(file)
-        out = []
-        for text, change in zip(texts, changes, strict=True):
-            doc = Counted(text or "", held["coder"])
-            n, encoded = doc.tokens, doc.encoded
-            for e in change if change is not None else ():
-                if e is not None:
-                    doc.edit(*(0 if e[k] is None or pd.isna(e[k]) else int(e[k]) for k in ("start", "end")), e["text"] or "")
-            out.append((n, doc.tokens, doc.chars, doc.encoded - encoded))
-        return pd.DataFrame(out, columns=["n", "after", "chars", "encoded"])
-
-    made = docs.select(*cols, count(docs["text"].cast("string"), docs[f"`{edits}`"].cast(EDITS)).alias("__t"))
-    return made.select(
-        *shown(pairs), F.col("__t.n").alias("n_tokens"), F.col("__t.after").alias("n_tokens_edited"), F.col("__t.chars").alias("n_chars_edited"), F.col("__t.encoded").alias("n_chars_encoded")
-    )
+    made = _counted(docs.select(*cols, docs[f"`{text}`"].cast("string").alias("__text")), tokenizer or vocabulary(), [i for i, _ in pairs], None, True)
+    return made.select(*shown(pairs, "n_tokens", "tree"), F.col("__n").alias("n_tokens"), F.col("__tree").alias("tree"))
+
+
+def edit(kept: DataFrame, edits: str = "edits", *, tokenizer: str | None = None, carry: list[str] | None = None, keep: bool = True) -> DataFrame:
+    """kept: what ``plant`` made, with an array column of structs (start, end, text) -> the carried columns, n_tokens,
+    n_tokens_edited, n_chars_edited, n_chars_encoded (for the edits) and, with ``keep``, the tree after them."""
+    small_batches(kept.sparkSession)
+    cols, pairs = hidden(kept, carry if carry is not None else [c for c in kept.columns if c not in ("tree", "n_tokens", edits)])
+    asked = kept.select(*cols, kept["tree"].cast(TREE).alias("__tree"), kept[f"`{edits}`"].cast(EDITS).alias("__edits"))
+    return _named(_counted(asked, tokenizer or vocabulary(), [i for i, _ in pairs], "edits", keep), pairs, keep)
+
+
+def renew(docs: DataFrame, kept: DataFrame, key: str = "doc_id", *, text: str = "text", tokenizer: str | None = None, carry: list[str] | None = None, keep: bool = True) -> DataFrame:
+    """docs: new versions of documents, some of them kept -> as ``edit``; n_tokens is that of the kept text, or of a new document's own."""
+    small_batches(docs.sparkSession)
+    cols, pairs = hidden(docs, carry if carry is not None else docs.columns)
+    old = kept.where(F.col(key).isNotNull()).select(F.col(key).alias("__old"), kept["tree"].cast(TREE).alias("__tree")).dropDuplicates(["__old"])
+    asked = docs.select(*cols, docs[f"`{text}`"].cast("string").alias("__text"), docs[f"`{key}`"].alias("__key")).join(old, F.col("__key") == F.col("__old"), "left").drop("__key", "__old")
+    return _named(_counted(asked, tokenizer or vocabulary(), [i for i, _ in pairs], "text", keep), pairs, keep)
+
+
+def _named(made: DataFrame, pairs: list[tuple[str, str]], keep: bool) -> DataFrame:
+    results = {"n_tokens": "__n", "n_tokens_edited": "__after", "n_chars_edited": "__chars", "n_chars_encoded": "__encoded", **({"tree": "__tree"} if keep else {})}
+    return made.select(*shown(pairs, *results), *[F.col(inner).alias(name) for name, inner in results.items()])

@@ -14,7 +14,7 @@ into local components; links themselves never leave it. One vector of each compo
 
 Defined results: null and zero vectors, and those with null or non-finite components, link with nothing;
 shorter vectors lack further components (0); repeated rows are each returned, but a repeated (id, vector)
-counts as one vector; an empty table gives no rows; other columns pass through, whatever their names.
+counts as one vector; an empty table gives no rows; other columns pass through, but for those with a result's name, which gives way to it.
 """
 
 from __future__ import annotations
@@ -93,7 +93,7 @@ def _local(linked: np.ndarray, labels: np.ndarray) -> np.ndarray:
         labels = new
 
 
-def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35, recall: float = 0.999, probes: int = 512, cell_rows: int = 64, most_cells: int = 2048, fit_rows: int = 32_768, block_rows: int = 4096, seed: int = 17) -> DataFrame:
+def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35, recall: float = 0.999, probes: int = 512, cell_rows: int = 64, most_cells: int = 2048, fit_rows: int = 32_768, block_rows: int = 1024, seed: int = 17) -> DataFrame:
     """table (vec_id, embedding, ...) -> its columns, n_links, component_id, kept; a row for each row of it."""
     spark, scratch = table.sparkSession, Scratch(table.sparkSession, "vectors")
     cols, pairs = hidden(table, table.columns)
@@ -178,14 +178,15 @@ def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35
     met = scratch.keep(dealt.groupBy("cell", "one", "two").applyInPandas(compare, "id long, links long, label long"), "met")
     same = components(met.select(F.col("id").alias("a"), F.col("label").alias("b")), scratch)
     links = met.groupBy("id").agg(F.sum("links").alias("links"))
+    results = ("n_links", "component_id", "kept")
     by_class = classes.join(links, "id", "left").join(same, "id", "left").select(
         F.col("__v").alias("cv"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "id").alias("component_id")
     )
     out = rows.join(by_class, rows["__v"] == by_class["cv"], "left").select(
-        *cols_back(pairs), "__id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "__id").alias("component_id")
+        *cols_back(pairs, results), "__id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "__id").alias("component_id")
     )
-    return out.withColumn("kept", F.col("__id").eqNullSafe(F.col("component_id"))).select(*shown(pairs), "n_links", "component_id", "kept")
+    return out.withColumn("kept", F.col("__id").eqNullSafe(F.col("component_id"))).select(*shown(pairs, *results), *results)
 
 
-def cols_back(pairs) -> list:
-    return [F.col(inner) for inner, _ in pairs]
+def cols_back(pairs, results) -> list:
+    return [F.col(inner) for inner, name in pairs if name not in results]

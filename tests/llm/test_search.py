@@ -7,28 +7,45 @@ from clausemill.llm._shared import Scratch
 
 
 def brute(ids, rows, k):
-    out = set()
-    for q, v in zip(ids, rows, strict=True):
-        scores = sorted((-int(v @ w), i) for i, w in zip(ids, rows, strict=True) if i != q)[:k]
-        out |= {(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)}
-    return out
+    out = []
+    for q, (i, v) in enumerate(zip(ids, rows, strict=True)):
+        scores = sorted((-int(v @ w), j) for p, (j, w) in enumerate(zip(ids, rows, strict=True)) if p != q)[:k]
+        out += [(i, r, j, -s) for r, (s, j) in enumerate(scores, 1)]
+    return sorted(out)
 
 
-@pytest.mark.parametrize("spread", [1, 3, 1000, 2**28])
+@pytest.mark.parametrize("spread", [1, 3, 1000, 2**28, 2**40])
 def test_blocks(spread):
     rng = np.random.default_rng(spread)
     rows = rng.integers(-spread, spread + 1, (300, 6))
-    ids = rng.permutation(1000)[:300]
-    who, best, scored = topk.Blocks(ids, rows, 16).search(ids, rows, 5)
-    got = {(int(q), r + 1, int(who[a, r]), int(best[a, r])) for a, q in enumerate(ids) for r in range(5)}
-    assert got == brute(ids.tolist(), rows.astype(object) if spread > 1e9 else rows, 5) and scored <= 300 * 300
+    ids = np.concatenate([rng.permutation(1000)[:280], np.full(20, 5)])  # an id may have several rows
+    who, where, best, scored = topk.Blocks(np.arange(300), ids, rows, 16).search(np.arange(300), rows, 5)
+    got = sorted((int(ids[q]), 1 + k % 5, int(i), int(s)) for k, (q, i, s) in enumerate(zip(who, where, best, strict=True)))
+    assert got == brute(ids.tolist(), rows.astype(object) if spread > 1e6 else rows, 5) and scored.sum() <= 300 * 300
 
 
-def test_pruning():
-    rows = np.zeros((1024, 4), np.int64)
-    rows[:64] = 100
-    _, _, scored = topk.Blocks(np.arange(1024), rows, 64).search(np.arange(8), rows[:8], 5)
-    assert scored <= 8 * 128
+def clustered(n, seed, dim=32):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n // 50, dim))[rng.integers(0, n // 50, n)] + 0.15 * rng.normal(size=(n, dim))
+    return np.floor(256 * x / np.linalg.norm(x, axis=1, keepdims=True)).astype(int)
+
+
+def test_like_rows_share_blocks():
+    rows = clustered(2000, 3)
+    _, _, _, scored = topk.Blocks(np.arange(2000), np.arange(2000), rows, 32).search(np.arange(200), rows[:200], 5)
+    assert scored.sum() < 0.25 * 200 * 2000
+
+
+def test_search_prunes(spark):
+    rows = clustered(6000, 4)
+    df = spark.createDataFrame([(i, (v / 256).tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    held = Scratch(spark, "t").keep(topk.integer_vectors(df), "vectors")
+    out = topk.top_k(held, held.where("id % 50 = 0"), 5, shard_rows=1000, part_rows=2000, query_rows=40, seed_rows=256).collect()
+    assert len(out) == 5 * 120
+    for q in (0, 50, 5950):
+        scores = sorted((-int(rows[q] @ w), i) for i, w in enumerate(rows) if i != q)[:5]
+        assert [(r["vec_id"], r["score"]) for r in sorted((r for r in out if r["query_id"] == q), key=lambda r: r["rank"])] == [(i, -s) for s, i in scores]
+    assert sum(r["scored"] for r in out if r["rank"] == 1) < 0.5 * 120 * 6000
 
 
 EDGE = [(1, [1.0, 0.0]), (2, [0.5, 0.5]), (3, None), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [None, 1.0]), (7, [0.0, 0.0]), (8, []), (9, [1.0]), (2, [0.5, 0.5]), (None, [1.0, 1.0]), (10, [1.0, 0.0])]
@@ -36,13 +53,25 @@ EDGE = [(1, [1.0, 0.0]), (2, [0.5, 0.5]), (3, None), (4, [float("nan"), 1.0]), (
 
 def test_search_edges(spark):
     df = spark.createDataFrame([(i, v, "x") for i, v in EDGE], "vec_id long, embedding array<float>, id string")
-    rows = topk.integer_vectors(df)
+    rows = Scratch(spark, "t").keep(topk.integer_vectors(df), "vectors")
     got = topk.top_k(rows, rows, 2, shard_rows=3, block_rows=2, query_rows=4).collect()
     first = {r["query_id"]: (r["vec_id"], r["score"]) for r in got if r["rank"] == 1}
     assert first[1] == (9, 65536) and first[9] == (1, 65536) and first[8] == (1, 0) and set(first) == {1, 2, 7, 8, 9, 10}
+    # Rows of a repeated id are queries and candidates of their own; each is most like the first rows, then like the other.
+    assert sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == 2) == [(1, 1), (1, 1), (2, 2), (2, 2)]
     assert topk.top_k(rows.limit(0), rows.limit(0)).count() == 0 and topk.top_k(rows.where("id = 1"), rows.where("id = 1")).count() == 0
 
 
+def test_scores_beyond_64_bits(spark):
+    big = [(1, [1e300]), (2, [2e300]), (3, [-1e300]), (4, [1e9]), (5, [2e9]), (6, [-3e9])]
+    rows = Scratch(spark, "t").keep(topk.integer_vectors(spark.createDataFrame(big, "vec_id long, embedding array<double>")), "vectors")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_k(rows, rows, 5).collect()}
+    most, least = 2**63 - 1, -(2**63)
+    assert [got[1, k][0] for k in range(1, 6)] == [2, 5, 4, 6, 3] and got[1, 1][1] == most and got[1, 5][1] == least
+    assert [got[6, k][0] for k in range(1, 6)] == [3, 4, 5, 1, 2] and got[6, 1][1] == most
+    assert got[4, 1] == (1, most) and got[4, 3] == (5, 256 * 10**9 * 512 * 10**9 if 256 * 10**9 * 512 * 10**9 <= most else most)
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (180, 2))] + [(1000 + k, 1001 + k) for k in range(40)] + [(7, 7)]

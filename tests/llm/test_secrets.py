@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clausemill.llm import secrets as S
+from clausemill.llm._shared import Scratch
 
 PLAIN = {
     "assign": (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
@@ -51,6 +52,25 @@ def test_ledger(spark, tmp_path):
     assert {(r["rule"], r["version"]) for r in S.scan(first, ledger, later)[1].collect()} == {("hex", 2)}
 
 
+def test_kept_ledger(spark, tmp_path):
+    old = spark.createDataFrame([(k, f"text {k} token=abcdefghijkl{k}") for k in range(300)], "doc_id long, text string")
+    ledger = S.Ledger(spark, str(tmp_path / "ledger"))
+    ledger.append(S.scan(old, keep=Scratch(spark, "t"))[1])
+    batch = spark.createDataFrame([(1, "text 7 token=abcdefghijkl7"), (2, "new password=abcdefghijkl"), (3, None)], "doc_id long, text string")
+    keep = Scratch(spark, "t")
+    found, new = S.scan(batch, ledger.read(), keep=keep)
+    assert new.select("blob").distinct().count() == 2 and found.orderBy("doc_id").select(F.size("spans")).collect() == [(1,), (1,), (0,)]
+    # Only this batch's blobs leave the ledger.
+    assert spark.read.parquet(f"{keep.root}/known").select("blob").distinct().count() == 1
+    ledger.append(new)
+    assert S.scan(batch, ledger.read())[1].count() == 0 and ledger.read().count() == 302 * len(S.RULES)
+
+
+def test_clashing_names(spark):
+    out, _ = S.scan(spark.createDataFrame([(1, "a", "x", "y", "z")], "doc_id long, text string, blob string, spans string, prefix string"))
+    assert out.columns == ["doc_id", "text", "prefix", "blob", "spans"] and len(out.first()["blob"]) == 64
+
+
 def test_more_rules_only_add(spark):
     df = spark.createDataFrame([(1, "-----BEGIN RSA PRIVATE KEY----- ghp_" + "a" * 36)], "doc_id long, text string")
     kinds = {s["kind"] for s in S.scan(df)[0].first()["spans"]}

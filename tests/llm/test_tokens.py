@@ -56,17 +56,53 @@ def test_edits_touch_little(coders):
     assert d.encoded - before < 1500
 
 
-def test_count_tokens(spark, docs, no_docs, coders):
+def test_easy_ends_are_ends_of_parts(coders):
+    rng = random.Random(8)
+    for t in [*texts(60, 9), *["".join(rng.choice(["word", "don't", "l'été", " ", " ", "\n", "12", "!", "中文", "  "]) for _ in range(rng.choice([5, 900, 4000]))) for _ in range(60)]]:
+        parts = list(tokencount.cuts(t))
+        assert "".join(parts) == t and sum(coders[0].count(p) for p in parts) == coders[0].count(t)
+        d = tokencount.Counted(t, coders[0])
+        again = tokencount.Counted(t, coders[0], (d.kept()["chars"], d.kept()["tokens"]))
+        assert again.tokens == d.tokens and again.text() == t and again.encoded == 0
+
+
+def test_kept_trees(spark, docs, no_docs, coders, tmp_path):
     edits = spark.createDataFrame([(7, 2, 0, 3, "Three"), (7, 1, None, None, "x "), (9, 1, 10, 20, None), (4, 1, 5, 9, "new"), (99, 1, 0, 1, "y")], "doc_id long, seq int, start long, end long, text string")
-    got = tokencount.count_tokens(tokencount.with_edits(docs, edits), carry=["doc_id", "text"]).collect()
-    assert len(got) == docs.count()
     ids = coders[0].ids
-    for r in got:
+    tokencount.plant(docs).write.parquet(str(tmp_path / "one"))
+    kept = spark.read.parquet(str(tmp_path / "one"))
+    assert kept.columns == [*docs.columns, "n_tokens", "tree"] and kept.count() == docs.count()
+    assert all(r["n_tokens"] == len(ids(r["text"] or "")) == sum(r["tree"]["tokens"]) and sum(r["tree"]["chars"]) == len(r["text"] or "") for r in kept.collect())
+    later = tokencount.edit(tokencount.with_edits(kept, edits))
+    assert later.columns == [*docs.columns, "n_tokens", "n_tokens_edited", "n_chars_edited", "n_chars_encoded", "tree"]
+    later.write.parquet(str(tmp_path / "two"))
+    got = spark.read.parquet(str(tmp_path / "two"))
+    assert got.count() == docs.count()
+    for r in got.collect():
         text = r["text"] or ""
-        assert r["n_tokens"] == len(ids(text))
         after = {7: "Three" + ("x " + text)[3:], 9: text[:10] + text[20:], 4: "new"}.get(r["doc_id"], text)
-        assert r["n_tokens_edited"] == len(ids(after)) and r["n_chars_edited"] == len(after)
-    assert tokencount.count_tokens(no_docs.withColumn("edits", F.lit(None).cast(tokencount.EDITS))).count() == 0
+        assert r["n_tokens"] == len(ids(text)) and r["n_tokens_edited"] == len(ids(after)) == sum(r["tree"]["tokens"])
+        assert r["tree"]["text"] == after and r["n_chars_edited"] == len(after)
+        assert (r["n_chars_encoded"] == 0) == (after == text) and r["n_chars_encoded"] <= 2500
+    assert tokencount.plant(no_docs).count() == 0 and tokencount.edit(kept.limit(0).withColumn("edits", F.lit(None))).count() == 0
+
+
+def test_new_versions(spark, docs, coders):
+    kept = tokencount.plant(docs)
+    said = {r["doc_id"]: r["text"] for r in docs.collect()}
+    changed = {9: said[9][:3000] + " and more" + said[9][3010:], 1: said[1], 5: "no longer empty", 4: None, 50: "a new document", None: "without an id"}
+    rows = tokencount.renew(spark.createDataFrame(list(changed.items()), "doc_id long, text string"), kept).collect()
+    assert len(rows) == len(changed)
+    for r in rows:
+        d, text = r["doc_id"], r["text"] or ""
+        assert r["n_tokens_edited"] == coders[0].count(text) and r["tree"]["text"] == text
+        assert r["n_chars_encoded"] <= {9: 2500, 1: 0, 4: 0}.get(d, len(text))
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "two words", 9, "x")], "doc_id long, text string, n_tokens long, tree string")
+    out = tokencount.plant(df)
+    assert out.columns == ["doc_id", "text", "n_tokens", "tree"] and out.first()["n_tokens"] == 2
 
 
 def test_hilbert():
