@@ -13,7 +13,7 @@ Expressions: strings, whole numbers, true, false, none; names; x.field and x["fi
 x[0], x[-1] of lists; ==, !=, <, <=, >, >=, in, and, or, not; + - * % and ~ (joins as text); filters
 after |: escape, trim, upper, lower, length, default("..."). Nothing else exists: no calls, no
 attributes of Python objects, no imports; reading a field of anything but a mapping fails. Loops are
-over the lists that the caller gives, so a rendering ends.
+over the lists that the caller gives, so a rendering ends. Whatever can't be worked out is a TemplateError, as is a bracket that isn't closed.
 """
 
 from __future__ import annotations
@@ -27,7 +27,9 @@ class TemplateError(ValueError):
     """The template, or what it reads, is not in the language."""
 
 
-_TAG = re.compile(r"\{\{(-?)(.*?)(-?)\}\}|\{%(-?)(.*?)(-?)%\}|\{#(-?).*?(-?)#\}", re.S)
+_STRING = r""""(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*'"""
+_INSIDE = rf"""((?:{_STRING}|[^"'])*?)"""  # a bracket's end inside a string ends nothing
+_TAG = re.compile(rf"\{{\{{(-?){_INSIDE}(-?)\}}\}}|\{{%(-?){_INSIDE}(-?)%\}}|\{{#(-?).*?(-?)#\}}", re.S)
 _TOKEN = re.compile(r"""\s*(?:(?P<num>\d+)|(?P<str>"(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*')|(?P<name>[A-Za-z_]\w*)|(?P<op>==|!=|<=|>=|[-+*%~<>|.,()\[\]=]))""")
 _UNESCAPED = {"n": "\n", "t": "\t", "r": "\r"}
 _WORDS = {"and", "or", "not", "in", "true", "false", "none"}
@@ -177,6 +179,9 @@ def _pieces(source: str) -> list[tuple[str, str]]:
             out.append(("tag", m[5].strip()))
         at, strip = m.end(), after
     out.append(("text", source[at:].lstrip() if strip else source[at:]))
+    for kind, text in out:
+        if kind == "text" and re.search(r"\{[{%#]", text):
+            raise TemplateError(f"a bracket isn't closed in {text!r}")
     return out
 
 
@@ -333,8 +338,17 @@ def _closure(node, escape) -> Callable[[dict], Any]:
     if kind == "filter":
         name, a, more = node[1], _closure(node[2], escape), [_closure(x, escape) for x in node[3:]]
         return lambda env: _filter(name, a(env), escape, *[f(env) for f in more])
-    op, a, b = _OPS[node[1]], _closure(node[2], escape), _closure(node[3], escape)
-    return lambda env: op(a(env), b(env))
+    sign, a, b = node[1], _closure(node[2], escape), _closure(node[3], escape)
+    op = _OPS[sign]
+
+    def both(env):
+        x, y = a(env), b(env)
+        try:
+            return op(x, y)
+        except (TypeError, ZeroDivisionError) as e:
+            raise TemplateError(f"no {sign} of {x!r} and {y!r}") from e
+
+    return both
 
 
 class _Sink:
@@ -397,7 +411,10 @@ def _writer(nodes: list, escape) -> Callable[[dict, _Sink], None]:
 
 def compile_template(source: str, escape: Callable[[str], str] = lambda s: s) -> Callable[..., tuple[str, list[tuple[int, int]]]]:
     """A function of the template's names: render(messages=[...]) -> (text, generation stretches in code points)."""
-    write = _writer(fold_body(parse(source), escape), escape)
+    try:
+        write = _writer(fold_body(parse(source), escape), escape)
+    except RecursionError as e:
+        raise TemplateError("the template is nested too deeply") from e
 
     def render(**names):
         out = _Sink()

@@ -1,8 +1,10 @@
-"""Near-duplicate vectors by spherical k-means cells.
+"""Near-duplicate vectors by spherical k-means cells, in two levels.
 
-Equal vectors are one class from the start. Centroids are fitted on at most ``fit_rows`` classes; every
-class has its home cell and visits those other cells that could be home to a vector with a cosine of
-``least`` or more: if u is at home in c and v in c', then (v - u).(c' - c) is at most
+Equal vectors are one class from the start. Centroids are fitted on at most ``fit_rows`` classes, and where a cell would hold more
+than ``cell_rows`` of them, on at most as many of each such cell once more: so cells grow in number with the
+classes, to ``most_cells`` times ``most_parts``. Every class has its home cell and visits those other cells that could be home to
+a vector with a cosine of ``least`` or more, and the same among the parts of each cell that it is in:
+if u is at home in c and v in c', then (v - u).(c' - c) is at most
 |v - u| |c' - c|, so one of the two lies within half of that of the other's cell. With ``reach`` 1 no
 pair can be lost. That is the worst case, of a difference that points from one centroid to the other; the
 default takes 0.35 of it, as a difference has only a small part of its length along any one direction (in
@@ -10,7 +12,8 @@ default takes 0.35 of it, as a difference has only a small part of its length al
 isn't enough for the input's own links, it is widened: about ``probes`` vectors are compared with all, which says what reach
 each of their links needs, and the least reach, by hundredths, that finds ``recall`` of these is taken. Cells larger than ``block_rows`` are dealt into
 blocks, and each pair of blocks is one task. A task multiplies blocks, counts links and joins its rows
-into local components; links themselves never leave it. One vector of each component is kept.
+into local components; links themselves never leave it. A pair that meets in several cells counts in the first of
+them. One vector of each component is kept.
 
 Defined results: null and zero vectors, and those with null or non-finite components, link with nothing;
 shorter vectors lack further components (0); repeated rows are each returned, but a repeated (id, vector)
@@ -21,13 +24,16 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._shared import Scratch, hidden, shown
 from .components import components
 from .topk import usable
 
+#: All centroids of the second level go to every task.
+CENTROID_BYTES = 64 << 20
+
 
 def dense(vectors, dim: int) -> np.ndarray:
     out = np.zeros((len(vectors), dim))
@@ -93,7 +99,7 @@ def _local(linked: np.ndarray, labels: np.ndarray) -> np.ndarray:
         labels = new
 
 
-def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35, recall: float = 0.999, probes: int = 512, cell_rows: int = 64, most_cells: int = 2048, fit_rows: int = 32_768, block_rows: int = 1024, seed: int = 17) -> DataFrame:
+def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35, recall: float = 0.999, probes: int = 512, cell_rows: int = 64, most_cells: int = 2048, most_parts: int = 64, fit_rows: int = 32_768, block_rows: int = 1024, seed: int = 17) -> DataFrame:
     """table (vec_id, embedding, ...) -> its columns, n_links, component_id, kept; a row for each row of it."""
     spark, scratch = table.sparkSession, Scratch(table.sparkSession, "vectors")
     cols, pairs = hidden(table, table.columns)
@@ -130,17 +136,59 @@ def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35
         found[0] = max(0.0, found[0] - len(asked))  # a probe meets itself
         reach = max(reach, int(np.argmax(np.cumsum(found) >= recall * found.sum())) / 100)
 
+    # The second level: for cells that would hold more, centroids of their own, from at most fit_rows of each.
+    count = len(centroids)
+    parts = max(1, min(most_parts, size // (cell_rows * count), CENTROID_BYTES // (8 * dim * count)))
+
+    def homes(batches):
+        for b in batches:
+            y = unit(dense(list(b["__v"]), dim))
+            yield pd.DataFrame({"cell": np.argmax(y @ held.value.T, axis=1).astype(np.int32), "id": b["id"].to_numpy(), "v": b["__v"].to_numpy()})
+
+    inner: dict[int, np.ndarray] = {}
+    if parts > 1:
+        per = max(1, size // (count * min(fit_rows, 64 * parts)))  # of each cell's vectors one in so many
+        some = classes.where(F.pmod(F.xxhash64("id", F.lit(seed + 2)), F.lit(per)) == 0).mapInPandas(homes, "cell int, id long, v array<double>")
+        first = some.withColumn("k", F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("id"), "id"))).where(F.col("k") <= fit_rows)
+
+        def refit(key, g: pd.DataFrame) -> pd.DataFrame:
+            g = g.sort_values("id")
+            return pd.DataFrame({"cell": [int(key[0])], "data": [fit(unit(dense(list(g["v"]), dim)), parts, seed).tobytes()]})
+
+        inner = {r["cell"]: np.frombuffer(r["data"]).reshape(-1, dim) for r in first.groupBy("cell").applyInPandas(refit, "cell int, data binary").collect()}
+    lower = spark.sparkContext.broadcast(inner)
+
     def assign(batches):
+        """A row for each cell's part that a vector is in: ``own`` says whether the cell is its home, ``sub`` whether the part is its home in the cell."""
         cells = Cells(held.value, least, reach)
+        under = {c: Cells(m, least, reach) for c, m in lower.value.items()}
         for b in batches:
-            home, sees = cells(unit(dense(list(b["__v"]), dim)))
-            r, c = np.nonzero(sees)
-            b = b.iloc[r]
-            yield pd.DataFrame({"cell": c.astype(np.int32), "home": home[r].astype(np.int32), "id": b["id"].to_numpy(), "n": b["n"].to_numpy(), "v": b["__v"].to_numpy(), "visits": [np.flatnonzero(sees[i]).astype(np.int32) for i in r]})
-
-    placed = classes.mapInPandas(assign, "cell int, home int, id long, n long, v array<double>, visits array<int>")
-    counts = {r["cell"]: r["count"] for r in classes.mapInPandas(lambda bs: (pd.DataFrame({"cell": c["cell"]}) for c in assign(bs)), "cell int").groupBy("cell").count().collect()}
-    split = F.create_map(*[F.lit(x) for c, k in counts.items() if k > block_rows for x in (c, -(-k // block_rows))]) if any(k > block_rows for k in counts.values()) else None
+            x = unit(dense(list(b["__v"]), dim))
+            home, sees = cells(x)
+            row, at = np.nonzero(sees)
+            place, sub = at * parts, np.ones(len(row), bool)
+            for c in np.unique(at) if under else ():
+                if c in under:
+                    mine = np.flatnonzero(at == c)
+                    inside, visits = under[c](x[row[mine]])
+                    r, k = np.nonzero(visits)
+                    row = np.concatenate([row, row[mine[r]]])
+                    place, sub = np.concatenate([place, c * parts + k]), np.concatenate([sub, k == inside[r]])
+                    at, on = np.concatenate([at, np.full(len(r), -1)]), np.ones(len(row), bool)
+                    on[mine] = False
+                    row, place, sub, at = row[on], place[on], sub[on], at[on]
+            by = np.lexsort((place, row))
+            row, place, sub = row[by], place[by], sub[by]
+            cuts = np.searchsorted(row, np.arange(len(x) + 1))
+            own = place // parts == home[row]
+            code = place * 4 + own * 2 + sub  # all that a vector's rows say, with each of them
+            seen = [code[a:z] for a, z in zip(cuts, cuts[1:], strict=False)]
+            b = b.iloc[row]
+            yield pd.DataFrame({"cell": place.astype(np.int32), "id": b["id"].to_numpy(), "n": b["n"].to_numpy(), "v": b["__v"].to_numpy(), "visits": [seen[i] for i in row]})
+
+    placed = classes.mapInPandas(assign, "cell int, id long, n long, v array<double>, visits array<long>")
+    counts = {r["cell"]: r["count"] for r in classes.mapInPandas(lambda bs: (pd.DataFrame({"cell": c["cell"]}) for c in assign(bs)), "cell int").groupBy("cell").count().where(F.col("count") > block_rows).collect()}
+    split = F.create_map(*[F.lit(x) for c, k in counts.items() for x in (c, -(-k // block_rows))]) if counts else None
     blocks = F.coalesce(F.get(F.array(split[F.col("cell")]), 0), F.lit(1)) if split is not None else F.lit(1)
     dealt = placed.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -151,26 +199,31 @@ def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35
         g = g.sort_values("id")
         x, ids, n = dense(list(g["v"]), dim), g["id"].to_numpy(np.int64), g["n"].to_numpy(np.int64)
         x = x / np.abs(x).max(axis=1, keepdims=True)
-        home, block = g["home"].to_numpy(), g["block"].to_numpy()
-        norm = np.linalg.norm(x, axis=1)
+        block, norm = g["block"].to_numpy(), np.linalg.norm(x, axis=1)
         linked = np.zeros((len(g), len(g)), bool)
         for i in range(0, len(g), 1024):
             linked[i : i + 1024] = (x[i : i + 1024] @ x.T) / (norm[i : i + 1024, None] * norm[None, :]) >= least
         linked |= linked.T  # products of the two orders may differ in the last bit
         np.fill_diagonal(linked, False)
-        here = home == cell
-        linked &= here[:, None] | here[None, :]
+        # By row and cell: whether the vector is there, at home in it, and whether its cell of the first level is its home.
+        code = np.concatenate(list(g["visits"]))
+        row = np.repeat(np.arange(len(g)), [len(v) for v in g["visits"]])
+        cells, where = np.unique(code // 4, return_inverse=True)
+        here, before = cells == cell, cells < cell
+        flag = np.zeros((3, len(g), len(cells)), np.float32)
+        flag[0, row, where], flag[1, row, where], flag[2, row, where] = 1, code // 2 % 2, code % 2
+        sees, own, sub = flag
+        mine, inside = own[:, here].ravel() > 0, sub[:, here].ravel() > 0
+        # A pair counts where one of the two is at home in the part and one (it may be the other) in the cell.
+        linked &= (mine[:, None] | mine[None, :]) & (inside[:, None] | inside[None, :])
         if one != two:
             linked &= block[:, None] != block[None, :]
         labels = _local(linked, ids.copy())
-        # A pair of two homes that visit each other is met in both cells and counts in the lower one.
-        sees = np.zeros((len(g), len(held.value)), bool)
-        for i, s in enumerate(g["visits"]):
-            sees[i, s] = True
-        r, c = np.nonzero(here[:, None] & ~here[None, :] & linked)
-        twice = sees[r, home[c]] & (home[c] < cell)
-        linked[r[twice], c[twice]] = False
-        linked[c[twice], r[twice]] = False
+        sees, own, sub = sees[:, before], own[:, before], sub[:, before]
+        both = own * sub
+        for i in range(0, len(g), 1024) if before.any() else ():
+            z = slice(i, i + 1024)
+            linked[z] &= both[z] @ sees.T + sees[z] @ both.T + own[z] @ sub.T + sub[z] @ own.T == 0
         links = np.concatenate([linked[i : i + 1024] @ n for i in range(0, len(g), 1024)])
         on = (links > 0) | (labels != ids)
         return pd.DataFrame({"id": ids[on], "links": links[on], "label": labels[on]})

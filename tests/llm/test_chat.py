@@ -30,20 +30,22 @@ def render(source, **names):
         ("  {{- 'a' -}}  b", {}, "ab"),
         ("{# remark #}{{ ms[-1].x }}{{ ms | length }}", {"ms": [{"x": 1}, {"x": 2}]}, "22"),
         ("{{ 'b' in 'abc' and not false }}", {}, "True"),
+        ("{{ '}}' ~ \"%}\" }}{% if x == '%}' %}y{% endif %}", {"x": "%}"}, "}}%}y"),
+        ("it's {{ x }}, isn't it", {"x": 1}, "it's 1, isn't it"),
     ],
 )
 def test_language(source, names, want):
     assert render(source, **names) == want
 
 
-@pytest.mark.parametrize("source", ["{{ f() }}", "{% import x %}", "{{ x.y.z( }}", "{% for a in b %}", "{{ 'a' | eval }}", "{% endfor %}", "{{ a b }}", "{{ @ }}"])
+@pytest.mark.parametrize("source", ["{{ f() }}", "{% import x %}", "{{ x.y.z( }}", "{% for a in b %}", "{{ 'a' | eval }}", "{% endfor %}", "{{ a b }}", "{{ @ }}", "{{ 1 % 0 }}", "{{ 1 + 'a' }}", "{{ a", "{% if x", "{{ 'a }}", "{{ " + "(" * 5000 + "1" + ")" * 5000 + " }}"])
 def test_what_is_not_in_the_language(source):
     with pytest.raises(templates.TemplateError):
         templates.compile_template(source)
 
 
 def test_sandbox():
-    for x in ("{{ x.__class__ }}", "{{ x['__class__'] }}", "{% for a in x %}{% endfor %}", "{{ 'a' * 'b' }}"):
+    for x in ("{{ x.__class__ }}", "{{ x['__class__'] }}", "{% for a in x %}{% endfor %}", "{{ 'a' * 'b' }}", "{{ x % 0 }}", "{{ x + 1 }}", "{{ x < 2 }}", "{{ 1 in 2 }}"):
         with pytest.raises(templates.TemplateError):
             render(x, x="text")
 

@@ -54,6 +54,55 @@ def test_narrow_margins_are_rejected():
     assert rejected([said(k, 12) for k in learned for _ in range(40)]) <= 0.1
 
 
+def test_against_plain_compression(spark, docs):
+    """Every prediction, by compressing with each dictionary in plain loops."""
+    import re
+
+    import zstandard
+
+    learn = F.col("doc_id") < 9
+    model = L.fit(docs, learn)
+    for r in L.identify(docs, model=model).collect():
+        text = r["text"] or ""
+        want = ("und", 0.0)
+        if any(c.isalpha() for c in text):
+            data = " ".join(re.sub(r"[\x00-\x40\x5b-\x60\x7b-\x7f]", " ", text.lower()).split(" ")).encode()
+            data = b" ".join(data.split())
+            sizes = {}
+            for name, content in model.dictionaries.items():
+                held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                code = lambda x, held=held: len(zstandard.ZstdCompressor(level=6, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False).compress(x))
+                if len(data) <= 128:
+                    lead = content[:1024] + b" "
+                    sizes[name] = max(0, code(lead + data) - code(lead))
+                else:
+                    sizes[name] = sum(code(data[i : i + 4096]) for i in range(0, len(data), 4096))
+            best = min(sizes, key=lambda k: (sizes[k], k))
+            second = min(v for k, v in sizes.items() if k != best)
+            want = (best, 1 - sizes[best] / second if second else 0.0)
+        assert (r["lang_pred"], round(r["lang_score"], 9)) == (want[0], round(want[1], 9))
+
+
+def test_held_out_documents(spark):
+    """The query's own split: learned from three quarters of the labelled documents."""
+    from clausemill.llm import catalogue
+
+    langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang IS NOT NULL").collect()}
+    rows = [r for r in catalogue.op9_language_id(spark, "/root/testdata/sf0.01").collect() if r["held_out"] and r["doc_id"] in langs and r["lang_pred"] != "und"]
+    assert len(rows) > 150 and sum(r["lang_pred"] == langs[r["doc_id"]] for r in rows) >= 0.95 * len(rows)
+
+
+def test_a_repeated_id_is_one_sample(spark):
+    rows = [(1, "the cat and the dog", "en")] * 5000 + [(k, f"der Hund und die Katze {k}", "de") for k in range(2, 60)] + [(k, f"the house and the garden {k}", "en") for k in range(60, 90)]
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert model.dictionaries["en"].count(b"cat") <= 1 and model.languages == ["de", "en"]
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "the cat", "en", 5, "x")], "doc_id long, text string, lang string, lang_pred int, score string")
+    assert L.identify(df).columns == ["doc_id", "text", "lang", "score", "lang_pred", "lang_score", "lang_rejected"]
+
+
 def test_identify(docs, no_docs):
     out = L.identify(docs, F.col("doc_id") < 9)
     assert out.columns == [*docs.columns, "lang_pred", "lang_score", "lang_rejected"]

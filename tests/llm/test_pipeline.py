@@ -1,8 +1,10 @@
+import re
 from collections import Counter
 
 import corpus_pipeline
 from clausemill.llm import langid, stages
 from clausemill.llm.bytebpe import Encoder, vocabulary
+from test_mixing import replay
 from test_near import brute
 
 
@@ -28,6 +30,12 @@ def test_stages(spark, docs, sf_dir):
 
     mixed = stages.mix_sources(spark, docs, sf_dir)
     assert mixed.columns == columns
+    # By a plain replay: each draw is a row with the first words that it takes.
+    every = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
+    cut = lambda t, n: "".join(re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", t or "")[:n])
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    want = Counter((d, t if n == size(t) else cut(t, n), s) for (d, t, s), draws in zip(every, replay(every, block_words=4096, shard_words=1 << 18), strict=True) for _, n in draws)
+    assert Counter((r["doc_id"], r["text"], r["source"]) for r in mixed.collect()) == want and sum(want.values()) > 5
 
     pieces = stages.pack_sequences(spark, docs, sf_dir).collect()
     coder = Encoder(vocabulary())

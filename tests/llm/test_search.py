@@ -100,7 +100,7 @@ def check(df, **o):
     return got, rows, links
 
 
-@pytest.mark.parametrize("o", [{}, {"cell_rows": 8, "reach": 1.0}, {"cell_rows": 8, "reach": 1.0, "block_rows": 16}, {"cell_rows": 8}])
+@pytest.mark.parametrize("o", [{}, {"cell_rows": 8, "reach": 1.0}, {"cell_rows": 8, "reach": 1.0, "block_rows": 16}, {"cell_rows": 8}, {"cell_rows": 4, "reach": 1.0, "most_cells": 3, "most_parts": 8}, {"cell_rows": 4, "reach": 1.0, "most_cells": 4, "block_rows": 9}])
 def test_near_vectors(spark, o):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(40, 12))
@@ -121,6 +121,30 @@ def test_near_vectors(spark, o):
             assert r["component_id"] == min(seen) and r["n_links"] == len(links[i])
 
 
+@pytest.mark.parametrize("o", [{}, {"most_cells": 16}])
+def test_recall_close_above_the_least_cosine(spark, o):
+    """Pairs at cosines of 0.90 to 0.92 in 64 dimensions, among vectors of no structure."""
+    rng = np.random.default_rng(9)
+    a = rng.normal(size=(1500, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.normal(size=a.shape)
+    side -= (side * a).sum(1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.901, 0.92, (len(a), 1))
+    x = np.concatenate([a, cosine * a + np.sqrt(1 - cosine**2) * side, rng.normal(size=(3000, 64))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    u = vectors.unit(x)
+    want = int((u @ u.T >= 0.9).sum()) - len(u)
+    found = vectors.near_duplicates(df, cell_rows=16, **o).agg(F.sum("n_links")).first()[0]
+    assert 0.97 * want <= found <= want and want >= 3000
+
+
+def test_clashing_names_of_vectors(spark):
+    df = spark.createDataFrame([(1, [1.0], "a", "b", "c", 7)], "vec_id long, embedding array<double>, n_links string, component_id string, kept string, id int")
+    out = vectors.near_duplicates(df)
+    assert out.columns == ["vec_id", "embedding", "id", "n_links", "component_id", "kept"] and out.first()["kept"] is True
+
+
 def test_near_vector_edges(spark):
     df = spark.createDataFrame([(i, v, "z") for i, v in EDGE], "vec_id long, embedding array<float>, n_links string")
     out = vectors.near_duplicates(df.withColumnRenamed("n_links", "label"))
