@@ -56,6 +56,13 @@ def numbering_gaps(clauses: DataFrame, lines: DataFrame | None = None) -> DataFr
     return out.select(*found.columns, F.coalesce("marked", F.lit(False)).alias("by_chapter"))
 
 
+def extra_numbers(clauses: DataFrame) -> DataFrame:
+    """(document_id, num) of article numbers outside the range from the least to the highest: there are none, as the numbers make the range."""
+    rows = articles(clauses).select("document_id", F.col("num").cast("long").alias("num")).distinct()
+    all_ = Window.partitionBy("document_id")
+    return rows.withColumn("lo", F.min("num").over(all_)).withColumn("hi", F.max("num").over(all_)).where("num < lo OR num > hi").select("document_id", "num")
+
+
 def _range(first, last):
     return F.when(first == last, first.cast("string")).otherwise(F.concat_ws("-", first.cast("string"), last.cast("string")))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -21,8 +23,11 @@ def rebuilt_marks(checkpoints: DataFrame, gone: DataFrame) -> DataFrame:
     return checkpoints.where(~of_cards).unionByName(delete(checkpoints.where(of_cards), gone, ["document_id"]))
 
 
-def run_cards(books: Store, document_id: int | None = None, rebuild: bool = False) -> Row:
-    """Cards of articles that have none for their present text; a summary row. A body that changed is read again."""
+def run_cards(books: Store, document_id: int | None = None, rebuild: bool = False, extractor: Callable[[DataFrame], DataFrame] = C.extract) -> Row:
+    """Cards of articles that have none for their present text; a summary row. A body that changed is read again.
+
+    ``extractor`` turns clauses into cards with the columns of ``cards.extract``; another one may take its place.
+    """
     clauses = _of(books.read("clauses"), document_id)
     if rebuild:
         gone = written(clauses.select("document_id", "clause_id"))
@@ -32,7 +37,7 @@ def run_cards(books: Store, document_id: int | None = None, rebuild: bool = Fals
     marks = books.read("checkpoints").where("stage = 'cards'").select(F.col("unit_id").alias("clause_id"), F.col("artifact_path").alias("state"), "status")
     todo = written(pending(units, marks, ["clause_id", "state"]))
     done = units.join(todo.select("clause_id"), "clause_id", "left_anti")
-    made = written(C.extract(todo))
+    made = written(C.validated(extractor(todo).drop("error")))
     summary = C.stage_summary(units, done, made).first()
     valid = made.where("error IS NULL").drop("error")
     marked = todo.join(made.select("clause_id", "error"), "clause_id", "left").select(

@@ -486,6 +486,12 @@ def hybrid_retrieve(spark, sf_dir):
     return H.retrieve(have, wanted, 20, topic="hóa đơn", penalty=True).select("card_id", "citation", F.round("score", 6).alias("score"))
 
 
+@query(S.lines_up(S.PARSED_SQL, S.STORED_SQL, S.ARTICLES_SQL, select="SELECT DISTINCT document_id, num::BIGINT AS num FROM articles a WHERE num < (SELECT min(num) FROM articles b WHERE b.document_id = a.document_id)"))
+def numbering_extras(spark, sf_dir):
+    """Numbers outside their own range, of which there are none."""
+    return Q.extra_numbers(_clauses(spark, sf_dir))
+
+
 # ---- lookups, stages and artifacts
 
 

@@ -196,6 +196,16 @@ def test_artifacts(spark, tmp_path):
     assert back[2]["card_count"] == 0 and [(c["id"], c["has_embedding"]) for c in back[1]["cards"]] == [(7, False), (9, True)]
 
 
+def test_another_extractor(spark, tmp_path):
+    from clausemill.operators import cards as C
+
+    books = store.Store(spark, str(tmp_path / "db"))
+    ingest.structure(books, spark.createDataFrame([(1, 1, "Điều 1. Tổ chức nộp thuế\nĐiều 2. Cá nhân nộp thuế")], "document_id long, page_ordinal int, raw_text string"))
+    blank = lambda rows: C.extract(rows).withColumn("statement", F.when(F.col("citation") == "Điều 2", " ").otherwise("said"))
+    row = stages.run_cards(books, extractor=blank)
+    assert (row["cards_inserted"], row["failed"], row["ok"]) == (1, 1, False) and books.read("rule_cards").first()["statement"] == "said"
+
+
 def test_embedding_again_what_has_another_dimension(spark, tmp_path):
     books = store.Store(spark, str(tmp_path / "db"))
     ingest.structure(books, spark.createDataFrame([(1, 1, "Điều 1. Tổ chức nộp thuế\nĐiều 2. Cá nhân nộp thuế")], "document_id long, page_ordinal int, raw_text string"))
