@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import atexit
 import ctypes
-import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,28 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..sources.scratch import delete_folder, shared_folder
+
 #: Words are maximal runs of anything but these six characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; where it is unset and all is one machine (tests), one of our own."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not named:
-        if not re.fullmatch(r"local(\[.*\])?", context.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        named = tempfile.mkdtemp(prefix="clausemill-")
-        context.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 class Scratch:
     """Tables written to the shared folder, so that a lost executor costs no recomputation.
 
@@ -44,16 +26,13 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.spark, self.root = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.names: set[str] = set()
         self.tables: list[str] = []
         atexit.register(self._clear)
 
     def _clear(self) -> None:
-        try:
-            _delete(self.spark, self.root)
-        except Exception:  # the session may have ended first
-            return
+        delete_folder(self.spark, self.root)
 
     def keep(self, df: DataFrame, name: str, *by: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -72,7 +51,7 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            _delete(self.spark, f"{self.root}/{name}")
+            delete_folder(self.spark, f"{self.root}/{name}")
             self.names.discard(name)
 
     def drop_but(self, *names: str) -> None:
