@@ -196,6 +196,19 @@ def test_artifacts(spark, tmp_path):
     assert back[2]["card_count"] == 0 and [(c["id"], c["has_embedding"]) for c in back[1]["cards"]] == [(7, False), (9, True)]
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from clausemill.sources.scratch import shared_folder
+
+    made = lambda master, named: SimpleNamespace(conf=SimpleNamespace(get=lambda *_: named), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda _: None))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://https://host"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(made(master, None))
+        assert shared_folder(made(master, "hdfs://x/y/")) == "hdfs://x/y"
+    assert all("clausemill-" in shared_folder(made(master, None)) for master in ("local", "local[4]", "local[*]"))
+
+
 def test_another_extractor(spark, tmp_path):
     from clausemill.operators import cards as C
 
