@@ -66,6 +66,15 @@ def test_kept_ledger(spark, tmp_path):
     assert S.scan(batch, ledger.read())[1].count() == 0 and ledger.read().count() == 302 * len(S.RULES)
 
 
+def test_an_empty_increment(spark, no_docs, tmp_path):
+    ledger = S.Ledger(spark, str(tmp_path / "ledger"))
+    found, new = S.scan(no_docs, keep=Scratch(spark, "t"))
+    ledger.append(new)
+    assert found.count() == 0 and ledger.read().count() == 0
+    found, new = S.scan(spark.createDataFrame([(1, "token=abcdefghijkl")], "doc_id long, text string"), ledger.read())
+    assert S.count_of(F.col("spans"), "assign") is not None and found.select(F.size("spans")).first()[0] == 1 and new.count() == len(S.RULES)
+
+
 def test_clashing_names(spark):
     out, _ = S.scan(spark.createDataFrame([(1, "a", "x", "y", "z")], "doc_id long, text string, blob string, spans string, prefix string"))
     assert out.columns == ["doc_id", "text", "prefix", "blob", "spans"] and len(out.first()["blob"]) == 64
