@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from ..sources.scratch import written
+from ..sources.scratch import held
 from ..sources.store import Store, delete, pending
 from . import cards as C
 from . import vectors as V
@@ -30,22 +30,21 @@ def run_cards(books: Store, document_id: int | None = None, rebuild: bool = Fals
     """
     clauses = _of(books.read("clauses"), document_id)
     if rebuild:
-        gone = written(clauses.select("document_id", "clause_id"))
-        books.patch("rule_cards", gone, lambda old: delete(old, gone, ["document_id"]))
-        books.patch("checkpoints", gone, lambda old: rebuilt_marks(old, gone))
+        with held(clauses.select("document_id", "clause_id")) as gone:
+            books.patch("rule_cards", gone, lambda old: delete(old, gone, ["document_id"]))
+            books.patch("checkpoints", gone, lambda old: rebuilt_marks(old, gone))
     units = clauses.where("kind = 'dieu'").withColumn("state", F.md5("body"))
     marks = books.read("checkpoints").where("stage = 'cards'").select(F.col("unit_id").alias("clause_id"), F.col("artifact_path").alias("state"), "status")
-    todo = written(pending(units, marks, ["clause_id", "state"]))
-    done = units.join(todo.select("clause_id"), "clause_id", "left_anti")
-    made = written(C.validated(extractor(todo).drop("error")))
-    summary = C.stage_summary(units, done, made).first()
-    valid = made.where("error IS NULL").drop("error")
-    marked = todo.join(made.select("clause_id", "error"), "clause_id", "left").select(
-        "document_id", F.col("clause_id").alias("unit_id"), F.when(F.col("error").isNull(), "done").otherwise("failed").alias("status"), F.col("state").alias("artifact_path")
-    )
-    # Marks come from the clauses, which this doesn't change, so either write can be repeated.
-    books.patch("rule_cards", todo, lambda old: old.join(todo.select("clause_id"), "clause_id", "left_anti").unionByName(valid, allowMissingColumns=True))
-    books.mark(marked, "cards")
+    with held(pending(units, marks, ["clause_id", "state"])) as todo, held(C.validated(extractor(todo).drop("error"))) as made:
+        done = units.join(todo.select("clause_id"), "clause_id", "left_anti")
+        summary = C.stage_summary(units, done, made).first()
+        valid = made.where("error IS NULL").drop("error")
+        marked = todo.join(made.select("clause_id", "error"), "clause_id", "left").select(
+            "document_id", F.col("clause_id").alias("unit_id"), F.when(F.col("error").isNull(), "done").otherwise("failed").alias("status"), F.col("state").alias("artifact_path")
+        )
+        # Marks come from the clauses, which this doesn't change, so either write can be repeated.
+        books.patch("rule_cards", todo, lambda old: old.join(todo.select("clause_id"), "clause_id", "left_anti").unionByName(valid, allowMissingColumns=True))
+        books.mark(marked, "cards")
     return summary
 
 
@@ -77,14 +76,14 @@ def run_embed(books: Store, encoder: V.Encoder, document_id: int | None = None,
     """Vectors of cards that have none of the encoder's dimension: a summary row. Vectors of another dimension than the encoder names
     aren't stored, and their cards are left to be done again."""
     clauses = _of(books.read("clauses"), document_id)
-    cards = written(to_embed(C.of_document(books.read("rule_cards"), clauses), books.read("checkpoints"), encoder.dim, rebuild))
-    new = written(V.embed(C.embed_text(cards.where("NOT skip"), clauses), encoder).select("card_id", "clause_id", "embedding"))
-    summary = embed_summary(cards, new, encoder.dim).first()
-    good = new.where(F.size("embedding") == encoder.dim)
-    books.save_embeddings(good)
-    units = cards.join(good.select("card_id", F.lit(True).alias("new")), "card_id", "left")
-    status = F.when(F.col("skip") | F.coalesce("new", F.lit(False)), "done").otherwise("failed")
-    books.mark(units.groupBy("document_id", F.col("clause_id").alias("unit_id")).agg(F.max(status).alias("status")), "embed")
+    todo = to_embed(C.of_document(books.read("rule_cards"), clauses), books.read("checkpoints"), encoder.dim, rebuild)
+    with held(todo) as cards, held(V.embed(C.embed_text(cards.where("NOT skip"), clauses), encoder).select("card_id", "clause_id", "embedding")) as new:
+        summary = embed_summary(cards, new, encoder.dim).first()
+        good = new.where(F.size("embedding") == encoder.dim)
+        books.save_embeddings(good)
+        units = cards.join(good.select("card_id", F.lit(True).alias("new")), "card_id", "left")
+        status = F.when(F.col("skip") | F.coalesce("new", F.lit(False)), "done").otherwise("failed")
+        books.mark(units.groupBy("document_id", F.col("clause_id").alias("unit_id")).agg(F.max(status).alias("status")), "embed")
     return summary
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_DPI, PAGES
 from . import store
-from .scratch import written
+from .scratch import held
 
 
 class Renderer(Protocol):
@@ -62,9 +62,9 @@ def pages_stage(books: store.Store, pdfs: DataFrame, out_dir: str, dpi: int = DE
     """Documents whose pages aren't done yet: rendered, registered and marked; how many pages that made."""
     done = books.read("checkpoints").where("stage = 'pages' AND unit_id = 0")
     todo = store.pending(pdfs.withColumn("unit_id", F.lit(0).cast("long")), done, ["document_id", "unit_id"]).drop("unit_id")
-    made = written(render(todo, out_dir, dpi, renderer))
     before = books.read("pages").count()
-    pages = books.patch("pages", made, lambda old: store.upsert(old, made, ["document_id", "page_ordinal"], ["dpi"]))
+    with held(render(todo, out_dir, dpi, renderer)) as made:
+        pages = books.patch("pages", made, lambda old: store.upsert(old, made, ["document_id", "page_ordinal"], ["dpi"]))
     fresh = pages.join(todo.select("document_id"), "document_id", "left_semi")
     units = fresh.select("document_id", F.col("page_ordinal").cast("long").alias("unit_id"), F.col("image_path").alias("artifact_path"))
     whole = fresh.select("document_id").distinct().select("document_id", F.lit(0).cast("long").alias("unit_id"), F.lit(None).cast("string").alias("artifact_path"))

@@ -6,6 +6,8 @@ import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,10 +32,28 @@ def delete_folder(spark: SparkSession, path: str) -> None:
         return
 
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """The same rows from a table: what several branches of a plan read is made once, and a lost executor costs no more than its tasks."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    atexit.register(delete_folder, spark, path)
+def _write(df: DataFrame, name: str) -> tuple[str, DataFrame]:
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path, df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """The same rows from a table that stays until the driver ends: what several branches of a plan read is made once, and a lost
+    executor costs no more than its tasks."""
+    path, table = _write(df, name)
+    atexit.register(delete_folder, df.sparkSession, path)
+    return table
+
+
+@contextmanager
+def held(*dfs: DataFrame) -> Iterator:
+    """As ``written``, for as long as the block lasts: one table, or a list of them."""
+    made: list[tuple[str, DataFrame]] = []
+    try:
+        for df in dfs:
+            made.append(_write(df, "held"))
+        yield made[0][1] if len(made) == 1 else [table for _, table in made]
+    finally:
+        for path, _ in made:
+            delete_folder(dfs[0].sparkSession, path)

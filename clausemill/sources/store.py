@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import CLAUSE_KINDS, REFERENCE_KINDS, STATUSES, TABLES
-from .scratch import written
+from .scratch import held
 
 # ---- changes as plans
 
@@ -195,15 +195,15 @@ class Store:
         fresh = rows.select("source_path", "title").join(old.select("source_path"), "source_path", "left_anti").groupBy("source_path").agg(F.min("title").alias("title"))
         spread = fresh.repartitionByRange("source_path").sortWithinPartitions("source_path").withColumn("at", F.monotonically_increasing_id())
         # Ids are dense: the place in a partition, after the partitions before it.
-        placed = written(spread.withColumn("part", F.shiftright("at", 33)).withColumn("row", F.col("at").bitwiseAND((1 << 33) - 1)))
-        sizes = sorted((r["part"], r["count"]) for r in placed.groupBy("part").count().collect())
-        starts, n = [], top + 1
-        for part, count in sizes:
-            starts.append((part, n))
-            n += count
-        base = self.spark.createDataFrame(starts, "part long, base long")
-        new = placed.join(F.broadcast(base), "part").select((F.col("base") + F.col("row")).alias("document_id"), "source_path", "title", F.current_timestamp().alias("ingested_at"))
-        return self.patch("documents", new, lambda old: old.unionByName(new))
+        with held(spread.withColumn("part", F.shiftright("at", 33)).withColumn("row", F.col("at").bitwiseAND((1 << 33) - 1))) as placed:
+            sizes = sorted((r["part"], r["count"]) for r in placed.groupBy("part").count().collect())
+            starts, n = [], top + 1
+            for part, count in sizes:
+                starts.append((part, n))
+                n += count
+            base = self.spark.createDataFrame(starts, "part long, base long")
+            new = placed.join(F.broadcast(base), "part").select((F.col("base") + F.col("row")).alias("document_id"), "source_path", "title", F.current_timestamp().alias("ingested_at"))
+            return self.patch("documents", new, lambda old: old.unionByName(new))
 
     def insert(self, rows: DataFrame) -> DataFrame:
         """As ``register``, but a path that is there, or twice in rows, is an error."""
@@ -216,40 +216,39 @@ class Store:
 
     def mark(self, rows: DataFrame, stage: str) -> DataFrame:
         """rows (document_id, unit_id, status[, artifact_path]): checkpoints of a stage, the new ones over the old."""
-        new = written(rows.withColumn("stage", F.lit(stage)).withColumn("updated_at", F.current_timestamp()))
-        return self.patch("checkpoints", new, lambda old: upsert(old, new, ["document_id", "stage", "unit_id"], ["updated_at"]))
+        with held(rows.withColumn("stage", F.lit(stage)).withColumn("updated_at", F.current_timestamp())) as new:
+            return self.patch("checkpoints", new, lambda old: upsert(old, new, ["document_id", "stage", "unit_id"], ["updated_at"]))
 
     def completed(self, stage: str) -> DataFrame:
         return completed(self.read("checkpoints").where(F.col("stage") == stage))
 
     def save_pages(self, rows: DataFrame) -> DataFrame:
-        new = written(rows)
-        return self.patch("ocr_pages", new, lambda old: upsert(old, new, ["document_id", "page_ordinal"], ["raw_text"]))
+        with held(rows) as new:
+            return self.patch("ocr_pages", new, lambda old: upsert(old, new, ["document_id", "page_ordinal"], ["raw_text"]))
 
     def save_clauses(self, rows: DataFrame) -> DataFrame:
-        new = written(rows)
-        return self.patch("clauses", new, lambda old: merged_clauses(old, new))
+        with held(rows) as new:
+            return self.patch("clauses", new, lambda old: merged_clauses(old, new))
 
     def save_references(self, rows: DataFrame) -> DataFrame:
-        new = written(rows)
-        return self.patch("clause_references", new, lambda old: merged_references(old, new))
+        with held(rows) as new:
+            return self.patch("clause_references", new, lambda old: merged_references(old, new))
 
     def save_cards(self, rows: DataFrame) -> DataFrame:
-        new = written(rows)
-        return self.patch("rule_cards", new, lambda old: upsert(old, new, ["card_id"], ["clause_id"]))
+        with held(rows) as new:
+            return self.patch("rule_cards", new, lambda old: upsert(old, new, ["card_id"], ["clause_id"]))
 
     def save_embeddings(self, rows: DataFrame) -> DataFrame:
         """rows (card_id, clause_id, embedding)."""
-        new = written(rows)
-        return self.patch("rule_cards", new, lambda old: update(old, new, ["card_id"], ["embedding"]))
+        with held(rows) as new:
+            return self.patch("rule_cards", new, lambda old: update(old, new, ["card_id"], ["embedding"]))
 
     def delete_documents(self, gone: DataFrame) -> int:
         """Clauses of documents, with the references from them; the number of clauses that went."""
-        gone = written(gone.select("document_id").distinct())
-        lost = written(self.read("clauses").join(gone, "document_id", "left_semi").select(F.col("clause_id").alias("src_clause_id")))
-        self.patch("clause_references", lost, lambda old: delete(old, lost, ["src_clause_id"]))
-        self.patch("clauses", gone, lambda old: delete(old, gone, ["document_id"]))
-        return lost.count()
+        with held(gone.select("document_id").distinct()) as gone, held(self.read("clauses").join(gone, "document_id", "left_semi").select(F.col("clause_id").alias("src_clause_id"))) as lost:
+            self.patch("clause_references", lost, lambda old: delete(old, lost, ["src_clause_id"]))
+            self.patch("clauses", gone, lambda old: delete(old, gone, ["document_id"]))
+            return lost.count()
 
     def by(self, table: str, **values) -> DataFrame:
         """Rows whose columns have these values; with a document's id, of its bucket alone."""

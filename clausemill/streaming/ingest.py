@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import clauses, references
 from ..schemas import OCR_PAGES
-from ..sources.scratch import written
+from ..sources.scratch import held
 from ..sources.store import Store
 
 
@@ -36,9 +36,9 @@ def structure(books: Store, pages: DataFrame, rebuild: bool = False) -> None:
     """Clauses and references of the pages' documents into the store; with rebuild, what they had goes first."""
     if rebuild:
         books.delete_documents(pages.select("document_id").distinct())
-    parsed = written(clauses.parse_pages(pages))
-    kept = books.save_clauses(clauses.stored(parsed))
-    mine = kept.join(pages.select("document_id").distinct(), "document_id", "left_semi")
-    books.save_references(references.numbered(references.resolve(references.extract(parsed), mine)))
+    with held(clauses.parse_pages(pages)) as parsed:
+        kept = books.save_clauses(clauses.stored(parsed))
+        mine = kept.join(pages.select("document_id").distinct(), "document_id", "left_semi")
+        books.save_references(references.numbered(references.resolve(references.extract(parsed), mine)))
     whole = pages.select("document_id").distinct().select("document_id", F.lit(0).cast("long").alias("unit_id"), F.lit("done").alias("status"))
     books.mark(whole, "structure")
