@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,11 +95,16 @@ def _places(b: pa.RecordBatch) -> np.ndarray:
     return (curve_keys(b.column("__text")) << (63 - DIMS * BITS)) | tie.astype(np.int64)
 
 
-def _bounds(inner: DataFrame, parts: int, total: int, per: int = 64) -> np.ndarray:
-    """Places that cut the curve into ranges of about as many documents, from some ``per`` documents a range; they decide where rows go, and nothing else."""
+def _bounds(inner: DataFrame, parts: int, total: int, per: int = 128) -> np.ndarray:
+    """Places that cut the curve into ranges of about as much text, from some ``per`` documents a range; they decide where rows go, and nothing else."""
     some = inner.select("__text", "__tie").sample(False, min(1.0, parts * per / max(1, total)), seed=17)
-    found = some.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array(_places(b), pa.int64())], ["key"]) for b in batches), "key long").toPandas()
-    return np.quantile(found["key"], np.arange(1, parts) / parts, method="nearest") if len(found) else np.zeros(0)
+    read = lambda batches: (pa.RecordBatch.from_arrays([pa.array(_places(b), pa.int64()), pc.binary_length(b.column("__text")).cast(pa.int64())], ["key", "size"]) for b in batches)
+    found = some.mapInArrow(read, "key long, size long").toPandas().sort_values("key")
+    if not len(found):
+        return np.zeros(0)
+    # Long documents of one language are near each other, so ranges are of like size by text and not by documents.
+    upto = np.cumsum(found["size"].to_numpy() + 1)
+    return found["key"].to_numpy()[np.searchsorted(upto, upto[-1] * np.arange(1, parts) / parts)]
 
 
 def pack(docs: DataFrame, *, length: int = 2048, end: int = 1, tokenizer: str | None = None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
