@@ -16,7 +16,7 @@ Each shard is put in a keyed order of its own.
 Nothing of the size of a source is gathered: positions come from sums over (source, bucket) pairs, of
 which there are at most ``BUCKETS`` plus one per source, and from windows within one bucket. Blocks are at
 most ``MOST_BLOCKS`` and two for each source, as they grow with the tables beyond that; one row for each goes
-to the driver, which draws, and to all tasks.
+to the driver, which draws, and to all tasks. Where blocks grow, shards do too, to ``SHARD_BLOCKS`` blocks at least.
 
 Defined results: null text has size 0; a null source is a source of its own, last in order; documents
 of size 0 are taken with the words around them and count nothing; repeated rows are documents of their
@@ -40,7 +40,8 @@ from ._shared import Scratch, hidden, rows_of, shown, small_batches, word_count
 
 BUCKETS = 100_000
 LEAST_BUCKET = 512
-MOST_BLOCKS = 1 << 20
+MOST_BLOCKS = 1 << 18
+SHARD_BLOCKS = 64
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], total: float, most: float) -> list[float]:
@@ -176,7 +177,7 @@ def mix_plan(
     each = placed.select("__i", "__n", firsts.alias("f")).groupBy(F.col("__i").alias("i"), F.col("f.block").alias("block")).agg(F.sum("__n").alias("words"), F.min("f.at").alias("first"))
     # At most MOST_BLOCKS rows and two for each source, here and in the broadcasts.
     each = each.toPandas()
-    made = drawn_blocks(each, quotas, shard_words, seed).merge(each[["i", "block", "first"]], on=["i", "block"])
+    made = drawn_blocks(each, quotas, max(shard_words, SHARD_BLOCKS * length) if length > block_words else shard_words, seed).merge(each[["i", "block", "first"]], on=["i", "block"])
     drawn = spark.createDataFrame(pa.Table.from_pandas(made.astype({"first": "int64"}), preserve_index=False))
 
     draws = []

@@ -21,7 +21,8 @@ WITH RECURSIVE sized AS (
 ), known AS (
   SELECT *, round_even(t, 0)::BIGINT AS q FROM (SELECT s.source, s.i, s.w, CASE WHEN s.w = 0 THEN 0.0::DOUBLE ELSE least(2.0::DOUBLE * s.w, s.weight * unit) END AS t FROM sources s, levels)
 ), how AS (
-  SELECT greatest(4096, ceil(2 * sum(w) / 1048576))::BIGINT AS length, greatest(1, ceil(sum(q) / 262144))::BIGINT AS shards FROM known
+  SELECT length, greatest(1, ceil(q / greatest(262144, 64 * length)))::BIGINT AS shards
+  FROM (SELECT greatest(4096, ceil(2 * sum(w) / 262144))::BIGINT AS length, sum(q) AS q FROM known)
 ), placed AS (
   SELECT row_number() OVER () AS id, z.doc_id, z.size, n.w, n.t, n.q, n.i,
          coalesce(sum(z.size) OVER (PARTITION BY z.source ORDER BY z.k, z.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
