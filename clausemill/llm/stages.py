@@ -6,7 +6,7 @@ and repeated rows and empty tables are as each operator defines them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, mixing, near, packing, secrets
@@ -33,10 +33,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     # A group's first doc_id, then its rows of that doc_id: only these meet by group.
     ids = scratch.keep(groups.join(named.select(key.alias("__key"), F.col("doc_id").alias("__id")).distinct(), "__key"), "ids")
     least = ids.groupBy("__group").agg(F.min("__id").alias("__least"))
-    kept = ids.join(least, "__group").where("__id = __least").select("__key", "__group")
-    whole = named.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("__key"), F.col("text").alias("__text"))
-    first = F.row_number().over(Window.partitionBy("__group").orderBy(F.col("__text").asc_nulls_last()))
-    rows = whole.join(kept, "__key").withColumn("__first", first).where("__first = 1").select("doc.*")
+    kept = scratch.keep(ids.join(least, "__group").where("__id = __least").select("__key", "__group"), "kept")
+    # Only where one doc_id has several texts in a group, texts decide; the others' are not looked at.
+    several = kept.groupBy("__group").count().where("count > 1").select("__group")
+    tied = named.select(key.alias("__key"), F.col("text").alias("__text")).join(kept.join(several, "__group", "left_semi"), "__key")
+    winners = tied.groupBy("__group").agg(F.min(F.struct(F.col("__text").isNull().alias("none"), F.col("__text").alias("text"), F.col("__key").alias("key"))).alias("w")).select(F.col("w.key").alias("__key"))
+    chosen = kept.join(several, "__group", "left_anti").select("__key").union(winners)
+    # Equal rows become one before they move, and rows move once, by the key of the join.
+    whole = named.select(key.alias("__key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).groupBy("__key").agg(F.first("doc").alias("doc"))
+    rows = whole.join(chosen, "__key", "left_semi").select("doc.*")
     return rows.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
