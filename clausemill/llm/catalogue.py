@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, lm, mixing, near, packing, secrets, tokencount, topk, vectors
+from . import chat, langid, lm, mixing, near, packing, phrases, secrets, tokencount, topk, vectors
 from ._shared import Scratch, rows_of, table, word_count
 from .oracles import ORACLES
 
@@ -101,6 +101,11 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "n_links", "component_id", "kept")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_score": op2_lm_score,
@@ -112,4 +117,5 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_near_vectors": op10_near_vectors,
+    "op11_collocations": op11_collocations,
 }

@@ -152,3 +152,27 @@ WITH RECURSIVE w AS (
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) c ON c.id = d.doc_id
 """
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents WHERE text IS NOT NULL)
+), worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang
+), spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+), found AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*)::BIGINT AS a
+  FROM spots, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT *, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS front, array_to_string(string_split(phrase, ' ')[j + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM found WHERE k > 1)
+), scored AS (
+  SELECT c.lang, c.k, c.phrase, c.a, x.a AS l, y.a AS r, n, j, ((1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cuts c JOIN sizes s ON s.lang = c.lang JOIN found x ON x.lang = c.lang AND x.phrase = c.front JOIN found y ON y.lang = c.lang AND y.phrase = c.rest
+), least AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS place FROM scored
+), kept AS (
+  SELECT * FROM least c WHERE place = 1
+    AND NOT EXISTS (SELECT 1 FROM found g WHERE g.lang = c.lang AND g.k > c.k AND 100 * g.a >= 100 * c.a AND contains(' ' || g.phrase || ' ', ' ' || c.phrase || ' '))
+)
+SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase::BLOB) AS rank, phrase, a, l, r, n, score FROM kept) WHERE rank <= 2000
+"""
