@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, lm, mixing, near, packing, phrases, secrets, tokencount, topk, vectors
+from . import chat, langid, lm, mixing, near, packing, phrases, secrets, tokencount, topk, vectors, warc
 from ._shared import Scratch, rows_of, table, word_count
 from .oracles import ORACLES
 
@@ -106,6 +106,15 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, and what the archives say of them."""
+    path = f"{Scratch(spark, 'op12').root}/archives"
+    warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    found = warc.read_archives(spark, path)
+    page = lambda c: warc.page_of(c).try_cast("long")
+    return found.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), page("refers_to").alias("refers_to"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_score": op2_lm_score,
@@ -118,4 +127,5 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_near_vectors": op10_near_vectors,
     "op11_collocations": op11_collocations,
+    "op12_warc": op12_warc,
 }

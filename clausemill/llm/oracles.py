@@ -176,3 +176,15 @@ WITH pieces AS (
 )
 SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase::BLOB) AS rank, phrase, a, l, r, n, score FROM kept) WHERE rank <= 2000
 """
+
+ORACLES["op12_warc"] = r"""
+WITH rows AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), bits AS (
+  SELECT *, list_transform(range(8), lambda g: list_reduce(list_transform(range(5), lambda i: (strpos('0123456789abcdef', hex[g * 5 + i + 1]) - 1)::BIGINT), lambda a, b: a * 16 + b)) AS groups FROM rows
+)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((groups[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31)::INTEGER + 1, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN row_number() OVER same = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN row_number() OVER same > 1 THEN min(page_id) OVER (PARTITION BY html) END AS refers_to
+FROM bits WINDOW same AS (PARTITION BY html ORDER BY page_id)
+"""
