@@ -25,7 +25,7 @@ from .words import mixed
 
 LONGEST = 5
 #: Bytes of text in a shard's trie; a longer text is cut where a piece ends.
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 4 << 20
 #: The table of pairs that may be frequent has 2^27 bits: 16 MB, whatever the corpus.
 TABLE_BITS = 27
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -75,7 +75,7 @@ def _words(texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray, np.nda
     offsets = np.zeros(len(begin) + 1, np.int32)
     np.cumsum(end - begin, out=offsets[1:])
     spelt = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(low[solid])]).dictionary_encode()
-    piece = np.cumsum(kind == 2, dtype=np.int32)[begin]
+    piece = np.searchsorted(np.flatnonzero(kind == 2), begin)
     goes_on = np.zeros(len(begin), bool)
     goes_on[:-1] = piece[1:] == piece[:-1]
     starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])

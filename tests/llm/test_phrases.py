@@ -48,7 +48,7 @@ def corpus(seed, n=300):
     return rows
 
 
-@pytest.mark.parametrize("seed,least,size,bits", [(1, 3, 12 << 20, 27), (2, 2, 200, 27), (3, 5, 1, 6)])
+@pytest.mark.parametrize("seed,least,size,bits", [(1, 3, 4 << 20, 27), (2, 2, 200, 27), (3, 5, 1, 6)])
 def test_against_plain_counts(spark, seed, least, size, bits):
     """Shards of all sizes down to a piece, a table of so few bits that nearly every pair gets through, and ranges that cut paths."""
     rows = corpus(seed)
