@@ -22,7 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """document_id, page, line_no, line."""
     docs = table(spark, sf_dir, "documents").where("text IS NOT NULL AND doc_id IS NOT NULL")
-    rows = docs.select(F.col("doc_id").alias("document_id"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "said"))
+    return lines_of(docs.select(F.col("doc_id").alias("document_id"), "text"))
+
+
+def lines_of(docs: DataFrame) -> DataFrame:
+    """docs (document_id, text) -> document_id, page, line_no, line."""
+    rows = docs.select("document_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "said"))
     n, group = F.col("line_no"), F.expr("line_no div 6")
     phrase = F.element_at(F.array(*map(F.lit, PHRASES)), (group % 4 + 1).cast("int"))
     number = (group + 1 + F.expr("line_no div 36")).cast("string")
