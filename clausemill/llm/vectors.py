@@ -187,10 +187,10 @@ def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35
             yield pd.DataFrame({"cell": place.astype(np.int32), "id": b["id"].to_numpy(), "n": b["n"].to_numpy(), "v": b["__v"].to_numpy(), "visits": [seen[i] for i in row]})
 
     placed = classes.mapInPandas(assign, "cell int, id long, n long, v array<double>, visits array<long>")
-    counts = {r["cell"]: r["count"] for r in classes.mapInPandas(lambda bs: (pd.DataFrame({"cell": c["cell"]}) for c in assign(bs)), "cell int").groupBy("cell").count().where(F.col("count") > block_rows).collect()}
-    split = F.create_map(*[F.lit(x) for c, k in counts.items() for x in (c, -(-k // block_rows))]) if counts else None
-    blocks = F.coalesce(F.get(F.array(split[F.col("cell")]), 0), F.lit(1)) if split is not None else F.lit(1)
-    dealt = placed.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    # A row for each cell to split, of at most most_cells * most_parts.
+    counts = classes.mapInPandas(lambda bs: (pd.DataFrame({"cell": c["cell"]}) for c in assign(bs)), "cell int").groupBy("cell").count().where(F.col("count") > block_rows)
+    split = scratch.keep(counts.select("cell", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks")), "split")
+    dealt = placed.join(F.broadcast(split), "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other")).drop("blocks", "other")
 
