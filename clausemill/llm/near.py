@@ -389,23 +389,26 @@ def link(found: DataFrame, percent: int, scratch: Scratch, *, stars: int = 6, sl
     return roots
 
 
-def near_duplicates(docs: DataFrame, *, grams: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
-    """The carried columns (all, by default), n_shingles and component_id of every row."""
+def near_duplicates(docs: DataFrame, *, grams: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id", carry: list[str] | None = None, root: bool = False) -> DataFrame:
+    """The carried columns (all, by default), n_shingles and component_id of every row: that of its own text, also where a key repeats.
+
+    With ``root`` also component_root, which tells components apart that have one least key; null for texts without a word.
+    """
     small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "near")
     cols, pairs = hidden(docs, carry if carry is not None else docs.columns)
     body = docs[f"`{text}`"].cast("string").alias("__text")
-    members = scratch.keep(memberships(docs.select(docs[f"`{key}`"].cast("long").alias("__id"), body), grams), "members")
+    # Other columns go along with the rows; the key alone is there anyway.
+    rest = [] if [name for _, name in pairs] == [key] else cols
+    members = scratch.keep(memberships(docs.select(*rest, docs[f"`{key}`"].cast("long").alias("__id"), body), grams), "members")
     total = members.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
     roots = link(candidates(docs.select(body), grams, percent, scratch, total), percent, scratch)
     least = members.where(F.col("__sig").isNotNull()).groupBy("__sig").agg(F.min("__id").alias("least"))
     named = least.join(roots, least["__sig"] == roots["sig"], "left").select("__sig", F.coalesce("root", "__sig").alias("root"), "least")
     by_root = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = scratch.keep(named.join(by_root, "root").select(F.col("__sig").alias("s"), "component_id"), "labels")
+    labels = scratch.keep(named.join(by_root, "root").select(F.col("__sig").alias("s"), "component_id", F.col("root").alias("component_root")), "labels")
     scratch.drop_but("members", "labels")
-    rows = members.join(labels, members["__sig"] == labels["s"], "left").select("__id", F.col("__n").alias("n_shingles"), F.coalesce("component_id", "__id").alias("component_id"))
-    if [name for _, name in pairs] == [key]:
-        return rows.select(F.col("__id").alias(key), "n_shingles", "component_id")
-    # Other columns come back by key; a repeated key has one row of results for each of its rows, so one is enough.
-    once = rows.dropDuplicates(["__id"])
-    return docs.select(*cols, docs[f"`{key}`"].cast("long").alias("__key")).join(once, F.col("__key").eqNullSafe(F.col("__id")), "left").select(*shown(pairs, "n_shingles", "component_id"), "n_shingles", "component_id")
+    made = [F.col("__n").alias("n_shingles"), F.coalesce("component_id", "__id").alias("component_id"), *([F.col("component_root")] if root else [])]
+    names = ["n_shingles", "component_id", *(["component_root"] if root else [])]
+    kept = shown(pairs, *names) if rest else [F.col("__id").alias(key)]
+    return members.join(labels, members["__sig"] == labels["s"], "left").select(*kept, *made)

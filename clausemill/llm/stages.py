@@ -20,21 +20,22 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the least doc_id, and of several of that doc_id the least text.
+    """One document of each group of near-duplicates, that of the least doc_id, of several of that doc_id the least text, and of
+    several of that text the row with the least MD5 of all columns; runs agree.
 
     Groups are of texts, not of ids: different texts under one doc_id are each in their own group. Texts without a word are
     like no other, but equal ones under one doc_id are one. Documents without a doc_id stay.
     """
     named = docs.where(F.col("doc_id").isNotNull())
-    key = F.xxhash64("doc_id", F.col("text").isNull(), "text")  # stands for a doc_id with its text
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]))
+    said = F.coalesce(F.md5("text"), F.lit("-"))
+    key = F.unhex(F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), said, others)))  # stands for a whole row: equal rows are one
     scratch = Scratch(spark, "groups")
-    found = near.near_duplicates(named.select(key.alias("__key"), "text"), key="__key", carry=["__key"])
-    groups = found.groupBy("__key").agg(F.min("component_id").alias("__group"))
-    # A group's first doc_id, then its rows of that doc_id: only these meet by group.
-    ids = scratch.keep(groups.join(named.select(key.alias("__key"), F.col("doc_id").alias("__id")).distinct(), "__key"), "ids")
-    least = ids.groupBy("__group").agg(F.min("__id").alias("__least"))
-    kept = scratch.keep(ids.join(least, "__group").where("__id = __least").select("__key", "__group"), "kept")
-    # Only where one doc_id has several texts in a group, texts decide; the others' are not looked at.
+    found = near.near_duplicates(named.select(key.alias("__key"), F.concat_ws("|", F.col("doc_id").cast("string"), said).alias("__alone"), "doc_id", "text"), carry=["__key", "__alone", "doc_id"], root=True)
+    # A group's rows of its first doc_id; texts without a word are grouped by doc_id and text.
+    first = found.where(F.col("doc_id") == F.col("component_id")).select("__key", F.coalesce(F.col("component_root").cast("string"), "__alone").alias("__group"))
+    kept = scratch.keep(first.distinct(), "kept")
+    # Only where a group still has several rows, their texts decide, and then the rows; the others' are not looked at.
     several = kept.groupBy("__group").count().where("count > 1").select("__group")
     tied = named.select(key.alias("__key"), F.col("text").alias("__text")).join(kept.join(several, "__group", "left_semi"), "__key")
     winners = tied.groupBy("__group").agg(F.min(F.struct(F.col("__text").isNull().alias("none"), F.col("__text").alias("text"), F.col("__key").alias("key"))).alias("w")).select(F.col("w.key").alias("__key"))

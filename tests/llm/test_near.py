@@ -124,3 +124,19 @@ def test_edges(docs, no_docs):
     out = near.near_duplicates(docs)
     assert out.columns == [*docs.columns, "n_shingles", "component_id"] and out.count() == docs.count()
     assert near.near_duplicates(no_docs).count() == 0
+
+
+def test_other_columns_with_repeated_ids(spark):
+    """Every row has the results of its own text, whatever its id and whatever it carries."""
+    said = "a b c d e f g h"
+    rows = [(1, said, "x"), (1, "q", "y"), (1, "q", "y"), (2, said, "z"), (1, None, None), (None, said, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, other string")
+    want = sorted(((d, t, o, n, c) for (d, t, o), (_, n, c) in zip(rows, brute([(d, t) for d, t, _ in rows]), strict=True)), key=repr)
+    assert sorted(map(tuple, near.near_duplicates(df).collect()), key=repr) == want
+    assert (1, said, "x", 4, 1) in want and (1, "q", "y", 1, 1) in want
+    short = near.near_duplicates(df, carry=["other"], root=True)
+    assert short.columns == ["other", "n_shingles", "component_id", "component_root"]
+    by_root = {}
+    for r in short.collect():
+        by_root.setdefault(r["component_root"], []).append(r["other"] or "")
+    assert sorted(map(sorted, by_root.values())) == [[""], ["n", "x", "z"], ["y", "y"]]

@@ -59,3 +59,12 @@ def test_empty(spark, no_docs, sf_dir):
 def test_run(spark, sf_dir):
     first, again = (corpus_pipeline.run(spark, sf_dir).select("doc_id", "start", "sequence_id", "offset").collect() for _ in range(2))
     assert len(first) > 100 and sorted(map(tuple, first)) == sorted(map(tuple, again))
+
+
+def test_rows_of_one_text_and_id(spark, sf_dir):
+    """Rows equal in doc_id and text but not in other columns: one of them stays, the same one in every order and partitioning."""
+    x = " ".join(f"x{k}" for k in range(60))
+    rows = [(3, x, "b", "en"), (3, x, "a", "en"), (3, x, "a", None), (3, x, None, None), (4, x, "a", "en"), (9, None, "a", "en"), (9, None, "b", "en"), (9, None, "b", "en")]
+    made = [stages.drop_near_duplicates(spark, spark.createDataFrame(rows[::way], "doc_id long, text string, source string, lang string").repartition(n), sf_dir) for way, n in ((1, 1), (-1, 4))]
+    first, again = (sorted(map(tuple, m.collect()), key=repr) for m in made)
+    assert first == again and [r[0] for r in first] == [3, 9] and set(first) <= set(rows)
