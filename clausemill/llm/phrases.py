@@ -238,7 +238,8 @@ def nodes(docs: DataFrame, least: int, scratch: Scratch, text: str = "text", lan
     tries = scratch.keep(said.mapInArrow(_tries(lambda: shared.value, bits, shard_bytes), "lang binary, path binary, c long"), "tries")
     shared.unpersist()
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = tries.repartitionByRange(n, "lang", "path").sortWithinPartitions("lang", "path")
+    # Shards' counts of a path are summed within its range: the sum has the ranges' partitioning, so nothing moves again.
+    runs = tries.repartitionByRange(n, "lang", "path").groupBy("lang", "path").agg(F.sum("c").alias("c")).sortWithinPartitions("lang", "path")
     walked = scratch.keep(runs.mapInArrow(_walked(least), "lang binary, phrase binary, depth int, a long, left array<long>, open boolean"), "walked")
     at_edges = walked.where("open").groupBy("lang", "phrase", "depth").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     at_edges = scratch.keep(at_edges.withColumn("left", F.array_repeat(F.lit(None).cast("long"), F.col("depth") - 1)), "edges")
