@@ -84,7 +84,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         known = books.by("documents", source_path=path)
         if a.command == "pages":
             pdfs = known.join(spark.read.format("binaryFile").load(path).select("content"), F.lit(True)).select("document_id", "content")
-            print(rasterise.pages_stage(books, pdfs, a.out, a.dpi))
+            print(rasterise.pages_stage(books, pdfs, a.out, a.dpi, files="://" not in a.out))
         else:
             say(known.first())
         return 0

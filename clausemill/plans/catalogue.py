@@ -23,7 +23,7 @@ from ..operators import retrieve as H
 from ..operators import stages
 from ..operators import vectors as V
 from ..schemas import DEFAULT_DIM
-from ..sources import artifacts, markup, ocr, store
+from ..sources import artifacts, markup, ocr, rasterise, store
 from ..sources.scratch import delete_folder, shared_folder, written
 from . import sql as S
 from .corpus import lines, table
@@ -438,6 +438,12 @@ def ordered_concat(spark, sf_dir):
     return rows.groupBy("conv_id").agg(F.md5(text).alias("text_md5"), F.max("turn").alias("last_turn"))
 
 
+@query(rasterise.RANGES_SQL)
+def page_ranges(spark, sf_dir):
+    """Every document as a book that is cut into ranges of pages, each rendered in a task of its own."""
+    return rasterise.ranges_query(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # ---- graph and retrieval
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 import base64
 import json
 import os
+import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol, runtime_checkable
 
 import pandas as pd
@@ -24,7 +26,10 @@ PAGE_JSON = T.StructType([f for f in OCR_PAGES.fields if f.name not in ("documen
 
 @runtime_checkable
 class Backend(Protocol):
-    """Transcribes one page image; the same input gives the same text. Used inside a task, so it must pickle."""
+    """Transcribes one page image; the same input gives the same text. Used inside a task, so it must pickle.
+
+    A backend may also have ``transcribe_image(image_path, page_ordinal, image)``, which takes the picture's bytes.
+    """
 
     name: str
 
@@ -57,9 +62,12 @@ class HttpBackend:
         self.endpoint, self.model, self.prompt, self.logit_processor = endpoint.rstrip("/"), model, prompt, logit_processor
         self._post = post or self._send
 
-    def body(self, image_path: str) -> dict:
-        with open(image_path, "rb") as f:
-            data = base64.b64encode(f.read()).decode()
+    def body(self, image_path: str, image: bytes | None = None) -> dict:
+        """``image`` holds the picture; without it, the path is a file that the task sees."""
+        if image is None:
+            with open(image_path, "rb") as f:
+                image = f.read()
+        data = base64.b64encode(image).decode()
         mime = "image/png" if image_path.lower().endswith(".png") else "image/jpeg"
         content = [{"type": "text", "text": self.prompt}, {"type": "image_url", "image_url": {"url": f"data:{mime};base64,{data}"}}]
         out = {"model": self.model, "messages": [{"role": "user", "content": content}], "temperature": 0, "stream": True, "skip_special_tokens": False, "images_config": {"image_mode": "gundam"}}
@@ -74,9 +82,12 @@ class HttpBackend:
                 yield line.decode("utf-8").rstrip("\r\n")
 
     def transcribe(self, image_path: str, page_ordinal: int) -> dict:
+        return self.transcribe_image(image_path, page_ordinal, None)
+
+    def transcribe_image(self, image_path: str, page_ordinal: int, image: bytes | None) -> dict:
         hint = "start the transcription server, or set another endpoint"
         try:
-            text = decode_stream(self._post(f"{self.endpoint}/chat/completions", self.body(image_path)))
+            text = decode_stream(self._post(f"{self.endpoint}/chat/completions", self.body(image_path, image)))
         except urllib.error.HTTPError as e:
             raise RuntimeError(f"{self.endpoint} answered {e.code}; {hint}") from e
         except (urllib.error.URLError, ConnectionError) as e:
@@ -153,27 +164,50 @@ def read_artifacts(spark: SparkSession, path: str, document_id: int | None = Non
 # ---- the stage
 
 
-def transcribe(pages: DataFrame, backend: Backend, checkpoints: DataFrame | None = None) -> DataFrame:
+#: What a page may fail with; anything else is a fault of the backend's code and ends the stage.
+PAGE_FAILURES = (RuntimeError, OSError, ValueError)
+
+
+def attempt(backend: Backend, path: str, ordinal: int, image: bytes | None, tries: int, wait: float) -> tuple:
+    """(blocks, raw_text, status, error) of one page, asked for again after growing waits."""
+    for k in range(tries):
+        try:
+            page = backend.transcribe(path, ordinal) if image is None or not hasattr(backend, "transcribe_image") else backend.transcribe_image(path, ordinal, image)
+            return page["blocks"], page["raw_text"], "done", None
+        except PAGE_FAILURES as e:
+            error = str(e)
+            if k + 1 < tries:
+                time.sleep(wait * 2**k)
+    return [], "", "failed", error
+
+
+def transcribe(
+    pages: DataFrame, backend: Backend, checkpoints: DataFrame | None = None, images: DataFrame | None = None, *, in_flight: int = 1, most_open: int | None = None, tries: int = 1, wait: float = 0.5
+) -> DataFrame:
     """Registered pages that aren't done -> document_id, page_ordinal, image_path, blocks, raw_text, status, error.
 
-    Failed pages are tried again the next time; one failure doesn't end the stage.
+    A task keeps ``in_flight`` pages open at a time; with ``most_open`` the pages go to so many tasks that no more are open together. A page
+    is asked for ``tries`` times. Failed pages are tried again the next time; one failure doesn't end the stage. ``images`` (document_id,
+    page_ordinal, image) brings the pictures along, else the paths are files.
     """
     todo = pages.select("document_id", "page_ordinal", "image_path")
     if checkpoints is not None:
         done = checkpoints.where("stage = 'ocr'").withColumnRenamed("unit_id", "page_ordinal")
         todo = store.pending(todo, done, ["document_id", "page_ordinal"])
+    if images is not None:
+        todo = todo.join(images.select("document_id", "page_ordinal", "image"), ["document_id", "page_ordinal"], "left").select("document_id", "page_ordinal", "image_path", "image")
+    if most_open is not None:
+        in_flight = min(in_flight, most_open)
+        todo = todo.repartition(max(1, most_open // in_flight))
     out = T.StructType([*OCR_PAGES.fields, T.StructField("status", T.StringType()), T.StructField("error", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for d, p, path in zip(b["document_id"], b["page_ordinal"], b["image_path"], strict=True):
-                try:
-                    page = backend.transcribe(path, int(p))
-                    rows.append((d, p, path, page["blocks"], page["raw_text"], "done", None))
-                except Exception as e:  # recorded with the page
-                    rows.append((d, p, path, [], "", "failed", str(e)))
-            yield pd.DataFrame(rows, columns=out.names)
+        with ThreadPoolExecutor(in_flight) as open_:
+            for b in batches:
+                pictures = b["image"] if "image" in b else [None] * len(b)
+                asked = [open_.submit(attempt, backend, path, int(p), image, tries, wait) for p, path, image in zip(b["page_ordinal"], b["image_path"], pictures, strict=True)]
+                rows = [(d, p, path, *x.result()) for d, p, path, x in zip(b["document_id"], b["page_ordinal"], b["image_path"], asked, strict=True)]
+                yield pd.DataFrame(rows, columns=out.names)
 
     return todo.mapInPandas(run, out)
 

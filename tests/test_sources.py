@@ -247,6 +247,6 @@ def test_rendering(spark, tmp_path):
     books = store.Store(spark, str(tmp_path / "db"))
     pdfs = spark.createDataFrame([(1, bytearray(b"x"))], "document_id long, content binary")
     draw = lambda content, dpi: [(1, 10, 20, b"a"), (2, 10, 20, b"b")]
-    assert rasterise.pages_stage(books, pdfs, str(tmp_path / "out"), 72, draw) == 2
-    assert rasterise.pages_stage(books, pdfs, str(tmp_path / "out"), 72, draw) == 0
+    assert rasterise.pages_stage(books, pdfs, str(tmp_path / "out"), 72, draw, files=True) == 2
+    assert rasterise.pages_stage(books, pdfs, str(tmp_path / "out"), 72, draw, files=True) == 0
     assert (tmp_path / "out/doc1/page0002.png").read_bytes() == b"b"
