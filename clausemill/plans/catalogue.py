@@ -17,6 +17,7 @@ from ..functions import text as X
 from ..operators import cards as C
 from ..operators import clauses as K
 from ..operators import graph as G
+from ..operators import index as I
 from ..operators import quality as Q
 from ..operators import references as R
 from ..operators import retrieve as H
@@ -492,6 +493,45 @@ def hybrid_retrieve(spark, sf_dir):
     return H.retrieve(have, wanted, 20, topic="hóa đơn", penalty=True).select("card_id", "citation", F.round("score", 6).alias("score"))
 
 
+@query(
+    S.lines_up(
+        S.PARSED_SQL,
+        S.STORED_SQL,
+        S.CARDS_SQL,
+        """v AS (SELECT vec_id, embedding::DOUBLE[] AS x, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS len FROM embeddings
+        ), found AS (
+          SELECT c.card_id, c.document_id, c.bound_actor, c.topic, c.penalty IS NOT NULL AS penalty, replace(c.citation, 'Điều ', '') AS article, x, len,
+                 EXISTS (SELECT 1 FROM clauses k WHERE k.document_id = c.document_id AND k.kind = 'khoan' AND k.number = '1' AND 'Điều ' || k.dieu = c.citation) AS first_khoan
+          FROM cards c JOIN v ON v.vec_id = c.document_id
+        ), asked AS (
+          SELECT vec_id AS query_id, x AS q, len AS qlen, CASE WHEN vec_id % 3 = 1 THEN 'hóa đơn' WHEN vec_id % 3 = 2 THEN 'xử phạt' END AS topic, CASE WHEN vec_id % 4 = 3 THEN vec_id % 8 = 3 END AS penalty,
+                 CASE WHEN vec_id % 5 = 4 THEN '2' END AS article, CASE WHEN vec_id % 7 = 6 THEN '1' END AS khoan
+          FROM v WHERE vec_id % 10 < 5
+        )""",
+        select="""SELECT query_id, rank, card_id, round(score, 6) AS score FROM (
+          SELECT query_id, card_id, list_dot_product(x, q) / (len * qlen) AS score, row_number() OVER (PARTITION BY query_id ORDER BY list_dot_product(x, q) / (len * qlen) DESC, card_id)::INTEGER AS rank
+          FROM asked a JOIN found f ON (a.topic IS NULL OR a.topic = f.topic) AND (a.penalty IS NULL OR a.penalty = f.penalty) AND (a.article IS NULL OR a.article = f.article) AND (a.khoan IS NULL OR f.first_khoan)
+        ) WHERE rank <= 10""",
+    )
+)
+def retrieve_many(spark, sf_dir):
+    """M1: half the vectors as queries with filters by topic, penalty, article and Khoản, against a kept index of all cards."""
+    vectors = table(spark, sf_dir, "embeddings")
+    kept = written(_clauses(spark, sf_dir), "clauses")
+    have = C.extract(kept).join(vectors.select(F.col("vec_id").alias("document_id"), "embedding"), "document_id")
+    index = I.Index.build(I.described(have, kept), written_to(spark))
+    n = F.col("vec_id")
+    asked = vectors.where(n % 10 < 5).select(
+        n.alias("query_id"),
+        "embedding",
+        F.when(n % 3 == 1, "hóa đơn").when(n % 3 == 2, "xử phạt").alias("topic"),
+        F.when(n % 4 == 3, n % 8 == 3).alias("penalty"),
+        F.when(n % 5 == 4, "2").alias("article"),
+        F.when(n % 7 == 6, "1").alias("khoan"),
+    )
+    return index.search(asked, 10).select("query_id", "rank", "card_id", F.round("score", 6).alias("score"))
+
+
 @query(S.lines_up(S.PARSED_SQL, S.STORED_SQL, S.ARTICLES_SQL, select="SELECT DISTINCT document_id, num::BIGINT AS num FROM articles a WHERE num < (SELECT min(num) FROM articles b WHERE b.document_id = a.document_id)"))
 def numbering_extras(spark, sf_dir):
     """Numbers outside their own range, of which there are none."""

@@ -197,7 +197,7 @@ WITH lined AS (SELECT doc_id AS document_id, unnest(s) AS line, unnest(range(0,
 ), paged AS (
   SELECT document_id, (n // 8 + 1)::INTEGER AS page_ordinal, (max(length(line)) * 144 // 72)::INTEGER AS width, (count(*) * 12 * 144 // 72)::INTEGER AS height, string_agg(line, chr(10) ORDER BY n) AS text FROM lined GROUP BY 1, 2
 )
-SELECT document_id, page_ordinal, 'out/doc' || document_id || '/page' || lpad(page_ordinal::VARCHAR, greatest(4, length(page_ordinal::VARCHAR)), '0') || '.png' AS image_path, width, height, 144 AS dpi,
+SELECT document_id, page_ordinal, 'out/doc' || document_id || '/page' || lpad(page_ordinal::VARCHAR, greatest(4, length(page_ordinal::VARCHAR))::INTEGER, '0') || '.png' AS image_path, width, height, 144 AS dpi,
        md5(width || 'x' || height || chr(10) || text) AS image_md5
 FROM paged
 """
