@@ -493,6 +493,47 @@ def hybrid_retrieve(spark, sf_dir):
     return H.retrieve(have, wanted, 20, topic="hóa đơn", penalty=True).select("card_id", "citation", F.round("score", 6).alias("score"))
 
 
+_HOPS = "hop AS (SELECT src_clause_id AS src, dst_clause_id AS dst FROM refs WHERE dst_clause_id IS NOT NULL UNION SELECT parent_id, clause_id FROM clauses WHERE parent_id IS NOT NULL)"
+
+
+@query(
+    S.lines_up(
+        *_REFS,
+        _HOPS,
+        """walk AS (
+          SELECT clause_id AS start_id, [clause_id] AS front, [clause_id] AS seen, 0 AS hops FROM clauses WHERE kind = 'dieu'
+          UNION ALL
+          SELECT start_id, fresh, list_concat(seen, fresh), hops + 1
+          FROM (
+            SELECT w.start_id, w.seen, w.hops, list_filter(list(DISTINCT h.dst), lambda x: NOT list_contains(w.seen, x)) AS fresh
+            FROM (SELECT *, unnest(front) AS at FROM walk) w JOIN hop h ON h.src = w.at GROUP BY w.start_id, w.seen, w.hops
+          ) WHERE len(fresh) > 0
+        )""",
+        select="SELECT start_id, unnest(front) AS node_id, hops, hops + 1 AS nodes FROM walk",
+    )
+)
+def reference_closure(spark, sf_dir):
+    """M2: all that every article leads to through its clauses and their references, however far, with the length of a shortest path."""
+    parsed, kept = _parsed(spark, sf_dir)
+    found = G.closure(G.traversed(R.resolve(R.extract(parsed), kept), kept), kept.where("kind = 'dieu'"))
+    return found.select("start_id", "node_id", "hops", F.size("path").alias("nodes"))
+
+
+@query(
+    S.lines_up(
+        *_REFS,
+        _HOPS,
+        "far AS (SELECT src AS a, dst AS b FROM hop UNION SELECT f.a, h.dst FROM far f JOIN hop h ON h.src = f.b)",
+        "both_ways AS (SELECT DISTINCT x.a, x.b FROM far x JOIN far y ON y.a = x.b AND y.b = x.a)",
+        select="SELECT a AS node_id, min(b) AS component_id, count(*) AS size FROM both_ways GROUP BY a",
+    )
+)
+def reference_cycles(spark, sf_dir):
+    """M2: clauses that references lead back to, by strongly connected component."""
+    parsed, kept = _parsed(spark, sf_dir)
+    return G.cycles(G.traversed(R.resolve(R.extract(parsed), kept), kept))
+
+
 @query(
     S.lines_up(
         S.PARSED_SQL,
