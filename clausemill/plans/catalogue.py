@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import asof
 from ..operators import cards as C
 from ..operators import clauses as K
 from ..operators import graph as G
@@ -117,6 +118,25 @@ def page_counts(spark, sf_dir):
     return lines(spark, sf_dir).groupBy("document_id").agg(F.max("page").alias("page_count"), F.countDistinct("page").alias("pages_with_text"))
 
 
+@query(
+    S.lines_up(
+        """placed AS (
+          SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY document_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM lines
+        ), starts AS (SELECT document_id, page, min(start) AS start FROM placed GROUP BY ALL
+        ), found AS (SELECT document_id, start, CASE WHEN regexp_matches(line, '%s') THEN 'dieu' WHEN regexp_matches(line, '%s') THEN 'khoan' WHEN regexp_matches(line, '%s') THEN 'diem' END AS kind, page FROM placed)"""
+        % (X.DIEU, X.KHOAN, X.DIEM),
+        select='SELECT f.document_id, f.start AS "offset", f.kind, s.page, s.page = f.page AS same FROM (SELECT * FROM found WHERE kind IS NOT NULL) f ASOF JOIN starts s ON s.document_id = f.document_id AND f.start >= s.start',
+    )
+)
+def pages_of_offsets(spark, sf_dir):
+    """The page of each header by its offset in the document's text, as-of the pages' starts; the same as by lines."""
+    rows = written(lines(spark, sf_dir), "lines")
+    ordered = F.array_sort(F.collect_list(F.struct("line_no", "line")))
+    pages = rows.groupBy("document_id", F.col("page").alias("page_ordinal")).agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("raw_text"))
+    found = asof.pages_at(asof.header_offsets(rows), asof.page_starts(pages))
+    return found.select("document_id", "offset", "kind", "page", (F.col("page") == F.col("line_page")).alias("same"))
+
+
 # ---- references
 
 _REFS = (S.PARSED_SQL, S.STORED_SQL, S.EXTRACTED_SQL, S.RESOLVED_SQL)
