@@ -19,6 +19,7 @@ from ..operators import cards as C
 from ..operators import clauses as K
 from ..operators import graph as G
 from ..operators import index as I
+from ..operators import instruments as N
 from ..operators import quality as Q
 from ..operators import references as R
 from ..operators import retrieve as H
@@ -513,6 +514,57 @@ def hybrid_retrieve(spark, sf_dir):
     return H.retrieve(have, wanted, 20, topic="hóa đơn", penalty=True).select("card_id", "citation", F.round("score", 6).alias("score"))
 
 
+_INSTRUMENT_NAME = f"^{X.WS}*({'|'.join(k.upper() for k in X.INSTRUMENTS)}){X.WS}+SỐ{X.WS}+([0-9]+(?:[/-][0-9A-ZĐƠƯ]+)*)"
+
+
+def _instrument_sql(i: str, number: str, tail: str) -> str:
+    """An instrument's citation by a number that stands for it."""
+    kind = f"CASE {i} % 3 WHEN 0 THEN 'Thông tư' WHEN 1 THEN 'Nghị định' ELSE 'Luật' END"
+    issuer = f"CASE {i} % 3 WHEN 0 THEN 'TT-BTC' WHEN 1 THEN 'NĐ-CP' ELSE 'QH' END"
+    return f"concat({kind}, ' số ', {number}, '/', cast(2000 + {i} % 4 AS string), '/', {tail.format(issuer=issuer)})"
+
+
+_TITLE = _instrument_sql("doc_id", "cast(doc_id % 50 + 1 AS string)", "{issuer}")
+_CITED = _instrument_sql(
+    "o_custkey",
+    "concat(CASE WHEN o_orderkey % 7 = 3 THEN '0' ELSE '' END, cast(o_custkey % 50 + 1 + CASE WHEN o_orderkey % 11 = 0 THEN 50 ELSE 0 END AS string))",
+    "CASE WHEN o_orderkey % 7 = 1 THEN left({issuer}, length({issuer}) - 1) ELSE {issuer} END",
+)
+_CITATION = f"CASE WHEN o_orderkey % 7 = 5 THEN 'Điều 5' WHEN o_orderkey % 7 = 2 THEN lower({_CITED}) ELSE {_CITED} END"
+_CITED_ON = "CASE WHEN o_orderkey % 13 <> 0 THEN cast(o_orderdate AS date) END"
+_SINCE = "doc_id * 37 % 3000"
+_KEYS = "CASE WHEN {n} <> '' THEN array_to_string(list_transform(regexp_extract_all({n}, '[0-9]+'), lambda x: regexp_replace(x, '^0+([0-9])', '\\1')), '/') END AS numbers, CASE WHEN {n} <> '' THEN {k} || ' ' || regexp_replace({n}, '[0-9]+', '', 'g') END AS letters"
+
+
+@query(
+    f"""
+    WITH titled AS (SELECT doc_id, upper({_TITLE}) AS t, {_SINCE} AS since FROM documents WHERE doc_id IS NOT NULL
+    ), cited AS (SELECT o_orderkey, upper({_CITATION}) AS t, date_diff('day', DATE '1995-01-01', {_CITED_ON}) AS day FROM orders
+    ), named AS (SELECT doc_id, since, {_KEYS.format(n="code", k="kind")} FROM (SELECT *, regexp_extract(t, '{_INSTRUMENT_NAME}', 1) AS kind, regexp_extract(t, '{_INSTRUMENT_NAME}', 2) AS code FROM titled)
+    ), asked AS (SELECT o_orderkey, day, {_KEYS.format(n="code", k="kind")} FROM (SELECT *, regexp_extract(t, '{_INSTRUMENT_NAME}', 1) AS kind, regexp_extract(t, '{_INSTRUMENT_NAME}', 2) AS code FROM cited)
+    ), chains AS (
+      SELECT numbers, letters, since, max(doc_id) AS doc_id, row_number() OVER (PARTITION BY numbers, letters ORDER BY since) AS version FROM named GROUP BY numbers, letters, since
+    ), known AS (SELECT DISTINCT numbers, letters FROM chains
+    ), spelt AS (
+      SELECT a.numbers, a.letters, CASE WHEN bool_or(k.letters = a.letters) THEN a.letters ELSE min(k.letters) END AS found, CASE WHEN bool_or(k.letters = a.letters) THEN 1 ELSE count(*) END AS likes, bool_or(k.letters = a.letters) AS exact
+      FROM (SELECT DISTINCT numbers, letters FROM asked WHERE numbers IS NOT NULL) a JOIN known k ON k.numbers = a.numbers AND levenshtein(k.letters, a.letters) <= 1 GROUP BY a.numbers, a.letters
+    ), held AS (
+      SELECT a.*, s.found, s.likes, s.exact, c.doc_id, c.version
+      FROM asked a LEFT JOIN spelt s ON s.numbers = a.numbers AND s.letters = a.letters ASOF LEFT JOIN chains c ON c.numbers = a.numbers AND c.letters = s.found AND a.day >= c.since
+    ), told AS (
+      SELECT *, CASE WHEN numbers IS NULL THEN '{N.NOT_NAMED}' WHEN found IS NULL THEN '{N.UNKNOWN}' WHEN likes > 1 THEN '{N.SEVERAL}' WHEN day IS NULL THEN '{N.NO_DATE}' WHEN doc_id IS NULL THEN '{N.NOT_YET}' END AS reason FROM held
+    )
+    SELECT o_orderkey, CASE WHEN reason IS NULL THEN doc_id END AS target_document_id, CASE WHEN reason IS NULL THEN version::INTEGER END AS version,
+           CASE WHEN reason IS NULL THEN CASE WHEN exact THEN '{N.EXACT}' ELSE '{N.SPELT}' END END AS provenance, reason FROM told
+    """.replace(" AS string)", " AS VARCHAR)")
+)
+def instrument_versions(spark, sf_dir):
+    """M3: documents as versions of instruments, cited by orders on their dates, some misspelt, unknown, undated or no instrument."""
+    docs = table(spark, sf_dir, "documents").where("doc_id IS NOT NULL").selectExpr("doc_id AS document_id", f"{_TITLE} AS title", f"date_add(DATE '1995-01-01', cast({_SINCE} AS int)) AS effective_from")
+    refs = table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{_CITATION} AS target_citation", f"{_CITED_ON} AS cited_on")
+    return N.resolve(refs, docs).select("o_orderkey", "target_document_id", "version", "provenance", "reason")
+
+
 _HOPS = "hop AS (SELECT src_clause_id AS src, dst_clause_id AS dst FROM refs WHERE dst_clause_id IS NOT NULL UNION SELECT parent_id, clause_id FROM clauses WHERE parent_id IS NOT NULL)"
 
 
