@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import blake2
 from ..functions import text as X
 from ..schemas import DEFAULT_DIM, MODEL_DIM
 
@@ -50,13 +51,19 @@ class HashBag:
             self._memo[token] = int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "big") % self.dim
         return self._memo[token]
 
-    def encode_tokens(self, tokens: list[str]) -> np.ndarray:
-        return normalize(np.bincount([self.bucket(t) for t in tokens], minlength=self.dim).astype(np.float32))
+    def count_tokens(self, tokens: list[str]) -> np.ndarray:
+        return np.bincount([self.bucket(t) for t in tokens], minlength=self.dim)
 
-    def encode(self, text: str) -> np.ndarray:
+    def count(self, text: str) -> np.ndarray:
         import regex
 
-        return self.encode_tokens(regex.findall(r"[\p{L}\p{N}_]+", text.lower()))
+        return self.count_tokens(regex.findall(r"[\p{L}\p{N}_]+", text.lower()))
+
+    def encode_tokens(self, tokens: list[str]) -> np.ndarray:
+        return normalize(self.count_tokens(tokens).astype(np.float32))
+
+    def encode(self, text: str) -> np.ndarray:
+        return normalize(self.count(text).astype(np.float32))
 
     def encode_batch(self, texts: list[str]) -> np.ndarray:
         return np.stack([self.encode(t) for t in texts]) if texts else np.zeros((0, self.dim), np.float32)
@@ -126,26 +133,72 @@ def from_bytes(rows: DataFrame, column: str = "embedding_bytes") -> DataFrame:
 # ---- the same in SQL functions
 
 
-def token_counts(texts: DataFrame, key: str, column: str) -> DataFrame:
-    """key, token, n."""
-    return texts.select(key, F.explode(X.tokens(F.col(column))).alias("token")).groupBy(key, "token").agg(F.count("*").alias("n"))
+def counted(values: Column) -> Column:
+    """An array's distinct values with how often each is there, as an array of (value, n): sorted, then cut where the value changes."""
+
+    def runs(ordered: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        lengths = lambda at: F.transform(at, lambda p, i: F.struct(F.get(ordered, p).alias("value"), (F.coalesce(F.get(at, i + 1), F.size(ordered)) - p).cast("long").alias("n")))
+        return F.get(F.transform(F.array(places), lengths), F.lit(0))
+
+    return F.when(F.size(values) > 0, F.get(F.transform(F.array(F.array_sort(values)), runs), F.lit(0)))
+
+
+def token_counts(texts: DataFrame, key: str, column: str, unique: bool = False) -> DataFrame:
+    """key, token, n. Tokens are counted within their row; only where a key may have several rows (not ``unique``) do rows meet by key."""
+    rows = texts.select(key, F.inline(counted(X.tokens(F.col(column))))).withColumnRenamed("value", "token")
+    return rows if unique else rows.groupBy(key, "token").agg(F.sum("n").alias("n"))
 
 
 def md5_bucket(token: Column, dim: int) -> Column:
     return (F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("long") % dim).cast("int")
 
 
-def hashed_bag(texts: DataFrame, key: str, column: str, dim: int = DEFAULT_DIM) -> DataFrame:
-    """key, bucket, n, weight: the bag's buckets that aren't empty, and their parts of a unit vector.
-
-    One exchange on the key: the norm's window has the partitioning of the counts.
-    """
-    rows = texts.select(key, F.explode(X.tokens(F.col(column))).alias("token")).select(key, md5_bucket(F.col("token"), dim).alias("bucket"))
-    per = rows.groupBy(key, "bucket").agg(F.count("*").alias("n"))
+def _weighed(per: DataFrame, key: str) -> DataFrame:
+    """key, bucket, n with weight; the norm's window has the partitioning of the counts."""
     norm = F.sqrt(F.sum((F.col("n") * F.col("n")).cast("double")).over(Window.partitionBy(key)))
     return per.withColumn("weight", F.col("n") / norm)
 
 
+def hashed_bag(texts: DataFrame, key: str, column: str, dim: int = DEFAULT_DIM, unique: bool = False) -> DataFrame:
+    """key, bucket, n, weight: the bag's buckets that aren't empty, and their parts of a unit vector; buckets by MD5.
+
+    With ``unique`` each key has one row and its bag never leaves it; else there is one exchange on the key.
+    """
+    buckets = F.transform(X.tokens(F.col(column)), lambda t: md5_bucket(t, dim))
+    if unique:
+        rows = texts.select(key, counted(buckets).alias("bag"))
+        norm = F.sqrt(F.aggregate("bag", F.lit(0.0), lambda s, x: s + (x["n"] * x["n"]).cast("double")))
+        return rows.withColumn("norm", norm).select(key, "norm", F.inline("bag")).select(key, F.col("value").alias("bucket"), "n", (F.col("n") / F.col("norm")).alias("weight"))
+    rows = texts.select(key, F.inline(counted(buckets))).withColumnRenamed("value", "bucket")
+    return _weighed(rows.groupBy(key, "bucket").agg(F.sum("n").alias("n")), key)
+
+
+def encoder_bag(texts: DataFrame, key: str, column: str, encoder: HashBag) -> DataFrame:
+    """As ``hashed_bag`` by the encoder's own buckets, for keys with one row each: bags are counted in Arrow batches and leave no row."""
+
+    @F.pandas_udf("array<long>")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in batches:
+            yield pd.Series([encoder.count(t or "") for t in b])
+
+    rows = texts.select(key, count(F.col(column)).alias("bag"))
+    norm = F.sqrt(F.aggregate("bag", F.lit(0.0), lambda s, n: s + (n * n).cast("double")))
+    each = rows.select(key, norm.alias("norm"), F.posexplode("bag").alias("bucket", "n")).where("n > 0")
+    return each.select(key, "bucket", "n", (F.col("n") / F.col("norm")).alias("weight"))
+
+
+def blake2_bag(texts: DataFrame, key: str, column: str, dim: int = DEFAULT_DIM, unique: bool = False) -> DataFrame:
+    """As ``encoder_bag`` for any keys, without Python: each distinct token is hashed once, by expressions. That takes some milliseconds of
+    a core for a token, where the encoder takes microseconds, so it is for where no Python may run."""
+    counts = token_counts(texts, key, column, unique)
+    # By number, as few bytes here are much work.
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = counts.select("token").repartition(n, "token").distinct().select(F.col("token").alias("word"), blake2.bucket(F.col("token"), dim).alias("bucket"))
+    per = counts.join(words, F.col("token") == F.col("word")).groupBy(key, "bucket").agg(F.sum("n").alias("n"))
+    return _weighed(per, key)
+
+
 def norm(vector: Column) -> Column:
     return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
 

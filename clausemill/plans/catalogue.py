@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import blake2
 from ..functions import text as X
 from ..operators import asof
 from ..operators import cards as C
@@ -253,7 +254,7 @@ def embed_text(spark, sf_dir):
 @query("WITH " + S.BAG_SQL + "SELECT doc_id, token, count(*) AS n FROM tokens GROUP BY ALL")
 def token_counts(spark, sf_dir):
     """H31, G8."""
-    return V.token_counts(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return V.token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", unique=True)
 
 
 @query(
@@ -264,7 +265,7 @@ def token_counts(spark, sf_dir):
 )
 def hashed_bag(spark, sf_dir):
     """G8, G9, H32-H34, with an MD5 bucket."""
-    rows = V.hashed_bag(table(spark, sf_dir, "documents"), "doc_id", "text")
+    rows = V.hashed_bag(table(spark, sf_dir, "documents"), "doc_id", "text", unique=True)
     return rows.select("doc_id", "bucket", "n", F.round("weight", 6).alias("weight"))
 
 
@@ -296,9 +297,23 @@ def cosine_topk(spark, sf_dir):
     return V.most_similar(rows, "vec_id", wanted, 10).select("vec_id", F.round("cosine", 6).alias("cosine"))
 
 
+@query(
+    "WITH RECURSIVE "
+    + S.BAG_SQL.strip()
+    + ", "
+    + blake2.bucket_sql("tokens", DEFAULT_DIM).strip()
+    + """, bag AS (SELECT doc_id, bucket, count(*) AS n FROM tokens JOIN hashed USING (token) GROUP BY ALL)
+    SELECT doc_id, bucket, n, round(n / sqrt(sum((n * n)::DOUBLE) OVER (PARTITION BY doc_id)), 6) AS weight FROM bag"""
+)
+def blake2_bag(spark, sf_dir):
+    """The bag of the hashing encoder; the SQL works the digests out on numbers beyond 64 bits."""
+    rows = V.encoder_bag(table(spark, sf_dir, "documents").where("text IS NOT NULL"), "doc_id", "text", V.HashBag(DEFAULT_DIM))
+    return rows.select("doc_id", "bucket", "n", F.round("weight", 6).alias("weight"))
+
+
 @query()
 def blake2_embed(spark, sf_dir):
-    """No SQL, as there is no BLAKE2b; tests hold it to a plain version."""
+    """float32 bytes have no SQL; a test holds them to blake2_bag, which has."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     made = V.to_bytes(V.embed(docs, V.HashBag(DEFAULT_DIM), "text"), DEFAULT_DIM)
     return made.select("doc_id", F.size("embedding").alias("dim"), F.length("embedding_bytes").alias("bytes"), F.md5("embedding_bytes").alias("md5"))
