@@ -21,6 +21,7 @@ from ..operators import clauses as K
 from ..operators import graph as G
 from ..operators import index as I
 from ..operators import instruments as N
+from ..operators import patches
 from ..operators import quality as Q
 from ..operators import references as R
 from ..operators import retrieve as H
@@ -666,6 +667,17 @@ def numbering_extras(spark, sf_dir):
     return Q.extra_numbers(_clauses(spark, sf_dir))
 
 
+@query(
+    S.lines_up(
+        patches.PATCHES_SQL,
+        select="SELECT document_id, page_ordinal, md5(new) AS text_md5, (p1::INTEGER + p2::INTEGER + p3::INTEGER + p4::INTEGER) AS patches, spans FROM fixed JOIN spans USING (document_id, page_ordinal)",
+    )
+)
+def span_corrections(spark, sf_dir):
+    """M4: stretches of pages replaced, the later of two that overlap, and the spans of their lines moved along."""
+    return patches.patches_query(lines(spark, sf_dir))
+
+
 # ---- lookups, stages and artifacts
 
 
