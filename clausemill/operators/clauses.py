@@ -83,7 +83,9 @@ def stored(parsed: DataFrame) -> DataFrame:
     ranked = ranked.withColumn("in_article", F.min(F.when(F.col("kind") == "dieu", F.col("ord"))).over(article))
     ranked = ranked.withColumn("in_clause", F.min(F.when(F.col("kind") == "khoan", F.col("ord"))).over(clause))
     above = F.when(F.col("kind") == "khoan", F.col("in_article")).when(F.col("kind") == "diem", F.when(F.col("khoan").isNotNull(), F.col("in_clause")).otherwise(F.col("in_article")))
-    base = F.shiftleft(F.col("document_id").cast("long"), 24)
+    # An id has 39 bits for the document and 24 for the place in it.
+    d = F.col("document_id").cast("long")
+    base = F.shiftleft(F.when((d >= -(1 << 39)) & (d < 1 << 39), d).otherwise(F.raise_error(F.concat(F.lit("no clause id has room for the document "), d.cast("string"))).cast("long")), 24)
     return ranked.where("ord = later").select(
         (base + F.col("first")).alias("clause_id"),
         "document_id",

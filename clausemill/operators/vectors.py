@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 from typing import Protocol, runtime_checkable
 
@@ -90,7 +91,9 @@ class ModelEncoder:
         return self.encode_batch([text])[0]
 
 
-def default_encoder(dim: int = DEFAULT_DIM, model: str | None = None) -> Encoder:
+def default_encoder(dim: int = DEFAULT_DIM, model: str | None = None, variable: str = "CLAUSEMILL_EMBEDDING_MODEL") -> Encoder:
+    """The model that is named, here or by the environment variable; else the hashing encoder."""
+    model = model or os.environ.get(variable)
     return ModelEncoder(model) if model else HashBag(dim)
 
 

@@ -25,7 +25,7 @@ from ..operators import patches
 from ..operators import quality as Q
 from ..operators import references as R
 from ..operators import retrieve as H
-from ..operators import stages
+from ..operators import stages, variants
 from ..operators import vectors as V
 from ..schemas import DEFAULT_DIM
 from ..sources import artifacts, markup, ocr, rasterise, store
@@ -294,7 +294,9 @@ def dim_audit(spark, sf_dir):
 def cosine_topk(spark, sf_dir):
     """the ten vectors most like the first."""
     rows = table(spark, sf_dir, "embeddings")
-    wanted = [float(x) for x in rows.where("vec_id = 0").first()["embedding"]]
+    first = rows.where("vec_id = 0").first()
+    wanted = [float(x) for x in first["embedding"]] if first else []
+    rows = rows if first else rows.limit(0)
     return V.most_similar(rows, "vec_id", wanted, 10).select("vec_id", F.round("cosine", 6).alias("cosine"))
 
 
@@ -525,7 +527,9 @@ def reference_walk(spark, sf_dir):
 def hybrid_retrieve(spark, sf_dir):
     """M1: cards of a topic with a penalty, by similarity of their documents' vectors."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("document_id"), "embedding")
-    wanted = [float(x) for x in vectors.where("document_id = 0").first()["embedding"]]
+    first = vectors.where("document_id = 0").first()
+    wanted = [float(x) for x in first["embedding"]] if first else []
+    vectors = vectors if first else vectors.limit(0)
     have = C.extract(_clauses(spark, sf_dir)).join(vectors, "document_id")
     return H.retrieve(have, wanted, 20, topic="hóa đơn", penalty=True).select("card_id", "citation", F.round("score", 6).alias("score"))
 
@@ -667,6 +671,27 @@ def numbering_extras(spark, sf_dir):
     return Q.extra_numbers(_clauses(spark, sf_dir))
 
 
+@query(
+    S.lines_up(
+        S.PARSED_SQL,
+        S.STORED_SQL,
+        S.CARDS_SQL,
+        select="""SELECT k.card_id, (k.document_id % 2 + 1)::INTEGER AS generation, k.citation, k.bound_actor, k.penalty, CASE WHEN k.document_id % 2 = 1 THEN k.topic END AS topic, CASE WHEN k.document_id % 2 = 1 THEN c.page_start END AS page_start
+        FROM cards k JOIN clauses c ON c.clause_id = k.clause_id WHERE k.document_id % 2 = 0 OR k.topic IS NOT NULL""",
+    )
+)
+def card_generations(spark, sf_dir):
+    """M5: cards of two generations as variants in one table, read by paths that the older one lacks: all of the older, and the newer that have a topic."""
+    kept = written(_clauses(spark, sf_dir), "clauses")
+    made = C.extract(kept).where("error IS NULL").join(kept.select("clause_id", "page_start", "page_end"), "clause_id")
+    path = written_to(spark)
+    older, newer = (variants.written_as(made.where(F.col("document_id") % 2 == g - 1), g) for g in (1, 2))
+    variants.write_cards(older.unionByName(newer), path)
+    rows = variants.with_fields(variants.read_cards(spark, path), "citation", "bound_actor", "penalty", "topic_tags", "page_start")
+    topic = F.get("topic_tags", F.lit(0))
+    return rows.where((F.col("generation") == 1) | topic.isNotNull()).select("card_id", "generation", "citation", "bound_actor", "penalty", topic.alias("topic"), "page_start")
+
+
 @query(
     S.lines_up(
         patches.PATCHES_SQL,
