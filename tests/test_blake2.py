@@ -36,16 +36,11 @@ def test_bags(spark):
     """The same bag by expressions and by the encoder, also of a key with several rows, without tokens, and null."""
     rows = [(1, "a b a Đ đ"), (1, "a c"), (2, ""), (3, None), (4, "x" * 200 + " y")]
     df = spark.createDataFrame(rows, "k int, t string")
-    for unique in (False, True):
-        mine = df.where("k <> 1") if unique else df
-        texts = {k: " ".join(t or "" for j, t in rows if j == k) for k, _ in rows}
-        got = {}
-        for r in V.blake2_bag(mine, "k", "t", 64, unique).collect():
-            got.setdefault(r["k"], {})[r["bucket"]] = round(r["weight"], 5)
-        want = {k: {i: round(float(x), 5) for i, x in enumerate(V.HashBag(64).encode(t)) if x} for k, t in texts.items() if t and not (unique and k == 1)}
-        assert got == want
-        both = {(r["k"], r["token"]): r["n"] for r in V.token_counts(mine, "k", "t", unique).collect()}
-        assert both[4, "y"] == 1 and both.get((1, "a"), 3) == 3 and both.get((1, "đ"), 2) == 2
+    texts = {k: " ".join(t or "" for j, t in rows if j == k) for k, _ in rows}
+    got = {}
+    for r in V.blake2_bag(df, "k", "t", 64).collect():
+        got.setdefault(r["k"], {})[r["bucket"]] = round(r["weight"], 5)
+    assert got == {k: {i: round(float(x), 5) for i, x in enumerate(V.HashBag(64).encode(t)) if x} for k, t in texts.items() if t}
 
 
 def test_embeddings_are_the_bag(spark, sf_dir):
