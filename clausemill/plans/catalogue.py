@@ -965,3 +965,14 @@ def stateful_ingest(spark, sf_dir):
         delivery.select("document_id", "page_ordinal", "raw_text").write.mode("append").json(path)
         articles.ingest(spark, path, out)
     return articles.current(spark, out).select("document_id", "ord", "kind", "number", "citation", "page_start", "page_end", F.md5("body").alias("body_md5"))
+
+
+@query(S.lines_up(select="SELECT document_id, page AS page_ordinal, md5(string_agg(line, chr(10) ORDER BY line_no)) AS text_md5, 1::INTEGER AS blocks FROM lines GROUP BY ALL"))
+def page_files(spark, sf_dir):
+    """Every page as a file of its own, read back with document and ordinal from the files' places."""
+    ordered = F.array_sort(F.collect_list(F.struct("line_no", "line")))
+    pages = lines(spark, sf_dir).groupBy("document_id", F.col("page").alias("page_ordinal")).agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("raw_text"))
+    block = F.struct(F.lit("text").alias("kind"), F.array(F.lit(0.0)).alias("bbox"), F.col("raw_text").alias("text"))
+    path = written_to(spark)
+    ocr.write_page_files(pages.withColumn("blocks", F.array(block)), path)
+    return ocr.read_page_files(spark, path).select("document_id", "page_ordinal", F.md5("raw_text").alias("text_md5"), F.size("blocks").alias("blocks"))

@@ -161,6 +161,44 @@ def read_artifacts(spark: SparkSession, path: str, document_id: int | None = Non
     return rows if document_id is None else rows.where(F.col("document_id") == document_id)
 
 
+def write_page_files(pages: DataFrame, path: str) -> None:
+    """One JSON file for each page, in folders by document and page; a page that comes twice has the record with the greatest text.
+
+    Where no other program wants a file a page, ``write_artifacts`` makes far fewer.
+    """
+    record = F.struct(*[F.col(c) if c in pages.columns else F.lit(None).cast(OCR_PAGES[c].dataType).alias(c) for c in ("page_ordinal", "image_path", "blocks", "raw_text")])
+    one = pages.groupBy("document_id", "page_ordinal").agg(F.max_by(record, F.coalesce("raw_text", F.lit(""))).alias("r"))
+    # The page's number stands in the record too, so the folders have columns of their own.
+    one.select(F.col("document_id").alias("doc"), F.col("page_ordinal").alias("page"), "r.*").write.mode("overwrite").partitionBy("doc", "page").json(path)
+
+
+#: Of which document and page a file is: doc7/page0003.json, or doc=7/page=3/part-....json as Spark writes it.
+_PAGE_FILE = r"/doc=?(\d+)/page=?(\d+)(?:\.json|/[^/]*\.json)$"
+
+
+def read_page_files(spark: SparkSession, path: str, document_id: int | None = None) -> DataFrame:
+    """The pages of files under a path, whoever wrote them, on one line or many: document and ordinal are those of a file's name, whatever it says inside.
+
+    Files of other names, and files without a byte, are no pages; a path that doesn't exist has none.
+    """
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], OCR_PAGES)
+    # Folders are listed by tasks, of which there would be one for each.
+    tasks = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(tasks)
+    spark.conf.set(tasks, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        files = spark.read.text(path, wholetext=True, pathGlobFilter="*.json", recursiveFileLookup=True)
+    finally:
+        spark.conf.set(tasks, before)
+    files = files.select(F.col("value").alias("json"), F.col("_metadata.file_path").alias("file"))
+    part = lambda k: F.regexp_extract("file", _PAGE_FILE, k)
+    named = files.where(F.rlike("file", F.lit(_PAGE_FILE))).select(part(1).cast("long").alias("document_id"), part(2).cast("int").alias("page_ordinal"), "json")
+    rows = from_json(named if document_id is None else named.where(F.col("document_id") == document_id))
+    return rows.select(*[f.name for f in OCR_PAGES.fields])
+
+
 # ---- the stage
 
 

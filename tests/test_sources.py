@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clausemill.operators import stages
 from clausemill.operators import vectors as V
+from clausemill.schemas import OCR_PAGES
 from clausemill.sources import markup, ocr, rasterise, store
 from clausemill.streaming import ingest
 
@@ -250,3 +251,20 @@ def test_rendering(spark, tmp_path):
     assert rasterise.pages_stage(books, pdfs, str(tmp_path / "out"), 72, draw, files=True) == 2
     assert rasterise.pages_stage(books, pdfs, str(tmp_path / "out"), 72, draw, files=True) == 0
     assert (tmp_path / "out/doc1/page0002.png").read_bytes() == b"b"
+
+
+def test_a_file_for_each_page(spark, tmp_path):
+    """Files as Spark writes them and as other programs do; the ordinal of the name wins, and other files are no pages."""
+    pages = [(7, 1, "p.png", [("text", [0.0], "a")], "a\nb"), (7, 12, None, None, None), (8, 1, None, None, "c"), (8, 1, None, None, "d")]
+    out = tmp_path / "ocr"
+    ocr.write_page_files(spark.createDataFrame(pages, OCR_PAGES), str(out))
+    assert len(list(out.glob("doc=*/page=*/*.json"))) == 3
+    other = out / "doc9"
+    other.mkdir()
+    (other / "page0003.json").write_text(json.dumps({"page_ordinal": 44, "image_path": "x", "blocks": [], "raw_text": "Điều 1. ấ"}, indent=2, ensure_ascii=False), encoding="utf-8")
+    (other / "clauses.json").write_text("{}")
+    (other / "page0004.json").write_text("")
+    got = sorted((r["document_id"], r["page_ordinal"], r["image_path"], len(r["blocks"]), r["raw_text"]) for r in ocr.read_page_files(spark, str(out)).collect())
+    assert got == [(7, 1, "p.png", 1, "a\nb"), (7, 12, None, 0, ""), (8, 1, None, 0, "d"), (9, 3, "x", 0, "Điều 1. ấ")]
+    assert [r["raw_text"] for r in ocr.read_page_files(spark, str(out), 9).collect()] == ["Điều 1. ấ"]
+    assert ocr.read_page_files(spark, str(tmp_path / "none")).count() == 0
