@@ -7,7 +7,7 @@ Texts are lower-cased and everything but letters becomes a single space, so that
 capitals don't decide.
 
 Fitting reads a bounded sample: of each language the ``sample_docs`` labelled documents whose hashed ids
-are least, and of each of those at most ``sample_bytes`` (of a repeated id the least text). The sample is cleaned: dictionaries of one half
+are least, and of each of those a piece of at most ``sample_bytes``, which begins anywhere in the text, by a hash (of a repeated id the least piece). The sample is cleaned: dictionaries of one half
 code the other, and texts that another language codes smaller are left out of the final dictionaries.
 Languages are as many as there are labels, each with one dictionary on every task.
 
@@ -132,7 +132,9 @@ def fit(docs: DataFrame, learn: Column, settings: Settings = Settings()) -> Mode
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     some = labelled.join(F.broadcast(bounds), F.col("lang") == F.col("l")).withColumn("h", hashed).where(F.col("h") / F.lit(2.0**64) + 0.5 <= F.col("part"))
     ids = some.select("doc_id", "lang", "h").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= settings.sample_docs).select("doc_id", "lang", "place")
-    texts = docs.where(learn & F.col("text").isNotNull()).select(F.col("doc_id").alias("d"), F.col("lang").alias("l"), F.substring("text", 1, settings.sample_bytes).alias("text"))
+    room = F.greatest(F.lit(1), F.length("text") - settings.sample_bytes + 1)
+    begin = F.pmod(F.xxhash64(F.lit("piece"), "doc_id"), room.cast("long")).cast("int") + 1
+    texts = docs.where(learn & F.col("text").isNotNull()).select(F.col("doc_id").alias("d"), F.col("lang").alias("l"), F.substring("text", begin, F.lit(settings.sample_bytes)).alias("text"))
     # At most languages x sample_docs rows are picked, so the picked ids are sent to the texts; of a repeated id one text stays.
     got = texts.join(F.broadcast(ids), (F.col("d") == F.col("doc_id")) & (F.col("l") == F.col("lang"))).groupBy("lang", "place").agg(F.min("text").alias("text")).toPandas()
     got = got.sort_values(["lang", "place", "text"])
