@@ -955,14 +955,13 @@ def reparse_clauses(spark, sf_dir):
 @query(S.lines_up(S.PARSED_SQL, select="SELECT document_id, ord, kind, number, citation, page_start, page_end, md5(body) AS body_md5 FROM parsed"))
 def stateful_ingest(spark, sf_dir):
     """Pages in two deliveries, in no order and some first with other text, taken by two runs of one stream; the clauses that hold then are those of whole documents."""
-    rows = written(lines(spark, sf_dir), "lines")
     ordered = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    pages = rows.groupBy("document_id", F.col("page").alias("page_ordinal")).agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("raw_text"))
+    pages = lines(spark, sf_dir).groupBy("document_id", F.col("page").alias("page_ordinal")).agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("raw_text"))
     pages = pages.withColumn("second", F.pmod(F.xxhash64("document_id", "page_ordinal"), F.lit(3)) == 0)
     early = pages.where("second AND page_ordinal % 2 = 0").withColumn("raw_text", F.lit("Điều 999. x"))
     path, out = written_to(spark), written_to(spark)
     for delivery in (pages.where("NOT second").unionByName(early), pages.where("second")):
-        delivery.select("document_id", "page_ordinal", "raw_text").write.mode("append").json(path)
+        delivery.select("document_id", "page_ordinal", "raw_text").write.mode("append").option("compression", "gzip").json(path)
         articles.ingest(spark, path, out)
     return articles.current(spark, out).select("document_id", "ord", "kind", "number", "citation", "page_start", "page_end", F.md5("body").alias("body_md5"))
 

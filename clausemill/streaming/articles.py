@@ -72,12 +72,13 @@ class Articles(StatefulProcessor):
         first = 1 if place == _BEFORE else place[0]
         return bool(mine) and (mine[0] > first or mine[-1] - mine[0] + 1 != len(mine))
 
-    def _lines(self, document: int, place: tuple, pages: list, heads: list) -> Iterator[Row]:
+    def _lines(self, document: int, place: tuple, pages: list, heads: list, new: dict) -> Iterator[Row]:
+        """new: pages whose texts are at hand, by ordinal; the others' come from the state."""
         mine, after = self._range(place, pages, heads)
         at = (None, None) if place == _BEFORE else place
         none = True
         for page in mine:
-            lines = self.texts.getValue((page,))[0].split("\n")
+            lines = (new.get(page) or self.texts.getValue((page,)))[0].split("\n")
             lo, hi = place[1] if page == place[0] else 0, after[1] if after and page == after[0] else len(lines)
             if lo < hi:
                 none = False
@@ -116,7 +117,7 @@ class Articles(StatefulProcessor):
                 waiting[place] = waits.get(place, arrived + self.wait)
                 self.handle.registerTimer(waiting[place])
             else:
-                yield from self._lines(document, place, pages, heads)
+                yield from self._lines(document, place, pages, heads, new)
         for place in sorted(gone):
             yield _REGION(document, *place, None, None, None)
         self._keep(pages, heads, waiting)
@@ -126,7 +127,7 @@ class Articles(StatefulProcessor):
         pages, heads, waits = self._load()
         over = {place for place, until in waits.items() if until <= expiredTimerInfo.getExpiryTimeInMs()}
         for place in sorted(over):
-            yield from self._lines(document, place, pages, heads)
+            yield from self._lines(document, place, pages, heads, {})
         self._keep(pages, heads, {place: until for place, until in waits.items() if place not in over})
 
     def close(self) -> None:
