@@ -39,7 +39,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         F.max("number").alias("number"),
         first("page").alias("page_start"),
         F.max(F.when(X.has_content(F.col("rest")), F.col("page"))).alias("last"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda p: p["rest"]), "\n").alias("text"),
+        F.array_join(F.sort_array(F.collect_list(part))["rest"], "\n").alias("text"),
     )
     within = Window.partitionBy("document_id", "article").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
     dieu = F.last(F.when(F.col("kind") == "dieu", F.col("number")), True).over(within)
@@ -71,7 +71,7 @@ def parent_numbers(parsed: DataFrame) -> DataFrame:
 
 
 def stored(parsed: DataFrame) -> DataFrame:
-    """One row for each (document, citation): the last parsed, under the id of the first; with parent_id.
+    """One row for each (document, citation): the last parsed, under the id of the first; with parent_id, and with the body where parsed has it.
 
     clause_id is document_id * 2^24 + the first ord, so it needs no global numbering.
     """
@@ -90,7 +90,7 @@ def stored(parsed: DataFrame) -> DataFrame:
         (base + F.col("first")).alias("clause_id"),
         "document_id",
         F.when(F.col("dieu").isNotNull(), base + above).alias("parent_id"),
-        *("kind", "number", "citation", "page_start", "page_end", "body", "ord", "dieu"),
+        *[c for c in ("kind", "number", "citation", "page_start", "page_end", "body", "ord", "dieu") if c in parsed.columns],
     )
 
 

@@ -8,12 +8,19 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 
 
+def found(parsed: DataFrame, strict_digits: bool = False) -> DataFrame:
+    """parsed clauses with what their texts refer to, in the texts' place: all that ``extract`` needs of them, and much less to keep."""
+    return parsed.withColumn("found", X.references(F.col("body"), strict_digits)).drop("body")
+
+
 def extract(parsed: DataFrame, strict_digits: bool = False) -> DataFrame:
-    """parsed clauses -> document_id, ord, citation, dieu, place, kind, raw_text, target_citation.
+    """parsed clauses, also those of ``found`` -> document_id, ord, citation, dieu, place, kind, raw_text, target_citation.
 
     Sorted by where the raw text first occurs; of equal (raw text, target), letter case aside, the first stays.
     """
-    rows = parsed.select("document_id", "ord", "citation", "dieu", F.inline(X.references(F.col("body"), strict_digits)))
+    # Not by ``inline``, before which the optimizer tests the array for rows, and so works it out again.
+    held = parsed if "found" in parsed.columns else found(parsed, strict_digits)
+    rows = held.select("document_id", "ord", "citation", "dieu", F.inline_outer("found")).where("rank IS NOT NULL")
     key = Window.partitionBy("document_id", "ord", F.lower("raw_text"), F.lower("target_citation")).orderBy("position", "rank", "place")
     first = rows.withColumn("n", F.row_number().over(key)).where("n = 1")
     order = Window.partitionBy("document_id", "ord").orderBy("position", "rank", "place")
@@ -31,8 +38,8 @@ def resolve(extracted: DataFrame, clauses: DataFrame) -> DataFrame:
     rows = refs.join(source, (F.col("document_id") == F.col("sd")) & (F.col("citation") == F.col("sc")))
     key = Window.partitionBy("document_id", "src_clause_id", "raw_text", "target").orderBy("ord", "place")
     rows = rows.withColumn("n", F.row_number().over(key)).where("n = 1")
-    found = rows.join(target, (F.col("document_id") == F.col("td")) & (F.col("target") == F.col("tc")) & (F.col("kind") != "external"), "left")
-    return found.select(
+    both = rows.join(target, (F.col("document_id") == F.col("td")) & (F.col("target") == F.col("tc")) & (F.col("kind") != "external"), "left")
+    return both.select(
         "document_id",
         "src_clause_id",
         "dst_clause_id",

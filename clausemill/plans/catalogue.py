@@ -65,8 +65,14 @@ def _parsed(spark, sf_dir):
     return parsed, written(K.stored(parsed), "clauses")
 
 
+def _cited(spark, sf_dir):
+    """As ``_parsed``, with what the texts refer to in place of the texts, for plans that need no more of them."""
+    parsed = written(R.found(K.parse_lines(lines(spark, sf_dir))), "parsed")
+    return parsed, written(K.stored(parsed), "clauses")
+
+
 def _references(spark, sf_dir):
-    parsed, kept = _parsed(spark, sf_dir)
+    parsed, kept = _cited(spark, sf_dir)
     return R.resolve(R.extract(parsed), kept)
 
 
@@ -191,7 +197,7 @@ def refs_in_degree(spark, sf_dir):
 )
 def structure_summary(spark, sf_dir):
     """G3, G4."""
-    parsed, kept = _parsed(spark, sf_dir)
+    parsed, kept = _cited(spark, sf_dir)
     extracted = written(R.extract(parsed), "extracted")
     return R.summary(lines(spark, sf_dir), parsed, extracted, R.resolve(extracted, kept))
 
@@ -511,7 +517,7 @@ def ancestor_walk(spark, sf_dir):
 )
 def reference_walk(spark, sf_dir):
     """M2: references, two hops from every article."""
-    parsed, kept = _parsed(spark, sf_dir)
+    parsed, kept = _cited(spark, sf_dir)
     return G.reachable(written(R.resolve(R.extract(parsed), kept), "references"), kept.where("kind = 'dieu'"), 2)
 
 
@@ -607,7 +613,7 @@ _HOPS = "hop AS (SELECT src_clause_id AS src, dst_clause_id AS dst FROM refs WHE
 )
 def reference_closure(spark, sf_dir):
     """M2: all that every article leads to through its clauses and their references, however far, with the length of a shortest path."""
-    parsed, kept = _parsed(spark, sf_dir)
+    parsed, kept = _cited(spark, sf_dir)
     found = G.closure(G.traversed(R.resolve(R.extract(parsed), kept), kept), kept.where("kind = 'dieu'"))
     return found.select("start_id", "node_id", "hops", F.size("path").alias("nodes"))
 
@@ -623,7 +629,7 @@ def reference_closure(spark, sf_dir):
 )
 def reference_cycles(spark, sf_dir):
     """M2: clauses that references lead back to, by strongly connected component."""
-    parsed, kept = _parsed(spark, sf_dir)
+    parsed, kept = _cited(spark, sf_dir)
     return G.cycles(G.traversed(R.resolve(R.extract(parsed), kept), kept))
 
 

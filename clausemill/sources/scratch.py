@@ -34,7 +34,7 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 def _write(df: DataFrame, name: str) -> tuple[str, DataFrame]:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return path, df.sparkSession.read.schema(df.schema).parquet(path)
 
 
