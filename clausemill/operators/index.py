@@ -2,8 +2,10 @@
 
 A card lies in the list of its nearest centroid; what is left of its vector is kept as a short code, with how far the code is off. So
 a query knows each card's similarity to within that distance, and a list's best to within the list's radius: a first visit to each query's
-nearest lists gives the least score that its k-th card has, a second one every card that may reach it, and these alone are scored by
-their vectors. Filters hold inside the lists, before anything is counted. Queries are rows of a table like any other: nothing of
+nearest lists gives the least score that its k-th card has, a second one the cards that may reach it, scored by their vectors, which lie
+beside the codes. The second goes by shards, which are runs of lists: a query comes to a shard once, whatever it visits
+there, and leaves with its k best, so what moves grows with queries times shards and not with visits or cards that may do. Filters hold
+inside the lists, before anything is counted. Queries are rows of a table like any other: nothing of
 them, or of the cards, passes through the driver but a bounded sample to fit from and one row for each list.
 """
 
@@ -17,28 +19,31 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import vectors
+from ..sources.scratch import delete_folder
 
 #: Structural filters of a query: null asks for nothing.
 FILTERS = {"document_id": "long", "article": "string", "khoan": "string", "actor": "string", "topic": "string", "penalty": "boolean"}
-CODES = "card_id long, list int, block int, code binary, off float, document_id long, article string, khoans array<string>, actor string, topics array<string>, penalty boolean"
+CODES = "card_id long, list int, block int, shard int, code binary, off float, vector binary, document_id long, article string, khoans array<string>, actor string, topics array<string>, penalty boolean"
 MODEL = "kind string, at int, data binary"
 #: Single precision, and sums of products in another order: what a bound may be wrong by.
 ROUNDING = 1e-5
-#: A task holds so many queries beside a block at most; more of them go round in turns.
-QUERY_BLOCK = 8192
+#: A task holds so many queries beside a block or shard at most; more of them go round in turns.
+QUERY_BLOCK = 65_536
+#: Scores that a task holds at a time.
+SCORES = 4_000_000
 
 
 @dataclass(frozen=True)
 class Settings:
     """lists: at most so many, of about ``list_cards`` cards; pieces: parts of a vector that get a code of their own; the sample to fit from has
-    at most twice ``fit_rows`` cards; a block is the part of a list that one task holds at a time."""
+    at most twice ``fit_rows`` cards; a block is the part of a list that one task holds at a time, a shard is so many cards in blocks of lists that are near each other."""
 
     lists: int = 4096
     list_cards: int = 128
     pieces: int = 16
     fit_rows: int = 16_384
     block_cards: int = 4096
+    shard_cards: int = 65_536
     seed: int = 17
 
 
@@ -105,13 +110,40 @@ def described(cards: DataFrame, clauses: DataFrame) -> DataFrame:
     return rows.withColumn("actor", F.col("bound_actor")).withColumn("topics", F.col("topic_tags")).withColumn("penalty", F.col("penalty").isNotNull())
 
 
+def _lengths(x: np.ndarray) -> np.ndarray:
+    """As ``vectors.norm`` to the last bit: sums in the order of the components."""
+    total = np.zeros(len(x))
+    for j in range(x.shape[1]):
+        v = x[:, j].astype(np.float64)
+        total += v * v
+    return np.sqrt(total)
+
+
+def _cosines(a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Of the rows of a and b in pairs, as ``vectors.dot`` over the product of their lengths to the last bit, so that copies tie."""
+    total = np.zeros(len(a))
+    for j in range(a.shape[1]):
+        total += a[:, j].astype(np.float64) * b[:, j].astype(np.float64)
+    return np.divide(total, sizes, out=np.zeros(len(a)), where=sizes > 0)
+
+
+def _shards(model: Model, sizes: np.ndarray, blocks: np.ndarray, settings: Settings) -> np.ndarray:
+    """Rows (list, block, shard): lists in an order in which near ones are neighbours are cut into shards between blocks."""
+    coarse = _kmeans(model.centroids, max(1, int(len(model.centroids) ** 0.5)), np.random.default_rng(settings.seed))
+    order = np.argsort(_nearest(model.centroids, coarse), kind="stable")
+    many = blocks[order].astype(int)
+    lists = np.repeat(order, many)
+    at = np.arange(len(lists)) - np.repeat(np.cumsum(many) - many, many)
+    each = sizes[lists] / blocks[lists]
+    return np.stack([lists, at, ((np.cumsum(each) - each) // settings.shard_cards).astype(int)], axis=1)
+
+
 class Index:
-    """Tables under a path: ``model``, ``codes`` (by list) and ``vectors``, which are all that a search reads."""
+    """Tables under a path: ``model`` and ``codes`` (by shard), which are all that a search reads."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         self.codes = spark.read.schema(CODES).parquet(f"{self.path}/codes")
-        self.vectors = spark.read.schema("card_id long, embedding array<float>").parquet(f"{self.path}/vectors")
         parts: dict[str, list] = {}
         for r in spark.read.schema(MODEL).parquet(f"{self.path}/model").orderBy("kind", "at").collect():  # one row for each piece
             parts.setdefault(r["kind"], []).append(np.frombuffer(r["data"]))
@@ -121,6 +153,7 @@ class Index:
             cuts = np.linspace(0, dim, pieces + 1).astype(int)
             self.model = Model(parts["lists"][0].reshape(-1, dim), [b.reshape(-1, z - a) for b, a, z in zip(parts["piece"], cuts, cuts[1:], strict=False)])
             self.radius, self.blocks = parts["radius"][0], parts["blocks"][0].astype(int)
+            self.shards = parts["shards"][0].astype(int).reshape(-1, 3)
 
     @classmethod
     def build(cls, cards: DataFrame, path: str, settings: Settings = Settings()) -> Index:  # noqa: B008
@@ -147,43 +180,55 @@ class Index:
         def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 home, code, off, far = held.value.encode(_unit(list(b["embedding"]), held.value.dim))
+                vector = [np.asarray(v, np.float32).tobytes() for v in b["embedding"]]
                 out = b.drop(columns="embedding")
-                yield out.assign(list=home.astype(np.int32), code=[c.tobytes() for c in code], off=np.nextafter(off.astype(np.float32), np.float32(9)), far=far)
+                yield out.assign(vector=vector, list=home.astype(np.int32), code=[c.tobytes() for c in code], off=np.nextafter(off.astype(np.float32), np.float32(9)), far=far)
 
         said = live.select("card_id", "embedding", *about)
-        made = said.mapInPandas(encode, "card_id long, document_id long, article string, khoans array<string>, actor string, topics array<string>, penalty boolean, list int, code binary, off float, far double")
+        made = said.mapInPandas(encode, "card_id long, document_id long, article string, khoans array<string>, actor string, topics array<string>, penalty boolean, list int, code binary, off float, far double, vector binary")
         made.write.mode("overwrite").parquet(f"{path}/raw")
         raw = spark.read.parquet(f"{path}/raw")
         # One row for each list: how far its cards lie from its centroid, and in how many blocks it is held.
         stats = raw.groupBy("list").agg(F.max("far").alias("far"), F.count("*").alias("n")).toPandas() if size else pd.DataFrame({"list": [], "far": [], "n": []})
         radius, blocks = np.full(len(model.centroids), -np.inf), np.ones(len(model.centroids))
+        sizes = np.zeros(len(model.centroids))
+        sizes[stats["list"].astype(int)] = stats["n"]
         radius[stats["list"].astype(int)], blocks[stats["list"].astype(int)] = stats["far"], np.ceil(stats["n"] / settings.block_cards)
+        shards = np.zeros((0, 3), int)
         if size:
-            rows = [("shape", 0, np.array([model.dim, len(model.books)], float)), ("lists", 0, model.centroids), ("radius", 0, radius), ("blocks", 0, blocks), *[("piece", i, b) for i, b in enumerate(model.books)]]
+            rows = [("shape", 0, np.array([model.dim, len(model.books)], float)), ("lists", 0, model.centroids), ("radius", 0, radius), ("blocks", 0, blocks), ("shards", 0, (shards := _shards(model, sizes, blocks, settings))), *[("piece", i, b) for i, b in enumerate(model.books)]]
         spark.createDataFrame([(k, i, bytearray(np.ascontiguousarray(d, float).tobytes())) for k, i, d in rows], MODEL).coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
         per = spark.createDataFrame([(i, int(b)) for i, b in enumerate(blocks)], "l int, blocks int")
         placed = raw.join(F.broadcast(per), F.col("list") == F.col("l")).withColumn("block", F.pmod(F.xxhash64("card_id"), F.col("blocks")).cast("int"))
+        of = spark.createDataFrame([tuple(map(int, r)) for r in shards], "sl int, sb int, shard int")
+        placed = placed.join(F.broadcast(of), (F.col("list") == F.col("sl")) & (F.col("block") == F.col("sb")))
         names = [x.split()[0] for x in CODES.split(", ")]
-        placed.select(*names).repartition("list", "block").sortWithinPartitions("list", "block").write.mode("overwrite").parquet(f"{path}/codes")
-        live.select("card_id", F.col("embedding").cast("array<float>").alias("embedding")).repartition("card_id").sortWithinPartitions("card_id").write.mode("overwrite").parquet(f"{path}/vectors")
+        placed.select(*names).repartition("shard").sortWithinPartitions("shard", "list", "block").write.mode("overwrite").parquet(f"{path}/codes")
+        delete_folder(spark, f"{path}/raw")
         return cls(spark, path)
 
     def _visits(self, queries: DataFrame, wanted: str, probes: int) -> DataFrame:
-        """queries (query_id, q, filters, floor) -> a row for each block of each list that a query visits: its nearest, or all that may hold a card above its floor."""
-        held = self.spark.sparkContext.broadcast((self.model, self.radius, self.blocks))
+        """queries (query_id, q, filters, floor) -> a row for each block of each of a query's nearest lists, or for each shard that may hold a card above its floor."""
+        held = self.spark.sparkContext.broadcast((self.model, self.radius, self.blocks, self.shards))
+        fields = ", ".join(f"{c} {t}" for c, t in FILTERS.items())
 
         def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            model, radius, blocks = held.value
+            model, radius, blocks, shards = held.value
+            # Which lists a shard has blocks of.
+            among, pairs = shards[:, 2].max() + 1, np.unique(shards[:, [2, 0]], axis=0)
+            begins = np.searchsorted(pairs[:, 0], np.arange(among))
             for b in batches:
                 for i in range(0, len(b), 256):
                     part = b.iloc[i : i + 256]
                     base = _unit(list(part["q"]), model.dim) @ model.centroids.T
-                    if wanted == "nearest":
-                        order = np.argsort(-np.where(radius >= 0, base, -np.inf), axis=1, kind="stable")[:, :probes]
-                        seen = np.zeros(base.shape, bool)
-                        np.put_along_axis(seen, order, True, axis=1)
-                    else:
-                        seen = base + radius + ROUNDING >= part["floor"].to_numpy()[:, None]
+                    if wanted == "shards":
+                        best = np.maximum.reduceat((base + radius)[:, pairs[:, 1]], begins, axis=1)
+                        row, shard = np.nonzero(best + ROUNDING >= part["floor"].to_numpy()[:, None])
+                        yield part.iloc[row].assign(shard=shard.astype(np.int32))
+                        continue
+                    order = np.argsort(-np.where(radius >= 0, base, -np.inf), axis=1, kind="stable")[:, :probes]
+                    seen = np.zeros(base.shape, bool)
+                    np.put_along_axis(seen, order, True, axis=1)
                     seen &= radius >= 0
                     row, lists = np.nonzero(seen)
                     many = blocks[lists]
@@ -191,38 +236,60 @@ class Index:
                     out = part.iloc[np.repeat(row, many)]
                     yield out.assign(list=np.repeat(lists, many).astype(np.int32), block=block.astype(np.int32))
 
-        fields = ", ".join(f"{c} {t}" for c, t in FILTERS.items())
-        return queries.mapInPandas(visit, f"query_id long, q array<float>, floor double, {fields}, list int, block int")
+        return queries.mapInPandas(visit, f"query_id long, q array<float>, floor double, {fields}, " + ("shard int" if wanted == "shards" else "list int, block int"))
 
-    def _scan(self, visits: DataFrame, k: int, slack: float, best: bool, turns: int) -> DataFrame:
-        """Each visited block's cards that pass the filters: the k highest scores that they have for certain, or those that may reach the query's floor."""
-        held = self.spark.sparkContext.broadcast(self.model)
+    def _scan(self, visits: DataFrame, by: list[str], k: int, slack: float, turns: int) -> DataFrame:
+        """The k best cards that each query finds in each block or shard that it visits, of those that pass its filters and may reach its floor."""
+        held = self.spark.sparkContext.broadcast((self.model, self.radius))
 
         def scan(key: tuple, asked: pd.DataFrame, cards: pd.DataFrame) -> pd.DataFrame:
             out: list[pd.DataFrame] = []
             if len(asked) and len(cards):
-                model = held.value
-                code = np.frombuffer(b"".join(cards["code"]), np.uint8).reshape(len(cards), -1)
-                about = model.centroids[int(key[0])] + model.decode(code)
-                off = cards["off"].to_numpy(np.float64) * slack + ROUNDING
+                model, radius = held.value
+                cards = cards.sort_values(["list", "card_id"], ignore_index=True)
+                x = np.frombuffer(b"".join(cards["vector"]), np.float32).reshape(len(cards), -1)
+                length, ids = _lengths(x), cards["card_id"].to_numpy()
+                unit = np.divide(x, length[:, None], out=np.zeros(x.shape, np.float32), where=length[:, None] > 0, casting="same_kind")
+                lists, begins = np.unique(cards["list"].to_numpy(), return_index=True)
+                ends = np.append(begins[1:], len(cards))
+                if slack < 1:
+                    code = np.frombuffer(b"".join(cards["code"]), np.uint8).reshape(len(cards), -1)
+                    about = model.centroids[cards["list"].to_numpy()] + model.decode(code)
+                    off = cards["off"].to_numpy(np.float64) * slack + ROUNDING
                 passes = _Filter(cards)
-                for i in range(0, len(asked), 512):
-                    part = asked.iloc[i : i + 512]
-                    score = _unit(list(part["q"]), model.dim) @ about.T
-                    mask = np.stack([passes(row) for row in part[list(FILTERS)].itertuples(index=False)])
-                    ids = part["query_id"].to_numpy()
-                    if best:
-                        sure = np.where(mask, score - off, -np.inf)
-                        n = min(k, sure.shape[1])
-                        top = -np.partition(-sure, n - 1, axis=1)[:, :n]
-                        row, col = np.nonzero(top > -np.inf)
-                        out.append(pd.DataFrame({"query_id": ids[row], "card_id": np.int64(0), "score": top[row, col]}))
-                    else:
-                        row, col = np.nonzero(mask & (score + off >= part["floor"].to_numpy()[:, None]))
-                        out.append(pd.DataFrame({"query_id": ids[row], "card_id": cards["card_id"].to_numpy()[col], "score": score[row, col]}))
+                step = max(1, min(512, SCORES // len(cards)))
+                # Queries with the same filters or near vectors skip the same cards.
+                asked = asked.sort_values([*FILTERS, "floor"], ignore_index=True)
+                for i in range(0, len(asked), step):
+                    part = asked.iloc[i : i + step]
+                    said = np.stack([np.asarray(v, np.float32) for v in part["q"]])
+                    q, size, floor = _unit(list(said), model.dim), _lengths(said), part["floor"].to_numpy()
+                    may = (q @ model.centroids[lists].T + radius[lists] + ROUNDING >= floor[:, None]).any(axis=0)
+                    near = np.repeat(may, ends - begins)
+                    alike: dict[tuple, list[int]] = {}
+                    for n, row in enumerate(part[list(FILTERS)].itertuples(index=False)):
+                        alike.setdefault(tuple(None if pd.isna(v) else v for v in row), []).append(n)
+                    for filters, of in alike.items():
+                        rows, cols = np.array(of), np.flatnonzero(passes(filters) & near)
+                        if not len(cols):
+                            continue
+                        score = q[rows].astype(np.float32) @ unit[cols].T
+                        if slack < 1:
+                            score = np.where(q[rows] @ about[cols].T + off[cols] >= floor[rows, None], score, -np.inf)
+                        least = floor[rows] - ROUNDING
+                        if len(cols) > k:
+                            least = np.maximum(least, np.partition(score, len(cols) - k, axis=1)[:, len(cols) - k] - 2 * ROUNDING)
+                        a, z = np.nonzero((score >= least[:, None]) & (score > -np.inf))
+                        for at in range(0, len(a), SCORES // 8):
+                            r, c = rows[a[at : at + SCORES // 8]], cols[z[at : at + SCORES // 8]]
+                            out.append(pd.DataFrame({"query_id": part["query_id"].to_numpy()[r], "card_id": ids[c], "score": _cosines(x[c], said[r], length[c] * size[r])}))
+                            if at:  # many that are as near, as copies are: k of each query are enough
+                                out[-2:] = [_first(pd.concat(out[-2:]), k)]
+                        if len(a):
+                            out[-1] = _first(out[-1], k)
             return pd.concat(out) if out else pd.DataFrame({"query_id": np.zeros(0, np.int64), "card_id": np.zeros(0, np.int64), "score": np.zeros(0)})
 
-        by = ["list", "block", "turn"]
+        by = [*by, "turn"]
         asked = visits.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(turns)).cast("int"))
         cards = self.codes.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
         return asked.groupBy(*by).cogroup(cards.groupBy(*by)).applyInPandas(scan, "query_id long, card_id long, score double")
@@ -239,18 +306,20 @@ class Index:
         live = queries.where("query_id IS NOT NULL").where(F.size("embedding") == self.model.dim)
         live = live.select("query_id", F.col("embedding").cast("array<float>").alias("q"), F.lit(-2.0).alias("floor"), *asked)
         turns = max(1, -(-live.count() // QUERY_BLOCK))
-        sure = self._scan(self._visits(live, "nearest", probes), k, 1.0, True, turns)
+        sure = self._scan(self._visits(live, "nearest", probes), ["list", "block"], k, 1.0, turns)
         order = Window.partitionBy("query_id").orderBy(F.desc("score"))
         floors = sure.withColumn("n", F.row_number().over(order)).where(F.col("n") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
         raised = live.join(floors, F.col("query_id") == F.col("id"), "left").withColumn("floor", F.coalesce("least", "floor")).select(*live.columns)
-        may = self._scan(self._visits(raised, "all", probes), k, slack, False, turns).select("query_id", "card_id")
-        both = may.join(self.vectors, "card_id").join(live.select("query_id", "q"), "query_id")
-        length = vectors.norm(F.col("embedding")) * vectors.norm(F.col("q"))
-        scored = both.select("query_id", "card_id", F.when(length > 0, vectors.dot(F.col("embedding"), F.col("q")) / length).otherwise(F.lit(0.0)).alias("score"))
+        scored = self._scan(self._visits(raised, "shards", probes), ["shard"], k, slack, turns)
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "card_id"))
         return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "card_id", "score")
 
 
+def _first(scored: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Each query's k best, ties to the smaller id."""
+    return scored.sort_values(["query_id", "score", "card_id"], ascending=[True, False, True]).groupby("query_id").head(k)
+
+
 class _Filter:
     """Which of a block's cards a query's filters let through; each value is worked out once."""
 

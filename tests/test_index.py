@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clausemill.operators import index as I
 
@@ -109,3 +110,21 @@ def test_few_and_no_cards(spark, corpus, tmp_path):
     assert none.search(queries, 4).count() == 0
     plain = queries.select("query_id", "embedding").limit(0)
     assert one.search(plain, 4).count() == 0
+
+
+def test_what_moves_does_not_grow_with_the_cards_that_may_be_best(spark, tmp_path):
+    """All vectors are alike, so every card may be among every query's best: a query comes to a shard once and leaves with k cards."""
+    rng = np.random.default_rng(4)
+    one = rng.normal(size=16).astype(np.float32)
+    x = [one if i % 2 else (one + 1e-4 * rng.normal(size=16)).astype(np.float32) for i in range(1200)]
+    cards = [(i, 0, "Điều 1", None, None, None, [float(c) for c in v]) for i, v in enumerate(x)]
+    settings = I.Settings(list_cards=20, block_cards=30, shard_cards=400)
+    index = I.Index.build(I.described(spark.createDataFrame(cards, CARDS), spark.createDataFrame([], CLAUSES)), str(tmp_path / "index"), settings)
+    assert {r["shard"]: r["n"] for r in index.codes.groupBy("shard").agg(F.count("*").alias("n")).collect()}.keys() == {0, 1, 2}
+    asked = [(i, [float(c) for c in x[2 * i + 1]], *[None] * 6) for i in range(40)]
+    queries = spark.createDataFrame(asked, ASKED)
+    live = queries.select("query_id", F.col("embedding").cast("array<float>").alias("q"), F.lit(-2.0).alias("floor"), *I.FILTERS)
+    visits = index._visits(live, "shards", 8)
+    assert visits.count() == 3 * len(asked)
+    assert index._scan(visits, ["shard"], 5, 1.0, 1).count() == 3 * 5 * len(asked)
+    assert found(index.search(queries, 5)) == {i: [1, 3, 5, 7, 9] for i in range(40)}
