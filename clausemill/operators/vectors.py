@@ -9,6 +9,8 @@ from typing import Protocol, runtime_checkable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,9 @@ from ..functions import blake2
 from ..functions import text as X
 from ..schemas import DEFAULT_DIM, MODEL_DIM
 
+#: Texts whose vectors a task holds at a time.
+ENCODED = 256
+
 
 @runtime_checkable
 class Encoder(Protocol):
@@ -98,12 +103,13 @@ def default_encoder(dim: int = DEFAULT_DIM, model: str | None = None, variable:
 
 
 def embed(texts: DataFrame, encoder: Encoder, column: str = "embed_text") -> DataFrame:
-    """texts with ``embedding``, array of float; an iterator UDF, so an encoder loads once a task."""
+    """texts with ``embedding``, array of float; an iterator UDF, so an encoder loads once a task, and holds the vectors of ``ENCODED`` texts at a time."""
 
     @F.pandas_udf("array<float>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:
-            yield pd.Series(list(encoder.encode_batch([t or "" for t in b])))
+            for i in range(0, len(b), ENCODED):
+                yield pd.Series(list(encoder.encode_batch([t or "" for t in b.iloc[i : i + ENCODED]])))
 
     return texts.withColumn("embedding", encode(F.col(column)))
 
@@ -111,16 +117,17 @@ def embed(texts: DataFrame, encoder: Encoder, column: str = "embed_text") -> Dat
 def to_bytes(embeddings: DataFrame, dim: int | None = None, column: str = "embedding") -> DataFrame:
     """``embedding_bytes``: float32 in native order; fails where a vector has another dimension than asked."""
 
-    @F.pandas_udf("binary")
-    def pack(vectors: pd.Series) -> pd.Series:
-        def one(v):
-            if v is None:
-                return None
-            if dim is not None and len(v) != dim:
-                raise ValueError(f"a vector has {len(v)} components, not {dim}")
-            return np.asarray(v, np.float32).tobytes()
-
-        return vectors.map(one)
+    @F.arrow_udf("binary")
+    def pack(vectors: pa.Array) -> pa.Array:
+        sizes = np.asarray(vectors.value_lengths().fill_null(-1))
+        wrong = np.flatnonzero((sizes >= 0) & (sizes != dim)) if dim is not None else ()
+        if len(wrong):
+            raise ValueError(f"a vector has {sizes[wrong[0]]} components, not {dim}")
+        flat = np.ascontiguousarray(vectors.flatten().cast(pa.float32()).to_numpy(zero_copy_only=False))
+        ends = np.concatenate([[0], np.cumsum(4 * np.maximum(sizes, 0))]).astype(np.int64)
+        # One buffer cut at the vectors' ends: no Python object for each.
+        whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+        return pc.if_else(pa.array(sizes >= 0), whole, None).cast(pa.binary())
 
     return embeddings.withColumn("embedding_bytes", pack(F.col(column)))
 

@@ -93,3 +93,22 @@ def test_walks(spark):
     refs = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, None)], "src_clause_id long, dst_clause_id long")
     starts = spark.createDataFrame([(1,)], "clause_id long")
     assert {(r["clause_id"], r["hops"]) for r in G.reachable(refs, starts, 5).collect()} == {(1, 0), (2, 1), (3, 2)}
+
+
+def test_vectors_are_made_and_packed_a_few_at_a_time(spark, monkeypatch):
+    """However many texts come at once, so many vectors are held as ``ENCODED`` says; packing keeps nulls and tells of a wrong length."""
+    monkeypatch.setattr(V, "ENCODED", 16)
+
+    class Counting(V.HashBag):
+        def encode_batch(self, texts):
+            assert len(texts) <= 16
+            return super().encode_batch(texts)
+
+    texts = spark.range(0, 100, 1, 1).selectExpr("id", "concat('w', id, ' x') AS text")
+    made = V.to_bytes(V.embed(texts, Counting(8), "text"), 8).orderBy("id").collect()
+    assert [bytes(r["embedding_bytes"]) for r in made] == [V.HashBag(8).encode(f"w{i} x").tobytes() for i in range(100)]
+    odd = spark.createDataFrame([(1, [1.0, 2.0]), (2, None), (3, [3.0, None])], "id int, embedding array<float>").coalesce(1)
+    got = [r["embedding_bytes"] for r in V.to_bytes(odd).orderBy("id").collect()]
+    assert bytes(got[0]) == np.array([1, 2], np.float32).tobytes() and got[1] is None and np.isnan(np.frombuffer(got[2], np.float32)[1])
+    with pytest.raises(Exception, match="a vector has 2 components, not 3"):
+        V.to_bytes(odd, 3).collect()
