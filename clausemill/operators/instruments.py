@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..sources.scratch import written
 from .asof import asof_join
 
 #: Why a reference stays dangling.
@@ -61,12 +62,14 @@ def resolve(references: DataFrame, documents: DataFrame) -> DataFrame:
     """references (target_citation, cited_on, ...) with target_document_id, version, provenance and reason.
 
     ``provenance`` says whether the key or a spelling led to the document, ``reason`` why nothing did; one of them is null. What is asked
-    for is worked out once for each instrument and day, so one that a third of all references name isn't one task's work.
+    for is worked out once for each instrument and day, so one that a third of all references name isn't one task's work. Keys are worked
+    out once for each different citation, and written, as filters on them would go below the grouping and read every reference.
     """
-    numbers, letters = key_of(F.col("target_citation"))
-    rows = references.withColumn("__n", numbers).withColumn("__l", letters).withColumn("__day", F.unix_date("cited_on").cast("long"))
-    chains = versions(documents)
-    asked = rows.where("__n IS NOT NULL").select(F.col("__n").alias("numbers"), F.col("__l").alias("letters"), F.col("__day").alias("day")).distinct()
+    numbers, letters = key_of(F.col("__cited"))
+    keys = written(references.select(F.col("target_citation").alias("__cited")).where("__cited IS NOT NULL").distinct().select("__cited", numbers.alias("__n"), letters.alias("__l")), "keys")
+    rows = references.join(keys, F.col("target_citation") == F.col("__cited"), "left").withColumn("__day", F.unix_date("cited_on").cast("long"))
+    chains = written(versions(documents), "versions")
+    asked = written(rows.where("__n IS NOT NULL").select(F.col("__n").alias("numbers"), F.col("__l").alias("letters"), F.col("__day").alias("day")).distinct(), "asked")
     names = matched(asked.select("numbers", "letters"), chains.select("numbers", "letters"))
     looked = asked.join(names, ["numbers", "letters"])
     held = asof_join(looked, chains.withColumnRenamed("letters", "found"), ["numbers", "found"], "day", "since", ["document_id", "version"], 4096)

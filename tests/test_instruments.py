@@ -85,3 +85,13 @@ def test_versions_and_reasons(spark):
     none = N.resolve(spark.createDataFrame(refs, REFS), spark.createDataFrame([], DOCS))
     assert none.count() == len(refs) and none.where("reason IS NULL").count() == 0
     assert N.resolve(spark.createDataFrame([], REFS), spark.createDataFrame(docs, DOCS)).count() == 0
+
+
+def test_patterns_run_once_for_each_different_citation(spark):
+    """What reads the references again has keys from a table, not by patterns; a null citation names nothing."""
+    refs = spark.range(600).select(F.col("id").cast("int").alias("reference_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("Luật số "), (F.col("id") % 2 + 7).cast("string"))).alias("target_citation"), F.lit(DAY(2020, 1, 1)).alias("cited_on"))
+    docs = spark.createDataFrame([(1, "Luật số 7", DAY(2010, 1, 1))], DOCS)
+    out = N.resolve(refs, docs)
+    assert "regexp_extract" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["target_document_id"], r["reason"]): r["n"] for r in out.groupBy("target_document_id", "reason").agg(F.count("*").alias("n")).collect()}
+    assert got == {(1, None): 200, (None, N.UNKNOWN): 200, (None, N.NOT_NAMED): 200}
