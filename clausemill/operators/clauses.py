@@ -70,8 +70,8 @@ def parent_numbers(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("parent_number", F.when(d.isNotNull(), below))
 
 
-def stored(parsed: DataFrame) -> DataFrame:
-    """One row for each (document, citation): the last parsed, under the id of the first; with parent_id, and with the body where parsed has it.
+def ranked(parsed: DataFrame) -> DataFrame:
+    """parsed with clause_id, parent_id and ``last``, whether it is the one of its citation to store: a table that has parsed and stored clauses in one.
 
     clause_id is document_id * 2^24 + the first ord, so it needs no global numbering.
     """
@@ -79,19 +79,24 @@ def stored(parsed: DataFrame) -> DataFrame:
     # A parent is the first clause of its name, and clauses of one name have one article and one clause above
     # them: windows below the document's partitioning, where a join would move and read everything twice.
     article, clause = Window.partitionBy("document_id", "dieu"), Window.partitionBy("document_id", "dieu", "khoan")
-    ranked = parsed.withColumn("first", F.min("ord").over(by)).withColumn("later", F.max("ord").over(by))
-    ranked = ranked.withColumn("in_article", F.min(F.when(F.col("kind") == "dieu", F.col("ord"))).over(article))
-    ranked = ranked.withColumn("in_clause", F.min(F.when(F.col("kind") == "khoan", F.col("ord"))).over(clause))
+    rows = parsed.withColumn("first", F.min("ord").over(by)).withColumn("later", F.max("ord").over(by))
+    rows = rows.withColumn("in_article", F.min(F.when(F.col("kind") == "dieu", F.col("ord"))).over(article))
+    rows = rows.withColumn("in_clause", F.min(F.when(F.col("kind") == "khoan", F.col("ord"))).over(clause))
     above = F.when(F.col("kind") == "khoan", F.col("in_article")).when(F.col("kind") == "diem", F.when(F.col("khoan").isNotNull(), F.col("in_clause")).otherwise(F.col("in_article")))
     # An id has 39 bits for the document and 24 for the place in it.
     d = F.col("document_id").cast("long")
     base = F.shiftleft(F.when((d >= -(1 << 39)) & (d < 1 << 39), d).otherwise(F.raise_error(F.concat(F.lit("no clause id has room for the document "), d.cast("string"))).cast("long")), 24)
-    return ranked.where("ord = later").select(
-        (base + F.col("first")).alias("clause_id"),
-        "document_id",
-        F.when(F.col("dieu").isNotNull(), base + above).alias("parent_id"),
-        *[c for c in ("kind", "number", "citation", "page_start", "page_end", "body", "ord", "dieu") if c in parsed.columns],
-    )
+    return rows.select(*parsed.columns, (base + F.col("first")).alias("clause_id"), F.when(F.col("dieu").isNotNull(), base + above).alias("parent_id"), (F.col("ord") == F.col("later")).alias("last"))
+
+
+def kept(ranked: DataFrame) -> DataFrame:
+    """What ``ranked`` says is to store."""
+    return ranked.where("last").select("clause_id", "document_id", "parent_id", *[c for c in ("kind", "number", "citation", "page_start", "page_end", "body", "ord", "dieu") if c in ranked.columns])
+
+
+def stored(parsed: DataFrame) -> DataFrame:
+    """One row for each (document, citation): the last parsed, under the id of the first; with parent_id, and with the body where parsed has it."""
+    return kept(ranked(parsed))
 
 
 def citation_map(parsed: DataFrame) -> DataFrame:

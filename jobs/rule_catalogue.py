@@ -24,8 +24,8 @@ DEFAULTS = {"headers": False, "lines_a_page": 60, "snapshot": "current", "no_top
 CATALOGUE = "card_id long, document_id long, citation string, page_start int, page_end int, statement string, bound_actor string, penalty string, refs_resolved long, refs_dangling long, cited_by long, snapshot string, topic string"
 
 
-def catalogue(kept: DataFrame, refs: DataFrame, no_topic: str) -> DataFrame:
-    """Stored clauses and resolved references -> a row for each valid card. References count for the article that their clause is in;
+def catalogue(kept: DataFrame, extracted: DataFrame, refs: DataFrame, no_topic: str) -> DataFrame:
+    """Stored clauses, their cards and resolved references -> a row for each valid card. References count for the article that their clause is in;
     ``cited_by`` counts those from other articles."""
     of = kept.select("clause_id", "document_id", "dieu")
     source = refs.join(of.select(F.col("clause_id").alias("src_clause_id"), F.col("dieu").alias("from_article")), "src_clause_id")
@@ -34,7 +34,7 @@ def catalogue(kept: DataFrame, refs: DataFrame, no_topic: str) -> DataFrame:
     )
     target = source.join(of.select(F.col("clause_id").alias("dst_clause_id"), "dieu"), "dst_clause_id").where(~F.col("from_article").eqNullSafe(F.col("dieu")))
     cited = target.groupBy("document_id", "dieu").agg(F.count(F.lit(1)).alias("cited_by"))
-    made = cards.extract(kept).where("error IS NULL").join(kept.select("clause_id", "dieu", "page_start", "page_end"), "clause_id")
+    made = extracted.where("error IS NULL").join(kept.select("clause_id", "dieu", "page_start", "page_end"), "clause_id")
     rows = made.join(out, ["document_id", "dieu"], "left").join(cited, ["document_id", "dieu"], "left")
     counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("refs_resolved", "refs_dangling", "cited_by")]
     topic = F.coalesce(F.get("topic_tags", F.lit(0)), F.lit(no_topic)).alias("topic")
@@ -52,12 +52,15 @@ def run(spark: SparkSession, documents: str, out: str, settings: dict) -> dict:
     """Reads the table of documents, writes both tables under ``out``; how many rows were read and written."""
     snapshot = settings["snapshot"]
     rows, seen = counted(spark.read.parquet(documents).where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").alias("document_id"), "text"), "documents")
-    with held(parsed_of(rows, settings)) as parsed, held(clauses.stored(parsed), references.extract(parsed)) as (kept, extracted), held(references.resolve(extracted, kept)) as refs:
-        made = catalogue(kept, refs, settings["no_topic"])
-        # Files of like size in each topic, also where one topic has most of the cards.
-        made.hint("rebalance", "topic").write.mode("overwrite").partitionBy("topic").parquet(f"{out}/catalogue/snapshot={snapshot}")
-        pages = parsed.select("document_id", F.col("page_end").alias("page"))
-        summaries(pages, parsed, extracted, kept, refs).write.mode("overwrite").json(f"{out}/documents/snapshot={snapshot}")
+    # Clauses are written once for all that reads them, and cards before they are filtered, as a filter on what they say works them out again.
+    with held(clauses.ranked(parsed_of(rows, settings))) as parsed:
+        kept = clauses.kept(parsed)
+        with held(references.extract(parsed), cards.extract(kept)) as (extracted, carded), held(references.resolve(extracted, kept)) as refs:
+            made = catalogue(kept, carded, refs, settings["no_topic"])
+            # Files of like size in each topic, also where one topic has most of the cards.
+            made.hint("rebalance", "topic").write.mode("overwrite").partitionBy("topic").parquet(f"{out}/catalogue/snapshot={snapshot}")
+            pages = parsed.select("document_id", F.col("page_end").alias("page"))
+            summaries(pages, parsed, extracted, kept, refs).write.mode("overwrite").json(f"{out}/documents/snapshot={snapshot}")
     told = {"documents": seen.get["rows"], "cards": read(spark, out, snapshot).count()}
     log.info("read %d documents from %s; wrote %d cards to %s/catalogue/snapshot=%s", told["documents"], documents, told["cards"], out, snapshot)
     return told

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from clausemill.operators import clauses
 from jobs import _common, clause_feed, rule_catalogue
 
 LAW = "Điều 1. Tổ chức lập hóa đơn; xong\nKhoản 1. theo Điều 2 của Luật\nĐiều 2. Cá nhân bị phạt tiền theo mức 5.\nKhoản 1. xem khoản 1 Điều 1 và Thông tư số 5/2020\nĐiều 5. Khác. Điều 2 và Điều 2 này"
@@ -115,3 +116,18 @@ def test_command_line(spark, table, tmp_path):
     done = subprocess.run(asked, cwd=folder.parent, capture_output=True, text=True, timeout=300, check=False)
     assert done.returncode == 0 and "took 5 new rows" in done.stderr
     assert clause_feed.read(spark, str(tmp_path / "feed")).count() == 5
+
+
+def test_the_catalogue_writes_texts_of_clauses_once(spark, tmp_path, monkeypatch):
+    """Parsed and stored clauses are one table, which is read without moving clauses, and cards are read, not made again."""
+    columns, plans, held = [], [], rule_catalogue.held
+    monkeypatch.setattr(rule_catalogue, "held", lambda *dfs: columns.extend(df.columns for df in dfs) or plans.extend(df._jdf.queryExecution().executedPlan().toString() for df in dfs) or held(*dfs))
+    text = "Điều 1. Hộ kinh doanh khai thuế\nKhoản 1. theo khoản 2 Điều 12\nĐiều 1. lại\nĐiều 3. phạt tiền từ 1 triệu"
+    docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "in"))
+    rule_catalogue.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), rule_catalogue.DEFAULTS)
+    assert sum("body" in c for c in columns) == 1
+    assert [p for c, p in zip(columns, plans, strict=True) if "error" in c and "Exchange" in p] == []
+    assert rule_catalogue.read(spark, str(tmp_path / "out")).count() == 4
+    parsed = spark.createDataFrame([(1, 1, "dieu", "1", "Điều 1", "1", None), (1, 2, "dieu", "1", "Điều 1", "1", None)], "document_id long, ord int, kind string, number string, citation string, dieu string, khoan string")
+    assert clauses.kept(clauses.ranked(parsed)).collect() == clauses.stored(parsed).collect()
