@@ -164,10 +164,12 @@ def read_artifacts(spark: SparkSession, path: str, document_id: int | None = Non
 def write_page_files(pages: DataFrame, path: str) -> None:
     """One JSON file for each page, in folders by document and page; a page that comes twice has the record with the greatest text.
 
-    Where no other program wants a file a page, ``write_artifacts`` makes far fewer.
+    Where no other program wants a file a page, ``write_artifacts`` makes far fewer. What a file costs doesn't hang on its bytes, so pages
+    are dealt to a number of tasks that small tables have too.
     """
+    tasks = 4 * pages.sparkSession.sparkContext.defaultParallelism
     record = F.struct(*[F.col(c) if c in pages.columns else F.lit(None).cast(OCR_PAGES[c].dataType).alias(c) for c in ("page_ordinal", "image_path", "blocks", "raw_text")])
-    one = pages.groupBy("document_id", "page_ordinal").agg(F.max_by(record, F.coalesce("raw_text", F.lit(""))).alias("r"))
+    one = pages.repartition(tasks, "document_id", "page_ordinal").groupBy("document_id", "page_ordinal").agg(F.max_by(record, F.coalesce("raw_text", F.lit(""))).alias("r"))
     # The page's number stands in the record too, so the folders have columns of their own.
     one.select(F.col("document_id").alias("doc"), F.col("page_ordinal").alias("page"), "r.*").write.mode("overwrite").partitionBy("doc", "page").json(path)
 

@@ -268,3 +268,11 @@ def test_a_file_for_each_page(spark, tmp_path):
     assert got == [(7, 1, "p.png", 1, "a\nb"), (7, 12, None, 0, ""), (8, 1, None, 0, "d"), (9, 3, "x", 0, "Điều 1. ấ")]
     assert [r["raw_text"] for r in ocr.read_page_files(spark, str(out), 9).collect()] == ["Điều 1. ấ"]
     assert ocr.read_page_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_page_files_are_written_by_many_tasks(spark, tmp_path):
+    """Small pages too: what takes time is the number of files. A long document is no single task either."""
+    pages = spark.range(40).select((F.col("id") % 1 + 7).alias("document_id"), F.col("id").cast("int").alias("page_ordinal"), F.lit("x").alias("raw_text"))
+    ocr.write_page_files(pages, str(tmp_path / "ocr"))
+    files = list((tmp_path / "ocr").glob("doc=7/page=*/*.json"))
+    assert len(files) == 40 and len({f.name.split("-")[1] for f in files}) >= 8
