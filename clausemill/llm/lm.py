@@ -1,9 +1,10 @@
 """Scores by a causal self-attention model over subword ids, beside an add-one word model.
 
-The model is one attention layer and a small network, trained in numpy by Adam on windows drawn from all
-training documents, so many more as there are more of these (``Training``). It predicts a class of ids; an id's share of its class comes from the counts of all training
-documents, which also say what the classes are: the most frequent ids have one of their own, other frequent ones share it with those
-that stand after and before the same ids as they do (so that one language's are together), and all rarer ones are one class. So the probabilities of all ids sum to one. A text is read as its ids and an end; windows of
+The model is one attention layer and a small network, trained in numpy by Adam on all windows of all training documents (``Training``).
+It predicts a class of ids; an id's share of its class comes from the counts of all training documents, which also say what the classes
+are: the most frequent ids have one of their own, other frequent ones share it with those that stand after and before the same ids as they
+do (so that one language's are together), and all rarer ones are one class. So the probabilities of all ids sum to one. Shared classes are in
+groups of like ones: a group is predicted first, then a class within it, so that only the group that an id is in is worked out. A text is read as its ids and an end; windows of
 ``WINDOW`` inputs overlap by half, every token is scored once, in the first window that has it, and so from
 at least half a window of inputs but at a text's start. All windows of a batch go through one masked
 attention; what a window shares with the one before is only looked at, not scored again. Each text is coded
@@ -41,6 +42,11 @@ VOCABULARY, END_ID = 50_257, 50_256
 WINDOW, STRIDE = 32, 16
 OWN, LIKE = 16, 76
 CLASSES = OWN + LIKE + 1
+SIZES = (19,) * 4  # of the groups of shared classes
+FIRST = OWN + len(SIZES) + 1
+EDGES = OWN + np.cumsum((0, *SIZES))
+#: What is predicted first for each class: itself, or its group.
+FIRST_OF = np.concatenate([np.arange(OWN), np.repeat(np.arange(OWN, FIRST - 1), SIZES), [FIRST - 1]]).astype(np.uint8)
 GROUPED = 2048
 COMMON = 960
 PAIRED = 2048
@@ -57,11 +63,11 @@ END = np.array([END_ID], np.int32)
 
 @dataclass(frozen=True)
 class Training:
-    """What the fit reads: ``share`` of the windows of all training documents, from anywhere in whole texts, or ``first`` windows
-    where that is more. It starts with ``steps`` batches of ``batch`` from about ``first`` of them on the driver; then the whole
-    sample is gone through once, in parts of about ``part`` windows that each go on from there, and the parts' weights are averaged."""
+    """How the fit goes. It starts with ``steps`` batches of ``batch`` from about ``first`` windows on the driver; then all windows of
+    all training documents are gone through once, in parts of about ``part`` windows that each go on from there, and the parts' weights
+    are averaged. A ``share`` below 1 takes so many of the windows, from anywhere in whole texts, or ``first`` where that is more."""
 
-    share: float = 1 / 32
+    share: float = 1.0
     first: int = 65_536
     part: int = 32_768
     later: float = 0.002
@@ -106,11 +112,26 @@ def classes(counts: np.ndarray, keys: np.ndarray, times: np.ndarray, dims: int =
     for k in np.flatnonzero(np.bincount(home, minlength=LIKE) == 0):  # no class is empty
         several = np.bincount(home, minlength=LIKE)[home] > 1
         home[np.flatnonzero(several)[np.argmax(near[several, k])]] = k
+    number = np.empty(LIKE, np.int64)
+    number[_grouped(centre)] = np.arange(LIKE)
     out = np.full(VOCABULARY, OWN + LIKE, np.int32)
-    out[order[:OWN]], out[order[OWN:GROUPED]] = np.arange(OWN), OWN + home
+    out[order[:OWN]], out[order[OWN:GROUPED]] = np.arange(OWN), OWN + number[home]
     return out
 
 
+def _grouped(centre: np.ndarray) -> np.ndarray:
+    """Shared classes in such an order that like ones are in one group: halved and halved again where they differ most."""
+    parts = [np.arange(LIKE)]
+    while len(parts) < len(SIZES):
+        halves = []
+        for part in parts:
+            x = centre[part] - centre[part].mean(axis=0)
+            part = part[np.argsort(x @ np.linalg.svd(x, full_matrices=False)[2][0], kind="stable")]
+            halves += [part[: len(part) // 2], part[len(part) // 2 :]]
+        parts = halves
+    return np.concatenate(parts)
+
+
 class Vocabulary:
     """Input rows and classes of ids, and ids' shares of their classes given the id before, from counts.
 
@@ -180,49 +201,64 @@ class Attention:
         self.p = {
             "emb": normal(VOCABULARY, d, by=0.3), "pos": normal(WINDOW, d, by=0.1), "qkv": normal(d, 3 * d, by=d**-0.5), "out": normal(d, d, by=d**-0.5),
             "w1": normal(2 * d, inner, by=(2 * d) ** -0.5), "b1": np.zeros(inner, np.float32), "w2": normal(inner, d, by=inner**-0.5),
-            "u": normal(2 * d, CLASSES, by=0.05), "b": prior.copy(),
+            "u": normal(2 * d, FIRST + LIKE, by=0.05), "b": np.concatenate([np.log(np.bincount(FIRST_OF, np.exp(prior)) + 1e-12), prior[OWN:-1]]).astype(np.float32),
         }
         self.p["emb"][COMMON:] = 0  # rare ids start alike; those that the sample has go apart
         self.mask = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), 0, -1e9).astype(np.float32)
 
-    def forward(self, rows: np.ndarray, keep: dict | None = None) -> np.ndarray:
-        """Input rows by window -> logits of classes; ``keep`` gets what the backward pass needs."""
+    def forward(self, rows: np.ndarray) -> np.ndarray:
+        """Input rows by window -> log probabilities of all classes."""
+        p, top = self.p, self._top(rows)
+        logits = top @ p["u"] + p["b"]
+        logs = lambda x: x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+        first = logs(logits[:, :FIRST])
+        within = [logs(logits[:, a:z]) for a, z in _columns()]
+        return first[:, FIRST_OF] + np.concatenate([np.zeros_like(first[:, :OWN]), *within, np.zeros_like(first[:, :1])], axis=1)
+
+    def _top(self, rows: np.ndarray, keep: dict | None = None) -> np.ndarray:
+        """Input rows by window -> what the classes are told from; ``keep`` gets what the backward pass needs."""
         p, (b, t) = self.p, rows.shape
         d = p["emb"].shape[1]
         x = np.take(p["emb"], rows, axis=0)
         x += p["pos"]
-        qkv = x.reshape(-1, d) @ p["qkv"]
+        w = self._scaled()
+        qkv = x.reshape(-1, d) @ w
         q, k, v = (qkv[:, i * d : (i + 1) * d].reshape(b, t, d) for i in range(3))
         a = np.matmul(q, k.transpose(0, 2, 1))
-        a *= np.float32(d**-0.5)
         a += self.mask
         np.minimum(a, np.float32(30), out=a)
         np.exp(a, out=a)
-        a /= a.sum(axis=2, keepdims=True)
-        mixed_ = np.matmul(a, v).reshape(-1, d)
-        h = mixed_ @ p["out"]
-        both = np.concatenate([x.reshape(-1, d), h], axis=1)
+        # The ones beside the values give the sums, by which what is read is divided instead of each weight.
+        v = np.concatenate([v, np.ones((b, t, 1), v.dtype)], axis=2)
+        read = np.matmul(a, v).reshape(-1, d + 1)
+        over = 1 / read[:, d:]
+        mixed_ = read[:, :d] * over
+        both = np.concatenate([x.reshape(-1, d), mixed_ @ p["out"]], axis=1)
         z = both @ p["w1"]
         z += p["b1"]
         r = np.maximum(z, 0)
         # The last input itself reaches the classes beside what attention and the network say.
         top = np.concatenate([r @ p["w2"], both[:, :d]], axis=1)
-        logits = top @ p["u"]
-        logits += p["b"]
         if keep is not None:
-            keep.update(x=x, q=q, k=k, v=v, a=a, mixed=mixed_, both=both, r=r, top=top)
-        return logits
+            keep.update(x=x, w=w, q=q, k=k, v=v, a=a, over=over, mixed=mixed_, both=both, r=r)
+        return top
+
+    def _scaled(self) -> np.ndarray:
+        """Weights of queries, keys and values, with the scale of the products in the queries'."""
+        p, d = self.p, self.p["emb"].shape[1]
+        return np.concatenate([p["qkv"][:, :d] * np.float32(d**-0.5), p["qkv"][:, d:]], axis=1)
 
     def ready(self) -> None:
         """Products of the weights, for ``tail``."""
         p, d = self.p, self.p["emb"].shape[1]
-        scale = np.float32(d**-0.5)
-        self.q, self.q_at = p["emb"] @ p["qkv"][:, :d] * scale, p["pos"] @ p["qkv"][:, :d] * scale
-        self.kv, self.kv_at = p["emb"] @ p["qkv"][:, d:], p["pos"] @ p["qkv"][:, d:]
+        w = self._scaled()
+        self.q, self.q_at = p["emb"] @ w[:, :d], p["pos"] @ w[:, :d]
+        self.kv = np.concatenate([p["emb"] @ w[:, d:], np.zeros((VOCABULARY, 1), np.float32)], axis=1)
+        self.kv_at = np.concatenate([p["pos"] @ w[:, d:], np.ones((WINDOW, 1), np.float32)], axis=1)
         self.into = np.concatenate([p["w1"][:d], p["out"] @ p["w1"][d:]])
 
     def tail(self, rows: np.ndarray, begin: int) -> np.ndarray:
-        """Logits of ``forward`` for the inputs from ``begin`` on in each window; those before are only attended to."""
+        """What classes are told from, for the inputs from ``begin`` on in each window; those before are only attended to."""
         p, (b, t), d = self.p, rows.shape, self.p["emb"].shape[1]
         last = rows[:, begin:]
         q = np.take(self.q, last, axis=0)
@@ -235,51 +271,101 @@ class Attention:
         np.exp(a, out=a)
         both = np.empty((b, t - begin, 2 * d), np.float32)
         np.add(np.take(p["emb"], last, axis=0), p["pos"][begin:], out=both[:, :, :d])
-        np.divide(np.matmul(a, kv[:, :, d:]), a.sum(axis=2, keepdims=True), out=both[:, :, d:])
+        read = np.matmul(a, kv[:, :, d:])
+        np.divide(read[:, :, :d], read[:, :, d:], out=both[:, :, d:])
         both = both.reshape(-1, 2 * d)
         z = both @ self.into
         z += p["b1"]
         np.maximum(z, 0, out=z)
-        logits = np.concatenate([z @ p["w2"], both[:, :d]], axis=1) @ p["u"]
-        logits += p["b"]
-        return logits
+        return np.concatenate([z @ p["w2"], both[:, :d]], axis=1)
+
+    def _shares(self, top: np.ndarray, a: int, z: int) -> tuple[np.ndarray, np.ndarray]:
+        """(exponentials of the columns from a to z, a row for each, and their sums)."""
+        e = self.p["u"][:, a:z].T @ top.T
+        e += self.p["b"][a:z, None]
+        np.minimum(e, np.float32(60), out=e)
+        np.exp(e, out=e)
+        return e, e.sum(axis=0)
+
+    def _by_group(self, first: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(first column, end, places) of the groups that are met."""
+        order = np.argsort(first, kind="stable")
+        cuts = np.searchsorted(first[order], np.arange(OWN, FIRST))
+        for (a, z), lo, hi in zip(_columns(), cuts[:-1], cuts[1:], strict=True):
+            if hi > lo:
+                yield a, z, order[lo:hi]
+
+    def told(self, top: np.ndarray, klass: np.ndarray) -> np.ndarray:
+        """Natural log of the probability of each row's class."""
+        first, at = FIRST_OF[klass], np.arange(len(top))
+        e, sums = self._shares(top, 0, FIRST)
+        out = e[first, at] / sums
+        for a, z, here in self._by_group(first):
+            e, sums = self._shares(top[here], a, z)
+            out[here] *= e[klass[here] - (OWN + a - FIRST), at[: len(here)]] / sums
+        return np.log(out)
 
     def step(self, rows: np.ndarray, klass: np.ndarray, weight: np.ndarray) -> tuple[float, dict]:
         """Loss and gradients; weight is 0 for inputs that score nothing."""
+        loss, out, on = self.gradients(rows, klass, weight)
+        emb = np.zeros_like(self.p["emb"])
+        emb[on] = out["emb"]
+        return loss, out | {"emb": emb}
+
+    def gradients(self, rows: np.ndarray, klass: np.ndarray, weight: np.ndarray) -> tuple[float, dict, np.ndarray]:
+        """Loss, gradients, and the input rows that those of ``emb`` are of."""
         keep: dict = {}
-        logits = self.forward(rows, keep)
+        top = self._top(rows, keep)
         p, (b, t), d = self.p, rows.shape, self.p["emb"].shape[1]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        e /= e.sum(axis=1, keepdims=True)
-        at, w = np.arange(b * t), weight.ravel()
-        loss = -(np.log(e[at, klass.ravel()] + 1e-20) * w).sum() / max(w.sum(), 1)
-        g = e
-        g[at, klass.ravel()] -= 1
-        g *= (w / max(w.sum(), 1))[:, None]
-        out = {"u": keep["top"].T @ g, "b": g.sum(0)}
-        dtop = g @ p["u"].T
+        klass, w, n = klass.ravel(), weight.ravel(), max(weight.sum(), 1)
+        w, first, at = w / n, FIRST_OF[klass], np.arange(b * t)
+        out: dict = {"u": np.zeros_like(p["u"]), "b": np.zeros_like(p["b"])}
+        loss = 0.0
+
+        def back(a: int, z: int, top: np.ndarray, at: np.ndarray, k: np.ndarray, w: np.ndarray) -> np.ndarray:
+            nonlocal loss
+            g, sums = self._shares(top, a, z)
+            g /= sums
+            loss -= (np.log(g[k, at] + 1e-20) * w).sum()
+            g[k, at] -= 1
+            g *= w
+            out["u"][:, a:z], out["b"][a:z] = (g @ top).T, g.sum(axis=1)
+            return g.T @ p["u"][:, a:z].T
+
+        dtop = back(0, FIRST, top, at, first, w)
+        for a, z, here in self._by_group(first):
+            dtop[here] += back(a, z, top[here], at[: len(here)], klass[here] - (OWN + a - FIRST), w[here])
         dr = dtop[:, :d] @ p["w2"].T
         out["w2"] = keep["r"].T @ dtop[:, :d]
-        dz = dr * (keep["r"] > 0)
-        out["w1"], out["b1"] = keep["both"].T @ dz, dz.sum(0)
-        dboth = dz @ p["w1"].T
+        dr *= keep["r"] > 0
+        out["w1"], out["b1"] = keep["both"].T @ dr, dr.sum(0)
+        dboth = dr @ p["w1"].T
         dx = dtop[:, d:] + dboth[:, :d]
         dh = dboth[:, d:]
         out["out"] = keep["mixed"].T @ dh
         dm = (dh @ p["out"].T).reshape(b, t, d)
+        dm *= keep["over"].reshape(b, t, 1)
         dv = np.matmul(keep["a"].transpose(0, 2, 1), dm)
-        da = np.matmul(dm, keep["v"].transpose(0, 2, 1))
-        ds = keep["a"] * (da - (da * keep["a"]).sum(2, keepdims=True)) * np.float32(d**-0.5)
-        dq, dk = np.matmul(ds, keep["k"]), np.matmul(ds.transpose(0, 2, 1), keep["q"])
-        dqkv = np.concatenate([dq, dk, dv], axis=2).reshape(-1, 3 * d)
+        less = np.einsum("ij,ij->i", dm.reshape(-1, d), keep["mixed"])
+        ds = np.matmul(np.concatenate([dm, -less.reshape(b, t, 1)], axis=2), keep["v"].transpose(0, 2, 1))
+        ds *= keep["a"]
+        dqkv = np.concatenate([np.matmul(ds, keep["k"]), np.matmul(ds.transpose(0, 2, 1), keep["q"]), dv], axis=2).reshape(-1, 3 * d)
         out["qkv"] = keep["x"].reshape(-1, d).T @ dqkv
-        dx = dx + dqkv @ p["qkv"].T
+        out["qkv"][:, :d] *= np.float32(d**-0.5)
+        dx += dqkv @ keep["w"].T
         out["pos"] = dx.reshape(b, t, d).sum(0)
-        emb = np.zeros_like(p["emb"])
-        np.add.at(emb, rows.ravel(), dx)
-        out["emb"] = emb
-        return float(loss), out
+        flat = rows.ravel()
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
+        flat = flat[order]
+        begin = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+        out["emb"] = np.add.reduceat(dx[order], begin, axis=0)
+        return float(loss), out, flat[begin]
+
+
+def _columns() -> Iterator[tuple[int, int]]:
+    """Columns of each group's classes."""
+    shift = FIRST - OWN
+    return ((int(a) + shift, int(z) + shift) for a, z in zip(EDGES[:-1], EDGES[1:], strict=True))
 
 
 def windows(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -295,8 +381,9 @@ def windows(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def pieces(texts: list[np.ndarray], seeds: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
     """(windows of WINDOW inputs and the id after them, their hashes) that make up so much of the texts; after an end there is PAD."""
     room = np.array([len(t) + 2 for t in texts], np.int64)
-    at = np.cumsum(room) - room
-    stream = np.full(int(room.sum()) + WINDOW + 1, END_ID, np.int32)
+    at = np.cumsum(room + WINDOW) - room - WINDOW
+    stream = np.full(int((room + WINDOW).sum()) + 1, PAD, np.uint16)
+    stream[at] = stream[at + room - 1] = END_ID
     for a, t in zip(at, texts, strict=True):
         stream[a + 1 : a + 1 + len(t)] = t
     # A text is cut into windows from a place that its seed says, and the part before it begins one as well.
@@ -308,11 +395,9 @@ def pieces(texts: list[np.ndarray], seeds: np.ndarray, share: float) -> tuple[np
     start = np.maximum(phase[text] + k * WINDOW, 0)
     key = mixed(seeds[text] + mixed(k.astype(np.uint64) + np.uint64(1)))
     on = (key >> np.uint64(11)).astype(np.float64) < share * 2**53
-    text, start, key = text[on], start[on], key[on]
-    place = start[:, None] + np.arange(WINDOW + 1)
-    out = stream[np.minimum(at[text][:, None] + place, len(stream) - 1)]
-    out[place >= room[text][:, None]] = PAD
-    return out.astype(np.uint16), key
+    if not on.any():
+        return np.zeros((0, WINDOW + 1), np.uint16), key[:0]
+    return np.lib.stride_tricks.sliding_window_view(stream, WINDOW + 1)[at[text[on]] + start[on]], key[on]
 
 
 def _ordered(windows_: np.ndarray) -> np.ndarray:
@@ -330,11 +415,10 @@ class Adam:
         there = windows_ != PAD
         ids = np.where(there, windows_, END_ID)
         rows = row[ids[:, :-1]]
-        _, grads = self.model.step(rows, klass[ids[:, 1:]], there[:, 1:].astype(np.float32))
+        _, grads, met = self.model.gradients(rows, klass[ids[:, 1:]], there[:, 1:].astype(np.float32))
         self.i += 1
         for k, g in grads.items():
-            on = np.unique(rows) if k == "emb" else slice(None)  # of input rows only those that are met
-            g = g[on]
+            on = met if k == "emb" else slice(None)  # of input rows only those that are met
             m = self.m[k][on] = self.m[k][on] * np.float32(0.9) + 0.1 * g
             v = self.s[k][on] = self.s[k][on] * np.float32(0.99) + 0.01 * (g * g)
             self.model.p[k][on] -= (rate * (m / (1 - 0.9**self.i)) / (np.sqrt(v / (1 - 0.99**self.i)) + 1e-6)).astype(np.float32)
@@ -375,7 +459,7 @@ class Scorer:
         begin = at[text] + start
         logs = self.words.shares(inputs, wanted)
         inputs, wanted = self.words.row[inputs], self.words.klass[wanted]
-        place, ones = np.arange(WINDOW), np.ones((CLASSES, 1), np.float32)
+        place = np.arange(WINDOW)
         got = np.empty(len(begin))
         self.model.ready()
         # A text's first window scores from its start, the others in what they don't share.
@@ -384,11 +468,9 @@ class Scorer:
             for k in range(0, len(those), self.chunk):
                 w = those[k : k + self.chunk]
                 where = begin[w, None] + place
-                logits = self.model.tail(inputs[where], from_)
+                top = self.model.tail(inputs[where], from_)
                 where = where[:, from_:]
-                said = np.take_along_axis(logits, wanted[where].reshape(-1, 1), axis=1)
-                np.exp(logits, out=logits)
-                said -= np.log(logits @ ones)
+                said = self.model.told(top, wanted[where].ravel())
                 on = (on_from >= first[w, None]) & (on_from < last[w, None])
                 got[w] = ((said.reshape(on.shape) + logs[where]) * on).sum(axis=1, dtype=np.float64)
         return np.bincount(text, got, len(texts)) / np.log(10)
@@ -517,58 +599,77 @@ def statistics(docs: DataFrame, scratch: Scratch) -> Statistics:
 # ---- the fit over all training documents
 
 
-def _drawn(share: float, lead: float, parts: int):
-    """Coded texts -> (part, data): their windows that are drawn, and in part -1 once more those to start with."""
+def _opening(share: float):
+    """Coded texts -> data: the windows that are drawn to start with."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got, _ = pieces(_ids(b.column("ids")), _seeds(b), share)
+            yield pa.RecordBatch.from_arrays([pa.array([got.tobytes()], pa.binary())], ["data"])
+
+    return read
+
+
+def _seeds(b: pa.RecordBatch) -> np.ndarray:
+    return b.column("__o").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+
+
+def _gone_through(work, share: float, how: Training):
+    """Coded texts -> one row of a task, as ``_added`` makes it: all their windows, part by part as they come."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, part, sums = TaskContext.get().partitionId(), 0, None
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
 
-        def flush() -> pa.RecordBatch:
+        def learn(last: bool) -> None:
+            nonlocal held, part, sums
             got, key = (np.concatenate([x[i] for x in held]) for i in range(2))
-            part = (mixed(key + np.uint64(3)) % np.uint64(parts)).astype(np.int64)
-            some = {-1: got[(mixed(key + np.uint64(7)) >> np.uint64(11)).astype(np.float64) < lead * 2**53]} | {int(k): got[part == k] for k in np.unique(part)}
-            keys = [k for k, w in some.items() if len(w)]
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([some[k].tobytes() for k in keys], pa.binary())], ["part", "data"])
+            end = len(got) if last else len(got) - len(got) % how.part
+            for a in range(0, end, how.part):
+                z = min(a + how.part, end)
+                mixed_up = got[a:z][np.argsort(key[a:z], kind="stable")]
+                one = work(pa.table({"part": pa.array([part], pa.int32()), "data": pa.array([mixed_up.tobytes()], pa.binary())}))
+                new = _sum_up(one.to_pylist(), how.width)
+                sums = new if sums is None else tuple(x + y for x, y in zip(sums, new, strict=True))
+                part += 1
+            held = [(got[end:], key[end:])]
 
         for b in batches:
-            got, key = pieces(_ids(b.column("ids")), b.column("__o").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), share)
-            held.append((got, key))
-            size += len(got)
-            if size >= RUN // 4:
-                yield flush()
-                held, size = [], 0
-        if size:
-            yield flush()
+            held.append(pieces(_ids(b.column("ids")), _seeds(b), share))
+            if sum(len(w) for w, _ in held) >= how.part:
+                learn(False)
+        if held:
+            learn(True)
+        if sums is not None:
+            yield from _summed_row(at % SLOTS, at, *sums).to_batches()
 
     return read
 
 
 def _opened_windows(data: list[bytes]) -> np.ndarray:
-    return _ordered(np.concatenate([np.frombuffer(d, np.uint16).reshape(-1, WINDOW + 1) for d in data] or [np.zeros((0, WINDOW + 1), np.uint16)]))
+    return np.concatenate([np.frombuffer(d, np.uint16).reshape(-1, WINDOW + 1) for d in data] or [np.zeros((0, WINDOW + 1), np.uint16)])
 
 
 SLOTS = 16
 
 
 def _improved(held, how: Training):
-    """A part's windows -> (slot, part, n, data, rows, met, emb): the weights after them, times their number; input rows, times how often they are met."""
+    """A part's windows -> (n, data, rows, met, emb): the weights after them, times their number; input rows, times how often they are met."""
 
     def work(table: pa.Table) -> pa.Table:
         p, row, klass = held.value
-        model = Attention(how.width, how.inner, p["b"], how.seed)
+        model = Attention(how.width, how.inner, np.zeros(CLASSES), how.seed)
         model.p = {k: v.copy() for k, v in p.items()}
         adam, got = Adam(model), _opened_windows(table.column("data").to_pylist())
         steps = -(-len(got) // how.batch)
         for i in range(steps):
             adam(got[i * how.batch : (i + 1) * how.batch], row, klass, how.later * min(1, (i + 1) / 20) * (1 - 0.9 * i / steps))
-        part = table.column("part")[0].as_py()
         flat = np.concatenate([v.ravel() for k, v in model.p.items() if k != "emb"]).astype(np.float64) * len(got)
         ids = got[:, :-1]
         met = np.bincount(row[ids[ids != PAD]], minlength=VOCABULARY)
         on = np.flatnonzero(met)
         data = dict(data=flat, rows=on.astype(np.int64), met=met[on].astype(np.float64), emb=model.p["emb"][on] * met[on, None].astype(np.float32))
-        return pa.table({"slot": pa.array([part % SLOTS], pa.int32()), "part": pa.array([part], pa.int32()), "n": [len(got)], **{k: pa.array([v.tobytes()], pa.binary()) for k, v in data.items()}})
+        return pa.table({"n": [len(got)], **{k: pa.array([v.tobytes()], pa.binary()) for k, v in data.items()}})
 
     return work
 
@@ -584,30 +685,32 @@ def _sum_up(rows: list[dict], width: int) -> tuple[int, np.ndarray, np.ndarray,
     return sum(r["n"] for r in rows), flat, met, emb
 
 
+def _summed_row(slot: int, part: int, n: int, flat: np.ndarray, met: np.ndarray, emb: np.ndarray) -> pa.Table:
+    on = np.flatnonzero(met)
+    data = dict(data=flat, rows=on.astype(np.int64), met=met[on], emb=emb[on].astype(np.float32))
+    return pa.table({"slot": pa.array([slot], pa.int32()), "part": pa.array([part], pa.int32()), "n": [n], **{k: pa.array([v.tobytes()], pa.binary()) for k, v in data.items()}})
+
+
 def _added(width: int):
     def work(table: pa.Table) -> pa.Table:
-        n, flat, met, emb = _sum_up(table.sort_by("part").to_pylist(), width)
-        on = np.flatnonzero(met)
-        data = dict(data=flat, rows=on.astype(np.int64), met=met[on], emb=emb[on].astype(np.float32))
-        return pa.table({"slot": table.column("slot")[:1], "n": [n], **{k: pa.array([v.tobytes()], pa.binary()) for k, v in data.items()}})
+        return _summed_row(table.column("slot")[0].as_py(), 0, *_sum_up(table.sort_by("part").to_pylist(), width))
 
     return work
 
 
-def fitted(coded: DataFrame, stats: Statistics, how: Training, scratch: Scratch) -> Attention:
-    """A model of the training documents' windows; coded: their ids and __o."""
+def fitted(coded: DataFrame, stats: Statistics, how: Training) -> Attention:
+    """A model of all the training documents' windows; coded: their ids and __o. Each task goes through its own texts, so windows aren't moved."""
     spark, words_ = coded.sparkSession, stats.vocabulary
     every = max(1.0, stats.tokens / WINDOW + stats.ends)
-    share = min(1.0, max(how.share, how.first / every))
-    parts = max(1, min(65_536, int(-(-every * share // how.part))))
-    drawn = scratch.keep(coded.mapInArrow(_drawn(share, min(1.0, how.first / (every * share)), parts), "part int, data binary"), "drawn")
     # About ``first`` windows, whatever the table's size.
-    model = start(_opened_windows([r["data"] for r in drawn.where("part = -1").select("data").collect()]), words_, how)
+    drawn = coded.mapInArrow(trimmed(_opening(min(1.0, how.first / every))), "data binary").collect()
+    model = start(_ordered(_opened_windows([r["data"] for r in drawn])), words_, how)
     if how.steps:
         held = spark.sparkContext.broadcast((model.p, words_.row, words_.klass))
-        kinds = "n long, data binary, rows binary, met binary, emb binary"
-        better = drawn.where("part >= 0").groupBy("part").applyInArrow(_improved(held, how), f"slot int, part int, {kinds}")
-        rows = sorted(better.groupBy("slot").applyInArrow(_added(how.width), f"slot int, {kinds}").collect(), key=lambda r: r["slot"])
+        kinds = "slot int, part int, n long, data binary, rows binary, met binary, emb binary"
+        work = _improved(held, how)
+        better = coded.mapInArrow(trimmed(_gone_through(work, min(1.0, max(how.share, how.first / every)), how)), kinds)
+        rows = sorted(better.groupBy("slot").applyInArrow(_added(how.width), kinds).collect(), key=lambda r: r["slot"])
         if rows:
             n, flat, met, emb = _sum_up(rows, how.width)
             on, at = met > 0, 0
@@ -616,7 +719,6 @@ def fitted(coded: DataFrame, stats: Statistics, how: Training, scratch: Scratch)
                 if k != "emb":
                     model.p[k] = (flat[at : at + v.size] / n).reshape(v.shape).astype(np.float32)
                     at += v.size
-    scratch.drop("drawn")
     return model
 
 
@@ -809,7 +911,7 @@ def score(docs: DataFrame, learn: Column, *, training: Training = Training(), to
     coded = scratch.keep(cols.mapInArrow(trimmed(_coded(file, to_arrow_schema(schema))), schema), "coded")
     learned = coded.where("__learn")
     stats = statistics(learned.select("text", "ids"), scratch)
-    attention = fitted(learned.select("ids", "__o"), stats, training, scratch)
+    attention = fitted(learned.select("ids", "__o"), stats, training)
     word = stats.counts.where(F.col("kind") == WORD)
     often = word.where((F.col("n") * HEAVY >= stats.total) & (F.col("n") > 0)).select("key", "n").toPandas().sort_values("key")
     keys = often["key"].to_numpy(np.int64).view(np.uint64)

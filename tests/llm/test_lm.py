@@ -126,6 +126,38 @@ def test_windows_to_learn_from_grow_with_the_table(spark, monkeypatch):
     assert 3 < got[1] / got[0] < 5 and all(n < 60 for n in drawn)
 
 
+def test_every_token_of_all_training_texts_is_learned_from(spark, monkeypatch):
+    seen, real = spark.sparkContext.accumulator(0), lm._improved
+
+    def counted(held, how):
+        work = real(held, how)
+
+        def with_count(table):
+            data = np.concatenate([np.frombuffer(d, np.uint16) for d in table.column("data").to_pylist()])
+            seen.add(int((data.reshape(-1, lm.WINDOW + 1)[:, 1:] != lm.PAD).sum()))
+            return work(table)
+
+        return with_count
+
+    monkeypatch.setattr(lm, "_improved", counted)
+    df = spark.range(120).selectExpr("id AS doc_id", "repeat(concat('some words ', id, ' '), 100) AS text").repartition(3)
+    lm.score(df, F.col("doc_id") % 4 > 0, training=lm.Training(steps=2, batch=8, first=20, part=100)).collect()
+    coder = Encoder(vocabulary())
+    texts = [coder.ids(r["text"]) for r in df.collect() if r["doc_id"] % 4 > 0]
+    assert 0 <= seen.value - sum(len(t) + 1 for t in texts) < lm.WINDOW * len(texts)  # a text's second window may overlap its first
+
+
+def test_classes_probabilities_in_groups():
+    assert [int(k) for k in np.bincount(lm.FIRST_OF)] == [1] * lm.OWN + list(lm.SIZES) + [1]
+    words = statistics(sample(30, 1))
+    model = lm.Attention(4, 5, words.prior, 3)
+    rng = np.random.default_rng(2)
+    rows, klass = rng.integers(0, 50, (3, lm.WINDOW)), rng.integers(0, lm.CLASSES, 3 * lm.WINDOW)
+    logs = model.forward(rows)
+    assert np.allclose(np.exp(logs).sum(axis=1), 1, atol=1e-5)
+    assert np.allclose(model.told(model._top(rows), klass), logs[np.arange(len(klass)), klass], atol=1e-5)
+
+
 def test_training_helps():
     rng = np.random.default_rng(8)
     texts = [np.tile(rng.permutation(6) + 100, 12).astype(np.int32) for _ in range(60)]
