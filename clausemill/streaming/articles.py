@@ -23,7 +23,9 @@ from .ingest import page_stream
 ARTICLE = ["document_id", "article_page", "article_line"]
 REGIONS = "document_id long, article_page int, article_line int, page int, first_line int, text string"
 CLAUSES = "document_id long, article_page int, article_line int, batch long, ord int, kind string, number string, citation string, dieu string, khoan string, page_start int, page_end int, body string"
-_INDEX = "pages array<int>, head_pages array<int>, head_lines array<int>, held_pages array<int>, held_lines array<int>, held_until array<bigint>"
+_INDEX = "pages array<int>, head_pages array<int>, head_lines array<int>, held_pages array<int>, held_lines array<int>, held_until array<bigint>, texts array<string>"
+#: Characters of a document's texts that lie with its index, so that a call to the state brings them all; others lie by page.
+NEAR = 16_384
 _BEFORE = (-(1 << 31), 0)
 _REGION = Row("document_id", "article_page", "article_line", "page", "first_line", "text")
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -40,8 +42,8 @@ def with_heads(pages: DataFrame) -> DataFrame:
 class Articles(StatefulProcessor):
     """A document's pages -> the lines of each article that they touch; an article that is no more gives a row without text.
 
-    Texts lie in the state one by one. The list of pages and article places is one small value of a document, some bytes
-    a page. ``wait`` (ms) holds an article back while one of its pages is missing, until it comes or the watermark passes
+    The list of pages and article places is one small value of a document, some bytes a page; up to ``NEAR`` characters of its
+    texts lie in it, the others in the state one by one. ``wait`` (ms) holds an article back while one of its pages is missing, until it comes or the watermark passes
     arrival + wait; what a document lacks before its first article counts from page 1.
     """
 
@@ -53,13 +55,17 @@ class Articles(StatefulProcessor):
         self.texts = handle.getMapState("texts", "page int", "text string")
         self.index = handle.getValueState("index", _INDEX)
 
-    def _load(self) -> tuple[list, list, dict]:
-        pages, head_pages, head_lines, held_pages, held_lines, until = self.index.get() if self.index.exists() else ([],) * 6
-        return list(pages), list(zip(head_pages, head_lines)), dict(zip(zip(held_pages, held_lines), until))
+    def _load(self) -> tuple[list, list, dict, dict]:
+        pages, head_pages, head_lines, held_pages, held_lines, until, texts = self.index.get() or ([],) * 7
+        near = {p: t for p, t in zip(pages, texts) if t is not None}
+        return list(pages), list(zip(head_pages, head_lines)), dict(zip(zip(held_pages, held_lines), until)), near
 
-    def _keep(self, pages: list, heads: list, waits: dict) -> None:
+    def _keep(self, pages: list, heads: list, waits: dict, near: dict) -> None:
         places = sorted(waits)
-        self.index.update((pages, [p for p, _ in heads], [n for _, n in heads], [p for p, _ in places], [n for _, n in places], [waits[k] for k in places]))
+        self.index.update((pages, [p for p, _ in heads], [n for _, n in heads], [p for p, _ in places], [n for _, n in places], [waits[k] for k in places], [near.get(p) for p in pages]))
+
+    def _text(self, page: int, near: dict) -> str:
+        return near[page] if page in near else self.texts.getValue((page,))[0]
 
     def _range(self, place: tuple, pages: list, heads: list) -> tuple[list, tuple | None]:
         """The pages that an article has lines on, and the article after it."""
@@ -72,13 +78,13 @@ class Articles(StatefulProcessor):
         first = 1 if place == _BEFORE else place[0]
         return bool(mine) and (mine[0] > first or mine[-1] - mine[0] + 1 != len(mine))
 
-    def _lines(self, document: int, place: tuple, pages: list, heads: list, new: dict) -> Iterator[Row]:
-        """new: pages whose texts are at hand, by ordinal; the others' come from the state."""
+    def _lines(self, document: int, place: tuple, pages: list, heads: list, at_hand: dict) -> Iterator[Row]:
+        """at_hand: texts by page; the others' come from the state."""
         mine, after = self._range(place, pages, heads)
         at = (None, None) if place == _BEFORE else place
         none = True
         for page in mine:
-            lines = (new.get(page) or self.texts.getValue((page,)))[0].split("\n")
+            lines = self._text(page, at_hand).split("\n")
             lo, hi = place[1] if page == place[0] else 0, after[1] if after and page == after[0] else len(lines)
             if lo < hi:
                 none = False
@@ -88,7 +94,7 @@ class Articles(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         (document,) = key
-        pages, heads, waits = self._load()
+        pages, heads, waits, near = self._load()
         new: dict[int, tuple[str, list]] = {}
         arrived = 0
         for r in rows:
@@ -96,11 +102,17 @@ class Articles(StatefulProcessor):
             if r["page"] not in new or r["text"] > new[r["page"]][0]:  # of a page that a batch has twice, the greatest text counts
                 new[r["page"]] = (r["text"], list(r["heads"]))
         have = set(pages)
-        new = {p: said for p, said in new.items() if p not in have or self.texts.getValue((p,))[0] != said[0]}
+        new = {p: said for p, said in new.items() if p not in have or self._text(p, near) != said[0]}
         if not new:
             return
+        near = {p: text for p, text in near.items() if p not in new}
+        room = NEAR - sum(map(len, near.values()))
         for p, (text, _) in new.items():
-            self.texts.updateValue((p,), (text,))
+            if len(text) <= room:
+                near[p], room = text, room - len(text)
+            else:
+                self.texts.updateValue((p,), (text,))
+        at_hand = near | {p: text for p, (text, _) in new.items()}
         gone = {h for h in heads if h[0] in new}
         heads = sorted([h for h in heads if h[0] not in new] + [(p, n) for p, (_, ns) in new.items() for n in ns])
         pages = sorted(have | set(new))
@@ -117,18 +129,18 @@ class Articles(StatefulProcessor):
                 waiting[place] = waits.get(place, arrived + self.wait)
                 self.handle.registerTimer(waiting[place])
             else:
-                yield from self._lines(document, place, pages, heads, new)
+                yield from self._lines(document, place, pages, heads, at_hand)
         for place in sorted(gone):
             yield _REGION(document, *place, None, None, None)
-        self._keep(pages, heads, waiting)
+        self._keep(pages, heads, waiting, near)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         (document,) = key
-        pages, heads, waits = self._load()
+        pages, heads, waits, near = self._load()
         over = {place for place, until in waits.items() if until <= expiredTimerInfo.getExpiryTimeInMs()}
         for place in sorted(over):
-            yield from self._lines(document, place, pages, heads, {})
-        self._keep(pages, heads, {place: until for place, until in waits.items() if place not in over})
+            yield from self._lines(document, place, pages, heads, near)
+        self._keep(pages, heads, {place: until for place, until in waits.items() if place not in over}, near)
 
     def close(self) -> None:
         pass

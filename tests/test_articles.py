@@ -78,3 +78,47 @@ def test_pages_that_lack_are_waited_for(spark, tmp_path):
     deliver(spark, path, [(9, 1, "Điều 9. x")], at=1_000_200)
     run()
     assert said() == {(1, "Điều 1"), (1, "Điều 2"), (2, "Điều 1"), (2, "Điều 2"), (9, "Điều 9")}
+
+
+class Kept:
+    """A state of one key in memory, which counts the calls."""
+
+    def __init__(self, calls):
+        self.calls, self.value, self.map = calls, None, {}
+
+    def exists(self):
+        self.calls.append("exists")
+        return self.value is not None
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def getValue(self, key):
+        self.calls.append("getValue")
+        return self.map.get(key)
+
+    def updateValue(self, key, value):
+        self.calls.append("updateValue")
+        self.map[key] = value
+
+
+def test_a_short_document_takes_two_calls_to_the_state(monkeypatch):
+    r = random.Random(4)
+    text = lambda: "\n".join(r.choice(LINES).format(n=r.randint(1, 9)) for _ in range(4))
+    heads = lambda t: [i for i, line in enumerate(t.split("\n")) if line.startswith("Điều")]
+    given = [[(p, text()) for p in r.sample(range(1, 9), 5)] for _ in range(6)]
+    got, calls = [], []
+    for near in (articles.NEAR, 0, 60):  # where texts lie makes no difference
+        monkeypatch.setattr(articles, "NEAR", near)
+        calls.append([])
+        one = articles.Articles()
+        one.texts, one.index = Kept(calls[-1]), Kept(calls[-1])
+        rows = [{"page": p, "text": t, "heads": heads(t), "arrived": None} for batch in given for p, t in batch]
+        got.append([[tuple(x) for x in one.handleInputRows((7,), iter(rows[k : k + 5]), None)] for k in range(0, len(rows), 5)])
+    assert got[0] == got[1] == got[2] and len(got[0][0]) > 0
+    assert calls[0] == ["get", "update"] * len(given)
