@@ -204,7 +204,8 @@ class Attention:
             "u": normal(2 * d, FIRST + LIKE, by=0.05), "b": np.concatenate([np.log(np.bincount(FIRST_OF, np.exp(prior)) + 1e-12), prior[OWN:-1]]).astype(np.float32),
         }
         self.p["emb"][COMMON:] = 0  # rare ids start alike; those that the sample has go apart
-        self.mask = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), 0, -1e9).astype(np.float32)
+        #: The most that a product may be: nothing where an input is later, so that its exponential is 0.
+        self.mask = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), 30, -1e9).astype(np.float32)
 
     def forward(self, rows: np.ndarray) -> np.ndarray:
         """Input rows by window -> log probabilities of all classes."""
@@ -219,26 +220,28 @@ class Attention:
         """Input rows by window -> what the classes are told from; ``keep`` gets what the backward pass needs."""
         p, (b, t) = self.p, rows.shape
         d = p["emb"].shape[1]
-        x = np.take(p["emb"], rows, axis=0)
-        x += p["pos"]
+        # What the network says, the inputs, and what attention says lie side by side: the classes are told from the first two, the network
+        # reads the last two. The last input itself so reaches the classes beside what attention and the network say.
+        side = np.empty((b * t, 3 * d), p["emb"].dtype)
+        top, both, x = side[:, : 2 * d], side[:, d:], side[:, d : 2 * d]
+        np.add(np.take(p["emb"], rows, axis=0), p["pos"], out=x.reshape(b, t, d))
         w = self._scaled()
-        qkv = x.reshape(-1, d) @ w
-        q, k, v = (qkv[:, i * d : (i + 1) * d].reshape(b, t, d) for i in range(3))
+        # The ones beside the values give the sums, by which what is read is divided instead of each weight.
+        qkv = np.empty((b * t, 3 * d + 1), side.dtype)
+        np.matmul(x, w, out=qkv[:, : 3 * d])
+        qkv[:, 3 * d] = 1
+        q, k, v = (qkv[:, i * d : (i + 1) * d + i // 2].reshape(b, t, -1) for i in range(3))
         a = np.matmul(q, k.transpose(0, 2, 1))
-        a += self.mask
-        np.minimum(a, np.float32(30), out=a)
+        np.minimum(a, self.mask, out=a)
         np.exp(a, out=a)
-        # The ones beside the values give the sums, by which what is read is divided instead of each weight.
-        v = np.concatenate([v, np.ones((b, t, 1), v.dtype)], axis=2)
         read = np.matmul(a, v).reshape(-1, d + 1)
         over = 1 / read[:, d:]
         mixed_ = read[:, :d] * over
-        both = np.concatenate([x.reshape(-1, d), mixed_ @ p["out"]], axis=1)
-        z = both @ p["w1"]
-        z += p["b1"]
-        r = np.maximum(z, 0)
-        # The last input itself reaches the classes beside what attention and the network say.
-        top = np.concatenate([r @ p["w2"], both[:, :d]], axis=1)
+        np.matmul(mixed_, p["out"], out=side[:, 2 * d :])
+        r = both @ p["w1"]
+        r += p["b1"]
+        np.maximum(r, 0, out=r)
+        np.matmul(r, p["w2"], out=side[:, :d])
         if keep is not None:
             keep.update(x=x, w=w, q=q, k=k, v=v, a=a, over=over, mixed=mixed_, both=both, r=r)
         return top
@@ -266,44 +269,43 @@ class Attention:
         kv = np.take(self.kv, rows, axis=0)
         kv += self.kv_at
         a = np.matmul(q, kv[:, :, :d].transpose(0, 2, 1))
-        a += self.mask[begin:]
-        np.minimum(a, np.float32(30), out=a)
+        np.minimum(a, self.mask[begin:], out=a)
         np.exp(a, out=a)
-        both = np.empty((b, t - begin, 2 * d), np.float32)
-        np.add(np.take(p["emb"], last, axis=0), p["pos"][begin:], out=both[:, :, :d])
+        side = np.empty((b, t - begin, 3 * d), np.float32)
+        np.add(np.take(p["emb"], last, axis=0), p["pos"][begin:], out=side[:, :, d : 2 * d])
         read = np.matmul(a, kv[:, :, d:])
-        np.divide(read[:, :, :d], read[:, :, d:], out=both[:, :, d:])
-        both = both.reshape(-1, 2 * d)
-        z = both @ self.into
+        np.divide(read[:, :, :d], read[:, :, d:], out=side[:, :, 2 * d :])
+        side = side.reshape(-1, 3 * d)
+        z = side[:, d:] @ self.into
         z += p["b1"]
         np.maximum(z, 0, out=z)
-        return np.concatenate([z @ p["w2"], both[:, :d]], axis=1)
-
-    def _shares(self, top: np.ndarray, a: int, z: int) -> tuple[np.ndarray, np.ndarray]:
-        """(exponentials of the columns from a to z, a row for each, and their sums)."""
-        e = self.p["u"][:, a:z].T @ top.T
-        e += self.p["b"][a:z, None]
-        np.minimum(e, np.float32(60), out=e)
-        np.exp(e, out=e)
-        return e, e.sum(axis=0)
-
-    def _by_group(self, first: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(first column, end, places) of the groups that are met."""
-        order = np.argsort(first, kind="stable")
-        cuts = np.searchsorted(first[order], np.arange(OWN, FIRST))
+        np.matmul(z, p["w2"], out=side[:, :d])
+        return side[:, : 2 * d]
+
+    def _by_group(self, first: np.ndarray) -> Iterator[tuple[int, int, slice]]:
+        """(first column, end, places) of the groups that are met; first: ascending."""
+        cuts = np.searchsorted(first, np.arange(OWN, FIRST))
         for (a, z), lo, hi in zip(_columns(), cuts[:-1], cuts[1:], strict=True):
             if hi > lo:
-                yield a, z, order[lo:hi]
+                yield a, z, slice(lo, hi)
 
     def told(self, top: np.ndarray, klass: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each row's class."""
-        first, at = FIRST_OF[klass], np.arange(len(top))
-        e, sums = self._shares(top, 0, FIRST)
-        out = e[first, at] / sums
+        order = np.argsort(FIRST_OF[klass], kind="stable")
+        top, klass, at = np.take(top, order, axis=0), klass[order], np.arange(len(top))
+        first = FIRST_OF[klass]
+
+        def share(a: int, z: int, top: np.ndarray, k: np.ndarray) -> np.ndarray:
+            e = _exponentials(top @ self.p["u"][:, a:z])
+            by = np.exp(self.p["b"][a:z])
+            return e[at[: len(k)], k] * by[k] / (e @ by)
+
+        got = share(0, FIRST, top, first)
         for a, z, here in self._by_group(first):
-            e, sums = self._shares(top[here], a, z)
-            out[here] *= e[klass[here] - (OWN + a - FIRST), at[: len(here)]] / sums
-        return np.log(out)
+            got[here] *= share(a, z, top[here], klass[here] - (OWN + a - FIRST))
+        out = np.empty_like(got)
+        out[order] = np.log(got)
+        return out
 
     def step(self, rows: np.ndarray, klass: np.ndarray, weight: np.ndarray) -> tuple[float, dict]:
         """Loss and gradients; weight is 0 for inputs that score nothing."""
@@ -316,52 +318,73 @@ class Attention:
         """Loss, gradients, and the input rows that those of ``emb`` are of."""
         keep: dict = {}
         top = self._top(rows, keep)
-        p, (b, t), d = self.p, rows.shape, self.p["emb"].shape[1]
-        klass, w, n = klass.ravel(), weight.ravel(), max(weight.sum(), 1)
-        w, first, at = w / n, FIRST_OF[klass], np.arange(b * t)
+        p, (b, t), d, n = self.p, rows.shape, self.p["emb"].shape[1], rows.size
         out: dict = {"u": np.zeros_like(p["u"]), "b": np.zeros_like(p["b"])}
-        loss = 0.0
-
-        def back(a: int, z: int, top: np.ndarray, at: np.ndarray, k: np.ndarray, w: np.ndarray) -> np.ndarray:
+        loss, at, ones = 0.0, np.arange(n), np.ones(n, top.dtype)
+        # Targets go by their groups, so that each group's are a slice.
+        klass = klass.ravel()
+        order = np.argsort(FIRST_OF[klass], kind="stable")
+        klass, w, top = klass[order], (weight.ravel() / max(weight.sum(), 1))[order].astype(top.dtype), np.take(top, order, axis=0)
+        first = FIRST_OF[klass]
+
+        def back(a: int, z: int, top: np.ndarray, k: np.ndarray, w: np.ndarray) -> np.ndarray:
             nonlocal loss
-            g, sums = self._shares(top, a, z)
-            g /= sums
-            loss -= (np.log(g[k, at] + 1e-20) * w).sum()
-            g[k, at] -= 1
-            g *= w
-            out["u"][:, a:z], out["b"][a:z] = (g @ top).T, g.sum(axis=1)
+            g = p["u"][:, a:z].T @ top.T
+            g += p["b"][a:z, None]
+            _exponentials(g)
+            g *= w / (ones[: z - a] @ g)
+            own = at[: len(k)]
+            said = g[k, own]
+            loss -= (np.log(said / np.maximum(w, 1e-20) + 1e-20) * w).sum()
+            g[k, own] = said - w
+            out["u"][:, a:z], out["b"][a:z] = (g @ top).T, g @ ones[: len(k)]
             return g.T @ p["u"][:, a:z].T
 
-        dtop = back(0, FIRST, top, at, first, w)
+        dtop_ = back(0, FIRST, top, first, w)
         for a, z, here in self._by_group(first):
-            dtop[here] += back(a, z, top[here], at[: len(here)], klass[here] - (OWN + a - FIRST), w[here])
-        dr = dtop[:, :d] @ p["w2"].T
+            dtop_[here] += back(a, z, top[here], klass[here] - (OWN + a - FIRST), w[here])
+        dtop = np.empty_like(dtop_)
+        dtop[order] = dtop_
+        # What comes back to the network, queries, keys and values, side by side: one product leads from there to the inputs.
+        h = p["w1"].shape[1]
+        side = np.empty((n, h + 3 * d), top.dtype)
+        dr, dqkv = side[:, :h], side[:, h:]
+        np.matmul(dtop[:, :d], p["w2"].T, out=dr)
         out["w2"] = keep["r"].T @ dtop[:, :d]
         dr *= keep["r"] > 0
-        out["w1"], out["b1"] = keep["both"].T @ dr, dr.sum(0)
-        dboth = dr @ p["w1"].T
-        dx = dtop[:, d:] + dboth[:, :d]
-        dh = dboth[:, d:]
+        out["w1"], out["b1"] = keep["both"].T @ dr, ones @ dr
+        dh = dr @ p["w1"][d:].T
         out["out"] = keep["mixed"].T @ dh
-        dm = (dh @ p["out"].T).reshape(b, t, d)
-        dm *= keep["over"].reshape(b, t, 1)
-        dv = np.matmul(keep["a"].transpose(0, 2, 1), dm)
-        less = np.einsum("ij,ij->i", dm.reshape(-1, d), keep["mixed"])
-        ds = np.matmul(np.concatenate([dm, -less.reshape(b, t, 1)], axis=2), keep["v"].transpose(0, 2, 1))
+        dm = np.empty((n, d + 1), top.dtype)
+        np.matmul(dh, p["out"].T, out=dm[:, :d])
+        dm[:, :d] *= keep["over"]
+        dm[:, d] = -np.einsum("ij,ij->i", dm[:, :d], keep["mixed"])
+        dm, by = dm.reshape(b, t, d + 1), dqkv.reshape(b, t, 3 * d)
+        ds = np.matmul(dm, keep["v"].transpose(0, 2, 1))
         ds *= keep["a"]
-        dqkv = np.concatenate([np.matmul(ds, keep["k"]), np.matmul(ds.transpose(0, 2, 1), keep["q"]), dv], axis=2).reshape(-1, 3 * d)
-        out["qkv"] = keep["x"].reshape(-1, d).T @ dqkv
+        np.matmul(ds, keep["k"], out=by[:, :, :d])
+        np.matmul(ds.transpose(0, 2, 1), keep["q"], out=by[:, :, d : 2 * d])
+        np.matmul(keep["a"].transpose(0, 2, 1), dm[:, :, :d], out=by[:, :, 2 * d :])
+        out["qkv"] = keep["x"].T @ dqkv
         out["qkv"][:, :d] *= np.float32(d**-0.5)
-        dx += dqkv @ keep["w"].T
-        out["pos"] = dx.reshape(b, t, d).sum(0)
+        dx = side @ np.concatenate([p["w1"][:d], keep["w"]], axis=1).T
+        dx += dtop[:, d:]
+        out["pos"] = (np.ones(b, dx.dtype) @ dx.reshape(b, t * d)).reshape(t, d)
         flat = rows.ravel()
         order = np.argsort(flat.astype(np.uint16), kind="stable")
         flat = flat[order]
         begin = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
-        out["emb"] = np.add.reduceat(dx[order], begin, axis=0)
+        out["emb"] = np.add.reduceat(np.take(dx, order, axis=0), begin, axis=0)
         return float(loss), out, flat[begin]
 
 
+def _exponentials(x: np.ndarray) -> np.ndarray:
+    """In place; of at most 60, so that their sums are finite."""
+    if x.max() > 60:
+        np.minimum(x, np.float32(60), out=x)
+    return np.exp(x, out=x)
+
+
 def _columns() -> Iterator[tuple[int, int]]:
     """Columns of each group's classes."""
     shift = FIRST - OWN
@@ -407,9 +430,15 @@ def _ordered(windows_: np.ndarray) -> np.ndarray:
 
 
 class Adam:
+    """All weights but ``emb`` are parts of one array, so that a step is a few operations on it; of ``emb`` a step takes the rows that are met."""
+
     def __init__(self, model: Attention):
-        self.model, self.i = model, 0
-        self.m, self.s = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
+        self.model, self.i, p = model, 0, model.p
+        self.names = [k for k in p if k != "emb"]
+        self.flat = np.concatenate([p[k].ravel() for k in self.names])
+        at = np.cumsum([0, *(p[k].size for k in self.names)])
+        p.update({k: self.flat[a:z].reshape(p[k].shape) for k, a, z in zip(self.names, at[:-1], at[1:], strict=True)})
+        self.moments, self.emb = np.zeros((2, len(self.flat)), np.float32), np.zeros((VOCABULARY, 2, p["emb"].shape[1]), np.float32)
 
     def __call__(self, windows_: np.ndarray, row: np.ndarray, klass: np.ndarray, rate: float) -> None:
         there = windows_ != PAD
@@ -417,11 +446,21 @@ class Adam:
         rows = row[ids[:, :-1]]
         _, grads, met = self.model.gradients(rows, klass[ids[:, 1:]], there[:, 1:].astype(np.float32))
         self.i += 1
-        for k, g in grads.items():
-            on = met if k == "emb" else slice(None)  # of input rows only those that are met
-            m = self.m[k][on] = self.m[k][on] * np.float32(0.9) + 0.1 * g
-            v = self.s[k][on] = self.s[k][on] * np.float32(0.99) + 0.01 * (g * g)
-            self.model.p[k][on] -= (rate * (m / (1 - 0.9**self.i)) / (np.sqrt(v / (1 - 0.99**self.i)) + 1e-6)).astype(np.float32)
+        first, second = np.float32(rate / (1 - 0.9**self.i)), np.float32(1 / (1 - 0.99**self.i))
+
+        def moved(m: np.ndarray, v: np.ndarray, g: np.ndarray) -> np.ndarray:
+            m *= np.float32(0.9)
+            m += np.float32(0.1) * g
+            v *= np.float32(0.99)
+            v += np.float32(0.01) * (g * g)
+            by = np.sqrt(v * second)
+            by += np.float32(1e-6)
+            return first * m / by
+
+        self.flat -= moved(*self.moments, np.concatenate([grads[k].ravel() for k in self.names]))
+        own = np.take(self.emb, met, axis=0)
+        self.model.p["emb"][met] -= moved(own[:, 0], own[:, 1], grads["emb"])
+        self.emb[met] = own
 
 
 def start(pool: np.ndarray, words_: Vocabulary, how: Training) -> Attention:
@@ -441,6 +480,7 @@ def train(texts: list[np.ndarray], words_: Vocabulary, how: Training) -> Attenti
 class Scorer:
     def __init__(self, model: Attention, words_: Vocabulary, chunk: int = 128):
         self.model, self.words, self.chunk = model, words_, chunk
+        model.ready()
 
     def __call__(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 probability of each text's ids and its end."""
@@ -461,7 +501,6 @@ class Scorer:
         inputs, wanted = self.words.row[inputs], self.words.klass[wanted]
         place = np.arange(WINDOW)
         got = np.empty(len(begin))
-        self.model.ready()
         # A text's first window scores from its start, the others in what they don't share.
         for from_, those in ((0, np.flatnonzero(first == 0)), (WINDOW - STRIDE, np.flatnonzero(first > 0))):
             on_from = place[from_:]
@@ -752,14 +791,14 @@ def _bin_of(hashes: np.ndarray, bins: int) -> np.ndarray:
     return (((hashes >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)).astype(np.int32)
 
 
-def _requests(held: list[tuple], heavy: np.ndarray, bins: int) -> tuple[list[int], list[bytes]]:
-    """(bins, data): the words of a run of distinct texts that aren't heavy; held: (hashes, counts, signatures)."""
-    hashes, counts, sig = (np.concatenate([x[i] for x in held]) for i in range(3))
+def _requests(held: list[tuple], bins: int) -> tuple[list[int], list[bytes]]:
+    """(bins, data): the words of a run of distinct texts that aren't heavy; held: (hashes, counts, signatures, whether heavy)."""
+    hashes, counts, sig, heavy = (np.concatenate([x[i] for x in held]) for i in range(4))
     sigs, first = np.unique(sig, return_index=True)
     own = np.full(len(sig), -1, np.int64)
     own[first] = np.arange(len(sigs))
     ref = own[np.repeat(np.arange(len(sig)), counts)]
-    rare = (ref >= 0) & ~_in(heavy, hashes)[1]
+    rare = (ref >= 0) & ~heavy
     h, r = hashes[rare], ref[rare]
     order = np.lexsort((r, h))
     h, r = h[order], r[order]
@@ -861,7 +900,7 @@ def _scored(heavy, model, kept: list[str], bins: int, schema: pa.Schema):
         size = 0
 
         def asked() -> pa.RecordBatch:
-            keys, data = _requests(held, known, bins)
+            keys, data = _requests(held, bins)
             return rows(len(keys), bin=pa.array(keys, pa.int32()), data=pa.array(data, pa.binary()))
 
         for b in batches:
@@ -881,12 +920,13 @@ def _scored(heavy, model, kept: list[str], bins: int, schema: pa.Schema):
                 on = on[of[on] == of[on + 1]]
                 order = np.argsort(np.concatenate([doc, of[on]]), kind="stable")
                 asked_for = np.concatenate([hashes, _pair_hashes(stream[on].astype(np.int64) * VOCABULARY + stream[on + 1])])[order]
+                often = np.concatenate([there, np.zeros(len(on), bool)])[order]
                 per = counts + np.bincount(of[on], minlength=hi - lo)
                 sig = _signatures(asked_for, per)
                 part = b.slice(lo, hi - lo)
                 own = dict(__sig=pa.array(sig), __words=pa.array(counts, pa.int64()), __sum=pa.array(sums), __known=pa.array(found), __score=pa.array(scores))
                 yield rows(hi - lo, **{k: part.column(k) for k in kept}, **own)
-                held.append((asked_for, per, sig))
+                held.append((asked_for, per, sig, often))
                 size += len(asked_for)
                 if size >= RUN:
                     yield asked()

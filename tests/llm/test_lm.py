@@ -158,6 +158,39 @@ def test_classes_probabilities_in_groups():
     assert np.allclose(model.told(model._top(rows), klass), logs[np.arange(len(klass)), klass], atol=1e-5)
 
 
+def test_adam_moves_all_weights_at_once_as_by_each():
+    texts = sample(30, 1)
+    words = statistics(texts)
+    windows = lm.pieces(texts, np.arange(30, dtype=np.uint64), 1.0)[0]
+    model, plain = (lm.Attention(16, 32, words.prior, 3) for _ in range(2))
+    adam, m, v = lm.Adam(model), *({k: np.zeros_like(x) for k, x in plain.p.items()} for _ in range(2))
+    for i in range(1, 6):
+        part = windows[i * 8 : i * 8 + 8]
+        adam(part, words.row, words.klass, 0.01)
+        there = part != lm.PAD
+        ids = np.where(there, part, lm.END_ID)
+        rows = words.row[ids[:, :-1]]
+        _, grads = plain.step(rows, words.klass[ids[:, 1:]], there[:, 1:].astype(np.float32))
+        for k, g in grads.items():
+            on = np.unique(rows) if k == "emb" else slice(None)
+            m[k][on] = 0.9 * m[k][on] + 0.1 * g[on]
+            v[k][on] = 0.99 * v[k][on] + 0.01 * g[on] ** 2
+            plain.p[k][on] -= 0.01 * (m[k][on] / (1 - 0.9**i)) / (np.sqrt(v[k][on] / (1 - 0.99**i)) + 1e-6)
+    for k, x in model.p.items():
+        assert np.allclose(x, plain.p[k], atol=2e-4), k
+        assert k == "emb" or np.shares_memory(x, adam.flat), k
+
+
+def test_a_task_makes_products_of_weights_once(monkeypatch):
+    texts = sample(12, 6)
+    words = statistics(texts)
+    ready, calls = lm.Attention.ready, []
+    monkeypatch.setattr(lm.Attention, "ready", lambda self: calls.append(1) or ready(self))
+    score = lm.Scorer(lm.Attention(16, 32, words.prior, 3), words)
+    parts = [score(texts[k : k + 4]) for k in range(0, 12, 4)]
+    assert len(calls) == 1 and np.allclose(np.concatenate(parts), score(texts), rtol=1e-6)
+
+
 def test_training_helps():
     rng = np.random.default_rng(8)
     texts = [np.tile(rng.permutation(6) + 100, 12).astype(np.int32) for _ in range(60)]
