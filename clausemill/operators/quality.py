@@ -81,7 +81,7 @@ def check(documents: DataFrame, clauses: DataFrame, references: DataFrame, lines
     empty = F.coalesce(X.strip(F.col("body")), F.lit("")) == ""
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     of_clauses = _rules(clauses, ("citation", blank("citation"), F.col("clause_id"), "empty citation"), ("body", empty, F.col("citation"), "empty body"))
-    refs = references.join(clauses.select(F.col("clause_id").alias("src_clause_id")), "src_clause_id", "left_semi")
+    refs = references.join(clauses.select(F.col("clause_id").alias("src_clause_id")).hint("merge"), "src_clause_id", "left_semi")  # as in ``references.resolve``
     of_references = _rules(refs, *[(c, blank(c), F.col("src_clause_id"), f"empty {c}") for c in ("raw_text", "target_citation")])
     each = F.struct("first_missing", _range(F.col("first_missing"), F.col("last_missing")).alias("said"))
     gaps = numbering_gaps(clauses, lines).where("NOT by_chapter").groupBy("document_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(each)), lambda x: x["said"]), ", ").alias("gaps"))

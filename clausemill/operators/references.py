@@ -32,13 +32,14 @@ def resolve(extracted: DataFrame, clauses: DataFrame) -> DataFrame:
 
     Of one (source, raw text, target) the first stays. dst_clause_id is null where nothing is found.
     """
+    # Both joins move both sides: files of clauses are some fifty times smaller than their rows, and by the files Spark would broadcast a table that grows.
     refs = extracted.withColumn("target", X.resolved_target(F.col("kind"), F.col("target_citation"), F.col("dieu")))
     source = clauses.select(F.col("document_id").alias("sd"), F.col("citation").alias("sc"), F.col("clause_id").alias("src_clause_id"))
     target = clauses.select(F.col("document_id").alias("td"), F.col("citation").alias("tc"), F.col("clause_id").alias("dst_clause_id"))
-    rows = refs.join(source, (F.col("document_id") == F.col("sd")) & (F.col("citation") == F.col("sc")))
+    rows = refs.join(source.hint("merge"), (F.col("document_id") == F.col("sd")) & (F.col("citation") == F.col("sc")))
     key = Window.partitionBy("document_id", "src_clause_id", "raw_text", "target").orderBy("ord", "place")
     rows = rows.withColumn("n", F.row_number().over(key)).where("n = 1")
-    both = rows.join(target, (F.col("document_id") == F.col("td")) & (F.col("target") == F.col("tc")) & (F.col("kind") != "external"), "left")
+    both = rows.join(target.hint("merge"), (F.col("document_id") == F.col("td")) & (F.col("target") == F.col("tc")) & (F.col("kind") != "external"), "left")
     return both.select(
         "document_id",
         "src_clause_id",
