@@ -74,10 +74,12 @@ def in_degrees(references: DataFrame) -> DataFrame:
 
 
 def summary(pages: DataFrame, parsed: DataFrame, extracted: DataFrame, references: DataFrame) -> DataFrame:
-    """Counts by document, of what was parsed and extracted and of what is stored."""
+    """Counts by document, of what was parsed and extracted and of what is stored. There are as many of each as documents, so none is broadcast."""
     page = pages.groupBy("document_id").agg(F.max("page").cast("int").alias("pages"))
     clause = parsed.groupBy("document_id").agg(F.count("*").alias("clauses"), F.countDistinct("citation").alias("clauses_stored"))
     found = extracted.groupBy("document_id").agg(F.count("*").alias("refs_extracted"))
     kept = references.groupBy("document_id").agg(F.count_if(F.col("kind") == "internal").alias("refs_internal"), F.count_if(F.col("kind") == "external").alias("refs_external"))
-    out = page.join(clause, "document_id", "left").join(found, "document_id", "left").join(kept, "document_id", "left")
+    out = page
+    for counts in (clause, found, kept):
+        out = out.join(counts.hint("merge"), "document_id", "left")
     return out.select("document_id", "pages", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("clauses", "clauses_stored", "refs_extracted", "refs_internal", "refs_external")])

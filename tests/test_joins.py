@@ -10,3 +10,7 @@ def _broadcasts(df) -> int:
 
 def test_clauses_are_not_broadcast_to_references(spark, sf_dir):
     assert _broadcasts(catalogue.refs_in_degree(spark, sf_dir)) == 0
+
+
+def test_counts_by_document_are_not_broadcast(spark, sf_dir):
+    assert _broadcasts(catalogue.structure_summary(spark, sf_dir)) == 0
