@@ -26,16 +26,17 @@ CATALOGUE = "card_id long, document_id long, citation string, page_start int, pa
 
 def catalogue(kept: DataFrame, extracted: DataFrame, refs: DataFrame, no_topic: str) -> DataFrame:
     """Stored clauses, their cards and resolved references -> a row for each valid card. References count for the article that their clause is in;
-    ``cited_by`` counts those from other articles."""
-    of = kept.select("clause_id", "document_id", "dieu")
+    ``cited_by`` counts those from other articles. All these tables grow with the documents, so every join moves both sides and none is broadcast,
+    whatever their files' sizes say."""
+    of = kept.select("clause_id", "document_id", "dieu").hint("merge")
     source = refs.join(of.select(F.col("clause_id").alias("src_clause_id"), F.col("dieu").alias("from_article")), "src_clause_id")
     out = source.groupBy("document_id", F.col("from_article").alias("dieu")).agg(
         F.count("dst_clause_id").alias("refs_resolved"), F.count_if(F.col("dst_clause_id").isNull()).alias("refs_dangling")
     )
     target = source.join(of.select(F.col("clause_id").alias("dst_clause_id"), "dieu"), "dst_clause_id").where(~F.col("from_article").eqNullSafe(F.col("dieu")))
     cited = target.groupBy("document_id", "dieu").agg(F.count(F.lit(1)).alias("cited_by"))
-    made = extracted.where("error IS NULL").join(kept.select("clause_id", "dieu", "page_start", "page_end"), "clause_id")
-    rows = made.join(out, ["document_id", "dieu"], "left").join(cited, ["document_id", "dieu"], "left")
+    made = extracted.where("error IS NULL").join(kept.select("clause_id", "dieu", "page_start", "page_end").hint("merge"), "clause_id")
+    rows = made.join(out.hint("merge"), ["document_id", "dieu"], "left").join(cited.hint("merge"), ["document_id", "dieu"], "left")
     counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("refs_resolved", "refs_dangling", "cited_by")]
     topic = F.coalesce(F.get("topic_tags", F.lit(0)), F.lit(no_topic)).alias("topic")
     return rows.select("card_id", "document_id", "citation", "page_start", "page_end", "statement", "bound_actor", "penalty", *counts, topic)
@@ -44,7 +45,7 @@ def catalogue(kept: DataFrame, extracted: DataFrame, refs: DataFrame, no_topic:
 def summaries(lines: DataFrame, parsed: DataFrame, extracted: DataFrame, kept: DataFrame, refs: DataFrame) -> DataFrame:
     """A row for each document: pages, clauses, references, and how many article numbers are missing."""
     missing = quality.numbering_gaps(kept).groupBy("document_id").agg(F.sum(F.col("last_missing") - F.col("first_missing") + 1).alias("numbers_missing"))
-    rows = references.summary(lines, parsed, extracted, refs).join(missing, "document_id", "left")
+    rows = references.summary(lines, parsed, extracted, refs).join(missing.hint("merge"), "document_id", "left")
     return rows.withColumn("numbers_missing", F.coalesce("numbers_missing", F.lit(0)))
 
 
