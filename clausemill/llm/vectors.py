@@ -10,10 +10,12 @@ pair can be lost. That is the worst case, of a difference that points from one c
 default takes 0.35 of it, as a difference has only a small part of its length along any one direction (in
 64 dimensions an eighth), and finds 0.996 of pairs made to lie at cosines of 0.90 to 0.92, all above 0.95. Where that
 isn't enough for the input's own links, it is widened: about ``probes`` vectors are compared with all, which says what reach
-each of their links needs, and the least reach, by hundredths, that finds ``recall`` of these is taken. Cells larger than ``block_rows`` are dealt into
+each of their links needs, and the least reach, by hundredths, that finds ``recall`` of these is taken. In a part, those at home are
+compared with all, and those at home in its cell alone with those that have their place of the cell there; the many that only visit aren't compared with each other,
+as such a pair counts nowhere. Parts with more than ``block_rows`` at home, or 16 times as many in all, are dealt into
 blocks, and each pair of blocks is one task. A task multiplies blocks, counts links and joins its rows
-into local components; links themselves never leave it. A pair that meets in several cells counts in the first of
-them. One vector of each component is kept.
+into local components; links themselves never leave it. A pair that meets in several parts counts in the first of
+them, and there are four at most where it can. One vector of each component is kept.
 
 Defined results: null and zero vectors, and those with null or non-finite components, link with nothing;
 shorter vectors lack further components (0); repeated rows are each returned, but a repeated (id, vector)
@@ -24,15 +26,21 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ._shared import Scratch, hidden, shown
+from ._shared import Scratch, hidden, shown, trimmed
 from .components import components
 from .topk import usable
 
 #: All centroids of the second level go to every task.
 CENTROID_BYTES = 64 << 20
+#: Numbers in a product at a time, and rows in a batch.
+PRODUCT, BATCH_ROWS = 1 << 20, 4096
+_PLACED = "cell int, id long, n long, flag byte, v binary, visits binary"
 
 
 def dense(vectors, dim: int) -> np.ndarray:
@@ -42,6 +50,21 @@ def dense(vectors, dim: int) -> np.ndarray:
     return out
 
 
+def listed(vectors: pa.ListArray, dim: int) -> np.ndarray:
+    """As ``dense``, of a column of lists without nulls."""
+    flat, size = vectors.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    if (size == dim).all():
+        return flat.reshape(-1, dim)
+    out = np.zeros((len(size), dim))
+    out[np.repeat(np.arange(len(size)), size), np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
+    return out
+
+
+def packed(cuts: np.ndarray, data: np.ndarray) -> pa.Array:
+    """Binary rows, cut from an array's bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * data.itemsize).astype(np.int32)), pa.py_buffer(data.tobytes())])
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     scale = np.abs(x).max(axis=1, keepdims=True)
     x = x / np.where(scale > 0, scale, 1)
@@ -88,22 +111,68 @@ class Cells:
         return np.where(hx[r] == hy[c], 0.0, np.clip(lead / room, 0, 1))
 
 
-def _local(linked: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Least label reachable in a symmetric boolean matrix."""
-    big = np.iinfo(np.int64).max
+def _local(labels: np.ndarray, r: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Least label reachable by pairs of rows."""
     while True:
-        near = np.concatenate([np.where(linked[i : i + 512], labels[None, :], big).min(axis=1) for i in range(0, len(labels), 512)])
-        new = np.minimum(labels, near)
+        new = labels.copy()
+        np.minimum.at(new, r, labels[c])
+        np.minimum.at(new, c, labels[r])
         if (new == labels).all():
             return labels
         labels = new
 
 
+class Visits:
+    """The places of a group's rows: codes of each row, by place, of four times the place, 2 where its cell is the row's home and 1 where it is the row's home in its cell."""
+
+    def __init__(self, rows: list[bytes], parts: int):
+        code = np.frombuffer(b"".join(rows), np.int32).astype(np.int64)
+        row = np.repeat(np.arange(len(rows)), [len(v) // 4 for v in rows])
+        self.parts, self.wide = parts, int(code.max(initial=0)) // 4 + 1
+        self.home = (code // 4)[code % 4 == 3]
+        self.seen = row * self.wide + code // 4
+        inner = code % 2 == 1
+        self.cells, self.inside = (row * self.wide + code // 4 // parts)[inner], (code // 4)[inner]
+
+    def sees(self, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+        key = row * self.wide + place
+        return self.seen[np.minimum(np.searchsorted(self.seen, key), len(self.seen) - 1)] == key
+
+    def first(self, r: np.ndarray, c: np.ndarray, here: int) -> np.ndarray:
+        """Whether pairs that meet here meet nowhere before: at the home of one, or at the other's place in that one's home cell."""
+        before = np.zeros(len(r), bool)
+        for a, b in ((r, c), (c, r)):
+            place = self.home[a]
+            before |= (place < here) & self.sees(b, place)
+            key = b * self.wide + place // self.parts
+            at = np.minimum(np.searchsorted(self.cells, key), len(self.cells) - 1)
+            before |= (self.cells[at] == key) & (self.inside[at] < here) & self.sees(a, self.inside[at])
+        return ~before
+
+
+def _meetings(x: np.ndarray, flag: np.ndarray, block: np.ndarray, least: float, apart: bool):
+    """Pairs (r, c) of a part's rows with a cosine of ``least``, each once, by where the rows are at home; ``apart``: those of two blocks."""
+    norm = np.linalg.norm(x, axis=1)
+    index = np.arange(len(x))
+    for left, right in ((index[flag == 3], index), (index[flag == 2], index[flag == 1])):
+        y, by = x[right], norm[right]
+        step = max(1, PRODUCT // max(1, len(right)))
+        for i in range(0, len(left), step):
+            a = left[i : i + step]
+            r, c = np.nonzero((x[a] @ y.T) / (norm[a, None] * by[None, :]) >= least)
+            r, c = a[r], right[c]
+            on = (r < c) | (flag[c] != 3) if right is index else np.ones(len(r), bool)  # two at home meet twice, and each meets itself
+            on &= (block[r] != block[c]) | (not apart)
+            yield r[on], c[on]
+
+
 def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35, recall: float = 0.999, probes: int = 512, cell_rows: int = 64, most_cells: int = 2048, most_parts: int = 64, fit_rows: int = 32_768, block_rows: int = 1024, seed: int = 17) -> DataFrame:
     """table (vec_id, embedding, ...) -> its columns, n_links, component_id, kept; a row for each row of it."""
     spark, scratch = table.sparkSession, Scratch(table.sparkSession, "vectors")
     cols, pairs = hidden(table, table.columns)
     v = F.transform(table["embedding"], lambda x: x.cast("double"))
+    kind = table.schema["embedding"].dataType
+    sent = np.float32 if kind == T.ArrayType(T.FloatType(), kind.containsNull) else np.float64  # what vectors are sent as holds every number of them
     ok = usable(table["embedding"]) & F.exists(v, lambda x: x != 0)
     rows = table.select(*cols, table["vec_id"].cast("long").alias("__id"), F.when(ok & table["vec_id"].isNotNull(), v).alias("__v"))
     live = rows.where(F.col("__v").isNotNull()).select("__id", "__v").distinct()
@@ -120,14 +189,14 @@ def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35
     if len(centroids) > 1 and reach < 1:
         # At most twice the probes are sent to all tasks, and a task returns counts of links by hundredths of reach.
         asked = classes.where(F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(max(1, size))) < probes).select("__v").limit(2 * probes).toPandas()
-        sent = spark.sparkContext.broadcast(unit(dense(list(asked["__v"]), dim)))
+        probing = spark.sparkContext.broadcast(unit(dense(list(asked["__v"]), dim)))
 
         def tried(batches):
             cells, found = Cells(held.value, least, reach), np.zeros(101, np.int64)
             for b in batches:
                 y = unit(dense(list(b["__v"]), dim))
                 for i in range(0, len(y), 2048):
-                    found += np.bincount(np.ceil(cells.needed(sent.value, y[i : i + 2048], least) * 100).astype(np.int64), minlength=101)
+                    found += np.bincount(np.ceil(cells.needed(probing.value, y[i : i + 2048], least) * 100).astype(np.int64), minlength=101)
             yield pd.DataFrame({"at": np.flatnonzero(found), "n": found[found > 0]})
 
         found = np.zeros(101)
@@ -158,77 +227,77 @@ def near_duplicates(table: DataFrame, *, least: float = 0.9, reach: float = 0.35
         inner = {r["cell"]: np.frombuffer(r["data"]).reshape(-1, dim) for r in first.groupBy("cell").applyInPandas(refit, "cell int, data binary").collect()}
     lower = spark.sparkContext.broadcast(inner)
 
+    def places(x: np.ndarray, cells: Cells, under: dict[int, Cells]) -> tuple[np.ndarray, np.ndarray]:
+        """(row, code as in ``Visits``) of unit rows, by row and place."""
+        home, sees = cells(x)
+        row, at = np.nonzero(sees)
+        by = np.argsort(at, kind="stable")
+        made = []
+        for mine in np.split(by, np.flatnonzero(np.diff(at[by])) + 1):
+            c = int(at[mine[0]])
+            if c in under:
+                inside, visits = under[c](x[row[mine]])
+                r, k = np.nonzero(visits)
+                made.append((row[mine[r]], c * parts + k, k == inside[r]))
+            else:
+                made.append((row[mine], np.full(len(mine), c * parts), np.ones(len(mine), bool)))
+        row, place, sub = (np.concatenate(z) for z in zip(*made, strict=True))
+        by = np.lexsort((place, row))
+        row, place, sub = row[by], place[by], sub[by]
+        return row, place * 4 + (place // parts == home[row]) * 2 + sub
+
+    def levels() -> tuple[Cells, dict[int, Cells]]:
+        return Cells(held.value, least, reach), {c: Cells(m, least, reach) for c, m in lower.value.items()}
+
     def assign(batches):
-        """A row for each cell's part that a vector is in: ``own`` says whether the cell is its home, ``sub`` whether the part is its home in the cell."""
-        cells = Cells(held.value, least, reach)
-        under = {c: Cells(m, least, reach) for c, m in lower.value.items()}
+        """A row for each part that a vector is in; all that a vector's rows say goes with each of them."""
+        cells, under = levels()
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = listed(b.column("__v"), dim)
+            row, code = places(unit(x), cells, under)
+            v = packed(np.arange(len(x) + 1) * dim, x.astype(sent))
+            visits = packed(np.searchsorted(row, np.arange(len(x) + 1)), code.astype(np.int32))
+            for i in range(0, len(row), BATCH_ROWS):
+                r, k = pa.array(row[i : i + BATCH_ROWS]), code[i : i + BATCH_ROWS]
+                columns = [pa.array((k // 4).astype(np.int32)), b.column("id").take(r), b.column("n").take(r), pa.array((k % 4).astype(np.int8)), v.take(r), visits.take(r)]
+                yield pa.RecordBatch.from_arrays(columns, ["cell", "id", "n", "flag", "v", "visits"])
+
+    def tally(batches):
+        """Of each part, rows and those at home."""
+        cells, under = levels()
         for b in batches:
-            x = unit(dense(list(b["__v"]), dim))
-            home, sees = cells(x)
-            row, at = np.nonzero(sees)
-            place, sub = at * parts, np.ones(len(row), bool)
-            for c in np.unique(at) if under else ():
-                if c in under:
-                    mine = np.flatnonzero(at == c)
-                    inside, visits = under[c](x[row[mine]])
-                    r, k = np.nonzero(visits)
-                    row = np.concatenate([row, row[mine[r]]])
-                    place, sub = np.concatenate([place, c * parts + k]), np.concatenate([sub, k == inside[r]])
-                    at, on = np.concatenate([at, np.full(len(r), -1)]), np.ones(len(row), bool)
-                    on[mine] = False
-                    row, place, sub, at = row[on], place[on], sub[on], at[on]
-            by = np.lexsort((place, row))
-            row, place, sub = row[by], place[by], sub[by]
-            cuts = np.searchsorted(row, np.arange(len(x) + 1))
-            own = place // parts == home[row]
-            code = place * 4 + own * 2 + sub  # all that a vector's rows say, with each of them
-            seen = [code[a:z] for a, z in zip(cuts, cuts[1:], strict=False)]
-            b = b.iloc[row]
-            yield pd.DataFrame({"cell": place.astype(np.int32), "id": b["id"].to_numpy(), "n": b["n"].to_numpy(), "v": b["__v"].to_numpy(), "visits": [seen[i] for i in row]})
-
-    placed = classes.mapInPandas(assign, "cell int, id long, n long, v array<double>, visits array<long>")
-    # A row for each cell to split, of at most most_cells * most_parts.
-    counts = classes.mapInPandas(lambda bs: (pd.DataFrame({"cell": c["cell"]}) for c in assign(bs)), "cell int").groupBy("cell").count().where(F.col("count") > block_rows)
-    split = scratch.keep(counts.select("cell", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks")), "split")
+            if b.num_rows:
+                _, code = places(unit(listed(b.column("__v"), dim)), cells, under)
+                cell, at = np.unique(code // 4, return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(np.bincount(at)), pa.array(np.bincount(at, code % 4 == 3).astype(np.int64))], ["cell", "rows", "homes"])
+
+    placed = classes.mapInArrow(trimmed(assign), _PLACED)
+    # A row for each part to split, of at most most_cells * most_parts.
+    counts = classes.mapInArrow(trimmed(tally), "cell int, rows long, homes long").groupBy("cell").agg(F.sum("rows").alias("rows"), F.sum("homes").alias("homes"))
+    blocks = F.ceil(F.greatest(F.col("homes") / block_rows, F.col("rows") / (16 * block_rows))).cast("int")
+    split = scratch.keep(counts.select("cell", blocks.alias("blocks")).where("blocks > 1"), "split")
     dealt = placed.join(F.broadcast(split), "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other")).drop("blocks", "other")
 
-    def compare(key, g: pd.DataFrame) -> pd.DataFrame:
-        cell, one, two = (int(x) for x in key)
-        g = g.sort_values("id")
-        x, ids, n = dense(list(g["v"]), dim), g["id"].to_numpy(np.int64), g["n"].to_numpy(np.int64)
-        x = x / np.abs(x).max(axis=1, keepdims=True)
-        block, norm = g["block"].to_numpy(), np.linalg.norm(x, axis=1)
-        linked = np.zeros((len(g), len(g)), bool)
-        for i in range(0, len(g), 1024):
-            linked[i : i + 1024] = (x[i : i + 1024] @ x.T) / (norm[i : i + 1024, None] * norm[None, :]) >= least
-        linked |= linked.T  # products of the two orders may differ in the last bit
-        np.fill_diagonal(linked, False)
-        # By row and cell: whether the vector is there, at home in it, and whether its cell of the first level is its home.
-        code = np.concatenate(list(g["visits"]))
-        row = np.repeat(np.arange(len(g)), [len(v) for v in g["visits"]])
-        cells, where = np.unique(code // 4, return_inverse=True)
-        here, before = cells == cell, cells < cell
-        flag = np.zeros((3, len(g), len(cells)), np.float32)
-        flag[0, row, where], flag[1, row, where], flag[2, row, where] = 1, code // 2 % 2, code % 2
-        sees, own, sub = flag
-        mine, inside = own[:, here].ravel() > 0, sub[:, here].ravel() > 0
-        # A pair counts where one of the two is at home in the part and one (it may be the other) in the cell.
-        linked &= (mine[:, None] | mine[None, :]) & (inside[:, None] | inside[None, :])
-        if one != two:
-            linked &= block[:, None] != block[None, :]
-        labels = _local(linked, ids.copy())
-        sees, own, sub = sees[:, before], own[:, before], sub[:, before]
-        both = own * sub
-        for i in range(0, len(g), 1024) if before.any() else ():
-            z = slice(i, i + 1024)
-            linked[z] &= both[z] @ sees.T + sees[z] @ both.T + own[z] @ sub.T + sub[z] @ own.T == 0
-        links = np.concatenate([linked[i : i + 1024] @ n for i in range(0, len(g), 1024)])
-        on = (links > 0) | (labels != ids)
-        return pd.DataFrame({"id": ids[on], "links": links[on], "label": labels[on]})
-
-    met = scratch.keep(dealt.groupBy("cell", "one", "two").applyInPandas(compare, "id long, links long, label long"), "met")
+    def compare(key, g):
+        cell, one, two = (k.as_py() for k in key)
+        g = g.sort_by("id")
+        ids, n, flag, block = (g.column(c).to_numpy() for c in ("id", "n", "flag", "block"))
+        x = np.frombuffer(b"".join(g.column("v").to_pylist()), sent).astype(np.float64).reshape(-1, dim)
+        found = list(_meetings(x / np.abs(x).max(axis=1, keepdims=True), flag, block, least, one != two))
+        r, c = (np.concatenate([np.zeros(0, np.int64), *z]) for z in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        if len(r):
+            on = Visits(g.column("visits").to_pylist(), parts).first(r, c, cell)
+            r, c = r[on], c[on]
+        links = (np.bincount(r, n[c], len(ids)) + np.bincount(c, n[r], len(ids))).astype(np.int64)
+        labels = _local(ids, r, c)
+        on = links > 0
+        return pa.table({"id": ids[on], "links": links[on], "label": labels[on]})
+
+    met = scratch.keep(dealt.groupBy("cell", "one", "two").applyInArrow(compare, "id long, links long, label long"), "met")
     same = components(met.select(F.col("id").alias("a"), F.col("label").alias("b")), scratch)
     links = met.groupBy("id").agg(F.sum("links").alias("links"))
     results = ("n_links", "component_id", "kept")

@@ -162,3 +162,25 @@ def test_reach_is_widened_where_links_need_it(spark):
     want = int((u @ u.T >= 0.99).sum()) - len(u)
     got = {k: vectors.near_duplicates(df, least=0.99, cell_rows=8, probes=n).agg(F.sum("n_links")).first()[0] for k, n in (("fixed", 0), ("widened", 512))}
     assert got["fixed"] < 0.99 * want and 0.995 * want <= got["widened"] <= want
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_parts_with_many_visitors_are_not_split(spark, monkeypatch, kind):
+    """Nearly all vectors visit every part, but only those at home there are compared with them."""
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(3000, 16)).astype(np.float32)
+    x[1000:1400] = x[:400] + np.float32(0.08) * rng.normal(size=(400, 16)).astype(np.float32)
+    kept, keep = {}, Scratch.keep
+
+    def seen(self, df, name, *by):
+        kept[name] = keep(self, df, name, *by)
+        return kept[name]
+
+    monkeypatch.setattr(Scratch, "keep", seen)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"vec_id long, embedding array<{kind}>")
+    got = vectors.near_duplicates(df, reach=1.0, block_rows=256).select("vec_id", "n_links").collect()
+    y = x.astype(np.float64)
+    linked = (y @ y.T) / np.outer(np.linalg.norm(y, axis=1), np.linalg.norm(y, axis=1)) >= 0.9
+    want = linked.sum(1) - 1
+    assert want.sum() >= 800 and all(r["n_links"] == want[r["vec_id"]] for r in got)
+    assert kept["split"].count() == 0
