@@ -161,18 +161,27 @@ def read_artifacts(spark: SparkSession, path: str, document_id: int | None = Non
     return rows if document_id is None else rows.where(F.col("document_id") == document_id)
 
 
+#: Pages of a document in one task, by ordinal; a long document goes to many.
+PAGES_TOGETHER = 4
+
+
 def write_page_files(pages: DataFrame, path: str) -> None:
     """One JSON file for each page, in folders by document and page; a page that comes twice has the record with the greatest text.
 
     Where no other program wants a file a page, ``write_artifacts`` makes far fewer. What a file costs doesn't hang on its bytes, so pages
-    are dealt to a number of tasks that small tables have too.
+    are dealt to a number of tasks that small tables have too. On a local disk, each folder and file costs a process that sets permissions: so
+    runs of a document's pages go to one task, which makes its folder once, and no checksum files are written.
     """
     tasks = 4 * pages.sparkSession.sparkContext.defaultParallelism
     record = F.struct(*[F.col(c) if c in pages.columns else F.lit(None).cast(OCR_PAGES[c].dataType).alias(c) for c in ("page_ordinal", "image_path", "blocks", "raw_text")])
-    one = pages.repartition(tasks, "document_id", "page_ordinal").groupBy("document_id", "page_ordinal").agg(F.max_by(record, F.coalesce("raw_text", F.lit(""))).alias("r"))
+    dealt = pages.withColumn("run", F.floor((F.col("page_ordinal") - 1) / PAGES_TOGETHER)).repartition(tasks, "document_id", "run")
+    one = dealt.groupBy("document_id", "run", "page_ordinal").agg(F.max_by(record, F.coalesce("raw_text", F.lit(""))).alias("r"))
     # The page's number stands in the record too, so the folders have columns of their own.
-    one.select(F.col("document_id").alias("doc"), F.col("page_ordinal").alias("page"), "r.*").write.mode("overwrite").partitionBy("doc", "page").json(path)
+    one.select(F.col("document_id").alias("doc"), F.col("page_ordinal").alias("page"), "r.*").write.mode("overwrite").options(**_PLAIN_FILES).partitionBy("doc", "page").json(path)
+
 
+#: For one write: local files as they are. File systems are kept by scheme, so this needs one that isn't.
+_PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 
 #: Of which document and page a file is: doc7/page0003.json, or doc=7/page=3/part-....json as Spark writes it.
 _PAGE_FILE = r"/doc=?(\d+)/page=?(\d+)(?:\.json|/[^/]*\.json)$"

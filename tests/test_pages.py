@@ -110,3 +110,14 @@ def test_a_fault_of_the_backend_is_no_failed_page(spark):
     pages = spark.createDataFrame([(1, 1, "p1.png")], "document_id long, page_ordinal int, image_path string")
     with pytest.raises(Exception, match="KeyError"):
         ocr.transcribe(pages, Faulty()).collect()
+
+
+def test_a_documents_pages_are_written_together(spark, tmp_path):
+    rows = [(d, p, f"{d}/{p}") for d in range(40) for p in (1, 2, 3)] + [(99, p, f"99/{p}") for p in range(64)]
+    pages = spark.createDataFrame(rows, "document_id long, page_ordinal int, raw_text string")
+    ocr.write_page_files(pages, str(tmp_path / "files"))
+    files = [p for p in (tmp_path / "files").rglob("*") if p.is_file() and p.parent != tmp_path / "files"]
+    assert len(files) == len(rows) and all(p.name.endswith(".json") for p in files)  # and no checksum files
+    tasks = lambda d: {p.name[:10] for p in files if p.parent.parent.name == f"doc={d}"}
+    assert all(len(tasks(d)) == 1 for d in range(40)) and len(tasks(99)) > 4  # a long document goes to several
+    assert sorted((r["document_id"], r["page_ordinal"], r["raw_text"]) for r in ocr.read_page_files(spark, str(tmp_path / "files")).collect()) == sorted(rows)
