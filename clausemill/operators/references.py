@@ -32,7 +32,7 @@ def resolve(extracted: DataFrame, clauses: DataFrame) -> DataFrame:
 
     Of one (source, raw text, target) the first stays. dst_clause_id is null where nothing is found.
     """
-    # Both joins move both sides: files of clauses are some fifty times smaller than their rows, and by the files Spark would broadcast a table that grows.
+    # Both joins move both sides: files of clauses are many times smaller than their rows, and by the files Spark would broadcast a table that grows.
     refs = extracted.withColumn("target", X.resolved_target(F.col("kind"), F.col("target_citation"), F.col("dieu")))
     source = clauses.select(F.col("document_id").alias("sd"), F.col("citation").alias("sc"), F.col("clause_id").alias("src_clause_id"))
     target = clauses.select(F.col("document_id").alias("td"), F.col("citation").alias("tc"), F.col("clause_id").alias("dst_clause_id"))
